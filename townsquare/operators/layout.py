@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _ZKEY = "_zorder_key"
+_BOUNDS = "_bucket_bounds"
+_SKETCH_ACCURACY = 1000
 
 
 def _row_hash(df: DataFrame) -> Column:
@@ -50,23 +52,31 @@ def _as_number(df: DataFrame, name: str) -> Column:
     return column.cast("double")
 
 
-def zorder_key(df: DataFrame, by: Sequence[str], bits: int = 4) -> Column:
-    """Interleaved bits of each column's quantile bucket.
+def _spread_bits(value: int, columns: int) -> int:
+    """Move bit ``i`` of ``value`` to bit ``i * columns``."""
+    return sum(((value >> i) & 1) << (i * columns) for i in range(value.bit_length()))
 
-    The 2**bits - 1 bucket bounds per column come from one mergeable quantile
-    sketch over the frame, read back as a scalar subquery.
+
+def with_zorder_key(df: DataFrame, by: Sequence[str], into: str, bits: int = 4) -> DataFrame:
+    """Add the interleaved bits of each column's quantile bucket.
+
+    The 2**bits - 1 bucket bounds per column come from mergeable quantile
+    sketches, computed in one pass and read back as one scalar subquery. NULLs
+    fall into the lowest bucket.
     """
     steps = [i / 2**bits for i in range(1, 2**bits)]
-    key = F.lit(0).cast("bigint")
-    for position, name in enumerate(by):
-        number = _as_number(df, name)
-        bounds = df.agg(F.percentile_approx(number, steps, 1000)).scalar()
-        passed = [(bounds[i] < number).cast("int") for i in range(len(steps))]
-        bucket = F.coalesce(reduce(Column.__add__, passed), F.lit(0))
-        for bit in range(bits):
-            on = F.shiftright(bucket, bit).bitwiseAND(F.lit(1)).cast("bigint")
-            key = key.bitwiseOR(F.shiftleft(on, bit * len(by) + position))
-    return key
+    numbers = [_as_number(df, name) for name in by]
+    sketches = [F.percentile_approx(number, steps, _SKETCH_ACCURACY) for number in numbers]
+    spread = F.array(*(F.lit(_spread_bits(bucket, len(by))) for bucket in range(2**bits)))
+
+    def share(position: int, number: Column) -> Column:
+        bounds = F.col(_BOUNDS)[position]
+        passed = (F.coalesce((bounds[i] < number).cast("int"), F.lit(0)) for i in range(len(steps)))
+        return F.shiftleft(spread[reduce(Column.__add__, passed)], position)
+
+    shares = [share(position, number) for position, number in enumerate(numbers)]
+    bounded = df.withColumn(_BOUNDS, df.agg(F.array(*sketches)).scalar())
+    return bounded.withColumn(into, reduce(Column.bitwiseOR, shares)).drop(_BOUNDS)
 
 
 def zorder_rows(
@@ -77,5 +87,5 @@ def zorder_rows(
     Unlike a plain sort on the column list, files stay narrow in every one of
     the columns, so filters on any of them skip files.
     """
-    keyed = df.withColumn(_ZKEY, zorder_key(df, by, bits))
+    keyed = with_zorder_key(df, by, _ZKEY, bits)
     return cluster_rows(keyed, [_ZKEY, *by], partitions).drop(_ZKEY)
