@@ -171,7 +171,8 @@ def _count_rows(relation: str, label: str, key: str) -> str:
 
 _PLAIN = {
     # Sources
-    **{f"bronze_json_{entity}": text for entity, text in _BRONZE_OUT.items()},
+    "bronze_json_roundtrip": _BRONZE_OUT["review"],
+    **{f"bronze_json_{e}": text for e, text in _BRONZE_OUT.items() if e != "review"},
     "bronze_lineage": """
 SELECT review_id, user_id, business_id, stars, true AS has_source_file, true AS has_ingested_at,
        CAST(36 AS INTEGER) AS batch_id_length, CAST(1 AS BIGINT) AS batch_ids
@@ -194,7 +195,20 @@ WHERE business_id >= '5' GROUP BY business_id, review_year""",
     "zordered_read": """
 SELECT city, state, count(*) AS businesses, min(business_id) AS first_business FROM dim_business
 WHERE state = 'SMALL' GROUP BY city, state""",
-    "streamed_tips": "SELECT *, true AS has_source_file, true AS has_ingested_at FROM bronze_tip",
+    "stream_bronze_tip": "SELECT *, true AS has_source_file, true AS has_ingested_at FROM bronze_tip",
+    "gold_export": " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", count(*) AS row_count FROM {relation}"
+        for name, relation in {
+            "dim_date": "dim_date",
+            "dim_business": "dim_business",
+            "dim_user": "dim_user",
+            "dim_category": "dim_category",
+            "bridge_business_category": "bridge",
+            "fact_review": "fact_review",
+            "fact_checkin": "fact_checkin",
+            "fact_tip": "fact_tip",
+        }.items()
+    ),
     # Silver
     "silver_business": """
 SELECT business_id, name, address, city, state, postal_code, latitude, longitude, stars, review_count, is_open,
@@ -228,6 +242,10 @@ SELECT * EXCLUDE (elite_years), array_to_string(elite_years, '|') AS elite_list
     "rising_star": _RISING,
     "rising_star_sql": _RISING,
     "rising_star_tagged": _rising(365, 5, undated_is_prior=True),
+    "review_periods": """
+SELECT CASE WHEN review_date >= (SELECT max(review_date) - 365 FROM silver_review) THEN 'past_year' ELSE 'prior'
+       END AS period, count(*) AS reviews, sum(stars) AS total_stars
+FROM silver_review GROUP BY period""",
     "rising_star_default_rule": _rising(365, 10),
     "rising_star_daily": _RISING,
     "rising_star_pipeline": _RISING,

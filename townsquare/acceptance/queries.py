@@ -11,13 +11,26 @@ from pyspark.sql import functions as F
 
 from townsquare.acceptance.adapters import BRONZE_SQL, bronze_frame
 from townsquare.config import shared_dir
-from townsquare.operators import cluster_rows, in_years, rebalance_rows, zorder_rows
+from townsquare.operators import (
+    cluster_rows,
+    in_years,
+    rebalance_rows,
+    tag_period,
+    trailing_cutoff,
+    zorder_rows,
+)
 from townsquare.plans import gold, quality, reports, rising
-from townsquare.plans.pipeline import gold_plans, quality_checks, run_pipeline, silver_plans
+from townsquare.plans.pipeline import (
+    export_gold,
+    gold_plans,
+    quality_checks,
+    run_pipeline,
+    silver_plans,
+)
 from townsquare.sinks import TableStore, write_files
 from townsquare.sources import (
     ENTITIES,
-    landing_inventory,
+    landing,
     new_batch_id,
     register_views,
     scan_json,
@@ -95,7 +108,12 @@ def _json_roundtrip(layers: Layers, entity: str) -> DataFrame:
     return _brand(scanned) if entity == "business" else scanned
 
 
-for _entity in ENTITIES:
+@_query
+def bronze_json_roundtrip(layers: Layers) -> DataFrame:
+    return _json_roundtrip(layers, "review")
+
+
+for _entity in ("business", "user", "checkin", "tip"):
     _frame_query(f"bronze_json_{_entity}", lambda layers, e=_entity: _json_roundtrip(layers, e))
 
 
@@ -114,8 +132,8 @@ def bronze_lineage(layers: Layers) -> DataFrame:
 
 
 @_query
-def landing_files(layers: Layers) -> DataFrame:
-    return landing_inventory(layers.spark, layers.sf_dir).select("file_name", "bytes")
+def landing_inventory(layers: Layers) -> DataFrame:
+    return landing.landing_inventory(layers.spark, layers.sf_dir).select("file_name", "bytes")
 
 
 @_query
@@ -167,11 +185,20 @@ def zordered_read(layers: Layers) -> DataFrame:
     )
 
 
+@_query
+def gold_export(layers: Layers) -> DataFrame:
+    out = shared_dir(layers.spark, "gold-export")
+    written = export_gold(layers.gold, out)
+    return quality.row_count_audit(
+        {name: layers.spark.read.parquet(f"{out}/{name}") for name in written}
+    )
+
+
 # Streaming
 
 
 @_query
-def streamed_tips(layers: Layers) -> DataFrame:
+def stream_bronze_tip(layers: Layers) -> DataFrame:
     root = shared_dir(layers.spark, "stream-tip")
     layers.land("tip", f"{root}/landing")
     table = f"streamed_tip_{uuid.uuid4().hex}"
@@ -265,6 +292,15 @@ def rising_star_tagged(layers: Layers) -> DataFrame:
     )
 
 
+@_query
+def review_periods(layers: Layers) -> DataFrame:
+    reviews = layers.silver["review"]
+    tagged = tag_period(reviews, "review_date", trailing_cutoff(reviews, "review_date", 365))
+    return tagged.groupBy("period").agg(
+        F.count(F.lit(1)).alias("reviews"), F.sum("stars").alias("total_stars")
+    )
+
+
 @_query
 def rising_star_default_rule(layers: Layers) -> DataFrame:
     return rising.rising_star(layers.gold["fact_review"], layers.gold["dim_business"])

@@ -22,37 +22,40 @@ def trailing_cutoff(df: DataFrame, date: str, days: int) -> Column:
     return df.agg(F.date_sub(F.max(date), days)).scalar()
 
 
-def tag_period(
-    df: DataFrame, date: str, cutoff: Column, null_dates: NullDates = "prior", into: str = "period"
-) -> DataFrame:
-    """Label rows on or after ``cutoff`` as recent and the others as earlier.
+def in_window(date: str, cutoff: Column, null_dates: NullDates = "exclude") -> Column:
+    """Whether a row lies on or after ``cutoff``.
 
-    A row without a date counts as earlier, or gets a NULL label when
-    ``null_dates`` is ``"exclude"``.
+    A row without a date is earlier (False) under ``"prior"`` and in neither
+    period (NULL) under ``"exclude"``.
     """
     if null_dates not in ("exclude", "prior"):
         raise ValueError(f"null_dates must be 'exclude' or 'prior', not {null_dates!r}")
-    is_recent = F.col(date) >= cutoff
-    if null_dates == "prior":
-        is_recent = F.coalesce(is_recent, F.lit(False))
-    label = F.when(is_recent, F.lit(RECENT)).when(~is_recent, F.lit(EARLIER))
-    return df.withColumn(into, label)
+    recent = F.col(date) >= cutoff
+    return F.coalesce(recent, F.lit(False)) if null_dates == "prior" else recent
 
 
-def period_totals(tagged: DataFrame, key: str, measure: str, period: str = "period") -> DataFrame:
-    """Per key: recent row count and the mean of ``measure`` in both periods.
+def tag_period(
+    df: DataFrame, date: str, cutoff: Column, null_dates: NullDates = "prior", into: str = "period"
+) -> DataFrame:
+    """Label each row as recent or earlier; NULL where it is neither."""
+    recent = F.col("_recent")
+    label = F.when(recent, F.lit(RECENT)).when(~recent, F.lit(EARLIER))
+    flagged = df.withColumn("_recent", in_window(date, cutoff, null_dates))
+    return flagged.withColumn(into, label).drop("_recent")
 
-    One hash aggregate with a map-side partial step; a mean over no rows is
-    NULL.
-    """
 
-    def mean_when(label: str) -> Column:
-        return F.avg(F.when(F.col(period) == label, F.col(measure)))
+def period_totals(df: DataFrame, key: str, measure: str, recent: str) -> DataFrame:
+    """Per key: recent row count and the mean of ``measure`` in both periods.
 
-    return tagged.groupBy(key).agg(
-        F.count_if(F.col(period) == RECENT).alias("recent_count"),
-        mean_when(RECENT).alias("recent_mean"),
-        mean_when(EARLIER).alias("earlier_mean"),
+    ``recent`` names a boolean column; rows where it is NULL are in neither
+    period. One hash aggregate with a map-side partial step; a mean over no
+    rows is NULL.
+    """
+    is_recent = F.col(recent)
+    return df.groupBy(key).agg(
+        F.count_if(is_recent).alias("recent_count"),
+        F.avg(F.when(is_recent, F.col(measure))).alias("recent_mean"),
+        F.avg(F.when(~is_recent, F.col(measure))).alias("earlier_mean"),
     )
 
 

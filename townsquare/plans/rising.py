@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from townsquare.operators.periods import NullDates, period_totals, tag_period, trailing_cutoff
+from townsquare.operators.periods import NullDates, in_window, period_totals, trailing_cutoff
 
 # Default thresholds and the row limit of the short report.
 WINDOW_DAYS = 365
@@ -75,8 +75,10 @@ def rising_star(
     (``"exclude"``).
     """
     cutoff = trailing_cutoff(reviews, "review_date", window_days)
-    rated = reviews.select("business_id", "review_date", "stars")
-    totals = period_totals(tag_period(rated, "review_date", cutoff, null_dates), "business_id", "stars")
+    rated = reviews.select(
+        "business_id", "stars", in_window("review_date", cutoff, null_dates).alias("is_recent")
+    )
+    totals = period_totals(rated, "business_id", "stars", recent="is_recent")
     return _report(totals, business, min_reviews, min_gain, limit)
 
 

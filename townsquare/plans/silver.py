@@ -34,9 +34,10 @@ def _load_time(df: DataFrame) -> list[str]:
 def silver_business(bronze: DataFrame) -> DataFrame:
     """One row per business, padding stripped, categories as an array."""
     cleaned = bronze.where(F.col("business_id").isNotNull()).withColumns(
-        {**trimmed("name", "city", "state"), "category_array": split_trimmed("categories")}
+        trimmed("name", "city", "state")
     )
-    return keep_latest(cleaned, ["business_id"], latest=_load_time(cleaned))
+    businesses = keep_latest(cleaned, ["business_id"], latest=_load_time(cleaned))
+    return businesses.withColumn("category_array", split_trimmed("categories"))
 
 
 def silver_business_category(business: DataFrame, unique_businesses: bool = True) -> DataFrame:
@@ -63,38 +64,33 @@ def silver_review(bronze: DataFrame) -> DataFrame:
         & F.col("business_id").isNotNull()
         & F.col("stars").between(MIN_STARS, MAX_STARS)
     )
-    when = parse_timestamp("date")
     typed = valid.select(
-        "review_id",
-        "business_id",
-        "user_id",
-        "stars",
-        "useful",
-        "funny",
-        "cool",
-        when.alias("review_ts"),
-        F.to_date(when).alias("review_date"),
-        F.year(when).alias("review_year"),
+        *("review_id", "business_id", "user_id", "stars", "useful", "funny", "cool"),
+        parse_timestamp("date").alias("review_ts"),
+    )
+    # Columns derived from the timestamp are added after the shuffle.
+    return keep_latest(typed, ["review_id"], latest=["review_ts"]).withColumns(
+        {"review_date": F.to_date("review_ts"), "review_year": F.year("review_ts")}
     )
-    return keep_latest(typed, ["review_id"], latest=["review_ts"])
 
 
 def silver_user(bronze: DataFrame) -> DataFrame:
     """One row per user; elite years as an array, friends as a count."""
-    elite_years = split_trimmed(F.when(is_filled("elite"), F.col("elite")))
     typed = (
         bronze.where(F.col("user_id").isNotNull())
         .withColumns(
             {
                 "yelping_since_date": parse_date("yelping_since"),
-                "elite_years": elite_years,
-                "is_elite": F.size(elite_years) > 0,
                 "friend_count": token_count("friends", placeholder=NO_FRIENDS),
             }
         )
-        .drop("friends", "elite", "yelping_since")
+        .drop("friends", "yelping_since")
     )
-    return keep_latest(typed, ["user_id"], latest=_load_time(typed))
+    users = keep_latest(typed, ["user_id"], latest=_load_time(typed))
+    elite_years = split_trimmed(F.when(is_filled("elite"), F.col("elite")))
+    return users.withColumns(
+        {"elite_years": elite_years, "is_elite": F.size(elite_years) > 0}
+    ).drop("elite")
 
 
 def silver_checkin(bronze: DataFrame) -> DataFrame:
