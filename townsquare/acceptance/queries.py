@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import cached_property
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from townsquare.operators import (
     zorder_rows,
 )
 from townsquare.plans import gold, quality, reports, rising
+from townsquare.plans.frames import LazyFrames
 from townsquare.plans.pipeline import (
     export_gold,
     gold_plans,
@@ -47,23 +48,16 @@ WIDE_RULE = {"window_days": 730, "min_reviews": 5}
 
 
 class Layers:
-    """Lazy bronze, silver and gold frames over one folder of tables."""
+    """Bronze, silver and gold frames over one folder of tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-
-    @cached_property
-    def bronze(self) -> dict[str, DataFrame]:
-        return {entity: bronze_frame(self.spark, self.sf_dir, entity) for entity in BRONZE_SQL}
-
-    @cached_property
-    def silver(self) -> dict[str, DataFrame]:
-        return silver_plans(self.bronze)
-
-    @cached_property
-    def gold(self) -> dict[str, DataFrame]:
-        return gold_plans(self.silver)
+        self.bronze = LazyFrames(
+            {entity: partial(bronze_frame, spark, sf_dir, entity) for entity in BRONZE_SQL}
+        )
+        self.silver = silver_plans(self.bronze)
+        self.gold = gold_plans(self.silver)
 
     def land(self, entity: str, path: str) -> str:
         """Write a raw entity as newline-delimited JSON files."""

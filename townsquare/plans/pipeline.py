@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from townsquare.config import shuffles_sized_for
 from townsquare.plans import gold, quality, rising, silver
 from townsquare.plans.bronze import ingest_bronze
+from townsquare.plans.frames import LazyFrames
 from townsquare.sinks.store import TableStore, ensure_layers, export_frames
 from townsquare.sources.entities import ENTITIES
 from townsquare.sources.landing import landing_inventory, new_batch_id, present_sources
@@ -22,31 +23,37 @@ CLUSTERED = {"fact_review": ["business_id"], "dim_business": ["city", "state"]}
 SILVER_TABLES = ("business", "business_category", "review", "user", "checkin", "tip")
 
 
-def silver_plans(bronze: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Lazy silver frames from bronze frames."""
-    business = silver.silver_business(bronze["business"])
-    return {
-        "business": business,
-        "business_category": silver.silver_business_category(business),
-        "review": silver.silver_review(bronze["review"]),
-        "user": silver.silver_user(bronze["user"]),
-        "checkin": silver.silver_checkin(bronze["checkin"]),
-        "tip": silver.silver_tip(bronze["tip"]),
-    }
-
-
-def gold_plans(layer: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Lazy gold frames from silver frames."""
-    return {
-        "dim_date": gold.dim_date(layer["review"], layer["tip"], layer["checkin"]),
-        "dim_business": gold.dim_business(layer["business"]),
-        "dim_user": gold.dim_user(layer["user"]),
-        "dim_category": gold.dim_category(layer["business_category"]),
-        "bridge_business_category": gold.bridge_business_category(layer["business_category"]),
-        "fact_review": gold.fact_review(layer["review"]),
-        "fact_checkin": gold.fact_checkin(layer["checkin"]),
-        "fact_tip": gold.fact_tip(layer["tip"]),
-    }
+def silver_plans(bronze: Mapping[str, DataFrame]) -> LazyFrames:
+    """Silver frames from bronze frames."""
+    plans = LazyFrames(
+        {
+            "business": lambda: silver.silver_business(bronze["business"]),
+            "business_category": lambda: silver.silver_business_category(plans["business"]),
+            "review": lambda: silver.silver_review(bronze["review"]),
+            "user": lambda: silver.silver_user(bronze["user"]),
+            "checkin": lambda: silver.silver_checkin(bronze["checkin"]),
+            "tip": lambda: silver.silver_tip(bronze["tip"]),
+        }
+    )
+    return plans
+
+
+def gold_plans(layer: Mapping[str, DataFrame]) -> LazyFrames:
+    """Gold frames from silver frames."""
+    return LazyFrames(
+        {
+            "dim_date": lambda: gold.dim_date(layer["review"], layer["tip"], layer["checkin"]),
+            "dim_business": lambda: gold.dim_business(layer["business"]),
+            "dim_user": lambda: gold.dim_user(layer["user"]),
+            "dim_category": lambda: gold.dim_category(layer["business_category"]),
+            "bridge_business_category": lambda: gold.bridge_business_category(
+                layer["business_category"]
+            ),
+            "fact_review": lambda: gold.fact_review(layer["review"]),
+            "fact_checkin": lambda: gold.fact_checkin(layer["checkin"]),
+            "fact_tip": lambda: gold.fact_tip(layer["tip"]),
+        }
+    )
 
 
 def quality_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -95,9 +102,7 @@ def build_silver(store: TableStore) -> dict[str, int]:
     business de-duplication runs once.
     """
     bronze = {entity: store.read("bronze", entity) for entity in ENTITIES}
-    plans = silver_plans(bronze)
-    del plans["business_category"]
-    counts = _store_layer(store, "silver", plans)
+    counts = _store_layer(store, "silver", silver_plans(bronze).without("business_category"))
     pairs = silver.silver_business_category(store.read("silver", "business"))
     return counts | _store_layer(store, "silver", {"business_category": pairs})
 
