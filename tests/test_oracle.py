@@ -1,0 +1,43 @@
+"""Every registered query against its SQL in DuckDB."""
+
+import glob
+import math
+import os
+
+import duckdb
+import pytest
+
+from townsquare.acceptance.oracle import oracle_sql
+from townsquare.acceptance.queries import queries
+
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+TYPES = {
+    **{"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER"},
+    **{"double": "DOUBLE", "date": "DATE", "boolean": "BOOLEAN"},
+}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for path in glob.glob(f"{SF_DIR}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def _plain(value):
+    return None if isinstance(value, float) and math.isnan(value) else value
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query_matches_sql(spark, duck, name):
+    df = queries()[name](spark, SF_DIR)
+    got = df.collect()
+    if name not in oracle_sql():
+        assert got
+        return
+    expected = duck.sql(oracle_sql()[name])
+    assert {c: TYPES[t] for c, t in df.dtypes} == dict(zip(expected.columns, map(str, expected.types)))
+    mine = sorted((tuple(_plain(row[c]) for c in expected.columns) for row in got), key=repr)
+    assert mine == sorted((tuple(map(_plain, row)) for row in expected.fetchall()), key=repr)

@@ -1,0 +1,135 @@
+import json
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from townsquare.acceptance.queries import Layers
+from townsquare.config import shared_dir, shuffle_partitions_for, shuffles_sized_for
+from townsquare.plans import quality
+from townsquare.plans.pipeline import export_gold, quality_checks, run_pipeline
+from townsquare.sinks import TableStore
+from townsquare.sources import ENTITIES, source_paths
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def landing(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("landing"))
+    layers = Layers(spark, SF_DIR)
+    paths = source_paths(root)
+    for entity, path in paths.items():
+        layers.land(entity, path)
+    return paths
+
+
+@pytest.fixture(scope="module")
+def run(spark, landing, tmp_path_factory):
+    store = TableStore(spark, str(tmp_path_factory.mktemp("tables")), prefix=f"p{uuid.uuid4().hex}")
+    counts = run_pipeline(spark, store, landing, batch_id="batch-1", window_days=365, min_reviews=5)
+    return store, counts
+
+
+def test_every_table_is_stored_and_counted(run):
+    store, counts = run
+    assert len(counts) == 5 + 6 + 8 + 1
+    for name, n in counts.items():
+        assert store.read(*name.split(".")).count() == n
+    assert counts["gold.rising_star_businesses"] > 0
+
+
+def test_bronze_keeps_everything(run, spark, landing):
+    store, counts = run
+    for entity, path in landing.items():
+        assert counts[f"bronze.{entity}"] == spark.read.text(path).count()
+        assert store.read("bronze", entity).select("_batch_id").distinct().collect() == [("batch-1",)]
+
+
+def test_keys_are_unique(run):
+    store, _ = run
+    for layer, table, key in (
+        *(("silver", t, ENTITIES[t].key) for t in ("business", "review", "user")),
+        ("gold", "dim_category", "category"),
+        ("gold", "dim_category", "category_key"),
+        ("gold", "dim_date", "date_key"),
+    ):
+        assert rows(quality.duplicate_key_check(store.read(layer, table), key)) == [(0,)]
+
+
+def test_facts_account_for_silver(run):
+    store, counts = run
+    total = store.read("gold", "fact_checkin").agg(F.sum("checkin_count")).first()[0]
+    assert total == counts["silver.checkin"]
+    assert counts["gold.fact_review"] == counts["silver.review"]
+    assert counts["gold.fact_tip"] == counts["silver.tip"]
+
+
+def test_dimensions_cover_the_facts(run):
+    store, counts = run
+    bridge = store.read("gold", "bridge_business_category")
+    assert bridge.join(store.read("gold", "dim_business"), "business_id", "left_anti").count() == 0
+    assert rows(bridge.select("category").distinct()) == rows(store.read("gold", "dim_category"), "category")
+    days = store.read("gold", "dim_date")
+    span = days.agg(F.date_diff(F.max("date"), F.min("date"))).first()[0]
+    assert span + 1 == counts["gold.dim_date"]
+    for fact in ("fact_review", "fact_checkin", "fact_tip"):
+        keys = store.read("gold", fact).where("date_key IS NOT NULL").select("date_key")
+        assert keys.join(days, "date_key", "left_anti").count() == 0
+
+
+def test_checks(run):
+    store, _ = run
+    found = dict(rows(quality_checks({t: store.read("silver", t) for t in ("business", "business_category", "review", "user", "checkin", "tip")})))
+    orphans = found.pop("reviews of unknown businesses")
+    assert orphans > 0 and set(found.values()) == {0}
+
+
+def test_rerun_gives_the_same_tables(spark, landing, run, tmp_path):
+    store, counts = run
+    again = TableStore(spark, str(tmp_path), prefix=f"p{uuid.uuid4().hex}")
+    assert run_pipeline(spark, again, landing, window_days=365, min_reviews=5) == counts
+    for table in ("fact_review", "dim_user", "rising_star_businesses"):
+        assert rows(again.read("gold", table)) == rows(store.read("gold", table))
+
+
+def test_missing_landing_file(spark, landing, tmp_path):
+    paths = dict(landing) | {"tip": str(tmp_path / "absent.json")}
+    with pytest.raises(FileNotFoundError, match="tip"):
+        run_pipeline(spark, TableStore(spark, str(tmp_path), prefix="missing"), paths)
+
+
+def test_export(run, spark, tmp_path):
+    store, counts = run
+    frames = {t: store.read("gold", t) for t in ("dim_date", "fact_review", "rising_star_businesses")}
+    written = export_gold(frames, str(tmp_path))
+    assert written == {name: counts[f"gold.{name}"] for name in frames}
+    assert "review_year" in spark.read.parquet(f"{tmp_path}/fact_review").columns
+
+
+def test_shuffle_width(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert shuffle_partitions_for(0) == 1
+    assert shuffle_partitions_for(10 * 2**40) == 40960
+    before = spark.conf.get(key, None)
+    with shuffles_sized_for(spark, 2**40) as width:
+        assert width == 4096 and spark.conf.get(key) == "4096"
+    assert spark.conf.get(key, None) == before
+    with shuffles_sized_for(spark, 0) as width:
+        assert width == 4
+
+
+def test_shared_dir(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = shared_dir(spark, "x"), shared_dir(spark, "x")
+    assert first.startswith(root) and first != second
+
+
+def test_entry_points(spark):
+    import __spark_entry__ as entry
+
+    got = entry.entry(spark)
+    assert got.columns[:2] == ["business_id", "name"] and got.count() == 5
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert json.dumps(sorted(entry.queries()))

@@ -16,7 +16,7 @@ def ingest_incremental(
     table: str,
     checkpoint: str,
     path: str | None = None,
-    max_bytes_per_batch: str | None = None,
+    max_bytes_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Append files not seen before to a bronze table, then stop.
 
