@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import rows
-from townsquare.sinks import TableStore, ensure_layers, export_frames, write_files
+from townsquare.sinks import TableStore, ensure_layers, export_frames, run_writes, write_files
 
 
 @pytest.fixture
@@ -71,13 +71,13 @@ def test_zordered_table(spark, store):
     assert rows(store.read("gold", "d")) == rows(df)
 
 
-def test_write_all_reports_failures(spark, store):
+def test_run_writes_reports_failures(spark, store):
     def fail():
         raise ValueError("no")
 
     with pytest.raises(ValueError):
-        store.write_all({"a": lambda: store.write("gold", "a", spark.range(1)), "b": fail})
-    assert store.write_all({}) == {}
+        run_writes(spark, {"a": lambda: store.write("gold", "a", spark.range(1)), "b": fail})
+    assert run_writes(spark, {}) == {}
 
 
 def test_read_of_missing_table(store):

@@ -12,7 +12,7 @@ from townsquare.config import shuffles_sized_for
 from townsquare.plans import gold, quality, rising, silver
 from townsquare.plans.bronze import ingest_bronze
 from townsquare.plans.frames import LazyFrames
-from townsquare.sinks.store import TableStore, ensure_layers, export_frames
+from townsquare.sinks.store import TableStore, ensure_layers, export_frames, run_writes
 from townsquare.sources.entities import ENTITIES
 from townsquare.sources.landing import landing_inventory, new_batch_id, present_sources
 
@@ -76,22 +76,24 @@ def load_bronze(
 ) -> dict[str, int]:
     """Load every entity whose landing files exist; entity -> row count."""
     present = present_sources(spark, dict(paths))
-    return store.write_all(
+    return run_writes(
+        spark,
         {
             entity: partial(ingest_bronze, spark, store, entity, path, batch_id)
             for entity, path in present.items()
-        }
+        },
     )
 
 
 def _store_layer(store: TableStore, layer: str, frames: Mapping[str, DataFrame]) -> dict[str, int]:
-    return store.write_all(
+    return run_writes(
+        store.spark,
         {
             name: partial(
                 store.write, layer, name, frame, PARTITIONED.get(name, ()), CLUSTERED.get(name, ())
             )
             for name, frame in frames.items()
-        }
+        },
     )
 
 

@@ -1,5 +1,11 @@
 """Layer tables and file exports."""
 
-from townsquare.sinks.store import TableStore, ensure_layers, export_frames, write_files
+from townsquare.sinks.store import (
+    TableStore,
+    ensure_layers,
+    export_frames,
+    run_writes,
+    write_files,
+)
 
-__all__ = ["TableStore", "ensure_layers", "export_frames", "write_files"]
+__all__ = ["TableStore", "ensure_layers", "export_frames", "run_writes", "write_files"]

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -24,6 +25,19 @@ def ensure_layers(spark: SparkSession, prefix: str = "reviews") -> dict[str, str
     return names
 
 
+def run_writes(spark: SparkSession, writes: Mapping[str, Callable[[], int]]) -> dict[str, int]:
+    """Run independent writes at the same time; name -> row count.
+
+    The last tasks of one table then do not leave the cluster idle.
+    """
+    with ThreadPoolExecutor(max_workers=len(writes) or 1) as pool:
+        running = {
+            name: pool.submit(inheritable_thread_target(spark)(write))
+            for name, write in writes.items()
+        }
+        return {name: future.result() for name, future in running.items()}
+
+
 def write_files(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Write Parquet to ``path`` and return the row count.
 
@@ -42,13 +56,12 @@ def export_frames(
     frames: Mapping[str, DataFrame], out: str, partition_by: Mapping[str, Sequence[str]] | None = None
 ) -> dict[str, int]:
     """Overwrite ``<out>/<name>`` with each frame; name -> row count."""
-    partition_by = partition_by or {}
-    counts = {}
+    writes = {}
     for name, frame in frames.items():
-        by = tuple(partition_by.get(name, ()))
+        by = tuple((partition_by or {}).get(name, ()))
         laid_out = rebalance_rows(frame, *by) if by else frame
-        counts[name] = write_files(laid_out, f"{out.rstrip('/')}/{name}", by)
-    return counts
+        writes[name] = partial(write_files, laid_out, f"{out.rstrip('/')}/{name}", by)
+    return run_writes(SparkSession.active(), writes)
 
 
 @dataclass(frozen=True)
@@ -105,13 +118,3 @@ class TableStore:
         self.spark.sql(f"{ddl} LOCATION '{location}'")
         if partition_by:
             self.spark.catalog.recoverPartitions(name)
-
-    def write_all(self, writes: Mapping[str, Callable[[], int]]) -> dict[str, int]:
-        """Run independent writes at the same time, so that the last tasks of
-        one table do not leave the cluster idle; name -> row count."""
-        with ThreadPoolExecutor(max_workers=len(writes) or 1) as pool:
-            running = {
-                name: pool.submit(inheritable_thread_target(self.spark)(write))
-                for name, write in writes.items()
-            }
-            return {name: future.result() for name, future in running.items()}
