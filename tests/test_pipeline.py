@@ -8,7 +8,7 @@ from conftest import rows
 from townsquare.acceptance.queries import Layers
 from townsquare.config import shared_dir, shuffle_partitions_for, shuffles_sized_for
 from townsquare.plans import quality
-from townsquare.plans.pipeline import export_gold, quality_checks, run_pipeline
+from townsquare.plans.pipeline import export_gold, run_pipeline
 from townsquare.sinks import TableStore
 from townsquare.sources import ENTITIES, source_paths
 
@@ -34,7 +34,7 @@ def run(spark, landing, tmp_path_factory):
 
 def test_every_table_is_stored_and_counted(run):
     store, counts = run
-    assert len(counts) == 5 + 6 + 8 + 1
+    assert len(counts) == 5 + 7 + 9  # with dq_checks and the report
     for name, n in counts.items():
         assert store.read(*name.split(".")).count() == n
     assert counts["gold.rising_star_businesses"] > 0
@@ -81,9 +81,20 @@ def test_dimensions_cover_the_facts(run):
 
 def test_checks(run):
     store, _ = run
-    found = dict(rows(quality_checks({t: store.read("silver", t) for t in ("business", "business_category", "review", "user", "checkin", "tip")})))
+    found = dict(rows(store.read("silver", "dq_checks")))
     orphans = found.pop("reviews of unknown businesses")
-    assert orphans > 0 and set(found.values()) == {0}
+    assert len(found) == 6 and orphans > 0 and set(found.values()) == {0}
+    with pytest.raises(quality.DataQualityError, match="unknown businesses"):
+        quality.enforce(store.read("silver", "dq_checks"))
+
+
+def test_tables_answer_plain_sql(run, spark):
+    store, counts = run
+    text = "SELECT count(*) FROM {f} JOIN {d} USING (date_key)".format(
+        f=store.name("gold", "fact_tip"), d=store.name("gold", "dim_date")
+    )
+    dated = store.read("gold", "fact_tip").where("date_key IS NOT NULL").count()
+    assert spark.sql(text).first()[0] == dated
 
 
 def test_rerun_gives_the_same_tables(spark, landing, run, tmp_path):

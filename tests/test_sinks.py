@@ -22,6 +22,14 @@ def test_ensure_layers_twice(spark):
     assert all(spark.catalog.databaseExists(name) for name in names.values())
 
 
+def test_layers_without_prefix(spark, tmp_path):
+    names = ensure_layers(spark, "")
+    assert names["silver"].endswith(".silver")
+    store = TableStore(spark, str(tmp_path), prefix="")
+    store.write("silver", "plain", spark.range(2))
+    assert spark.sql("SELECT count(*) FROM silver.plain").first()[0] == 2
+
+
 def test_write_counts_without_reading_back(spark, tmp_path):
     assert write_files(spark.range(1234).repartition(5), str(tmp_path / "a")) == 1234
     assert write_files(spark.range(0), str(tmp_path / "b")) == 0

@@ -334,8 +334,9 @@ def top_categories(layers: Layers) -> DataFrame:
 
 @_query
 def reviews_by_year(layers: Layers) -> DataFrame:
-    register_views({"year_facts": layers.gold["fact_review"]})
-    return reports.reviews_by_year(layers.spark.table("year_facts"))
+    prefix = f"v{uuid.uuid4().hex}_"
+    register_views({"fact_review": layers.gold["fact_review"]}, prefix)
+    return reports.reviews_by_year(layers.spark.table(f"{prefix}fact_review"))
 
 
 @_query

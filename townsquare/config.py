@@ -64,6 +64,11 @@ def shuffles_sized_for(spark: SparkSession, input_bytes: int) -> Iterator[int]:
             spark.conf.set(_INITIAL_PARTITIONS, before)
 
 
+def database_name(prefix: str, layer: str) -> str:
+    """Database of a layer; with an empty prefix just the layer's name."""
+    return f"{prefix}_{layer}" if prefix else layer
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder name that every executor can reach.
 

@@ -109,6 +109,12 @@ def build_silver(store: TableStore) -> dict[str, int]:
     return counts | _store_layer(store, "silver", {"business_category": pairs})
 
 
+def audit_silver(store: TableStore) -> int:
+    """Store the quality checks on the silver layer; returns their number."""
+    layer = {name: store.read("silver", name) for name in SILVER_TABLES}
+    return store.write("silver", "dq_checks", quality_checks(layer))
+
+
 def build_gold(store: TableStore) -> dict[str, int]:
     """Store the gold layer from stored silver; table -> row count."""
     layer = {name: store.read("silver", name) for name in SILVER_TABLES}
@@ -124,7 +130,8 @@ def run_pipeline(
 ) -> dict[str, int]:
     """Landing to gold plus the rising-star table; ``layer.table`` -> rows.
 
-    Each layer is stored once and read back as Parquet, so no step parses the
+    Quality checks land in ``silver.dq_checks``; whether a violation fails the
+    run is the caller's choice (:func:`townsquare.plans.quality.enforce`). Each layer is stored once and read back as Parquet, so no step parses the
     landing files again. Shuffles are sized from the landing bytes.
     """
     ensure_layers(spark, store.prefix)
@@ -138,6 +145,7 @@ def run_pipeline(
             "silver": build_silver(store),
             "gold": build_gold(store),
         }
+        counts["silver"]["dq_checks"] = audit_silver(store)
         report = rising.rising_star(
             store.read("gold", "fact_review"), store.read("gold", "dim_business"), **rising_rule
         )

@@ -12,14 +12,14 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from townsquare.config import LAYERS
+from townsquare.config import LAYERS, database_name
 from townsquare.operators.layout import cluster_rows, rebalance_rows, zorder_rows
 
 
 def ensure_layers(spark: SparkSession, prefix: str = "reviews") -> dict[str, str]:
     """Create the layer databases that do not exist yet; layer -> full name."""
     catalog = spark.catalog.currentCatalog()
-    names = {layer: f"{catalog}.{prefix}_{layer}" for layer in LAYERS}
+    names = {layer: f"{catalog}.{database_name(prefix, layer)}" for layer in LAYERS}
     for name in names.values():
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
     return names
@@ -78,7 +78,8 @@ class TableStore:
     prefix: str = "reviews"
 
     def name(self, layer: str, table: str) -> str:
-        return f"{self.spark.catalog.currentCatalog()}.{self.prefix}_{layer}.`{table}`"
+        catalog = self.spark.catalog.currentCatalog()
+        return f"{catalog}.{database_name(self.prefix, layer)}.`{table}`"
 
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(self.name(layer, table))
