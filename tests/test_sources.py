@@ -1,6 +1,7 @@
 import pytest
 
 from conftest import rows
+from townsquare.config import scan_bytes
 from townsquare.sources import (
     ENTITIES,
     landing_inventory,
@@ -13,7 +14,7 @@ from townsquare.sources import (
 )
 
 
-def test_entities_declare_their_key():
+def test_entities_declare_their_key(spark):
     assert set(ENTITIES) == {"business", "review", "user", "checkin", "tip"}
     assert all(entity.key in entity.schema.names for entity in ENTITIES.values())
     assert len(ENTITIES["user"].schema) == 22
@@ -56,6 +57,7 @@ def test_inventory_reads_no_content(spark, land, tmp_path):
     land("in/b.json", "{}", "{}")
     found = landing_inventory(spark, str(tmp_path / "in"))
     assert rows(found, "file_name", "bytes") == [("a.json", 3), ("b.json", 6)]
+    assert scan_bytes(scan_json(spark, "tip", str(tmp_path / "in"))) == 9
     assert "content" not in found._jdf.queryExecution().executedPlan().toString()
 
 

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 LAYERS = ("landing", "bronze", "silver", "gold")
 
@@ -45,6 +45,11 @@ def shuffle_partitions_for(input_bytes: int) -> int:
     return max(1, min(wanted, _MOST_SHUFFLE_PARTITIONS))
 
 
+def scan_bytes(scan: DataFrame) -> int:
+    """Size of the files under a scan, from its own statistics: no job runs."""
+    return int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 @contextmanager
 def shuffles_sized_for(spark: SparkSession, input_bytes: int) -> Iterator[int]:
     """Widen shuffles for ``input_bytes`` of input inside a ``with`` block.

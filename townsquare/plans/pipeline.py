@@ -8,13 +8,13 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from townsquare.config import shuffles_sized_for
+from townsquare.config import scan_bytes, shuffles_sized_for
 from townsquare.plans import gold, quality, rising, silver
 from townsquare.plans.bronze import ingest_bronze
 from townsquare.plans.frames import LazyFrames
 from townsquare.sinks.store import TableStore, ensure_layers, export_frames, run_writes
 from townsquare.sources.entities import ENTITIES
-from townsquare.sources.landing import landing_inventory, new_batch_id, present_sources
+from townsquare.sources.landing import new_batch_id, present_sources, scan_json
 
 # Table layout: partition column and clustering columns by table.
 PARTITIONED = {"review": ["review_year"], "fact_review": ["review_year"]}
@@ -74,15 +74,16 @@ def quality_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
 def load_bronze(
     spark: SparkSession, store: TableStore, paths: Mapping[str, str], batch_id: str
 ) -> dict[str, int]:
-    """Load every entity whose landing files exist; entity -> row count."""
-    present = present_sources(spark, dict(paths))
-    return run_writes(
-        spark,
-        {
-            entity: partial(ingest_bronze, spark, store, entity, path, batch_id)
-            for entity, path in present.items()
-        },
-    )
+    """Load the given entities; entity -> row count.
+
+    Pass the paths through :func:`townsquare.sources.present_sources` to skip
+    entities without landing files.
+    """
+    loads = {
+        entity: partial(ingest_bronze, spark, store, entity, path, batch_id)
+        for entity, path in paths.items()
+    }
+    return run_writes(spark, loads)
 
 
 def _store_layer(store: TableStore, layer: str, frames: Mapping[str, DataFrame]) -> dict[str, int]:
@@ -135,13 +136,14 @@ def run_pipeline(
     landing files again. Shuffles are sized from the landing bytes.
     """
     ensure_layers(spark, store.prefix)
-    missing = set(ENTITIES) - set(present_sources(spark, dict(paths)))
+    present = present_sources(spark, dict(paths))
+    missing = ENTITIES.keys() - present.keys()
     if missing:
         raise FileNotFoundError(f"no landing files for: {', '.join(sorted(missing))}")
-    total = landing_inventory(spark, *paths.values()).agg(F.sum("bytes")).first()[0] or 0
-    with shuffles_sized_for(spark, total):
+    landed = sum(scan_bytes(scan_json(spark, entity, path)) for entity, path in present.items())
+    with shuffles_sized_for(spark, landed):
         counts = {
-            "bronze": load_bronze(spark, store, paths, batch_id or new_batch_id()),
+            "bronze": load_bronze(spark, store, present, batch_id or new_batch_id()),
             "silver": build_silver(store),
             "gold": build_gold(store),
         }

@@ -90,9 +90,11 @@ def rising_star_short(
 
 
 def daily_ratings(reviews: DataFrame) -> DataFrame:
-    """Review count and star total per business and day: a compact rollup."""
+    """Reviews, ratings and star total per business and day: a compact rollup."""
     return reviews.groupBy("business_id", "review_date").agg(
-        F.count("stars").alias("rating_count"), F.sum("stars").alias("rating_total")
+        F.count(F.lit(1)).alias("review_count"),
+        F.count("stars").alias("rating_count"),
+        F.sum("stars").alias("rating_total"),
     )
 
 
@@ -115,7 +117,7 @@ def rising_star_daily(
         return F.sum(F.when(wanted, F.col(column)))
 
     totals = daily.groupBy("business_id").agg(
-        F.coalesce(total("rating_count", is_recent), F.lit(0)).alias("recent_count"),
+        F.coalesce(total("review_count", is_recent), F.lit(0)).alias("recent_count"),
         (total("rating_total", is_recent) / total("rating_count", is_recent)).alias("recent_mean"),
         (total("rating_total", ~is_recent) / total("rating_count", ~is_recent)).alias("earlier_mean"),
     )
