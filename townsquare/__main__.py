@@ -1,7 +1,7 @@
 """Command line: run the batch pipeline or one incremental load.
 
-    spark-submit -m townsquare run --landing /data/in --root /data/lake
-    spark-submit -m townsquare ingest --entity tip --landing /data/in/tip --root /data/lake
+    python -m townsquare run --landing /data/in --root /data/lake
+    python -m townsquare ingest --entity tip --landing /data/in/tip --root /data/lake
 """
 
 from __future__ import annotations
