@@ -289,6 +289,8 @@ FROM fact_checkin f JOIN dim_date d ON f.date_key = d.date_key GROUP BY d.date,
             "tip": "business_id",
         }.items()
     ),
+    "dq_duplicate_keys": """
+SELECT count(*) AS duplicate_keys FROM (SELECT review_id FROM bronze_review GROUP BY review_id HAVING count(*) > 1)""",
     "dq_orphans": """
 SELECT count(DISTINCT business_id) AS orphan_keys, count(*) AS orphan_rows FROM silver_review
 WHERE business_id NOT IN (SELECT business_id FROM silver_business)""",

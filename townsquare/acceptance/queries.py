@@ -11,15 +11,9 @@ from pyspark.sql import functions as F
 
 from townsquare.acceptance.adapters import BRONZE_SQL, bronze_frame
 from townsquare.config import shared_dir
-from townsquare.operators import (
-    cluster_rows,
-    in_years,
-    rebalance_rows,
-    tag_period,
-    trailing_cutoff,
-    zorder_rows,
-)
+from townsquare.operators import in_years, tag_period, trailing_cutoff
 from townsquare.plans import gold, quality, reports, rising
+from townsquare.plans.bronze import ingest_bronze
 from townsquare.plans.frames import LazyFrames
 from townsquare.plans.pipeline import (
     export_gold,
@@ -28,7 +22,7 @@ from townsquare.plans.pipeline import (
     run_pipeline,
     silver_plans,
 )
-from townsquare.sinks import TableStore, write_files
+from townsquare.sinks import TableStore, ensure_layers, write_files
 from townsquare.sources import (
     ENTITIES,
     landing,
@@ -36,7 +30,6 @@ from townsquare.sources import (
     register_views,
     scan_json,
     source_paths,
-    with_lineage,
 )
 from townsquare.streaming import ingest_incremental
 
@@ -59,6 +52,13 @@ class Layers:
         self.silver = silver_plans(self.bronze)
         self.gold = gold_plans(self.silver)
 
+    def new_store(self, label: str) -> TableStore:
+        """An empty table store with databases of its own."""
+        root = shared_dir(self.spark, label)
+        store = TableStore(self.spark, root, prefix=f"run_{uuid.uuid4().hex}")
+        ensure_layers(self.spark, store.prefix)
+        return store
+
     def land(self, entity: str, path: str) -> str:
         """Write a raw entity as newline-delimited JSON files."""
         self.bronze[entity].write.json(path)
@@ -114,7 +114,9 @@ for _entity in ("business", "user", "checkin", "tip"):
 @_query
 def bronze_lineage(layers: Layers) -> DataFrame:
     path = layers.land("review", shared_dir(layers.spark, "landing-review"))
-    loaded = with_lineage(scan_json(layers.spark, "review", path), new_batch_id())
+    store = layers.new_store("bronze-review")
+    ingest_bronze(layers.spark, store, "review", path, new_batch_id())
+    loaded = store.read("bronze", "review")
     batches = loaded.agg(F.count_distinct("_batch_id")).scalar()
     return loaded.select(
         *("review_id", "user_id", "business_id", "stars"),
@@ -145,25 +147,27 @@ def profile_review_distinct(layers: Layers) -> DataFrame:
 
 @_query
 def write_read_roundtrip(layers: Layers) -> DataFrame:
-    path = shared_dir(layers.spark, "fact-checkin")
-    rows = write_files(layers.gold["fact_checkin"], path)
-    return layers.spark.read.parquet(path).withColumn("rows_written", F.lit(rows).cast("bigint"))
+    store = layers.new_store("fact-checkin")
+    store.write("gold", "fact", layers.gold["fact_tip"])
+    rows = store.write("gold", "fact", layers.gold["fact_checkin"])  # other rows, other schema
+    return store.read("gold", "fact").withColumn("rows_written", F.lit(rows).cast("bigint"))
 
 
 @_query
 def partition_pruned_year(layers: Layers) -> DataFrame:
-    path = shared_dir(layers.spark, "fact-review-by-year")
-    facts = rebalance_rows(layers.gold["fact_review"], "review_year")
-    write_files(facts, path, partition_by=["review_year"])
-    return in_years(layers.spark.read.parquet(path), "1999-07-01", "2000-06-30")
+    store = layers.new_store("fact-review-by-year")
+    store.write("gold", "fact_review", layers.gold["fact_review"], partition_by=["review_year"])
+    return in_years(store.read("gold", "fact_review"), "1999-07-01", "2000-06-30")
 
 
 @_query
 def clustered_read(layers: Layers) -> DataFrame:
-    path = shared_dir(layers.spark, "fact-review-clustered")
-    facts = cluster_rows(layers.gold["fact_review"], ["review_year", "business_id"])
-    write_files(facts, path, partition_by=["review_year"])
-    upper = layers.spark.read.parquet(path).where(F.col("business_id") >= "5")
+    store = layers.new_store("fact-review-clustered")
+    facts = layers.gold["fact_review"]
+    store.write(
+        "gold", "fact_review", facts, partition_by=["review_year"], cluster_by=["business_id"]
+    )
+    upper = store.read("gold", "fact_review").where(F.col("business_id") >= "5")
     return upper.groupBy("business_id", "review_year").agg(
         F.count(F.lit(1)).alias("reviews"), F.sum("stars").alias("total_stars")
     )
@@ -171,9 +175,9 @@ def clustered_read(layers: Layers) -> DataFrame:
 
 @_query
 def zordered_read(layers: Layers) -> DataFrame:
-    path = shared_dir(layers.spark, "dim-business-zordered")
-    write_files(zorder_rows(layers.gold["dim_business"], ["city", "state"]), path)
-    small = layers.spark.read.parquet(path).where(F.col("state") == "SMALL")
+    store = layers.new_store("dim-business-zordered")
+    store.write("gold", "dim_business", layers.gold["dim_business"], cluster_by=["city", "state"])
+    small = store.read("gold", "dim_business").where(F.col("state") == "SMALL")
     return small.groupBy("city", "state").agg(
         F.count(F.lit(1)).alias("businesses"), F.min("business_id").alias("first_business")
     )
@@ -318,11 +322,10 @@ def rising_star_daily(layers: Layers) -> DataFrame:
 @_query
 def rising_star_pipeline(layers: Layers) -> DataFrame:
     """The whole run, from landed JSON files to the stored report."""
-    root = shared_dir(layers.spark, "pipeline")
-    paths = source_paths(f"{root}/landing")
+    paths = source_paths(shared_dir(layers.spark, "landing"))
     for entity, path in paths.items():
         layers.land(entity, path)
-    store = TableStore(layers.spark, f"{root}/tables", prefix=f"run_{uuid.uuid4().hex}")
+    store = layers.new_store("pipeline")
     run_pipeline(layers.spark, store, paths, **RULE)
     return store.read("gold", "rising_star_businesses")
 
@@ -376,6 +379,11 @@ def dq_pk_nulls(layers: Layers) -> DataFrame:
     )
 
 
+@_query
+def dq_duplicate_keys(layers: Layers) -> DataFrame:
+    return quality.duplicate_key_check(layers.bronze["review"], "review_id")
+
+
 @_query
 def dq_orphans(layers: Layers) -> DataFrame:
     return quality.orphan_count(layers.silver["review"], layers.silver["business"], "business_id")

@@ -21,6 +21,10 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # Splits are cut by file size, but most bytes of a review are its text,
+    # which only the bronze load reads: larger splits, fewer map tasks.
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
