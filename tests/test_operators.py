@@ -101,6 +101,12 @@ def test_cluster_rows_keeps_all_rows_and_splits_a_hot_value(spark):
     assert all(a["hi"] <= b["lo"] for a, b in zip(ranges, ranges[1:]))
 
 
+def test_cluster_rows_splits_identical_rows(spark):
+    copies = spark.range(0, 8000, 1, 8).select(F.lit("same").alias("b"))
+    laid = cluster_rows(copies, ["b"], partitions=4).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(row["count"] for row in laid) == 8000 and max(row["count"] for row in laid) < 4000
+
+
 def test_spread_bits():
     assert [_spread_bits(v, 2) for v in range(4)] == [0, 1, 4, 5]
     assert _spread_bits(0b101, 3) == 0b1000001

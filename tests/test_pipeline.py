@@ -1,5 +1,6 @@
 import json
 import uuid
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,6 +138,16 @@ def test_shared_dir(spark):
     assert first.startswith(root) and first != second
 
 
+def test_shared_dir_needs_a_shared_folder_on_a_cluster():
+    def session(master):
+        conf = SimpleNamespace(get=lambda key, default: default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert "townsquare" in shared_dir(session("local[2]"), "x")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(session("yarn"), "x")
+
+
 def test_entry_points(spark):
     import __spark_entry__ as entry
 

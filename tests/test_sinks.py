@@ -43,6 +43,13 @@ def test_overwrite_replaces_rows_and_schema(spark, store):
     assert held.count() == 3  # a query on the old snapshot still finds its files
 
 
+@pytest.mark.parametrize("by", [[], ["part"]])
+def test_table_can_replace_itself(spark, store, by):
+    store.write("silver", "t", spark.range(6).withColumn("part", F.col("id") % 2), partition_by=by)
+    store.write("silver", "t", store.read("silver", "t").where("id > 1"), partition_by=by)
+    assert rows(store.read("silver", "t"), "id") == [(2,), (3,), (4,), (5,)]
+
+
 def test_failed_write_keeps_the_old_table(spark, store):
     store.write("silver", "t", spark.range(3))
     broken = spark.range(3).select(F.raise_error(F.lit("boom")).alias("id"))

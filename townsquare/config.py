@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,6 +79,11 @@ def database_name(prefix: str, layer: str) -> str:
     return f"{prefix}_{layer}" if prefix else layer
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="townsquare-")
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder name that every executor can reach.
 
@@ -88,6 +94,5 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="townsquare-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/townsquare/{label}-{uuid.uuid4().hex}"

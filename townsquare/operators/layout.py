@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_ORIGIN = "_origin_task"
 _ZKEY = "_zorder_key"
 _BOUNDS = "_bucket_bounds"
 _SKETCH_ACCURACY = 1000
@@ -33,13 +34,15 @@ def rebalance_rows(df: DataFrame, *by: str) -> DataFrame:
 def cluster_rows(df: DataFrame, by: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Range-partition and sort by columns, so each file covers a narrow range.
 
-    Parquet min/max statistics then skip files and row groups. The row hash
-    ends the range key: a single value with a large share of the rows is cut
-    into several neighbouring files.
+    Parquet min/max statistics then skip files and row groups. The range key
+    ends in the row hash and the number of the task the row comes from: a
+    value, or a set of identical rows, with a large share of the rows is cut
+    into several neighbouring files. Both are the same when a task is retried.
     """
     size = () if partitions is None else (partitions,)
-    ranged = df.repartitionByRange(*size, *by, _row_hash(df))
-    return ranged.sortWithinPartitions(*by)
+    placed = df.withColumn(_ORIGIN, F.spark_partition_id())
+    ranged = placed.repartitionByRange(*size, *by, _row_hash(df), _ORIGIN)
+    return ranged.drop(_ORIGIN).sortWithinPartitions(*by)
 
 
 def _as_number(df: DataFrame, name: str) -> Column:
