@@ -247,6 +247,7 @@ SELECT CASE WHEN review_date >= (SELECT max(review_date) - 365 FROM silver_revie
        END AS period, count(*) AS reviews, sum(stars) AS total_stars
 FROM silver_review GROUP BY period""",
     "rising_star_default_rule": _rising(365, 10),
+    "rising_star_two_years": _rising(730, 10),
     "rising_star_daily": _RISING,
     "rising_star_pipeline": _RISING,
     "rising_star_top50": f"""

@@ -304,6 +304,13 @@ def rising_star_default_rule(layers: Layers) -> DataFrame:
     return rising.rising_star(layers.gold["fact_review"], layers.gold["dim_business"])
 
 
+@_query
+def rising_star_two_years(layers: Layers) -> DataFrame:
+    return rising.rising_star(
+        layers.gold["fact_review"], layers.gold["dim_business"], window_days=730
+    )
+
+
 @_query
 def rising_star_top50(layers: Layers) -> DataFrame:
     return rising.rising_star_short(
