@@ -85,6 +85,14 @@ def test_sql_and_rollup_agree_with_the_plan(spark, names):
     assert rows(rising.rising_star_daily(rising.daily_ratings(reviews), names)) == plan
 
 
+def test_unrated_reviews_count_but_do_not_weigh(spark, names):
+    data = ratings("a", [5.0] * 9 + [None], [1.0, None]) + ratings("b", [None] * 10, [None, 1.0])
+    reviews = spark.createDataFrame([("anchor", LAST, 1.0), *data], SCHEMA)
+    expected = [("a", "name a", 10, 5.0, 1.0, 4.0)]
+    assert rows(rising.rising_star(reviews, names)) == expected
+    assert rows(rising.rising_star_daily(rising.daily_ratings(reviews), names)) == expected
+
+
 def test_empty_input(spark, names):
     assert rows(rising.rising_star(spark.createDataFrame([], SCHEMA), names)) == []
 

@@ -70,7 +70,9 @@ def with_zorder_key(df: DataFrame, by: Sequence[str], into: str, bits: int = 4)
     steps = [i / 2**bits for i in range(1, 2**bits)]
     numbers = [_as_number(df, name) for name in by]
     sketches = [F.percentile_approx(number, steps, _SKETCH_ACCURACY) for number in numbers]
-    spread = F.array(*(F.lit(_spread_bits(bucket, len(by))) for bucket in range(2**bits)))
+    spread = F.array(
+        *(F.lit(_spread_bits(bucket, len(by))).cast("bigint") for bucket in range(2**bits))
+    )
 
     def share(position: int, number: Column) -> Column:
         bounds = F.col(_BOUNDS)[position]

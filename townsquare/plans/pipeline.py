@@ -132,7 +132,8 @@ def run_pipeline(
     """Landing to gold plus the rising-star table; ``layer.table`` -> rows.
 
     Quality checks land in ``silver.dq_checks``; whether a violation fails the
-    run is the caller's choice (:func:`townsquare.plans.quality.enforce`). Each layer is stored once and read back as Parquet, so no step parses the
+    run is the caller's choice (:func:`townsquare.plans.quality.enforce`).
+    Each layer is stored once and read back as Parquet, so no step parses the
     landing files again. Shuffles are sized from the landing bytes.
     """
     ensure_layers(spark, store.prefix)

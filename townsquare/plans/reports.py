@@ -34,21 +34,26 @@ def _by_calendar(daily: DataFrame, dim_date: DataFrame, *attributes: str) -> Dat
     return daily.join(dim_date.select("date_key", *attributes), "date_key")
 
 
-def _reviews_per_day(fact_review: DataFrame) -> DataFrame:
-    return fact_review.groupBy("date_key").agg(
-        _count().alias("day_reviews"), F.sum("stars").alias("day_stars")
+def _reviews_per(fact_review: DataFrame, key: str) -> DataFrame:
+    """Partial sums per join key, from which counts and means can be merged."""
+    return fact_review.groupBy(key).agg(
+        _count().alias("n"), F.count("stars").alias("rated"), F.sum("stars").alias("total")
     )
 
 
+def _merged_mean() -> Column:
+    return F.round(F.try_divide(F.sum("total"), F.sum("rated")), 3)
+
+
 def month_over_month(fact_review: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Reviews per month next to the previous month with reviews.
 
     The window runs over one row per month, whatever the size of the fact.
     """
     monthly = (
-        _by_calendar(_reviews_per_day(fact_review), dim_date, "year", "month")
+        _by_calendar(_reviews_per(fact_review, "date_key"), dim_date, "year", "month")
         .groupBy("year", "month")
-        .agg(F.sum("day_reviews").alias("reviews"))
+        .agg(F.sum("n").alias("reviews"))
     )
     previous = F.lag("reviews").over(Window.orderBy("year", "month"))
     return monthly.withColumn("previous_reviews", previous).withColumn(
@@ -59,12 +64,9 @@ def month_over_month(fact_review: DataFrame, dim_date: DataFrame) -> DataFrame:
 def weekend_split(fact_review: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Reviews and mean stars on weekdays and at weekends."""
     return (
-        _by_calendar(_reviews_per_day(fact_review), dim_date, "is_weekend")
+        _by_calendar(_reviews_per(fact_review, "date_key"), dim_date, "is_weekend")
         .groupBy("is_weekend")
-        .agg(
-            F.sum("day_reviews").alias("reviews"),
-            F.round(F.sum("day_stars") / F.sum("day_reviews"), 3).alias("avg_stars"),
-        )
+        .agg(F.sum("n").alias("reviews"), _merged_mean().alias("avg_stars"))
     )
 
 
@@ -73,16 +75,11 @@ def reviews_by_category(fact_review: DataFrame, bridge: DataFrame) -> DataFrame:
 
     A review counts once for every category of its business.
     """
-    per_business = fact_review.groupBy("business_id").agg(
-        _count().alias("n"), F.sum("stars").alias("total")
-    )
     return (
-        per_business.join(bridge, "business_id")
+        _reviews_per(fact_review, "business_id")
+        .join(bridge, "business_id")
         .groupBy("category")
-        .agg(
-            F.sum("n").alias("reviews"),
-            F.round(F.sum("total") / F.sum("n"), 3).alias("avg_stars"),
-        )
+        .agg(F.sum("n").alias("reviews"), _merged_mean().alias("avg_stars"))
     )
 
 

@@ -116,10 +116,13 @@ def rising_star_daily(
     def total(column: str, wanted: Column) -> Column:
         return F.sum(F.when(wanted, F.col(column)))
 
+    def mean(wanted: Column) -> Column:
+        return F.try_divide(total("rating_total", wanted), total("rating_count", wanted))
+
     totals = daily.groupBy("business_id").agg(
         F.coalesce(total("review_count", is_recent), F.lit(0)).alias("recent_count"),
-        (total("rating_total", is_recent) / total("rating_count", is_recent)).alias("recent_mean"),
-        (total("rating_total", ~is_recent) / total("rating_count", ~is_recent)).alias("earlier_mean"),
+        mean(is_recent).alias("recent_mean"),
+        mean(~is_recent).alias("earlier_mean"),
     )
     return _report(totals, business, min_reviews, min_gain, limit)
 
