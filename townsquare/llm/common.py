@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Bytes A-Z lower-cased; every other ASCII byte that is no digit or letter is a blank. Bytes from 0x80 are word bytes.
 _BLANKED = bytes(
@@ -19,6 +22,7 @@ _SPACES = b" \t\n\r\x0b\x0c"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the supplied tables, read by Spark."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -73,3 +77,29 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
 def texts(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
     """A text column as UTF-8 bytes."""
     return batch.column(column).cast(pa.binary()).to_pylist()
+
+
+def fold(doc_id: str = "doc_id") -> Column:
+    """crc32 of the id as text, mod 3. Rows of fold 1 are held out of every fit; a NULL id has no fold."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    return F.coalesce(fold(doc_id) == 1, F.lit(False))
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if _SHIPPED.get("application") == context.applicationId:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED["application"] = context.applicationId
+
+
+_SHIPPED: dict[str, str] = {}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from townsquare.llm import chat, suffixes, topk
+from townsquare.llm import chat, language, quality, suffixes, topk, webpages
 from townsquare.llm.common import table
 
 
@@ -19,6 +19,18 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_webpages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return webpages.extract(table(spark, sf_dir, "pages"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.report(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
@@ -30,6 +42,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
         "op3_topk": op3_topk,
+        "op6_quality": op6_quality,
+        "op7_webpages": op7_webpages,
+        "op9_language": op9_language,
         "op10_chat": op10_chat,
     }
 
