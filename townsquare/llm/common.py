@@ -103,3 +103,10 @@ def ship(spark: SparkSession) -> None:
 
 
 _SHIPPED: dict[str, str] = {}
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the installed vocabulary file of a public tokenizer lies; the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from townsquare.llm import chat, language, quality, suffixes, topk, webpages
-from townsquare.llm.common import table
+from townsquare.llm import chat, language, linechunks, packing, quality, suffixes, topk, webpages
+from townsquare.llm.common import table, tokenizer_path
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,14 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linechunks.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,6 +50,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
         "op3_topk": op3_topk,
+        "op4_line_dedup": op4_line_dedup,
+        "op5_packing": op5_packing,
         "op6_quality": op6_quality,
         "op7_webpages": op7_webpages,
         "op9_language": op9_language,
@@ -66,4 +76,4 @@ FROM s QUALIFY rank <= 5
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk": _OP3}
+    return {"op3_topk": _OP3, "op4_line_dedup": linechunks.ORACLE_SQL}
