@@ -115,14 +115,15 @@ def train(
                     slots, values = hasher.features(text)
                     leader.learn(np.append(slots, size - 1), np.append(values, 0.3), label)
                     seen += 1
-            yield pa.RecordBatch.from_pydict(
-                {"rows": [seen], "z": [leader.z.tobytes()], "n": [leader.n.tobytes()]}
-            )
-
-        states = [s for s in dealt.mapInArrow(learn, "rows long, z binary, n binary").toLocalIterator() if s["rows"]]
-        seen = sum(s["rows"] for s in states)
-        z = sum(np.frombuffer(s["z"]) * (s["rows"] / seen) for s in states)
-        n = sum(np.frombuffer(s["n"]) * (s["rows"] / seen) for s in states)
+            slots = np.flatnonzero((leader.z != 0) | (leader.n != 0)) if seen else np.zeros(0, np.int64)
+            state = (seen * leader.z[slots], seen * leader.n[slots])
+            yield pa.RecordBatch.from_arrays([pa.array(slots), *map(pa.array, state)], names=["slot", "z", "n"])
+
+        states = dealt.mapInArrow(learn, "slot long, z double, n double").groupBy("slot")
+        mean = states.agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toArrow()  # at most one row per slot
+        z, n = np.zeros(size), np.zeros(size)
+        slots = mean.column("slot").to_numpy()
+        z[slots], n[slots] = mean.column("z").to_numpy() / count, mean.column("n").to_numpy() / count
         start.unpersist()
     return Model(Leader(z, n).weights(), bits)
 
