@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from townsquare.llm import chat, language, linechunks, packing, quality, suffixes, topk, webpages
+from townsquare.llm import chat, language, linechunks, neardup, packing, quality, suffixes, topk, webpages
 from townsquare.llm.common import table, tokenizer_path
 
 
@@ -14,6 +14,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Similarity(width=2))
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
@@ -49,6 +53,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
+        "op2_near_dedup": op2_near_dedup,
         "op3_topk": op3_topk,
         "op4_line_dedup": op4_line_dedup,
         "op5_packing": op5_packing,
