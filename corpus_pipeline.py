@@ -1,13 +1,64 @@
-"""The corpus pipeline: documents to packed training sequences."""
+"""The corpus pipeline: documents to packed training sequences.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of ``documents``.
+``run`` writes every stage's result to the shared folder as Parquet and reads it again for the next.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from townsquare.llm import linechunks, neardup, packing, quality, suffixes
+from townsquare.llm.common import stored, table, tokenizer_path
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labelled ones among them, does not reject."""
+    model = quality.fitted(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).where(F.col("predicted") == 1).select(*COLUMNS)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without repeated chunks of lines. A document of which nothing is left goes."""
+    cut = linechunks.dedup_lines(docs.select(*COLUMNS))
+    left = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    return left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+
+
+def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, by runs of five words."""
+    found = neardup.near_duplicates(docs, neardup.Similarity(width=5))
+    gone = found.where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark window."""
+    return suffixes.decontaminate(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences."""
+    return packing.pack(docs, tokenizer_path())
+
+
+STAGES = [
+    ("quality", keep_quality),
+    ("lines", dedup_lines),
+    ("near_duplicates", dedup_documents),
+    ("decontamination", decontaminate),
+    ("packing", pack),
+]
 
-STAGES: list = []
+#: The classifier and the tokenizer have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    """All stages over ``documents``; the rows of the last."""
+    docs = table(spark, sf_dir, "documents").select(*COLUMNS)
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

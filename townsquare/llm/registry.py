@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from townsquare.llm import chat, language, linechunks, neardup, packing, quality, suffixes, topk, webpages
+from townsquare.llm import chat, language, linechunks, neardup, packing, quality, recompress, suffixes, topk, webpages
 from townsquare.llm.common import table, tokenizer_path
 
 
@@ -39,6 +39,10 @@ def op7_webpages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return webpages.extract(table(spark, sf_dir, "pages"))
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.report(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
@@ -59,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_packing": op5_packing,
         "op6_quality": op6_quality,
         "op7_webpages": op7_webpages,
+        "op8_substrings": op8_substrings,
         "op9_language": op9_language,
         "op10_chat": op10_chat,
     }
