@@ -16,6 +16,8 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from townsquare.llm.common import stored
+
 # Element and attribute names of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
@@ -227,9 +229,12 @@ def templates(pages: DataFrame, *, least_pages: int = 4, share: float = 0.3) ->
     sited = pages.select(host().alias("host"), "html").where(F.col("host") != "")
     counts = sited.mapInArrow(_elements, "host string, element long, page long").distinct()
     counts = counts.groupBy("host", "element").agg(F.count("*").alias("n"))
+    # read twice below, and pages are dear to parse
+    counts = stored(counts.where((F.col("element") == 0) | (F.col("n") >= least_pages)), "elements")
     whole = counts.where(F.col("element") == 0).select("host", F.col("n").alias("pages"))
-    many = counts.where((F.col("element") != 0) & (F.col("n") >= least_pages)).join(whole, "host")
-    return many.where(F.col("n") >= share * F.col("pages")).groupBy("host").agg(F.collect_list("element").alias("template"))
+    many = counts.where(F.col("element") != 0).join(whole, "host").where(F.col("n") >= share * F.col("pages"))
+    # stored, so that the join with the pages starts from two exchanges and a hot host can be split
+    return stored(many.groupBy("host").agg(F.collect_list("element").alias("template")), "templates")
 
 
 def extract(pages: DataFrame, **options) -> DataFrame:
