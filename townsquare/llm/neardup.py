@@ -1,17 +1,20 @@
 """Near-duplicate documents: MinHash bands with sequential Bayesian verification.
 
 Texts with equal words form a class; only one document of a class is compared. Bands of MinHash values put classes into
-buckets. In a bucket, pivots are compared with all members that are not yet in the pivot's component; a bucket is finished
-when its members share one component or all have been pivots, so no link among its members is missed and no pairs inside a
-component are emitted. A candidate pair compares its signatures batch by batch and is dropped once the posterior
-probability of reaching the threshold falls below the miss probability; survivors are compared on their full sets.
+buckets. The smallest member of a bucket is compared with the others; this joins most groups of copies, however large. The
+members of buckets that still hold several components are then split by shingles: linked sets share one of the rarest few
+of each, at places that leave room for the overlap they need. Among those that share such a shingle, pivots are compared
+with the members of other components, more of them each round, until all have been pivots or one component is left. No
+link is missed and no pair inside a component is emitted.
+
+A candidate pair compares its signatures batch by batch and is dropped once the posterior probability of reaching the
+threshold falls below the miss probability; survivors are compared on their full sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -196,15 +199,53 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     while not open_.isEmpty():
         both = open_.union(open_.select("b", "a"))
         parent = both.groupBy("a").agg(F.least("a", F.min("b")).alias("p"))
-        parent = stored(parent, "parents")
         over = parent.select(F.col("a").alias("p"), F.col("p").alias("pp"))
-        jumped = parent.join(over, "p", "left").select("a", F.coalesce("pp", "p").alias("p"))
-        jumped = stored(jumped, "jumped")
+        jumped = stored(parent.join(over, "p", "left").select("a", F.coalesce("pp", "p").alias("p")), "parents")
         nodes = nodes.join(jumped.toDF("component", "p"), "component", "left")
-        nodes = stored(nodes.select("node", F.coalesce("p", "component").alias("component")), "labels")
+        nodes = nodes.select("node", F.coalesce("p", "component").alias("component"))
         moved = open_.join(jumped.toDF("a", "pa"), "a").join(jumped.toDF("b", "pb"), "b")
         open_ = stored(moved.select(F.col("pa").alias("a"), F.col("pb").alias("b")).where("a <> b").distinct(), "edges")
-    return nodes
+    return stored(nodes, "labels")
+
+
+def spread(members: DataFrame, key: str) -> DataFrame:
+    """Keys whose members (with ``component``) lie in several components."""
+    ends = members.groupBy(key).agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    return ends.where("x < y").select(key)
+
+
+def rare_shingles(nodes: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
+    """``shingle``, ``node``, ``size``, ``most``: for every node its rarest shingles.
+
+    Shingles are ordered by the number of these nodes that have them. If two linked sets share their first common
+    shingle at place i of one, the overlap is at most size - i, which allows partners of up to ``most`` shingles. Rows
+    that allow no partner of ``percent`` of the own size are left out; two linked sets both have a row for that shingle,
+    and the smaller one's allows partners of its own size or more.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketcher = Sketcher(how)
+        for batch in slices(batches, "text", 1 << 20):
+            names = [np.unique(sketcher.names(spaced_words(t or b"", lower=True))) for t in texts(batch, "text")]
+            sizes = np.array([len(x) for x in names], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), sizes)),
+                    pa.array(np.repeat(sizes, sizes)),
+                    pa.array(np.concatenate(names).view(np.int64)),
+                ],
+                names=["node", "size", "shingle"],
+            )
+
+    own = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id").select("doc_id", "text")
+    rows = stored(own.mapInArrow(run, "node long, size long, shingle long"), "shingles")
+    order = Window.partitionBy("node", "size").orderBy("n", "shingle")
+    placed = rows.join(rows.groupBy("shingle").agg(F.count("*").alias("n")), "shingle")
+    placed = placed.withColumn("i", F.row_number().over(order) - 1)
+    # 100 * (size - i) >= percent / (100 + percent) * 100 * (size + partner), solved for the partner
+    most = F.floor((F.lit(100 + how.percent) * (F.col("size") - F.col("i")) - how.percent * F.col("size")) / how.percent)
+    placed = placed.withColumn("most", most).where(F.col("most") * 100 >= how.percent * F.col("size"))
+    return placed.select("shingle", "node", "size", "most")
 
 
 def near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
@@ -220,35 +261,37 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFram
     first = filled.select("d1", "d2", "doc_id", "bands").join(classes, ["d1", "d2"]).where(F.col("doc_id") == F.col("node"))
     banded = first.select("node", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    members = stored(banded.join(shared.select("bucket"), "bucket").distinct(), "members")
+    members = stored(banded.join(shared.select("bucket", "low"), "bucket"), "members")
     labels = stored(members.select("node").distinct().withColumn("component", F.col("node")), "labels")
     own = labels.select(F.col("node").alias("doc_id"))
-    texts_ = stored(docs.select(F.col("doc_id").cast("long"), "text").join(own, "doc_id", "left_semi"), "texts")
-    ours = stored(sketches.select("doc_id", "signature").join(own, "doc_id", "left_semi"), "signatures")
-    failed: list[DataFrame] = []
-    pivots = 1
-    open_members = members
-    while True:
-        known = open_members.join(labels, "node")
-        spread = known.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-        open_members = stored(open_members.join(spread.select("bucket"), "bucket").join(labels, "node"), "open")
-        if open_members.isEmpty():
-            break
-        ranked = Window.partitionBy("bucket").orderBy("node")
-        chosen = open_members.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= pivots)
-        chosen = stored(chosen.select("bucket", F.col("node").alias("a"), F.col("component").alias("ca")), "pivots")
-        pairs = open_members.join(chosen, "bucket").where("component <> ca")
-        pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        if failed:
-            pairs = pairs.join(reduce(DataFrame.union, failed), ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        alive = stored(promising(pairs, ours, how), "promising")
-        judged = stored(verified(alive, texts_, how), "judged")
-        linked = judged.where("linked").select("a", "b")
-        labels = components(labels, linked)
-        failed.append(pairs.join(linked, ["a", "b"], "left_anti"))
-        open_members = open_members.select("node", "bucket").join(chosen.select("bucket", F.col("a").alias("node")), ["bucket", "node"], "left_anti")
-        pivots *= 4
+    kept_texts = stored(docs.select(F.col("doc_id").cast("long"), "text").join(own, "doc_id", "left_semi"), "texts")
+    signatures = stored(sketches.select("doc_id", "signature").join(own, "doc_id", "left_semi"), "signatures")
+
+    def join_up(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        alive = promising(stored(pairs.distinct(), "pairs"), signatures, how)
+        linked = stored(verified(stored(alive, "promising"), kept_texts, how).where("linked").select("a", "b"), "linked")
+        return components(labels, linked)
+
+    labels = join_up(members.where("low < node").select(F.col("low").alias("a"), F.col("node").alias("b")), labels)
+
+    left = members.select("bucket", "node").join(labels, "node")
+    nodes = stored(left.join(spread(left, "bucket"), "bucket").select("node").distinct(), "open")
+    if not nodes.isEmpty():
+        rare = rare_shingles(nodes, kept_texts, how).join(labels, "node")
+        rare = stored(rare.join(spread(rare, "shingle"), "shingle").drop("component"), "rare")
+        pivots = rare.where("most >= size").toDF("shingle", "a", "sa", "ma")
+        # about as many pivots of a shingle have ranks up to r as if they were numbered, but no group is gathered for it
+        chance = F.pmod(F.xxhash64("shingle", "a"), F.lit(2**31)) / 2**31
+        counted = pivots.join(pivots.groupBy("shingle").agg(F.count("*").alias("n")), "shingle")
+        pivots = stored(counted.select("shingle", "a", "sa", "ma", (1 + F.floor(chance * F.col("n"))).alias("rank")), "pivots")
+        low, high, last = 0, 8, pivots.agg(F.max("rank")).first()[0] or 0
+        while low < last:
+            now = pivots.where((F.col("rank") > low) & (F.col("rank") <= high)).join(labels.toDF("a", "ca"), "a")
+            met = now.join(rare.join(labels, "node"), "shingle").where("component <> ca and size <= ma and sa <= most")
+            met = met.where("sa < size or sa = size and a < node")
+            labels = join_up(met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")), labels)
+            low, high = high, high * 16
+
     joined = sketches.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["d1", "d2"], "left")
     joined = joined.join(labels, "node", "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
