@@ -1,0 +1,80 @@
+import hashlib
+
+from townsquare.llm import linechunks as lc
+
+
+def chunks(text):
+    lines = text.split("\n")
+    hashes = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) % lc.MODULUS for x in lines]
+    out, start = [], 0
+    for i in range(len(lines)):
+        rolled = ((hashes[i - 1] if i else 0) * lc.BASE + hashes[i]) % lc.MODULUS
+        if i == len(lines) - 1 or rolled % lc.MEAN == 0:
+            out.append(lines[start : i + 1])
+            start = i + 1
+    return out
+
+
+def brute(rows):
+    first, out = {}, []
+    for doc, text in sorted(rows, key=lambda r: r[0]):
+        if text is None:
+            out.append((doc, None, 0, 0))
+            continue
+        kept, gone, total = [], 0, 0
+        for i, c in enumerate(chunks(text)):
+            total += len(c)
+            whole = "\n".join(c)
+            if len(c) > 1 and whole.strip() and first.setdefault(whole, (doc, i)) != (doc, i):
+                gone += len(c)
+            else:
+                kept.append(whole)
+        out.append((doc, "\n".join(kept), total, gone))
+    return sorted(out)
+
+
+def found(frame):
+    return sorted(tuple(r) for r in lc.dedup_lines(frame).select("doc_id", "text", "n_lines", "n_removed").collect())
+
+
+def test_equals_brute_force(documents):
+    import random
+
+    rng = random.Random(6)
+    block = [f"line {i}" for i in range(30)]
+    rows = []
+    for i in range(60):
+        own = [f"own {i} {j} é" for j in range(rng.randrange(6))]
+        at = rng.randrange(20)
+        rows.append((i, "\n".join(own + block[at : at + rng.randrange(12)] + own[:2] + ["", "  ", ""])))
+    rows += [(100, None), (101, ""), (102, "\n\n\n\n\n\n"), (103, "\n\n\n\n\n\n"), (104, "a\nb\n" * 30)]
+    out = found(documents(rows))
+    assert out == brute(rows)
+    assert sum(r[3] for r in out) > 100
+
+
+def test_columns_null_ids_and_repeated_rows(documents):
+    text = "\n".join(f"l{i}" for i in range(40))
+    docs = documents([(None, text), (1, text), (1, text)])
+    out = lc.dedup_lines(docs.withColumn("n_lines", docs.doc_id))
+    assert out.columns == [*docs.columns, "n_lines", "n_removed"]
+    cut = {(r["doc_id"], r["n_removed"] > 20) for r in out.collect()}
+    assert cut == {(None, False), (1, True)}
+
+
+def test_shifted_blocks_are_cut_alike():
+    block = [f"x{i}" for i in range(60)]
+    a = {"\n".join(c) for c in chunks("\n".join(block))}
+    b = {"\n".join(c) for c in chunks("\n".join(["new", *block]))}
+    assert len(a & b) >= len(a) - 2
+
+
+def test_empty_table_and_long_text(documents):
+    assert found(documents([(1, "a")]).limit(0)) == []
+    long = "\n".join(f"row {i}" for i in range(20_000))
+    assert found(documents([(1, long), (2, long)])) == brute([(1, long), (2, long)])
+
+
+def test_no_python_in_the_plan(documents):
+    plan = lc.dedup_lines(documents([(1, "a")]))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

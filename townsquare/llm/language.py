@@ -25,7 +25,8 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 def words(text: str) -> list[str]:
     """Runs of letters, in lower case."""
-    return [w for w in _LETTERS.findall(text.lower()) if w.isalpha()]
+    found = _LETTERS.findall(text.lower())
+    return found if all(map(str.isalpha, found)) else [w for w in found if w.isalpha()]
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -53,21 +54,38 @@ class Model:
                 return self.scores[found].mean(axis=0)
         return np.zeros(len(self.languages))
 
-    def score(self, text: str | None, cache: dict[str, np.ndarray], room: int = 200_000) -> tuple[str, float]:
+
+class Scorer:
+    """Scores texts with a model; keeps the log frequencies of up to ``room`` words it has met as rows of a matrix."""
+
+    def __init__(self, model: Model, room: int = 400_000) -> None:
+        self.model, self.room = model, room
+        self._clear()
+
+    def _clear(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.matrix = np.zeros((1024, len(self.model.languages)))
+
+    def _learn(self, word: str) -> int:
+        row = self.rows[word] = len(self.rows)
+        if row == len(self.matrix):
+            self.matrix = np.concatenate([self.matrix, np.zeros_like(self.matrix)])
+        self.matrix[row] = self.model.of_word(word)
+        return row
+
+    def score(self, text: str | None) -> tuple[str, float]:
         found = words(text or "")
-        if not found or not self.languages:
+        if not found or not self.model.languages:
             return "und", 0.0
-        total = self.prior.copy()
-        for word, times in Counter(found).items():
-            own = cache.get(word)
-            if own is None:
-                if len(cache) >= room:
-                    cache.clear()
-                own = cache[word] = self.of_word(word)
-            total += times * own
+        if len(self.rows) > self.room:
+            self._clear()
+        for word in set(found).difference(self.rows):
+            self._learn(word)
+        rows = np.fromiter(map(self.rows.__getitem__, found), np.int64, len(found))
+        total = self.model.prior + self.matrix[rows].sum(axis=0)
         total = np.exp(total - total.max())
         top = int(total.argmax())
-        return self.languages[top], float(total[top] / total.sum())
+        return self.model.languages[top], float(total[top] / total.sum())
 
 
 def _count(flush: int):
@@ -104,25 +122,18 @@ def _count(flush: int):
 def train(
     labelled: DataFrame, *, docs_per_language: int = 600, words_kept: int = 20_000, grams_kept: int = 10_000
 ) -> Model:
-    """Fit on ``lang`` and ``text``; ``doc_id`` only helps to choose the sample. Bounds, all parameters: ``docs_per_language`` documents per language (those with the
-    smallest hash of id and text), and in the model the most frequent ``words_kept`` words and ``grams_kept`` n-grams of each
+    """Fit on ``lang`` and ``text``; ``doc_id`` only helps to choose the sample. Bounds, all parameters: about ``docs_per_language`` documents per language (by the
+    hash of id and text), and in the model the most frequent ``words_kept`` words and ``grams_kept`` n-grams of each
     length per language. NULL languages and texts are left out."""
     own = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    by_hash = Window.partitionBy("lang").orderBy("h")
-    row_hash = F.xxhash64("doc_id", "text")
-    keys = own.select("lang", row_hash.alias("h"))
-    chosen = (
-        keys.withColumn("r", F.row_number().over(by_hash))
-        .where(F.col("r") <= docs_per_language)
-        .groupBy("lang")
-        .agg(F.max("h").alias("most"))
-    )
-    bounds = chosen.collect()  # one row per language
+    bounds = own.groupBy("lang").count().collect()  # one row per language
     if not bounds:
         return Model([], {n: {} for n in range(LONGEST + 1)}, np.zeros((0, 0)), np.zeros(0))
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**31))
     below = F.lit(False)
     for row in bounds:
-        below = below | ((F.col("lang") == row["lang"]) & (row_hash <= row["most"]))
+        share = min(1.0, docs_per_language / row["count"])
+        below = below | ((F.col("lang") == row["lang"]) & (place < int(share * 2**31)))
     counted = own.where(below).select("lang", "text").mapInArrow(_count(300_000), "lang string, kind int, gram string, n long")
     counted = counted.groupBy("lang", "kind", "gram").agg(F.sum("n").alias("n"))
     most = Window.partitionBy("lang", "kind").orderBy(F.col("n").desc(), "gram")
@@ -156,9 +167,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, cache = shared.value, {}
+        scorer = Scorer(shared.value)
         for batch in batches:
-            found = [model.score(t, cache) for t in batch.column(1).to_pylist()]
+            found = [scorer.score(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 names=["doc_id", "lang_pred", "score"],

@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -127,86 +127,107 @@ def pieces(docs: DataFrame, tokenizer: str, *, size: int = SIZE, unit: int = UNI
 
 @dataclass
 class Cutting:
-    """Column generation for: as few sequences of ``room`` units as possible that hold ``demand[c]`` pieces of c units."""
+    """Column generation for: as few sequences of ``room`` units as possible that hold ``demand[c]`` pieces of c units.
+
+    A slot also takes a smaller piece. In the program these are columns that turn a slot of one class into one of the next
+    smaller class at no cost; they keep the prices in the order of the sizes, which steadies the generation.
+    """
 
     demand: dict[int, int]
     room: int
-    most_columns: int = 4000
-    patterns: list[dict[int, int]] = field(default_factory=list)
+    most_columns: int = 20_000
 
     def price(self, worth: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """The pattern of highest worth: unbounded knapsack by dynamic programming."""
         useful = worth > 1e-12
         value = np.zeros(self.room + 1)
         choice = np.full(self.room + 1, -1)
-        own, gain = sizes[useful], worth[useful]
-        index = np.flatnonzero(useful)
+        own, gain, index = sizes[useful], worth[useful], np.flatnonzero(useful)
+        upto = np.searchsorted(own, np.arange(self.room + 1), side="right")
         for space in range(1, self.room + 1):
-            fits = own <= space
-            if not fits.any():
-                continue
-            total = value[space - own[fits]] + gain[fits]
-            top = int(total.argmax())
-            value[space], choice[space] = total[top], index[fits][top]
+            if k := upto[space]:
+                total = value[space - own[:k]] + gain[:k]
+                top = int(total.argmax())
+                value[space], choice[space] = total[top], index[top]
         pattern, space = np.zeros(len(sizes)), self.room
         while choice[space] >= 0:
             pattern[choice[space]] += 1
             space -= sizes[choice[space]]
         return pattern
 
-    def solve(self) -> list[tuple[dict[int, int], int]]:
-        """Patterns (pieces per class) and how many sequences follow each; together they hold the demand."""
+    def patterns(self) -> list[tuple[dict[int, int], float]]:
+        """Patterns (slots per class) of the linear program's solution and how many sequences follow each."""
         sizes = np.array(sorted(c for c, n in self.demand.items() if n), int)
-        if not len(sizes):
+        count = len(sizes)
+        if not count:
             return []
         need = np.array([self.demand[c] for c in sizes], float)
-        columns = [np.where(np.arange(len(sizes)) == i, self.room // c, 0).astype(float) for i, c in enumerate(sizes)]
-        cost = np.ones(len(sizes))
-        inverse = np.diag(1 / np.array([self.room // c for c in sizes]))
-        amount = inverse @ need
+        most = (self.room // sizes).astype(float)
+        columns, cost = list(np.diag(most)), np.ones(count)
+        inverse, amount = np.diag(1 / most), need / most
         for _ in range(self.most_columns):
             prices = cost @ inverse
-            pattern = self.price(prices, sizes)
-            new_cost = 1.0
-            if prices @ pattern <= 1 + 1e-9:
-                least = int(prices.argmin())
-                if prices[least] >= -1e-9:
+            drop = prices - np.append(prices[1:], np.inf)  # over 0: a smaller slot is dearer than the next larger one
+            steep = int(drop.argmax())
+            if prices[0] < -1e-9:
+                column, new_cost = np.where(np.arange(count) == 0, -1.0, 0.0), 0.0
+            elif drop[steep] > 1e-9:
+                column, new_cost = np.zeros(count), 0.0
+                column[steep], column[steep + 1] = 1.0, -1.0
+            else:
+                column, new_cost = self.price(prices, sizes), 1.0
+                if prices @ column <= 1 + 1e-7:
                     break
-                pattern, new_cost = np.where(np.arange(len(sizes)) == least, -1.0, 0.0), 0.0
-            change = inverse @ pattern
+            change = inverse @ column
             possible = np.flatnonzero(change > 1e-9)
             if not len(possible):
                 break
-            ratio = amount[possible] / change[possible]
-            out = possible[int(ratio.argmin())]
+            out = possible[int((amount[possible] / change[possible]).argmin())]
             step = max(0.0, amount[out] / change[out])
             amount -= step * change
             amount[out] = step
             row = inverse[out] / change[out]
             inverse -= np.outer(change, row)
             inverse[out] = row
-            columns[out], cost[out] = pattern, new_cost
-        left = {int(c): int(n) for c, n in zip(sizes, need)}
-        used: list[tuple[dict[int, int], int]] = []
-        for column, price, x in zip(columns, cost, amount):
-            times = int(np.floor(x + 1e-6)) if price else 0
-            pattern = {int(c): int(n) for c, n in zip(sizes, column) if n > 0}
-            if times > 0:
-                used.append((pattern, times))
-                for c, n in pattern.items():
-                    left[c] -= n * times
-        left = {c: n for c, n in left.items() if n > 0}
-        while left:  # fill the rest greedily, largest first; each round uses up a class or a pattern of it
+            columns[out], cost[out] = column, new_cost
+        named = lambda column: {int(c): int(n) for c, n in zip(sizes, column) if n > 0}
+        return [(named(column), float(x)) for column, price, x in zip(columns, cost, amount) if price and x > 0]
+
+    def solve(self) -> list[tuple[int, int, int, int, int]]:
+        """Slot ranges (class of the pieces, how many of them, first sequence, slots per sequence, slots of these already
+        taken) that hold the whole demand.
+
+        Patterns are rounded down; what their slots do not hold is filled greedily, largest first.
+        """
+        used = [(pattern, int(x + 1e-6)) for pattern, x in self.patterns() if x + 1e-6 >= 1]
+        groups: list[list[int]] = []  # slot size, slots, first sequence, slots per sequence, taken
+        first = 0
+        for pattern, times in used:
+            groups += [[c, n * times, first, n, 0] for c, n in pattern.items()]
+            first += times
+        out: list[tuple[int, int, int, int, int]] = []
+        left: dict[int, int] = {}
+        for size in sorted((c for c, n in self.demand.items() if n), reverse=True):
+            missing = self.demand[size]
+            for group in sorted((g for g in groups if g[0] >= size and g[1] > g[4]), key=lambda g: g[0]):
+                take = min(missing, group[1] - group[4])
+                if take:
+                    out.append((size, take, group[2], group[3], group[4]))
+                    group[4] += take
+                    missing -= take
+            if missing:
+                left[size] = missing
+        while left:
             pattern, space = {}, self.room
             for c in sorted(left, reverse=True):
                 if take := min(left[c], space // c):
                     pattern[c] = take
                     space -= take * c
             times = max(1, min(left[c] // n for c, n in pattern.items()))
-            used.append((pattern, times))
-            left = {c: n - pattern.get(c, 0) * times for c, n in left.items()}
-            left = {c: n for c, n in left.items() if n > 0}
-        return used
+            out += [(c, n * times, first, n, 0) for c, n in pattern.items()]
+            first += times
+            left = {c: m for c, n in left.items() if (m := n - pattern.get(c, 0) * times)}
+        return out
 
 
 def pack(
@@ -222,22 +243,19 @@ def pack(
     cut = stored(pieces(docs, tokenizer, size=size, unit=unit, end=end, keep_ids=keep_ids), "pieces")
     counts = cut.groupBy("units", "part").agg(F.count("*").alias("n"))
     histogram = {r["units"]: r["n"] for r in counts.groupBy("units").agg(F.sum("n").alias("n")).collect()}
-    slots, first = [], 0
-    taken = dict.fromkeys(histogram, 0)
-    for pattern, times in Cutting(histogram, size // unit).solve():
-        for c, n in pattern.items():
-            slots.append((c, taken[c], taken[c] + n * times, first, n))
-            taken[c] += n * times
-        first += times
+    slots, taken = [], dict.fromkeys(histogram, 0)
+    for c, n, first, each, skip in Cutting(histogram, size // unit).solve():
+        slots.append((c, taken[c], taken[c] + n, first, each, skip))
+        taken[c] += n
     spark = docs.sparkSession
     # at most a few patterns per class: bounded by the classes, not by the data
-    table = spark.createDataFrame(slots, "units int, low long, high long, first long, each long")
+    table = spark.createDataFrame(slots, "units int, low long, high long, first long, each long, skip long")
     before = F.sum("n").over(Window.partitionBy("units").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("units", "part", F.coalesce(before, F.lit(0)).alias("before"))
     ranked = cut.join(offsets, ["units", "part"]).withColumn("rank", F.col("before") + F.col("place"))
     slot = F.broadcast(table.withColumnRenamed("units", "class"))
     placed = ranked.join(slot, (F.col("units") == F.col("class")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
-    placed = placed.withColumn("sequence_id", F.col("first") + F.floor((F.col("rank") - F.col("low")) / F.col("each")))
+    placed = placed.withColumn("sequence_id", F.col("first") + F.floor((F.col("rank") - F.col("low") + F.col("skip")) / F.col("each")))
     order = Window.partitionBy("sequence_id").orderBy(F.col("units").desc(), "rank")
     offset = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1))
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
