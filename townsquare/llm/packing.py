@@ -14,6 +14,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ class Encoder:
     letters are remembered, up to ``room`` words. Anything else goes to the tokenizer as it is.
     """
 
-    def __init__(self, path: str, room: int = 500_000, bulk: int = 20_000) -> None:
+    def __init__(self, path: str, room: int = 800_000, bulk: int = 2_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.room, self.bulk = Tokenizer.from_file(path), room, bulk
@@ -49,9 +50,9 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), self.bulk):
-            some = words[at : at + self.bulk]
+    def _learn(self, stems: list[str]) -> None:
+        for at in range(0, len(stems), self.bulk):
+            some = stems[at : at + self.bulk]
             ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
             last = np.flatnonzero(self.ends[ids]) + 1
             if len(last) == len(some) and last[-1] == len(ids):
@@ -64,38 +65,43 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [None if t and _ODD.search(t) else (t or "").split() for t in texts]
-        if len(self.known) > self.room:
-            self.known.clear()
-        distinct = set().union(*(x for x in split if x))
-        base = {}
-        new = set()
-        for word in distinct:
-            if word not in self.known:
-                stem = word.rstrip(_MARKS)
-                base[word] = stem if stem.isalpha() else ""
-                if stem not in self.known and stem.isalpha():
-                    new.add(stem)
-        self._learn(sorted(new))
+        known = self.known
+        if len(known) > self.room:
+            known.clear()
+        flat = list(chain.from_iterable(x for x in split if x))
+        new = set(flat).difference(known)
+        stems = {w: stem for w in new if (stem := w.rstrip(_MARKS)).isalpha()}
+        self._learn(sorted(set(stems.values()).difference(known)))
         tails: dict[str, bytes] = {"": b""}
-        own: dict[str, bytes] = {}
-        for word, stem in base.items():
-            if not stem:
-                own[word] = self.whole(word)
-            elif word != stem:
+        for word in new:
+            if stem := stems.get(word):
                 tail = word[len(stem) :]
                 if tail not in tails:
                     tails[tail] = self.whole(tail)
-                own[word] = self.known[stem] + tails[tail]
-        known = self.known
-        out = []
+                known[word] = known[stem] + tails[tail]
+            else:
+                known[word] = self.whole(word)
+        found = list(map(known.__getitem__, flat))
+        out, at = [], 0
         for text, words in zip(texts, split):
             if words is None:
                 out.append(self.whole(text))
             else:
-                out.append(b"".join([known[w] if w in known else own[w] for w in words]))
+                out.append(b"".join(found[at : at + len(words)]))
+                at += len(words)
         return out
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python worker; the next task on it finds the words it knows."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 _PIECE = "start long, length long, ids_crc32 long, doc_tokens long, ids binary, part int, units int, place long"
 
 
@@ -105,11 +111,11 @@ def pieces(docs: DataFrame, tokenizer: str, *, size: int = SIZE, unit: int = UNI
     closing = np.array([end], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(tokenizer), TaskContext.get().partitionId()
+        words, part = encoder(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(size // unit + 2, np.int64)
         for batch in slices(batches, "text", 4 << 20):
             rows: list[tuple] = []
-            for doc, data in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
+            for doc, data in zip(batch.column("doc_id").to_pylist(), words.encode(batch.column("text").to_pylist())):
                 data += closing
                 total = len(data) // 4
                 for start in range(0, total, size):
