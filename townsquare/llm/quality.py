@@ -104,7 +104,8 @@ def train(
     if not count:
         return Model(z, bits)
     parts = -(-count // rows_per_part)
-    dealt = rows.repartition(parts, F.xxhash64("text")).sortWithinPartitions(F.xxhash64("text", F.lit(1)))
+    part = F.pmod(F.xxhash64("text"), F.lit(parts))  # so many parts, however many partitions there are
+    dealt = rows.withColumn("part", part).repartition(parts, "part").sortWithinPartitions("part", F.xxhash64("text", F.lit(1)))
     for _ in range(rounds):
         start = rows.sparkSession.sparkContext.broadcast((z, n))
 
@@ -115,15 +116,16 @@ def train(
                     slots, values = hasher.features(text)
                     leader.learn(np.append(slots, size - 1), np.append(values, 0.3), label)
                     seen += 1
-            slots = np.flatnonzero((leader.z != 0) | (leader.n != 0)) if seen else np.zeros(0, np.int64)
-            state = (seen * leader.z[slots], seen * leader.n[slots])
-            yield pa.RecordBatch.from_arrays([pa.array(slots), *map(pa.array, state)], names=["slot", "z", "n"])
+            before = start.value
+            slots = np.flatnonzero((leader.z != before[0]) | (leader.n != before[1]))
+            change = [seen * (own[slots] - old[slots]) for own, old in zip((leader.z, leader.n), before)]
+            yield pa.RecordBatch.from_arrays([pa.array(slots), *map(pa.array, change)], names=["slot", "z", "n"])
 
         states = dealt.mapInArrow(learn, "slot long, z double, n double").groupBy("slot")
         mean = states.agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toArrow()  # at most one row per slot
-        z, n = np.zeros(size), np.zeros(size)
         slots = mean.column("slot").to_numpy()
-        z[slots], n[slots] = mean.column("z").to_numpy() / count, mean.column("n").to_numpy() / count
+        z[slots] += mean.column("z").to_numpy() / count
+        n[slots] += mean.column("n").to_numpy() / count
         start.unpersist()
     return Model(Leader(z, n).weights(), bits)
 
