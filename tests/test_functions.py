@@ -77,3 +77,11 @@ def test_date_key_equals_formatted_date(spark):
     spans = "explode(sequence(date'0001-01-01', date'9999-12-31', interval 97 day)) AS d"
     df = spark.range(1).selectExpr(spans).withColumn("k", fn.date_key("d"))
     assert df.where("k <> cast(date_format(d, 'yyyyMMdd') AS int)").count() == 0
+
+
+def test_date_key_of_odd_years(spark):
+    """The formatted date read as INT where it is one, else NULL; never an error."""
+    days = "date'+220000-01-01' AS far, date'-0044-03-15' AS bc, date'0000-12-31' AS zero, date'+10000-01-01' AS more"
+    df = spark.range(1).selectExpr(*days.split(", "))
+    got = df.select(*(fn.date_key(name).alias(name) for name in df.columns)).first()
+    assert tuple(got) == (None, -440315, 1231, 100000101)

@@ -14,7 +14,7 @@ from townsquare.operators import (
     trailing_cutoff,
     zorder_rows,
 )
-from townsquare.operators.layout import _spread_bits, with_zorder_key
+from townsquare.operators.layout import bits_for, _spread_bits, with_zorder_key
 
 
 def test_keep_latest_prefers_newest_then_smallest(spark):
@@ -129,3 +129,15 @@ def test_zorder_key_orders_text_and_tolerates_null(spark):
     df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "s string")
     keyed = {row["s"]: row["z"] for row in with_zorder_key(df, ["s"], "z").collect()}
     assert keyed["a"] <= keyed["b"] <= keyed["c"] and keyed[None] == 0
+
+
+def test_zorder_compares_whole_texts(spark):
+    """Cities that agree in their first bytes still differ."""
+    df = spark.createDataFrame([("San Francisco",), ("San Francisquito",), ("San Fraxxx",), ("San Fran",)], "s string")
+    keys = {row["s"]: row["z"] for row in with_zorder_key(df, ["s"], "z", bits=2).collect()}
+    assert [keys[s] for s in sorted(keys)] == [0, 1, 2, 3]
+
+
+def test_zorder_bits_follow_the_files():
+    assert bits_for(16, 2) == 3 and bits_for(100_000, 2) == 9 and bits_for(1, 4) == 1
+    assert bits_for(10**9, 40) == 1

@@ -69,3 +69,7 @@ def test_enforce(spark):
     quality.enforce(checks.where("violations = 0"))
     with pytest.raises(quality.DataQualityError, match="orphans: 3"):
         quality.enforce(checks)
+    many = spark.range(25).selectExpr("concat('check ', id) AS check", "id + 1 AS violations")
+    with pytest.raises(quality.DataQualityError) as raised:
+        quality.enforce(many)
+    assert all(f"check {i}: {i + 1}" in str(raised.value).split("; ") for i in range(25))

@@ -49,14 +49,14 @@ def test_business_category(raw):
     pairs = silver.silver_business_category(business)
     assert rows(pairs) == [("a", "A"), ("a", "B")]
     repeated = business.union(business)
-    assert rows(silver.silver_business_category(repeated, unique_businesses=False)) == rows(pairs)
+    assert rows(silver.silver_business_category(repeated)) == rows(pairs)
 
 
 def test_business_category_adds_no_shuffle(raw):
     business = raw("business", {"business_id": "a", "categories": "A,B"}).withColumn(
         "category_array", F.split("categories", ",")
     )
-    assert "Exchange" not in executed_plan(silver.silver_business_category(business))
+    assert "Exchange" not in executed_plan(silver.silver_business_category(business, unique_businesses=True))
 
 
 REVIEW = {"review_id": "r", "business_id": "b", "user_id": "u", "stars": 3.0, "date": "2020-01-01 10:00:00"}

@@ -11,7 +11,7 @@ from townsquare.sinks import TableStore, ensure_layers, export_frames, run_write
 @pytest.fixture
 def store(spark, tmp_path):
     made = TableStore(spark, str(tmp_path / "tables"), prefix=f"t{abs(hash(str(tmp_path)))}")
-    ensure_layers(spark, made.prefix)
+    made.ensure_layers()
     return made
 
 
@@ -107,3 +107,52 @@ def test_export(spark, tmp_path):
     assert export_frames(frames, out, {"f": ["review_year"]}) == {"a": 3, "f": 4}
     assert spark.read.parquet(f"{out}/f").count() == 4
     assert "review_year=2020" in os.listdir(f"{out}/f")
+
+
+def test_failing_publish_keeps_the_old_rows(spark, store, monkeypatch):
+    store.write("silver", "t", spark.range(3))
+
+    def fail(*_):
+        raise RuntimeError("metastore away")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(TableStore, "_publish", fail)
+        with pytest.raises(RuntimeError):
+            store.write("silver", "t", spark.range(9))
+    assert store.read("silver", "t").count() == 3
+
+
+def test_publish_is_one_metastore_operation(spark, store, monkeypatch):
+    """A reader during the swap sees the old rows or the new ones."""
+    write = lambda n: store.write("silver", "p", spark.range(n).withColumn("part", F.col("id") % 2), partition_by=["part"])
+    write(10)
+    seen = []
+    publish = TableStore._publish
+
+    def watched(self, layer, table, snapshot):
+        seen.append(self.read(layer, table).count())
+        publish(self, layer, table, snapshot)
+        seen.append(self.read(layer, table).count())
+
+    monkeypatch.setattr(TableStore, "_publish", watched)
+    write(4)
+    assert seen == [10, 4]
+
+
+def test_old_snapshots_are_dropped(spark, store):
+    for n in range(1, 4):
+        store.write("silver", "t", spark.range(n))
+    store.write("silver", "t_other", spark.range(7))
+    files = store.read("silver", "t").inputFiles()
+    assert len(store.snapshots("silver", "t")) == 3
+    assert len(store.drop_old_snapshots("silver", "t", keep=2)) == 1
+    assert len(store.drop_old_snapshots("silver", "t")) == 1
+    assert store.drop_old_snapshots("silver", "t", keep=0) == [], "the published one stays"
+    assert store.read("silver", "t").inputFiles() == files and store.read("silver", "t").count() == 3
+    assert store.read("silver", "t_other").count() == 7
+
+
+def test_stored_bytes(spark, store):
+    store.write("silver", "t", spark.range(10).withColumn("part", F.col("id") % 2), partition_by=["part"])
+    paths = [path.removeprefix("file://").removeprefix("file:") for path in store.read("silver", "t").inputFiles()]
+    assert store.stored_bytes("silver", "t") == sum(os.path.getsize(p) for p in paths) > 0

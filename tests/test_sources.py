@@ -1,12 +1,11 @@
 import pytest
 
 from conftest import rows
-from townsquare.config import scan_bytes
 from townsquare.sources import (
     ENTITIES,
+    landed_frames,
     landing_inventory,
     new_batch_id,
-    present_sources,
     register_views,
     scan_json,
     source_paths,
@@ -18,6 +17,7 @@ def test_entities_declare_their_key(spark):
     assert set(ENTITIES) == {"business", "review", "user", "checkin", "tip"}
     assert all(entity.key in entity.schema.names for entity in ENTITIES.values())
     assert len(ENTITIES["user"].schema) == 22
+    assert all(entity.names == entity.schema.names for entity in ENTITIES.values())
 
 
 def test_scan_is_permissive(spark, land):
@@ -57,22 +57,21 @@ def test_inventory_reads_no_content(spark, land, tmp_path):
     land("in/b.json", "{}", "{}")
     found = landing_inventory(spark, str(tmp_path / "in"))
     assert rows(found, "file_name", "bytes") == [("a.json", 3), ("b.json", 6)]
-    assert scan_bytes(scan_json(spark, "tip", str(tmp_path / "in"))) == 9
     assert "content" not in found._jdf.queryExecution().executedPlan().toString()
 
 
-def test_present_sources_skips_absent_files(spark, land, tmp_path):
+def test_landed_frames_skips_absent_files(spark, land, tmp_path):
     land("tip.json", "{}")
     paths = source_paths(str(tmp_path))
-    assert list(present_sources(spark, paths)) == ["tip"]
+    assert list(landed_frames(spark, paths)) == ["tip"]
     assert source_paths("/x/", "set_{entity}.json")["tip"] == "/x/set_tip.json"
 
 
-def test_present_sources_accepts_folders_and_globs(spark, land, tmp_path):
+def test_landed_frames_accepts_folders_and_globs(spark, land, tmp_path):
     land("tip/part-1.json", "{}")
-    assert present_sources(spark, {"tip": str(tmp_path / "tip")})
-    assert present_sources(spark, {"tip": str(tmp_path / "tip" / "*.json")})
-    assert not present_sources(spark, {"tip": str(tmp_path / "tip" / "*.csv")})
+    assert landed_frames(spark, {"tip": str(tmp_path / "tip")})
+    assert landed_frames(spark, {"tip": str(tmp_path / "tip" / "*.json")})
+    assert not landed_frames(spark, {"tip": str(tmp_path / "tip" / "*.csv")})
 
 
 def test_register_views(spark):

@@ -1,7 +1,12 @@
-"""Command line: run the batch pipeline or one incremental load.
+"""Command line: batch pipeline, incremental load, refresh, export.
 
     python -m townsquare run --landing /data/in --root /data/lake
     python -m townsquare ingest --entity tip --landing /data/in/tip --root /data/lake
+    python -m townsquare refresh --root /data/lake
+    python -m townsquare export --out /data/out --root /data/lake
+
+Tables are kept in the configured metastore; without one Spark makes a local
+metastore in the working folder.
 """
 
 from __future__ import annotations
@@ -10,11 +15,11 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from townsquare.config import database_name, with_session_conf
-from townsquare.plans.pipeline import run_pipeline
-from townsquare.sinks import TableStore, ensure_layers
+from townsquare.config import with_session_conf
+from townsquare.plans.pipeline import export_gold, gold_layer, refresh, run_pipeline
+from townsquare.sinks import TableStore
 from townsquare.sources import ENTITIES, source_paths
-from townsquare.streaming import ingest_incremental
+from townsquare.streaming import ingest_incremental, stream_table
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -22,11 +27,16 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     commands = parser.add_subparsers(dest="command", required=True)
     run = commands.add_parser("run", help="landing files to gold, full snapshot")
     run.add_argument("--file-name", default="{entity}.json", help="landing file, folder or glob name")
+    run.add_argument("--skip-missing", action="store_true", help="leave out entities without landing files")
     ingest = commands.add_parser("ingest", help="append new files of one entity to bronze")
     ingest.add_argument("--entity", required=True, choices=sorted(ENTITIES))
     ingest.add_argument("--max-bytes-per-batch", type=int)
+    again = commands.add_parser("refresh", help="silver and gold from what bronze holds, incremental rows included")
+    export = commands.add_parser("export", help="gold tables and the report as Parquet folders")
+    export.add_argument("--out", required=True)
     for command in (run, ingest):
         command.add_argument("--landing", required=True)
+    for command in (run, ingest, again, export):
         command.add_argument("--root", required=True, help="shared folder for tables and checkpoints")
         command.add_argument("--prefix", default="reviews", help="database name prefix")
     return parser.parse_args(argv)
@@ -34,24 +44,32 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
-    spark = with_session_conf(SparkSession.builder.appName("townsquare")).getOrCreate()
+    builder = with_session_conf(SparkSession.builder.appName("townsquare")).enableHiveSupport()
+    spark = builder.getOrCreate()
     root = args.root.rstrip("/")
+    store = TableStore(spark, root, args.prefix)
+    counts: dict[str, int] = {}
     if args.command == "run":
-        store = TableStore(spark, root, args.prefix)
-        counts = run_pipeline(spark, store, source_paths(args.landing, args.file_name))
-        for table, rows in counts.items():
-            print(f"{table}: {rows:,} rows")
-        return
-    ensure_layers(spark, args.prefix)
-    ingest_incremental(
-        spark,
-        args.entity,
-        args.landing,
-        table=f"{database_name(args.prefix, 'bronze')}.{args.entity}_stream",
-        checkpoint=f"{root}/checkpoints/{args.entity}",
-        path=f"{root}/bronze/{args.entity}_stream",
-        max_bytes_per_batch=args.max_bytes_per_batch,
-    ).awaitTermination()
+        paths = source_paths(args.landing, args.file_name)
+        counts = run_pipeline(store, paths, skip_missing=args.skip_missing)
+    elif args.command == "refresh":
+        counts = refresh(store)
+    elif args.command == "export":
+        counts = export_gold(gold_layer(store), args.out)
+    else:
+        store.ensure_layers()
+        table = stream_table(args.entity)
+        ingest_incremental(
+            spark,
+            args.entity,
+            args.landing,
+            table=store.name("bronze", table),
+            checkpoint=f"{root}/checkpoints/{args.entity}",
+            path=f"{root}/bronze/{table}",
+            max_bytes_per_batch=args.max_bytes_per_batch,
+        ).awaitTermination()
+    for name, rows in counts.items():
+        print(f"{name}: {rows:,} rows")
 
 
 if __name__ == "__main__":

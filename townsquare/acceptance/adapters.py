@@ -55,6 +55,18 @@ SELECT concat(cast(l_orderkey AS string), '-', cast(l_linenumber AS string)) AS
             ELSE substr(cast(l_shipdate AS string), 1, 19)
        END AS date
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
+UNION ALL
+-- Businesses that rise: bad reviews once, good ones in the last year.
+SELECT concat('r-', cast(l_orderkey AS string), '-', cast(l_linenumber AS string)),
+       cast(l_suppkey AS string),
+       cast(l_partkey AS string),
+       CASE WHEN l_orderkey % 2 = 0 THEN cast(5 AS double) ELSE cast(1 AS double) END,
+       cast(1 AS bigint),
+       cast(2 AS bigint),
+       cast(0 AS bigint),
+       'rising',
+       concat(CASE WHEN l_orderkey % 2 = 0 THEN '2001-09-1' ELSE '1996-03-1' END, cast(l_linenumber AS string), ' 10:00:00')
+FROM {lineitem} WHERE l_partkey % 50 = 7
 """,
     # The second half repeats every user with a higher review count.
     "user": """
@@ -109,28 +121,11 @@ FROM {events}
 _SOURCE_TABLES = ("lineitem", "orders", "part", "customer", "events")
 
 
-# Row keys of the tables that carry most rows.
-_ROW_KEYS = {"lineitem": ("l_orderkey", "l_linenumber"), "events": ("event_id",)}
-
-
-def _table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A supplied table, its rows handed to every core.
-
-    A file with one row group is read by one task, which would then do all
-    the map-side work of the query. Scans with enough splits are left alone.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if table in _ROW_KEYS and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, *_ROW_KEYS[table])
-    return df
-
-
 def bronze_frame(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     """A raw entity derived from the tables under ``sf_dir``."""
     text = BRONZE_SQL[entity]
     inputs = {
-        table: _table(spark, sf_dir, table)
+        table: spark.read.parquet(f"{sf_dir}/{table}.parquet")
         for table in _SOURCE_TABLES
         if f"{{{table}}}" in text
     }

@@ -9,6 +9,8 @@ from __future__ import annotations
 import re
 
 from townsquare.acceptance.adapters import BRONZE_SQL, bronze_duckdb
+from townsquare.plans.gold import DIM_BUSINESS, DIM_USER, FACT_CHECKIN, FACT_REVIEW, FACT_TIP
+from townsquare.sources import ENTITIES
 
 
 def _half_up(value: str, places: int) -> str:
@@ -20,7 +22,7 @@ def _key(date: str) -> str:
     return f"CAST(strftime({date}, '%Y%m%d') AS INTEGER)"
 
 
-_COMPLIMENTS = ("hot", "more", "profile", "cute", "list", "note", "plain", "cool", "funny", "writer", "photos")
+_COMPLIMENTS = [name for name in ENTITIES["user"].names if name.startswith("compliment_")]
 
 _RELATIONS = {f"bronze_{entity}": bronze_duckdb(entity) for entity in BRONZE_SQL}
 
@@ -104,6 +106,10 @@ FROM silver_review""",
     "fact_checkin": f"""
 SELECT business_id, {_key("checkin_date")} AS date_key, checkin_date, count(*) AS checkin_count
 FROM silver_checkin GROUP BY business_id, checkin_date""",
+    "month_reviews": """
+SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+       (SELECT count(*) FROM fact_review WHERE date_trunc('month', review_date) = d) AS reviews
+FROM (SELECT unnest(generate_series(CAST(date_trunc('month', min(date)) AS DATE), max(date), INTERVAL 1 MONTH)) AS d FROM dim_date)""",
     "fact_tip": f"""
 SELECT business_id, user_id, {_key("tip_date")} AS date_key, tip_date, compliment_count FROM silver_tip""",
 }
@@ -147,7 +153,7 @@ _BRONZE_OUT = {
     "business": "SELECT * FROM bronze_business",
     "review": "SELECT * FROM bronze_review",
     "user": "SELECT *, {} FROM bronze_user".format(
-        ", ".join(f"CAST(NULL AS BIGINT) AS compliment_{kind}" for kind in _COMPLIMENTS)
+        ", ".join(f"CAST(NULL AS BIGINT) AS {name}" for name in _COMPLIMENTS)
     ),
     "checkin": "SELECT * FROM bronze_checkin",
     "tip": "SELECT * FROM bronze_tip",
@@ -169,6 +175,35 @@ def _count_rows(relation: str, label: str, key: str) -> str:
     )
 
 
+_DOUBLES = {
+    "latitude", "longitude", "avg_stars_alltime", "avg_stars_given", "stars",
+    "avg_rating_past_year", "avg_rating_prior", "rating_improvement",
+}
+_ARRAYS = {"category_array", "elite_years"}
+_REPORT = ("business_id", "name", "reviews_past_year", "avg_rating_past_year", "avg_rating_prior", "rating_improvement")
+
+
+def _names(columns: tuple[str, ...]) -> list[str]:
+    return [column.rpartition(" AS ")[2] for column in columns]
+
+
+def _content(table: str, relation: str, columns) -> str:
+    """Row count and a sum over rows of a hash of all columns."""
+
+    def text(name: str) -> str:
+        if name in _DOUBLES:
+            name = f"CAST(round({name} * 1000000) AS BIGINT)"
+        elif name in _ARRAYS:
+            name = f"array_to_string({name}, '|')"
+        return f"coalesce(CAST({name} AS VARCHAR), '~')"
+
+    digest = f"md5(concat_ws('#', {', '.join(map(text, columns))}))"
+    return (
+        f"SELECT '{table}' AS \"table\", count(*) AS row_count, "
+        f"CAST(sum(CAST('0x' || substr({digest}, 1, 8) AS BIGINT)) AS BIGINT) AS content FROM {relation}"
+    )
+
+
 _PLAIN = {
     # Sources
     "bronze_json_roundtrip": _BRONZE_OUT["review"],
@@ -181,6 +216,9 @@ FROM bronze_review""",
         "bronze_review",
         ("review_id", "user_id", "business_id", "stars", "useful", "funny", "cool", "text", "date"),
     ),
+    "profile_review_distinct": " UNION ALL ".join(
+        f"SELECT '{name}' AS \"column\", true AS within_tolerance" for name in ENTITIES["review"].names
+    ),
     # Sinks
     "write_read_roundtrip": """
 SELECT business_id, date_key, checkin_date, checkin_count,
@@ -196,19 +234,24 @@ WHERE business_id >= '5' GROUP BY business_id, review_year""",
 SELECT city, state, count(*) AS businesses, min(business_id) AS first_business FROM dim_business
 WHERE state = 'SMALL' GROUP BY city, state""",
     "stream_bronze_tip": "SELECT *, true AS has_source_file, true AS has_ingested_at FROM bronze_tip",
+    "stream_to_gold_tip": "SELECT * FROM fact_tip",
     "gold_export": " UNION ALL ".join(
-        f"SELECT '{name}' AS \"table\", count(*) AS row_count FROM {relation}"
-        for name, relation in {
-            "dim_date": "dim_date",
-            "dim_business": "dim_business",
-            "dim_user": "dim_user",
-            "dim_category": "dim_category",
-            "bridge_business_category": "bridge",
-            "fact_review": "fact_review",
-            "fact_checkin": "fact_checkin",
-            "fact_tip": "fact_tip",
+        _content(table, relation, columns)
+        for table, (relation, columns) in {
+            "dim_date": ("dim_date", ("date", *"date_key year quarter month month_name day day_of_week week_of_year is_weekend".split())),
+            "dim_business": ("dim_business", _names(DIM_BUSINESS)),
+            "dim_user": ("dim_user", _names(DIM_USER)),
+            "dim_category": ("dim_category", ("category", "category_key")),
+            "bridge_business_category": ("bridge", ("business_id", "category")),
+            # the partition column comes last in a stored table
+            "fact_review": ("fact_review", (*(c for c in FACT_REVIEW if c != "review_year"), "review_year")),
+            "fact_checkin": ("fact_checkin", FACT_CHECKIN),
+            "fact_tip": ("fact_tip", FACT_TIP),
+            "rising_star_businesses": (f"({_RISING})", _REPORT),
         }.items()
-    ),
+    )
+    + """ UNION ALL SELECT 'fact_review folders', count(*), CAST(sum(coalesce(review_year, 0)) AS BIGINT)
+          FROM (SELECT DISTINCT review_year FROM fact_review)""",
     # Silver
     "silver_business": """
 SELECT business_id, name, address, city, state, postal_code, latitude, longitude, stars, review_count, is_open,
@@ -241,6 +284,7 @@ SELECT * EXCLUDE (elite_years), array_to_string(elite_years, '|') AS elite_list
     # Reports
     "rising_star": _RISING,
     "rising_star_sql": _RISING,
+    "rising_star_sql_tagged": _rising(365, 5, undated_is_prior=True),
     "rising_star_tagged": _rising(365, 5, undated_is_prior=True),
     "review_periods": """
 SELECT CASE WHEN review_date >= (SELECT max(review_date) - 365 FROM silver_review) THEN 'past_year' ELSE 'prior'
@@ -262,10 +306,9 @@ ORDER BY n_businesses DESC, category LIMIT 10""",
 SELECT review_year, count(*) AS reviews, {_half_up("avg(stars)", 3)} AS avg_stars
 FROM fact_review GROUP BY review_year""",
     "bi_month_over_month": """
-SELECT year, month, reviews, previous_reviews, reviews - previous_reviews AS change
-FROM (SELECT year, month, reviews, lag(reviews) OVER (ORDER BY year, month) AS previous_reviews
-      FROM (SELECT d.year, d.month, count(*) AS reviews
-            FROM fact_review f JOIN dim_date d ON f.date_key = d.date_key GROUP BY d.year, d.month))""",
+SELECT m.year, m.month, m.reviews, p.reviews AS previous_reviews, m.reviews - p.reviews AS change
+FROM month_reviews m LEFT JOIN month_reviews p
+  ON make_date(p.year, p.month, 1) = make_date(m.year, m.month, 1) - INTERVAL 1 MONTH""",
     "bi_weekend_split": f"""
 SELECT d.is_weekend, count(*) AS reviews, {_half_up("avg(f.stars)", 3)} AS avg_stars
 FROM fact_review f JOIN dim_date d ON f.date_key = d.date_key GROUP BY d.is_weekend""",

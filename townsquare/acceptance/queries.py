@@ -2,36 +2,40 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Callable
-from functools import partial
+from contextlib import suppress
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from townsquare.acceptance.adapters import BRONZE_SQL, bronze_frame
 from townsquare.config import shared_dir
 from townsquare.operators import in_years, tag_period, trailing_cutoff
 from townsquare.plans import gold, quality, reports, rising
-from townsquare.plans.bronze import ingest_bronze
+from townsquare.plans.bronze import bronze_rows, ingest_bronze
 from townsquare.plans.frames import LazyFrames
 from townsquare.plans.pipeline import (
+    build_gold,
     export_gold,
+    gold_layer,
     gold_plans,
     quality_checks,
     run_pipeline,
     silver_plans,
 )
-from townsquare.sinks import TableStore, ensure_layers, write_files
+from townsquare.sinks import TableStore, write_files
 from townsquare.sources import (
     ENTITIES,
-    landing,
     new_batch_id,
     register_views,
     scan_json,
     source_paths,
 )
-from townsquare.streaming import ingest_incremental
+from townsquare.streaming import ingest_incremental, stream_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,18 +57,33 @@ class Layers:
         self.gold = gold_plans(self.silver)
 
     def new_store(self, label: str) -> TableStore:
-        """An empty table store with databases of its own."""
-        root = shared_dir(self.spark, label)
-        store = TableStore(self.spark, root, prefix=f"run_{uuid.uuid4().hex}")
-        ensure_layers(self.spark, store.prefix)
+        """An empty table store with databases of its own.
+
+        Results are lazy, so its tables are dropped when the process ends.
+        """
+        store = TableStore(self.spark, shared_dir(self.spark, label), prefix=f"run_{uuid.uuid4().hex}")
+        databases = store.ensure_layers()
+        atexit.register(_drop, self.spark, list(databases.values()))
         return store
 
+    def stored_silver(self, store: TableStore, *names: str) -> LazyFrames:
+        """Silver tables written to a store once and read from there."""
+        for name in names:
+            store.write("silver", name, self.silver[name])
+        return LazyFrames({name: partial(store.read, "silver", name) for name in names})
+
     def land(self, entity: str, path: str) -> str:
         """Write a raw entity as newline-delimited JSON files."""
         self.bronze[entity].write.json(path)
         return path
 
 
+def _drop(spark: SparkSession, databases: list[str]) -> None:
+    with suppress(Exception):  # the session may have ended
+        for database in databases:
+            spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
 _QUERIES: dict[str, Query] = {}
 
 
@@ -115,7 +134,7 @@ for _entity in ("business", "user", "checkin", "tip"):
 def bronze_lineage(layers: Layers) -> DataFrame:
     path = layers.land("review", shared_dir(layers.spark, "landing-review"))
     store = layers.new_store("bronze-review")
-    ingest_bronze(layers.spark, store, "review", path, new_batch_id())
+    ingest_bronze(store, "review", scan_json(layers.spark, "review", path), new_batch_id())
     loaded = store.read("bronze", "review")
     batches = loaded.agg(F.count_distinct("_batch_id")).scalar()
     return loaded.select(
@@ -127,11 +146,6 @@ def bronze_lineage(layers: Layers) -> DataFrame:
     )
 
 
-@_query
-def landing_inventory(layers: Layers) -> DataFrame:
-    return landing.landing_inventory(layers.spark, layers.sf_dir).select("file_name", "bytes")
-
-
 @_query
 def profile_review(layers: Layers) -> DataFrame:
     return quality.profile(layers.bronze["review"]).drop("approx_distinct")
@@ -139,7 +153,12 @@ def profile_review(layers: Layers) -> DataFrame:
 
 @_query
 def profile_review_distinct(layers: Layers) -> DataFrame:
-    return quality.profile(layers.bronze["review"]).select("column", "approx_distinct")
+    """Whether the sketched distinct counts are within 15 % of the exact ones."""
+    reviews = layers.bronze["review"]
+    exact = reviews.agg(*(F.count_distinct(name).alias(name) for name in reviews.columns))
+    listed = exact.select(F.inline(F.array(*(F.struct(F.lit(n).alias("column"), F.col(n).alias("n")) for n in reviews.columns))))
+    close = F.abs(F.col("approx_distinct") - F.col("n")) <= 0.15 * F.col("n")
+    return quality.profile(reviews).join(listed, "column").select("column", close.alias("within_tolerance"))
 
 
 # Sinks
@@ -165,7 +184,12 @@ def clustered_read(layers: Layers) -> DataFrame:
     store = layers.new_store("fact-review-clustered")
     facts = layers.gold["fact_review"]
     store.write(
-        "gold", "fact_review", facts, partition_by=["review_year"], cluster_by=["business_id"]
+        "gold",
+        "fact_review",
+        facts,
+        partition_by=["review_year"],
+        cluster_by=["business_id"],
+        key=["review_id"],
     )
     upper = store.read("gold", "fact_review").where(F.col("business_id") >= "5")
     return upper.groupBy("business_id", "review_year").agg(
@@ -176,40 +200,93 @@ def clustered_read(layers: Layers) -> DataFrame:
 @_query
 def zordered_read(layers: Layers) -> DataFrame:
     store = layers.new_store("dim-business-zordered")
-    store.write("gold", "dim_business", layers.gold["dim_business"], cluster_by=["city", "state"])
+    business = layers.stored_silver(store, "business")["business"]
+    store.write("gold", "dim_business", gold.dim_business(business), cluster_by=["city", "state"], key=["business_id"])
     small = store.read("gold", "dim_business").where(F.col("state") == "SMALL")
     return small.groupBy("city", "state").agg(
         F.count(F.lit(1)).alias("businesses"), F.min("business_id").alias("first_business")
     )
 
 
+def _content(df: DataFrame, table: str) -> DataFrame:
+    """(table, row_count, content): a sum over rows of a hash of all columns."""
+
+    def text(field: T.StructField) -> Column:
+        column = F.col(field.name)
+        if isinstance(field.dataType, T.DoubleType):
+            column = F.round(column * 1_000_000).cast("bigint")
+        if isinstance(field.dataType, T.ArrayType):
+            column = F.array_join(column, "|")
+        return F.coalesce(column.cast("string"), F.lit("~"))
+
+    digest = F.md5(F.concat_ws("#", *map(text, df.schema.fields)))
+    number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return df.select(number.alias("n")).agg(
+        F.lit(table).alias("table"), F.count(F.lit(1)).alias("row_count"), F.sum("n").alias("content")
+    )
+
+
 @_query
 def gold_export(layers: Layers) -> DataFrame:
+    """Contents of the exported gold tables and the report, and the year folders of the fact."""
+    store = layers.new_store("gold")
+    layers.stored_silver(store, "business", "business_category", "review", "user", "checkin", "tip")
+    build_gold(store)
+    stored = gold_layer(store)
+    report = rising.rising_star(stored["fact_review"], stored["dim_business"], **RULE)
+    store.write("gold", "rising_star_businesses", report)
     out = shared_dir(layers.spark, "gold-export")
-    written = export_gold(layers.gold, out)
-    return quality.row_count_audit(
-        {name: layers.spark.read.parquet(f"{out}/{name}") for name in written}
+    written = export_gold(gold_layer(store), out)
+    read = {name: layers.spark.read.parquet(f"{out}/{name}") for name in written}
+    years = read["fact_review"].select(F.regexp_extract(F.input_file_name(), "review_year=([^/]*)", 1).alias("y"))
+    folders = years.distinct().agg(
+        F.lit("fact_review folders").alias("table"), F.count(F.lit(1)).alias("row_count"), F.sum(F.coalesce(F.col("y").try_cast("bigint"), F.lit(0))).alias("content")
     )
+    order = {name: store.read("gold", name).columns for name in written}
+    return reduce(DataFrame.union, [_content(df.select(*order[name]), name) for name, df in read.items()]).union(folders)
 
 
 # Streaming
 
 
+def _streamed(layers: Layers, store: TableStore, entity: str) -> DataFrame:
+    """Land an entity in two parts, ingest after each and once more at the end."""
+    landing = f"{store.root}/landing"
+    rows = layers.bronze[entity]
+    second = F.pmod(F.xxhash64(*rows.columns), F.lit(2)) == 1
+    for part in (rows.where(~second), rows.where(second), None):
+        if part is not None:
+            part.write.mode("append").json(landing)
+        ingest_incremental(
+            layers.spark,
+            entity,
+            landing,
+            table=store.name("bronze", stream_table(entity)),
+            checkpoint=f"{store.root}/checkpoint",
+            path=f"{store.root}/{stream_table(entity)}",
+        ).awaitTermination()
+    return bronze_rows(store, entity)
+
+
 @_query
 def stream_bronze_tip(layers: Layers) -> DataFrame:
-    root = shared_dir(layers.spark, "stream-tip")
-    layers.land("tip", f"{root}/landing")
-    table = f"streamed_tip_{uuid.uuid4().hex}"
-    ingest_incremental(
-        layers.spark, "tip", f"{root}/landing", table, f"{root}/checkpoint", path=f"{root}/bronze"
-    ).awaitTermination()
-    return layers.spark.table(table).select(
+    return _streamed(layers, layers.new_store("stream-tip"), "tip").select(
         *("user_id", "business_id", "text", "date", "compliment_count"),
         F.col("_source_file").endswith(".json").alias("has_source_file"),
         F.col("_ingested_at").isNotNull().alias("has_ingested_at"),
     )
 
 
+@_query
+def stream_to_gold_tip(layers: Layers) -> DataFrame:
+    """Incremental rows through stored silver to the stored fact."""
+    store = layers.new_store("stream-gold-tip")
+    _streamed(layers, store, "tip")
+    store.write("silver", "tip", silver_plans({"tip": bronze_rows(store, "tip")})["tip"])
+    store.write("gold", "fact_tip", gold.fact_tip(store.read("silver", "tip")))
+    return store.read("gold", "fact_tip")
+
+
 # Silver
 
 
@@ -283,6 +360,13 @@ def rising_star_sql(layers: Layers) -> DataFrame:
     )
 
 
+@_query
+def rising_star_sql_tagged(layers: Layers) -> DataFrame:
+    return rising.rising_star_sql(
+        layers.spark, layers.silver["review"], layers.silver["business"], null_dates="prior", **RULE
+    )
+
+
 @_query
 def rising_star_tagged(layers: Layers) -> DataFrame:
     return rising.rising_star(
@@ -333,7 +417,7 @@ def rising_star_pipeline(layers: Layers) -> DataFrame:
     for entity, path in paths.items():
         layers.land(entity, path)
     store = layers.new_store("pipeline")
-    run_pipeline(layers.spark, store, paths, **RULE)
+    run_pipeline(store, paths, **RULE)
     return store.read("gold", "rising_star_businesses")
 
 

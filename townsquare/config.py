@@ -3,13 +3,9 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
-from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 LAYERS = ("landing", "bronze", "silver", "gold")
 
@@ -30,7 +26,6 @@ SESSION_CONF = {
 
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
-_MOST_SHUFFLE_PARTITIONS = 50_000
 
 
 def with_session_conf(builder: SparkSession.Builder) -> SparkSession.Builder:
@@ -46,32 +41,24 @@ def shuffle_partitions_for(input_bytes: int) -> int:
     AQE merges partitions that turn out small but cannot add any, so the
     starting width has to follow the input size.
     """
-    wanted = math.ceil(input_bytes / _BYTES_PER_SHUFFLE_PARTITION)
-    return max(1, min(wanted, _MOST_SHUFFLE_PARTITIONS))
+    return max(1, math.ceil(input_bytes / _BYTES_PER_SHUFFLE_PARTITION))
 
 
-def scan_bytes(scan: DataFrame) -> int:
-    """Size of the files under a scan, from its own statistics: no job runs."""
-    return int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def session_sized_for(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """A session with the settings of ``spark`` whose shuffles start wide
+    enough for ``input_bytes``.
 
-
-@contextmanager
-def shuffles_sized_for(spark: SparkSession, input_bytes: int) -> Iterator[int]:
-    """Widen shuffles for ``input_bytes`` of input inside a ``with`` block.
-
-    The session's own setting is a floor and is put back afterwards.
+    Each write gets one of its own: writes that run at the same time do not
+    share a width, and the caller's session is left as it is. The session's
+    own setting is a floor.
     """
-    before = spark.conf.get(_INITIAL_PARTITIONS, None)
-    floor = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
-    width = max(floor, shuffle_partitions_for(input_bytes))
-    spark.conf.set(_INITIAL_PARTITIONS, str(width))
-    try:
-        yield width
-    finally:
-        if before is None:
-            spark.conf.unset(_INITIAL_PARTITIONS)
-        else:
-            spark.conf.set(_INITIAL_PARTITIONS, before)
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    floor = int(spark.conf.get(_INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    own.conf.set(_INITIAL_PARTITIONS, str(max(floor, shuffle_partitions_for(input_bytes))))
+    return own
 
 
 def database_name(prefix: str, layer: str) -> str:
@@ -79,20 +66,11 @@ def database_name(prefix: str, layer: str) -> str:
     return f"{prefix}_{layer}" if prefix else layer
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="townsquare-")
-
-
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder name that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``. Only a local master, where driver
-    and executors are one process, may fall back to a temporary folder.
+    It lies under ``spark.checkpoint.dir``, or below the warehouse where the
+    session names none.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = _local_root()
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return f"{root.rstrip('/')}/townsquare/{label}-{uuid.uuid4().hex}"

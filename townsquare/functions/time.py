@@ -17,8 +17,15 @@ def parse_date(text: str | Column) -> Column:
 
 
 def date_key(date: str) -> Column:
-    """``yyyyMMdd`` as INT, computed without going through text."""
-    return (F.year(date) * 10000 + F.month(date) * 100 + F.day(date)).cast("int")
+    """``yyyyMMdd`` as INT; NULL where that is no INT.
+
+    Years of four digits are computed without going through text. A year
+    before 0 gives the negative number its text reads as, one beyond the
+    range of INT gives NULL.
+    """
+    plain = F.year(date) * 10000 + F.month(date) * 100 + F.day(date)
+    odd = F.date_format(date, "yyyyMMdd").try_cast("int")
+    return F.when(F.year(date).between(0, 9999), plain).otherwise(odd)
 
 
 def calendar_columns(date: str) -> dict[str, Column]:

@@ -12,11 +12,11 @@ _RANK = "_rank_in_key"
 
 
 def _orderable(field: T.StructField) -> Column:
-    """A sortable stand-in for a column. Maps have no order; a hash of their
-    entries does, and adds eight bytes to the row instead of a second copy."""
+    """A sortable stand-in for a column. Maps have no order; their sorted
+    entries do."""
     column = F.col(f"`{field.name}`")
     if isinstance(field.dataType, T.MapType):
-        return F.xxhash64(F.array_sort(F.map_entries(column)))
+        return F.array_sort(F.map_entries(column))
     return column
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,8 +12,6 @@ from pyspark.sql import types as T
 
 _ORIGIN = "_origin_task"
 _ZKEY = "_zorder_key"
-_BOUNDS = "_bucket_bounds"
-_SKETCH_ACCURACY = 1000
 
 
 def _row_hash(df: DataFrame) -> Column:
@@ -31,66 +30,81 @@ def rebalance_rows(df: DataFrame, *by: str) -> DataFrame:
     return df.hint("rebalance", *by)
 
 
-def cluster_rows(df: DataFrame, by: Sequence[str], partitions: int | None = None) -> DataFrame:
+def cluster_rows(
+    df: DataFrame, by: Sequence[str], partitions: int | None = None, key: Sequence[str] = ()
+) -> DataFrame:
     """Range-partition and sort by columns, so each file covers a narrow range.
 
     Parquet min/max statistics then skip files and row groups. The range key
-    ends in the row hash and the number of the task the row comes from: a
-    value, or a set of identical rows, with a large share of the rows is cut
-    into several neighbouring files. Both are the same when a task is retried.
+    ends in a hash (of the unique ``key`` where given, else of the row) and
+    the number of the task the row comes from: a value, or a set of identical
+    rows, with a large share of the rows is cut into several neighbouring
+    files. Both are the same when a task is retried.
     """
     size = () if partitions is None else (partitions,)
     placed = df.withColumn(_ORIGIN, F.spark_partition_id())
-    ranged = placed.repartitionByRange(*size, *by, _row_hash(df), _ORIGIN)
+    split = F.xxhash64(*key) if key else _row_hash(df)
+    ranged = placed.repartitionByRange(*size, *by, split, _ORIGIN)
     return ranged.drop(_ORIGIN).sortWithinPartitions(*by)
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
-    """Order-preserving number: text contributes its first seven bytes."""
-    column = F.col(name)
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return F.conv(F.rpad(F.substr(F.hex(column), F.lit(1), F.lit(14)), 14, "0"), 16, 10).cast("double")
-    if isinstance(df.schema[name].dataType, T.DateType):
-        return F.unix_date(column).cast("double")
-    return column.cast("double")
-
-
 def _spread_bits(value: int, columns: int) -> int:
     """Move bit ``i`` of ``value`` to bit ``i * columns``."""
     return sum(((value >> i) & 1) << (i * columns) for i in range(value.bit_length()))
 
 
-def with_zorder_key(df: DataFrame, by: Sequence[str], into: str, bits: int = 4) -> DataFrame:
-    """Add the interleaved bits of each column's quantile bucket.
+def bits_for(files: int, columns: int) -> int:
+    """Bits per column that give every file two cells of the curve at least,
+    within the 63 bits of the key."""
+    return max(1, min(62 // columns, math.ceil(math.log2(max(2, 2 * files)) / columns)))
+
+
+def bucket_bounds(df: DataFrame, name: str, buckets: int) -> list[object]:
+    """Values that cut the distinct values of a column into even ranges.
 
-    The 2**bits - 1 bucket bounds per column come from mergeable quantile
-    sketches, computed in one pass and read back as one scalar subquery. NULLs
-    fall into the lowest bucket.
+    Whole values are compared, as the range partitioner of Spark does; only
+    distinct values are exchanged, and one value per range comes back.
     """
-    steps = [i / 2**bits for i in range(1, 2**bits)]
-    numbers = [_as_number(df, name) for name in by]
-    sketches = [F.percentile_approx(number, steps, _SKETCH_ACCURACY) for number in numbers]
-    spread = F.array(
-        *(F.lit(_spread_bits(bucket, len(by))).cast("bigint") for bucket in range(2**bits))
-    )
+    values = df.select(F.col(f"`{name}`").alias("v")).where("v IS NOT NULL").distinct()
+    ranges = values.repartitionByRange(buckets, "v").groupBy(F.spark_partition_id()).agg(F.min("v").alias("v"))
+    return sorted(row["v"] for row in ranges.collect())[1:]
 
-    def share(position: int, number: Column) -> Column:
-        bounds = F.col(_BOUNDS)[position]
-        passed = (F.coalesce((bounds[i] < number).cast("int"), F.lit(0)) for i in range(len(steps)))
-        return F.shiftleft(spread[reduce(Column.__add__, passed)], position)
 
-    shares = [share(position, number) for position, number in enumerate(numbers)]
-    bounded = df.withColumn(_BOUNDS, df.agg(F.array(*sketches)).scalar())
-    return bounded.withColumn(into, reduce(Column.bitwiseOR, shares)).drop(_BOUNDS)
+def _at_most(value: Column) -> Callable[[Column], Column]:
+    return lambda bound: bound <= value
+
+
+def with_zorder_key(df: DataFrame, by: Sequence[str], into: str, bits: int = 4) -> DataFrame:
+    """Add the interleaved bits of each column's range bucket.
+
+    A column has at most 2**bits buckets. NULLs fall into the lowest one.
+    """
+    shares = []
+    for position, name in enumerate(by):
+        bounds = bucket_bounds(df, name, 2**bits)
+        spread = F.array(*(F.lit(_spread_bits(bucket, len(by)) << position).cast("bigint") for bucket in range(len(bounds) + 1)))
+        passed = F.lit(0)
+        if bounds:
+            listed = F.array(*map(F.lit, bounds)).cast(T.ArrayType(df.schema[name].dataType))
+            passed = F.coalesce(F.size(F.filter(listed, _at_most(F.col(f"`{name}`")))), F.lit(0))
+        shares.append(F.element_at(spread, passed + 1))
+    return df.withColumn(into, reduce(Column.bitwiseOR, shares))
 
 
 def zorder_rows(
-    df: DataFrame, by: Sequence[str], bits: int = 4, partitions: int | None = None
+    df: DataFrame,
+    by: Sequence[str],
+    bits: int | None = None,
+    partitions: int | None = None,
+    key: Sequence[str] = (),
 ) -> DataFrame:
     """Cluster rows along a Z-order curve over several columns.
 
     Unlike a plain sort on the column list, files stay narrow in every one of
-    the columns, so filters on any of them skip files.
+    the columns, so filters on any of them skip files. The cells follow the
+    number of files unless ``bits`` is given. The bounds are read first, so
+    ``df`` should be a projection of stored data.
     """
-    keyed = with_zorder_key(df, by, _ZKEY, bits)
-    return cluster_rows(keyed, [_ZKEY, *by], partitions).drop(_ZKEY)
+    files = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = with_zorder_key(df, by, _ZKEY, bits or bits_for(files, len(by)))
+    return cluster_rows(keyed, [_ZKEY, *by], partitions, key).drop(_ZKEY)

@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame
 
 from townsquare.sinks.store import TableStore
-from townsquare.sources.landing import scan_json, with_lineage
+from townsquare.sources.entities import ENTITIES
+from townsquare.sources.landing import with_lineage
+from townsquare.streaming.ingest import stream_table
+
+
+def bronze_rows(store: TableStore, entity: str) -> DataFrame:
+    """All loaded rows of an entity: the batch table and the incremental one,
+    as far as they exist. None of both gives no rows."""
+    found = [store.read("bronze", t) for t in (entity, stream_table(entity)) if store.exists("bronze", t)]
+    if not found:
+        return store.spark.createDataFrame([], ENTITIES[entity].schema)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
 
 
-def ingest_bronze(
-    spark: SparkSession, store: TableStore, entity: str, path: str, batch_id: str
-) -> int:
-    """Replace one bronze table with its landing files; returns the row count.
+def ingest_bronze(store: TableStore, entity: str, landed: DataFrame, batch_id: str) -> int:
+    """Replace one bronze table with landed rows; returns the row count.
 
     Map-only: each task parses its file splits and writes them as Parquet, so
     later layers prune columns and push filters instead of parsing JSON again.
     """
-    return store.write("bronze", entity, with_lineage(scan_json(spark, entity, path), batch_id))
+    return store.write("bronze", entity, with_lineage(landed, batch_id))

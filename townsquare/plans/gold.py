@@ -12,6 +12,21 @@ from townsquare.functions import calendar_columns, date_key
 # Fixed value: length of the hexadecimal surrogate key.
 CATEGORY_KEY_LENGTH = 12
 
+# Output columns, in order.
+DIM_BUSINESS = (
+    "business_id", "name", "address", "city", "state", "postal_code", "latitude", "longitude",
+    "stars AS avg_stars_alltime", "review_count AS review_count_alltime", "is_open", "category_array",
+)
+DIM_USER = (
+    "user_id", "name", "yelping_since_date", "review_count AS review_count_alltime",
+    "average_stars AS avg_stars_given", "fans", "friend_count", "is_elite", "elite_years",
+)
+FACT_REVIEW = (
+    "review_id", "business_id", "user_id", "date_key", "review_date", "review_year", "stars", "useful", "funny", "cool",
+)
+FACT_CHECKIN = ("business_id", "date_key", "checkin_date", "checkin_count")
+FACT_TIP = ("business_id", "user_id", "date_key", "tip_date", "compliment_count")
+
 
 def date_span(df: DataFrame, date: str) -> DataFrame:
     """One row: first and last date, NULL dates ignored."""
@@ -23,7 +38,8 @@ def dim_date(review: DataFrame, tip: DataFrame, checkin: DataFrame) -> DataFrame
 
     Each source is reduced to its own span before the union, so one row per
     source is shuffled. The bounds stay in the plan: an input without dates
-    gives an empty calendar. The calendar grows with the days, not the data.
+    gives an empty calendar. Years are dealt out before their days are made,
+    so no array has over 366 days and a long calendar is built by many tasks.
     """
     spans = [
         date_span(review, "review_date"),
@@ -33,33 +49,28 @@ def dim_date(review: DataFrame, tip: DataFrame, checkin: DataFrame) -> DataFrame
     overall = reduce(DataFrame.union, spans).agg(
         F.min("min_date").alias("first_day"), F.max("max_date").alias("last_day")
     )
-    days = F.sequence("first_day", "last_day", F.expr("interval 1 day"))
-    return (
-        overall.where(F.col("first_day").isNotNull())
-        .select(F.explode(days).alias("date"))
-        .withColumns(calendar_columns("date"))
+    years = overall.where(F.col("first_day").isNotNull()).select(
+        "first_day", "last_day", F.explode(F.sequence(F.year("first_day"), F.year("last_day"))).alias("y")
     )
+    start = F.greatest("first_day", F.make_date("y", F.lit(1), F.lit(1)))
+    end = F.least("last_day", F.make_date("y", F.lit(12), F.lit(31)))
+    days = F.sequence(start, end, F.expr("interval 1 day"))
+    return years.repartition("y").select(F.explode(days).alias("date")).withColumns(calendar_columns("date"))
+
+
+def _renamed(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Columns by name, ``source AS name`` where the name changes."""
+    return df.selectExpr(*columns)
 
 
 def dim_business(business: DataFrame) -> DataFrame:
     """Business attributes and location."""
-    return business.select(
-        *("business_id", "name", "address", "city", "state", "postal_code"),
-        *("latitude", "longitude"),
-        F.col("stars").alias("avg_stars_alltime"),
-        F.col("review_count").alias("review_count_alltime"),
-        *("is_open", "category_array"),
-    )
+    return _renamed(business, DIM_BUSINESS)
 
 
 def dim_user(user: DataFrame) -> DataFrame:
     """Reviewer attributes."""
-    return user.select(
-        *("user_id", "name", "yelping_since_date"),
-        F.col("review_count").alias("review_count_alltime"),
-        F.col("average_stars").alias("avg_stars_given"),
-        *("fans", "friend_count", "is_elite", "elite_years"),
-    )
+    return _renamed(user, DIM_USER)
 
 
 def dim_category(business_category: DataFrame) -> DataFrame:
@@ -75,11 +86,7 @@ def bridge_business_category(business_category: DataFrame) -> DataFrame:
 
 def fact_review(review: DataFrame) -> DataFrame:
     """One row per review. A projection: no shuffle."""
-    return review.select(
-        *("review_id", "business_id", "user_id"),
-        date_key("review_date").alias("date_key"),
-        *("review_date", "review_year", "stars", "useful", "funny", "cool"),
-    )
+    return review.withColumn("date_key", date_key("review_date")).select(*FACT_REVIEW)
 
 
 def fact_checkin(checkin: DataFrame) -> DataFrame:
@@ -91,15 +98,9 @@ def fact_checkin(checkin: DataFrame) -> DataFrame:
     per_day = checkin.groupBy("business_id", "checkin_date").agg(
         F.count(F.lit(1)).alias("checkin_count")
     )
-    return per_day.select(
-        "business_id", date_key("checkin_date").alias("date_key"), "checkin_date", "checkin_count"
-    )
+    return per_day.withColumn("date_key", date_key("checkin_date")).select(*FACT_CHECKIN)
 
 
 def fact_tip(tip: DataFrame) -> DataFrame:
     """One row per tip. A projection: no shuffle."""
-    return tip.select(
-        *("business_id", "user_id"),
-        date_key("tip_date").alias("date_key"),
-        *("tip_date", "compliment_count"),
-    )
+    return tip.withColumn("date_key", date_key("tip_date")).select(*FACT_TIP)

@@ -2,23 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from dataclasses import replace
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from townsquare.config import scan_bytes, shuffles_sized_for
+from townsquare.config import session_sized_for
 from townsquare.plans import gold, quality, rising, silver
-from townsquare.plans.bronze import ingest_bronze
+from townsquare.plans.bronze import bronze_rows, ingest_bronze
 from townsquare.plans.frames import LazyFrames
-from townsquare.sinks.store import TableStore, ensure_layers, export_frames, run_writes
+from townsquare.sinks.store import TableStore, export_frames, run_writes
 from townsquare.sources.entities import ENTITIES
-from townsquare.sources.landing import new_batch_id, present_sources, scan_json
+from townsquare.sources.landing import landed_frames, new_batch_id
+from townsquare.sources.views import register_views
+from townsquare.streaming.ingest import stream_table
 
 # Table layout: partition column and clustering columns by table.
 PARTITIONED = {"review": ["review_year"], "fact_review": ["review_year"]}
 CLUSTERED = {"fact_review": ["business_id"], "dim_business": ["city", "state"]}
+UNIQUE = {"fact_review": ["review_id"], "dim_business": ["business_id"]}
+
+# Stored tables each table is built from.
+READS = {
+    "dim_date": ("review", "tip", "checkin"), "dim_business": ("business",), "dim_user": ("user",),
+    "dim_category": ("business_category",), "bridge_business_category": ("business_category",),
+    "fact_review": ("review",), "fact_checkin": ("checkin",), "fact_tip": ("tip",),
+}
 
 SILVER_TABLES = ("business", "business_category", "review", "user", "checkin", "tip")
 
@@ -28,7 +39,9 @@ def silver_plans(bronze: Mapping[str, DataFrame]) -> LazyFrames:
     plans = LazyFrames(
         {
             "business": lambda: silver.silver_business(bronze["business"]),
-            "business_category": lambda: silver.silver_business_category(plans["business"]),
+            "business_category": lambda: silver.silver_business_category(
+                plans["business"], unique_businesses=True
+            ),
             "review": lambda: silver.silver_review(bronze["review"]),
             "user": lambda: silver.silver_user(bronze["user"]),
             "checkin": lambda: silver.silver_checkin(bronze["checkin"]),
@@ -71,62 +84,100 @@ def quality_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def load_bronze(
-    spark: SparkSession, store: TableStore, paths: Mapping[str, str], batch_id: str
-) -> dict[str, int]:
+def load_bronze(store: TableStore, landed: Mapping[str, DataFrame], batch_id: str) -> dict[str, int]:
     """Load the given entities; entity -> row count.
 
-    Pass the paths through :func:`townsquare.sources.present_sources` to skip
-    entities without landing files.
+    :func:`townsquare.sources.landed_frames` leaves out entities without
+    landing files.
     """
-    loads = {
-        entity: partial(ingest_bronze, spark, store, entity, path, batch_id)
-        for entity, path in paths.items()
-    }
-    return run_writes(spark, loads)
+    loads = {name: partial(ingest_bronze, store, name, frame, batch_id) for name, frame in landed.items()}
+    return run_writes(store.spark, loads)
 
 
-def _store_layer(store: TableStore, layer: str, frames: Mapping[str, DataFrame]) -> dict[str, int]:
-    return run_writes(
-        store.spark,
-        {
-            name: partial(
-                store.write, layer, name, frame, PARTITIONED.get(name, ()), CLUSTERED.get(name, ())
-            )
-            for name, frame in frames.items()
-        },
-    )
+def _sized_write(store: TableStore, layer: str, table: str, build: Callable[[TableStore], DataFrame], input_bytes: int) -> int:
+    """Write one table in a session of its own, as wide as its input needs."""
+    own = replace(store, spark=session_sized_for(store.spark, input_bytes))
+    layout = (PARTITIONED.get(table, ()), CLUSTERED.get(table, ()), UNIQUE.get(table, ()))
+    return own.write(layer, table, build(own), *layout)
+
+
+def _store_layer(
+    store: TableStore, layer: str, builds: Mapping[str, tuple[Callable[[TableStore], DataFrame], int]]
+) -> dict[str, int]:
+    """Store tables at the same time; ``builds`` has the plan and input bytes of each."""
+    writes = {name: partial(_sized_write, store, layer, name, build, size) for name, (build, size) in builds.items()}
+    return run_writes(store.spark, writes)
 
 
 def build_silver(store: TableStore) -> dict[str, int]:
-    """Store the silver layer from stored bronze; table -> row count.
+    """Store the silver layer from stored bronze, batch and incremental rows
+    together; table -> row count.
 
     The category bridge is derived from the stored business table, so the
     business de-duplication runs once.
     """
-    bronze = {entity: store.read("bronze", entity) for entity in ENTITIES}
-    counts = _store_layer(store, "silver", silver_plans(bronze).without("business_category"))
-    pairs = silver.silver_business_category(store.read("silver", "business"))
-    return counts | _store_layer(store, "silver", {"business_category": pairs})
+
+    def plan(name: str) -> Callable[[TableStore], DataFrame]:
+        return lambda own: silver_plans(LazyFrames({e: partial(bronze_rows, own, e) for e in ENTITIES}))[name]
+
+    def loaded(entity: str) -> int:
+        return sum(store.stored_bytes("bronze", t) for t in (entity, stream_table(entity)) if store.exists("bronze", t))
+
+    counts = _store_layer(store, "silver", {name: (plan(name), loaded(name)) for name in ENTITIES})
+    pairs = lambda own: silver.silver_business_category(own.read("silver", "business"), unique_businesses=True)
+    size = store.stored_bytes("silver", "business")
+    return counts | _store_layer(store, "silver", {"business_category": (pairs, size)})
+
+
+def silver_layer(store: TableStore) -> LazyFrames:
+    """The stored silver tables."""
+    return LazyFrames({name: partial(store.read, "silver", name) for name in SILVER_TABLES})
+
+
+def gold_layer(store: TableStore) -> LazyFrames:
+    """The stored gold tables, the report included."""
+    names = [*READS, "rising_star_businesses"]
+    return LazyFrames({name: partial(store.read, "gold", name) for name in names if store.exists("gold", name)})
+
+
+def register_layers(store: TableStore, prefix: str = "") -> list[str]:
+    """Temp views over the stored silver and gold tables, under
+    ``silver_<table>`` and the plain gold names, for SQL in one session."""
+    silver_names = register_views(silver_layer(store), f"{prefix}silver_")
+    return [*silver_names, *register_views(gold_layer(store), prefix)]
 
 
 def audit_silver(store: TableStore) -> int:
     """Store the quality checks on the silver layer; returns their number."""
-    layer = {name: store.read("silver", name) for name in SILVER_TABLES}
-    return store.write("silver", "dq_checks", quality_checks(layer))
+    return store.write("silver", "dq_checks", quality_checks(silver_layer(store)))
 
 
 def build_gold(store: TableStore) -> dict[str, int]:
     """Store the gold layer from stored silver; table -> row count."""
-    layer = {name: store.read("silver", name) for name in SILVER_TABLES}
-    return _store_layer(store, "gold", gold_plans(layer))
+    sizes = {name: store.stored_bytes("silver", name) for name in SILVER_TABLES}
+
+    def plan(name: str) -> Callable[[TableStore], DataFrame]:
+        return lambda own: gold_plans(silver_layer(own))[name]
+
+    return _store_layer(store, "gold", {name: (plan(name), sum(sizes[t] for t in READS[name])) for name in READS})
+
+
+def refresh(store: TableStore, **rising_rule: object) -> dict[str, int]:
+    """Rebuild silver, checks, gold and the report from what bronze holds now,
+    incremental rows included; ``layer.table`` -> rows."""
+    counts = {"silver": build_silver(store)}
+    counts["silver"]["dq_checks"] = audit_silver(store)
+    counts["gold"] = build_gold(store)
+    report = rising.rising_star(store.read("gold", "fact_review"), store.read("gold", "dim_business"), **rising_rule)
+    counts["gold"]["rising_star_businesses"] = store.write("gold", "rising_star_businesses", report)
+    return {f"{layer}.{name}": n for layer, tables in counts.items() for name, n in tables.items()}
 
 
 def run_pipeline(
-    spark: SparkSession,
     store: TableStore,
     paths: Mapping[str, str],
     batch_id: str | None = None,
+    skip_missing: bool = False,
     **rising_rule: object,
 ) -> dict[str, int]:
     """Landing to gold plus the rising-star table; ``layer.table`` -> rows.
@@ -134,26 +185,16 @@ def run_pipeline(
     Quality checks land in ``silver.dq_checks``; whether a violation fails the
     run is the caller's choice (:func:`townsquare.plans.quality.enforce`).
     Each layer is stored once and read back as Parquet, so no step parses the
-    landing files again. Shuffles are sized from the landing bytes.
+    landing files again. Shuffles are sized table by table. An entity without
+    landing files is an error, or is not loaded where ``skip_missing`` is set.
     """
-    ensure_layers(spark, store.prefix)
-    present = present_sources(spark, dict(paths))
-    missing = ENTITIES.keys() - present.keys()
-    if missing:
+    store.ensure_layers()
+    landed = landed_frames(store.spark, paths)
+    missing = ENTITIES.keys() - landed.keys()
+    if missing and not skip_missing:
         raise FileNotFoundError(f"no landing files for: {', '.join(sorted(missing))}")
-    landed = sum(scan_bytes(scan_json(spark, entity, path)) for entity, path in present.items())
-    with shuffles_sized_for(spark, landed):
-        counts = {
-            "bronze": load_bronze(spark, store, present, batch_id or new_batch_id()),
-            "silver": build_silver(store),
-            "gold": build_gold(store),
-        }
-        counts["silver"]["dq_checks"] = audit_silver(store)
-        report = rising.rising_star(
-            store.read("gold", "fact_review"), store.read("gold", "dim_business"), **rising_rule
-        )
-        counts["gold"]["rising_star_businesses"] = store.write("gold", "rising_star_businesses", report)
-    return {f"{layer}.{name}": n for layer, tables in counts.items() for name, n in tables.items()}
+    loaded = load_bronze(store, landed, batch_id or new_batch_id())
+    return {f"bronze.{name}": n for name, n in loaded.items()} | refresh(store, **rising_rule)
 
 
 def export_gold(tables: Mapping[str, DataFrame], out: str) -> dict[str, int]:

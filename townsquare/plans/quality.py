@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_SHOWN_FAILURES = 20
-
 
 class DataQualityError(RuntimeError):
     """At least one check has violations."""
@@ -102,7 +100,10 @@ def as_checks(audit: DataFrame, label: Column, violations: str) -> DataFrame:
 
 
 def enforce(checks: DataFrame) -> None:
-    """Raise :class:`DataQualityError` if any check has violations."""
-    failed = checks.where(F.col("violations") > 0).limit(_SHOWN_FAILURES).collect()
+    """Raise :class:`DataQualityError` naming every check with violations.
+
+    There is one row per check, however many rows violate it.
+    """
+    failed = checks.where(F.col("violations") > 0).orderBy("check").collect()
     if failed:
         raise DataQualityError("; ".join(f"{row['check']}: {row['violations']}" for row in failed))

@@ -6,7 +6,7 @@ afterwards, so a key with most of the rows reaches the join as one row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -46,18 +46,25 @@ def _merged_mean() -> Column:
 
 
 def month_over_month(fact_review: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Reviews per month next to the previous month with reviews.
+    """Reviews of every month of the calendar, 0 where there are none, next to
+    those of the month before it.
 
-    The window runs over one row per month, whatever the size of the fact.
+    The join with the month before meets one row per month, whatever the size
+    of the fact.
     """
+    daily = _reviews_per(fact_review, "date_key").select("date_key", "n")
     monthly = (
-        _by_calendar(_reviews_per(fact_review, "date_key"), dim_date, "year", "month")
+        dim_date.select("date_key", "year", "month")
+        .join(daily, "date_key", "left")
         .groupBy("year", "month")
-        .agg(F.sum("n").alias("reviews"))
+        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("reviews"))
+        .withColumn("number", F.col("year") * 12 + F.col("month"))
     )
-    previous = F.lag("reviews").over(Window.orderBy("year", "month"))
-    return monthly.withColumn("previous_reviews", previous).withColumn(
-        "change", F.col("reviews") - F.col("previous_reviews")
+    before = monthly.select((F.col("number") + 1).alias("number"), F.col("reviews").alias("previous_reviews"))
+    return (
+        monthly.join(before, "number", "left")
+        .drop("number")
+        .withColumn("change", F.col("reviews") - F.col("previous_reviews"))
     )
 
 

@@ -131,7 +131,9 @@ _RISING_STAR_SQL = """
 WITH rated AS (
     SELECT business_id,
            stars,
-           review_date >= date_sub((SELECT max(review_date) FROM {reviews}), :window_days) AS is_recent
+           CASE WHEN review_date IS NULL THEN CASE WHEN :undated_is_prior THEN false END
+                ELSE review_date >= date_sub((SELECT max(review_date) FROM {reviews}), :window_days)
+           END AS is_recent
     FROM {reviews}
 ), totals AS (
     SELECT business_id,
@@ -163,8 +165,21 @@ def rising_star_sql(
     window_days: int = WINDOW_DAYS,
     min_reviews: int = MIN_REVIEWS,
     min_gain: float = MIN_GAIN,
+    null_dates: NullDates = "exclude",
+    limit: int | None = None,
 ) -> DataFrame:
-    """The report as one parameterised SQL text (NULL dates excluded)."""
-    rule = {"window_days": window_days, "min_reviews": min_reviews, "min_gain": min_gain}
+    """The report as one parameterised SQL text, with the options of
+    :func:`rising_star`."""
+    if null_dates not in ("exclude", "prior"):
+        raise ValueError(f"null_dates must be 'exclude' or 'prior', not {null_dates!r}")
+    rule = {
+        "window_days": window_days,
+        "min_reviews": min_reviews,
+        "min_gain": min_gain,
+        "undated_is_prior": null_dates == "prior",
+    }
+    text = _RISING_STAR_SQL
+    if limit is not None:
+        text, rule["most_rows"] = f"{text}LIMIT :most_rows", limit
     named = business.select("business_id", "name")
-    return spark.sql(_RISING_STAR_SQL, args=rule, reviews=reviews, business=named)
+    return spark.sql(text, args=rule, reviews=reviews, business=named)

@@ -24,6 +24,9 @@ from townsquare.operators import explode_tokens, keep_latest
 MIN_STARS, MAX_STARS = 1, 5
 NO_FRIENDS = "None"
 
+# Review columns taken over as they are.
+REVIEW_COLUMNS = ("review_id", "business_id", "user_id", "stars", "useful", "funny", "cool")
+
 _LOAD_TIME = "_ingested_at"
 
 
@@ -40,12 +43,12 @@ def silver_business(bronze: DataFrame) -> DataFrame:
     return businesses.withColumn("category_array", split_trimmed("categories"))
 
 
-def silver_business_category(business: DataFrame, unique_businesses: bool = True) -> DataFrame:
+def silver_business_category(business: DataFrame, unique_businesses: bool = False) -> DataFrame:
     """One row per business and non-blank category.
 
-    With one row per business, as :func:`silver_business` gives, repeats can
-    only sit inside one array, so they are removed in place and nothing is
-    shuffled. Set ``unique_businesses`` to False for any other input.
+    Where the caller knows that there is one row per business, as
+    :func:`silver_business` gives, ``unique_businesses`` saves the shuffle:
+    repeats can then only sit inside one array and are removed in place.
     """
     pairs = business.select(
         "business_id", F.explode(F.array_distinct("category_array")).alias("category")
@@ -65,7 +68,7 @@ def silver_review(bronze: DataFrame) -> DataFrame:
         & F.col("stars").between(MIN_STARS, MAX_STARS)
     )
     typed = valid.select(
-        *("review_id", "business_id", "user_id", "stars", "useful", "funny", "cool"),
+        *REVIEW_COLUMNS,
         parse_timestamp("date").alias("review_ts"),
     )
     # Columns derived from the timestamp are added after the shuffle.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -16,12 +17,16 @@ from townsquare.config import LAYERS, database_name
 from townsquare.operators.layout import cluster_rows, rebalance_rows, zorder_rows
 
 
-def ensure_layers(spark: SparkSession, prefix: str = "reviews") -> dict[str, str]:
-    """Create the layer databases that do not exist yet; layer -> full name."""
+def ensure_layers(spark: SparkSession, prefix: str = "reviews", root: str | None = None) -> dict[str, str]:
+    """Create the layer databases that do not exist yet; layer -> full name.
+
+    Their tables lie below ``root``, or in the warehouse without one.
+    """
     catalog = spark.catalog.currentCatalog()
     names = {layer: f"{catalog}.{database_name(prefix, layer)}" for layer in LAYERS}
-    for name in names.values():
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+    for layer, name in names.items():
+        where = f" LOCATION '{root.rstrip('/')}/{layer}'" if root else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
     return names
 
 
@@ -64,26 +69,53 @@ def export_frames(
     return run_writes(SparkSession.active(), writes)
 
 
+_SNAPSHOT = "__snapshot_"
+
+
 @dataclass(frozen=True)
 class TableStore:
     """Layer tables below one root folder.
 
-    A write goes to a fresh snapshot folder and the table name is moved to it
-    only once all files are there. A failed write leaves the old table as it
-    was, and a running query keeps the files it started on.
+    A write makes a new snapshot table. The name readers use is a view, moved
+    to the snapshot by one metastore operation once all files are there: a
+    failed write leaves the old rows, and no reader finds the name missing or
+    half filled. A running query keeps the files it started on until
+    :meth:`drop_old_snapshots`.
     """
 
     spark: SparkSession
     root: str
     prefix: str = "reviews"
 
+    def ensure_layers(self) -> dict[str, str]:
+        return ensure_layers(self.spark, self.prefix, self.root)
+
+    def database(self, layer: str) -> str:
+        return f"{self.spark.catalog.currentCatalog()}.{database_name(self.prefix, layer)}"
+
     def name(self, layer: str, table: str) -> str:
-        catalog = self.spark.catalog.currentCatalog()
-        return f"{catalog}.{database_name(self.prefix, layer)}.`{table}`"
+        return f"{self.database(layer)}.`{table}`"
+
+    def exists(self, layer: str, table: str) -> bool:
+        return self.spark.catalog.tableExists(f"{self.database(layer)}.{table}")
 
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(self.name(layer, table))
 
+    def snapshots(self, layer: str, table: str) -> list[str]:
+        """Snapshot tables of a name, oldest first."""
+        own = f"{table}{_SNAPSHOT}"
+        listed = self.spark.catalog.listTables(self.database(layer), f"{own}*")
+        return sorted(t.name for t in listed if t.name.startswith(own.lower()))
+
+    def stored_bytes(self, layer: str, table: str) -> int:
+        """Size of the files under a name, from their listing: no contents are read."""
+        folders = {path.rpartition("/")[0] for path in self.read(layer, table).inputFiles()}
+        if not folders:
+            return 0
+        files = self.spark.read.format("binaryFile").load(sorted(folders))
+        return files.agg(F.sum("length")).first()[0] or 0
+
     def write(
         self,
         layer: str,
@@ -91,31 +123,41 @@ class TableStore:
         df: DataFrame,
         partition_by: Sequence[str] = (),
         cluster_by: Sequence[str] = (),
+        key: Sequence[str] = (),
     ) -> int:
         """Replace a table, schema included, and return its row count.
 
         ``cluster_by`` sorts files by one column or Z-orders several;
         ``partition_by`` alone rebalances rows into even files per value.
+        ``key`` names unique columns, which then split hot values.
         """
         if partition_by and cluster_by:
-            df = cluster_rows(df, [*partition_by, *cluster_by])
+            df = cluster_rows(df, [*partition_by, *cluster_by], key=key)
         elif len(cluster_by) > 1:
-            df = zorder_rows(df, cluster_by)
+            df = zorder_rows(df, cluster_by, key=key)
         elif cluster_by:
-            df = cluster_rows(df, cluster_by)
+            df = cluster_rows(df, cluster_by, key=key)
         elif partition_by:
             df = rebalance_rows(df, *partition_by)
-        location = f"{self.root.rstrip('/')}/{layer}/{table}/snapshot-{uuid.uuid4().hex}"
-        rows = write_files(df, location, partition_by)
-        self._publish(self.name(layer, table), df, location, partition_by)
-        return rows
-
-    def _publish(self, name: str, df: DataFrame, location: str, partition_by: Sequence[str]) -> None:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-        ddl = f"CREATE TABLE {name} ({columns}) USING parquet"
-        if partition_by:
-            ddl += f" PARTITIONED BY ({', '.join(partition_by)})"
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.sql(f"{ddl} LOCATION '{location}'")
+        snapshot = f"{table}{_SNAPSHOT}{time.time_ns():020d}_{uuid.uuid4().hex}"
+        seen = Observation()
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("parquet")
         if partition_by:
-            self.spark.catalog.recoverPartitions(name)
+            writer = writer.partitionBy(*partition_by)
+        writer.saveAsTable(self.name(layer, snapshot))
+        self._publish(layer, table, snapshot)
+        return seen.get["rows"]
+
+    def _publish(self, layer: str, table: str, snapshot: str) -> None:
+        """Point the name at a snapshot."""
+        source = self.name(layer, snapshot)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, table)} AS SELECT * FROM {source}")
+
+    def drop_old_snapshots(self, layer: str, table: str, keep: int = 1) -> list[str]:
+        """Drop all but the newest ``keep`` snapshots, files included, and
+        return their names. The one the name points at always stays."""
+        text = self.spark.sql(f"SHOW CREATE TABLE {self.name(layer, table)}").first()[0]
+        old = [s for s in self.snapshots(layer, table)[:-keep or None] if s not in text.lower()]
+        for snapshot in old:
+            self.spark.sql(f"DROP TABLE {self.name(layer, snapshot)}")
+        return old

@@ -2,9 +2,9 @@
 
 from townsquare.sources.entities import ENTITIES, Entity
 from townsquare.sources.landing import (
+    landed_frames,
     landing_inventory,
     new_batch_id,
-    present_sources,
     scan_json,
     source_paths,
     with_lineage,
@@ -14,9 +14,9 @@ from townsquare.sources.views import register_views
 __all__ = [
     "ENTITIES",
     "Entity",
+    "landed_frames",
     "landing_inventory",
     "new_batch_id",
-    "present_sources",
     "register_views",
     "scan_json",
     "source_paths",

@@ -6,6 +6,7 @@ drifts with the data. Nested objects land as MAP<STRING,STRING>.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import types as T
@@ -41,6 +42,11 @@ class Entity:
     key: str
     ddl: str
 
+    @property
+    def names(self) -> list[str]:
+        """Field names; unlike the schema, known without a session."""
+        return re.findall(r"(\w+) (?:[A-Z]+)(?:<[^>]*>)?(?:,|\s*$)", self.ddl)
+
     @property
     def schema(self) -> T.StructType:
         return T.StructType.fromDDL(self.ddl)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -55,16 +56,14 @@ def landing_inventory(spark: SparkSession, *paths: str) -> DataFrame:
     )
 
 
-def present_sources(spark: SparkSession, paths: dict[str, str]) -> dict[str, str]:
-    """The entries of ``paths`` whose file, folder or glob exists."""
-
-    def exists(entity: str, path: str) -> bool:
+def landed_frames(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
+    """Scans of the ``paths`` whose file, folder or glob exists. Each path is
+    listed once."""
+    found = {}
+    for entity, path in paths.items():
         try:
-            scan_json(spark, entity, path)
+            found[entity] = scan_json(spark, entity, path)
         except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return False
-            raise
-        return True
-
-    return {entity: path for entity, path in paths.items() if exists(entity, path)}
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return found

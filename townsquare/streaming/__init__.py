@@ -1,5 +1,5 @@
 """Incremental ingestion."""
 
-from townsquare.streaming.ingest import ingest_incremental
+from townsquare.streaming.ingest import ingest_incremental, stream_table
 
-__all__ = ["ingest_incremental"]
+__all__ = ["ingest_incremental", "stream_table"]

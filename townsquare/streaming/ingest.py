@@ -9,6 +9,11 @@ from townsquare.sources.entities import ENTITIES
 from townsquare.sources.landing import with_lineage
 
 
+def stream_table(entity: str) -> str:
+    """Bronze table of an entity's incremental rows."""
+    return f"{entity}_stream"
+
+
 def ingest_incremental(
     spark: SparkSession,
     entity: str,
@@ -24,7 +29,9 @@ def ingest_incremental(
     row arrives exactly once. A file replaced under its old name counts as
     seen: changed data needs a new file name. ``max_bytes_per_batch`` splits a
     large backlog into several micro-batches. Duplicates are kept; removing
-    them is the silver layer's work.
+    them is the silver layer's work. The silver layer reads the tables named
+    by :func:`stream_table` together with the batch tables, so a landing file
+    belongs to one of the two ways of loading.
     """
     reader = spark.readStream.schema(ENTITIES[entity].schema)
     if max_bytes_per_batch is not None:
