@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Bytes A-Z lower-cased; every other ASCII byte that is no digit or letter is a blank. Bytes from 0x80 are word bytes.
@@ -63,7 +64,7 @@ def spaced_words(data: bytes, lower: bool) -> list[bytes]:
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the text of a slice stays below ``limit`` bytes (a longer row is a slice of its own)."""
     for batch in batches:
-        sizes = [len(x or b"") for x in texts(batch, column)]
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = total = 0
         for i, size in enumerate(sizes):
             if i > start and total + size > limit:

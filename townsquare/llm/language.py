@@ -58,7 +58,7 @@ class Model:
 class Scorer:
     """Scores texts with a model; keeps the log frequencies of up to ``room`` words it has met as rows of a matrix."""
 
-    def __init__(self, model: Model, room: int = 400_000) -> None:
+    def __init__(self, model: Model, room: int = 250_000) -> None:
         self.model, self.room = model, room
         self._clear()
 

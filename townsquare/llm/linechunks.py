@@ -61,7 +61,8 @@ def dedup_lines(docs: DataFrame, *, mean: int = MEAN, window: int = WINDOW) -> D
     names = [n for n in docs.columns if n not in ("n_lines", "n_removed")]
     own = docs.select(*(F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)), F.col("text").alias("whole"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc"), F.xxhash64("text").alias("mark"))
     marked = own.join(repeated(docs, mean=mean, window=window), ["doc", "mark"], "left")
-    kept = F.filter(F.col("chunks"), lambda c, i: ~F.array_contains("places", i))
+    left_places = F.array_except(F.sequence(F.lit(0), F.size("chunks") - 1), F.col("places"))  # by hash, in order
+    kept = F.transform(left_places, lambda i: F.element_at("chunks", i + 1))
     lines = F.coalesce(F.aggregate("chunks", F.lit(0).cast("long"), lambda n, c: n + c["lines"]), F.lit(0))
     cut = marked.withColumn("chunks", F.when(F.col("places").isNotNull(), _chunks("whole", mean, window)))
     n_lines = F.when(F.col("whole").isNull(), 0).otherwise(F.size(F.split("whole", "\n", -1))).cast("long")

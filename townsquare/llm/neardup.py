@@ -72,7 +72,7 @@ def shingles(words: list[bytes], width: int) -> set[tuple[bytes, ...]]:
 class Sketcher:
     """MinHash values of many texts at a time."""
 
-    def __init__(self, how: Similarity, room: int = 500_000) -> None:
+    def __init__(self, how: Similarity, room: int = 200_000) -> None:
         self.how, self.room, self.known = how, room, {}
         random = np.random.default_rng(20_240_601)
         self.factors = random.integers(0, 2**32, how.hashes, dtype=np.uint64).astype(np.uint32) | np.uint32(1)

@@ -38,7 +38,7 @@ class Encoder:
     letters are remembered, up to ``room`` words. Anything else goes to the tokenizer as it is.
     """
 
-    def __init__(self, path: str, room: int = 800_000, bulk: int = 2_000) -> None:
+    def __init__(self, path: str, room: int = 300_000, bulk: int = 2_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.room, self.bulk = Tokenizer.from_file(path), room, bulk
@@ -113,7 +113,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, size: int = SIZE, unit: int = UNI
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part = encoder(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(size // unit + 2, np.int64)
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             rows: list[tuple] = []
             for doc, data in zip(batch.column("doc_id").to_pylist(), words.encode(batch.column("text").to_pylist())):
                 data += closing

@@ -13,9 +13,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from townsquare.llm.common import fold, held_out, stored, texts
+from townsquare.llm.common import fold, held_out, slices, stored, texts
 
 _TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[!-/:-@\[-`{-~]+")
 _REPEAT = np.uint64(0x9E3779B97F4A7C15)
@@ -25,7 +25,7 @@ _MIX = np.uint64(0xD6E8FEB86659FD93)
 class Hasher:
     """Slots and weights of a text; remembers the hashes of words it has met."""
 
-    def __init__(self, bits: int, room: int = 400_000) -> None:
+    def __init__(self, bits: int, room: int = 200_000) -> None:
         self.bits, self.room, self.known = bits, room, {}
 
     def _hash(self, word: bytes) -> int:
@@ -144,20 +144,20 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     kept = docs.drop("score", "predicted")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [f"c{i}" for i in range(len(kept.columns))]
-    plain = kept.toDF(*names).withColumn("text", F.col(names[kept.columns.index("text")]))
+    text = names[kept.columns.index("text")]
+    plain = kept.toDF(*names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         hasher = Hasher(model.bits)
-        for batch in batches:
+        for batch in slices(batches, text, 4 << 20):
             scores = []
-            for text in texts(batch, "text"):
-                slots, values = hasher.features(text)
+            for data in texts(batch, text):
+                slots, values = hasher.features(data)
                 scores.append(sigmoid(float(model.weights[slots] @ values) + 0.3 * float(model.weights[-1])))
-            columns = [batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64())], names=[*names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*names, "score"])
 
-    schema = plain.drop("text").schema.add("score", "double")
+    schema = T.StructType([*plain.schema, T.StructField("score", T.DoubleType())])
     found = plain.mapInArrow(run, schema).toDF(*kept.columns, "score")
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 

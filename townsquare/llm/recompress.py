@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -82,13 +83,9 @@ class Shard:
         ids = table.column("doc_id").to_pylist()
         self.words = [spaced_words(t or b"", lower=False) for t in table.column("text").cast(pa.binary()).to_pylist()]
         counts = np.array([len(w) for w in self.words], np.int64)
-        known: dict[bytes, int] = {}
-        for words in self.words:
-            for word in set(words):
-                if word not in known:
-                    known[word] = xxhash.xxh64_intdigest(word)
-        flat = [np.fromiter((known[w] for w in words), np.uint64, len(words)) for words in self.words]
-        self.symbols = np.concatenate(flat) if flat else np.zeros(0, np.uint64)
+        flat = list(chain.from_iterable(self.words))
+        known = {word: xxhash.xxh64_intdigest(word) for word in set(flat)}
+        self.symbols = np.fromiter(map(known.__getitem__, flat), np.uint64, len(flat))
         self.text = np.repeat(np.arange(len(counts)), counts)
         self.starts = np.cumsum(counts) - counts
         self.left = np.repeat(self.starts + counts, counts) - np.arange(len(self.symbols))
@@ -107,8 +104,9 @@ class Shard:
 
     def shared_inside(self) -> np.ndarray:
         """Keys that two documents of this shard have."""
-        pairs = np.unique(np.stack([self.key_of, self.text[self.first]], axis=1), axis=0) if len(self.first) else np.zeros((0, 2), int)
-        return np.bincount(pairs[:, 0], minlength=len(self.keys)) > 1
+        count = max(1, len(self.words))
+        pairs = np.unique(self.key_of * count + self.text[self.first])
+        return np.bincount(pairs // count, minlength=len(self.keys)) > 1
 
     def windows(self, shared: np.ndarray) -> None:
         """Windows around shared keys: their distinct names in bucket order, and the least document of each."""

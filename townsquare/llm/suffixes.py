@@ -162,11 +162,11 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def _shard(batch: pa.RecordBatch, block: Block):
+def _shard(batch: pa.RecordBatch, text: str, block: Block):
     """The words of a slice of documents as numbers (0: unknown), their document, and words per document."""
     lookup = block.vocabulary.get
     numbers, counts = [], []
-    for data in texts(batch, "text"):
+    for data in texts(batch, text):
         found = hashed_words(data or b"")
         counts.append(len(found))
         numbers.append(np.fromiter((lookup(w, 0) for w in found), np.int32, len(found)))
@@ -175,10 +175,10 @@ def _shard(batch: pa.RecordBatch, block: Block):
     return tokens, np.repeat(np.arange(len(counts)), counts), counts
 
 
-def _scan(block: Block, shard_bytes: int):
+def _scan(block: Block, text: str, shard_bytes: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", shard_bytes):
-            tokens, doc, counts = _shard(batch, block)
+        for batch in slices(batches, text, shard_bytes):
+            tokens, doc, counts = _shard(batch, text, block)
             base = np.cumsum(counts) - counts
             words, place = known_runs(tokens, doc, block.shortest)
             array = suffix_array(words)
@@ -234,7 +234,10 @@ def contamination(
     NULL or empty text has no words. An item without an id is skipped. Columns of ``docs`` named like the three results
     are replaced; a repeated row is treated like any other.
     """
-    kept = docs.drop("n_words", "spans", "items")
+    return _flagged(docs.drop("n_words", "spans", "items"), "text", benchmark, window, shard_bytes, block_bytes)
+
+
+def _flagged(kept: DataFrame, text: str, benchmark: DataFrame, window: int, shard_bytes: int, block_bytes: int) -> DataFrame:
     state = T._parse_datatype_string(_STATE)
     out = kept.select(
         "*", *(F.lit(0 if f.name == "n_words" else F.array()).cast(f.dataType).alias(f.name) for f in state)
@@ -242,18 +245,20 @@ def contamination(
     schema = T.StructType([*kept.schema, *state])
     none = block_of([], window)
     for block in [*blocks(benchmark, window, block_bytes)] or [none]:
-        out = out.mapInArrow(_scan(block, shard_bytes), schema)
+        out = out.mapInArrow(_scan(block, text, shard_bytes), schema)
     return out
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, *, window: int = 10, shard_bytes: int = 4 << 20, block_bytes: int = 16 << 20
+) -> DataFrame:
     """``docs`` without the rows in which a benchmark window occurs; columns unchanged.
 
     All cases as in ``contamination``; clashing columns are kept here.
     """
     names = docs.columns
-    plain = docs.select(*(F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)), F.col("text").alias("text"))
-    flagged = contamination(plain, benchmark, **options).where(F.size("items") == 0)
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    flagged = _flagged(plain, f"c{names.index('text')}", benchmark, window, shard_bytes, block_bytes).where(F.size("items") == 0)
     return flagged.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)))
 
 
@@ -275,7 +280,7 @@ def longest_matches(
 
         def scan(batches, block=block, suffix=suffix, item=item, first=first):
             for batch in slices(batches, "text", shard_bytes):
-                tokens, doc, counts = _shard(batch, block)
+                tokens, doc, counts = _shard(batch, "text", block)
                 words, place = known_runs(tokens, doc, least)
                 longest, at, _, _ = search(words, suffix_array(words), block)
                 found = np.flatnonzero(longest >= least)
