@@ -243,8 +243,7 @@ WHERE state = 'SMALL' GROUP BY city, state""",
             "dim_user": ("dim_user", _names(DIM_USER)),
             "dim_category": ("dim_category", ("category", "category_key")),
             "bridge_business_category": ("bridge", ("business_id", "category")),
-            # the partition column comes last in a stored table
-            "fact_review": ("fact_review", (*(c for c in FACT_REVIEW if c != "review_year"), "review_year")),
+            "fact_review": ("fact_review", FACT_REVIEW),
             "fact_checkin": ("fact_checkin", FACT_CHECKIN),
             "fact_tip": ("fact_tip", FACT_TIP),
             "rising_star_businesses": (f"({_RISING})", _REPORT),

@@ -19,15 +19,14 @@ from townsquare.plans import gold, quality, reports, rising
 from townsquare.plans.bronze import bronze_rows, ingest_bronze
 from townsquare.plans.frames import LazyFrames
 from townsquare.plans.pipeline import (
-    build_gold,
+    SILVER_TABLES,
     export_gold,
-    gold_layer,
     gold_plans,
     quality_checks,
     run_pipeline,
     silver_plans,
 )
-from townsquare.sinks import TableStore, write_files
+from townsquare.sinks import TableStore, run_writes, write_files
 from townsquare.sources import (
     ENTITIES,
     new_batch_id,
@@ -68,8 +67,7 @@ class Layers:
 
     def stored_silver(self, store: TableStore, *names: str) -> LazyFrames:
         """Silver tables written to a store once and read from there."""
-        for name in names:
-            store.write("silver", name, self.silver[name])
+        run_writes(self.spark, {name: partial(store.write, "silver", name, self.silver[name]) for name in names})
         return LazyFrames({name: partial(store.read, "silver", name) for name in names})
 
     def land(self, entity: str, path: str) -> str:
@@ -229,21 +227,17 @@ def _content(df: DataFrame, table: str) -> DataFrame:
 @_query
 def gold_export(layers: Layers) -> DataFrame:
     """Contents of the exported gold tables and the report, and the year folders of the fact."""
-    store = layers.new_store("gold")
-    layers.stored_silver(store, "business", "business_category", "review", "user", "checkin", "tip")
-    build_gold(store)
-    stored = gold_layer(store)
-    report = rising.rising_star(stored["fact_review"], stored["dim_business"], **RULE)
-    store.write("gold", "rising_star_businesses", report)
+    stored = layers.stored_silver(layers.new_store("silver"), *SILVER_TABLES)
+    frames = dict(gold_plans(stored))
+    frames["rising_star_businesses"] = rising.rising_star(frames["fact_review"], frames["dim_business"], **RULE)
     out = shared_dir(layers.spark, "gold-export")
-    written = export_gold(gold_layer(store), out)
-    read = {name: layers.spark.read.parquet(f"{out}/{name}") for name in written}
+    export_gold(frames, out)
+    read = {name: layers.spark.read.parquet(f"{out}/{name}").select(*df.columns) for name, df in frames.items()}
     years = read["fact_review"].select(F.regexp_extract(F.input_file_name(), "review_year=([^/]*)", 1).alias("y"))
     folders = years.distinct().agg(
         F.lit("fact_review folders").alias("table"), F.count(F.lit(1)).alias("row_count"), F.sum(F.coalesce(F.col("y").try_cast("bigint"), F.lit(0))).alias("content")
     )
-    order = {name: store.read("gold", name).columns for name in written}
-    return reduce(DataFrame.union, [_content(df.select(*order[name]), name) for name, df in read.items()]).union(folders)
+    return reduce(DataFrame.union, [_content(df, name) for name, df in read.items()]).union(folders)
 
 
 # Streaming
