@@ -106,3 +106,18 @@ def test_updates_follow_the_regularised_leader():
     strong = quality.Leader(np.zeros(3), np.zeros(3), l1=10.0)
     strong.learn(slots, values, 1)
     assert not strong.weights().any()
+
+
+def test_queries_on_the_supplied_tables(spark):
+    """Held-out rows of the supplied documents."""
+    from townsquare.llm import registry
+
+    where = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{where}/documents.parquet").select("doc_id", "lang")
+    found = registry.queries()["op9_language"](spark, where).join(docs, "doc_id").where("held_out")
+    n, right = found.agg(F.count("*"), F.count_if(F.col("lang") == F.col("lang_pred"))).first()
+    assert n > 200 and right >= 0.98 * n
+    labels = spark.read.parquet(f"{where}/labels.parquet")
+    rated = registry.queries()["op6_quality"](spark, where).join(labels, "doc_id").where("held_out")
+    n, right = rated.agg(F.count("*"), F.count_if(F.col("quality") == F.col("predicted"))).first()
+    assert n > 80 and right >= 0.95 * n

@@ -47,3 +47,20 @@ def test_rows_and_empty_table(spark):
     frame = pages(spark, [(None, None, None), (1, "http://a/", "<p>" + "long " * 100_000)])
     assert sorted(r["n_chars"] for r in webpages.extract(frame).collect()) == [0, 499_999]
     assert webpages.extract(frame.limit(0)).count() == 0
+
+
+def test_query_equals_brute_force(spark):
+    """The supplied pages hold one article each: its text with the tags taken out."""
+    import html
+    import re
+
+    from townsquare.llm import registry
+
+    source = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()
+    out = {r["page_id"]: r for r in registry.queries()["op7_webpages"](spark, "/root/testdata/sf0.001").collect()}
+    assert len(out) == len(source)
+    for page in source:
+        article = re.search(r"<article>(.*?)</article>", page["html"] or "", re.S)
+        expected = " ".join(html.unescape(re.sub(r"<[^>]*>", " ", article[1])).split()) if article else ""
+        row = out[page["page_id"]]
+        assert (row["url"], row["text"], row["n_chars"]) == (page["url"], expected, len(expected))

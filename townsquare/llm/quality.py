@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -104,6 +105,7 @@ def train(
     if not count:
         return Model(z, bits)
     parts = -(-count // rows_per_part)
+    passes = min(20, max(1, sample_rows // count))  # a small sample is read more often in each round
     part = F.pmod(F.xxhash64("text"), F.lit(parts))  # so many parts, however many partitions there are
     dealt = rows.withColumn("part", part).repartition(parts, "part").sortWithinPartitions("part", F.xxhash64("text", F.lit(1)))
     for _ in range(rounds):
@@ -111,14 +113,14 @@ def train(
 
         def learn(batches, start=start):
             leader, hasher, seen = Leader(*(x.copy() for x in start.value)), Hasher(bits), 0
-            for batch in batches:
-                for text, label in zip(texts(batch, "text"), batch.column("label").to_pylist()):
-                    slots, values = hasher.features(text)
-                    leader.learn(np.append(slots, size - 1), np.append(values, 0.3), label)
-                    seen += 1
+            examples = (x for b in batches for x in zip(texts(b, "text"), b.column("label").to_pylist()))
+            for text, label in examples if passes == 1 else chain.from_iterable(repeat(list(examples), passes)):
+                slots, values = hasher.features(text)
+                leader.learn(np.append(slots, size - 1), np.append(values, 0.3), label)
+                seen += 1
             before = start.value
             slots = np.flatnonzero((leader.z != before[0]) | (leader.n != before[1]))
-            change = [seen * (own[slots] - old[slots]) for own, old in zip((leader.z, leader.n), before)]
+            change = [seen // passes * (own[slots] - old[slots]) for own, old in zip((leader.z, leader.n), before)]
             yield pa.RecordBatch.from_arrays([pa.array(slots), *map(pa.array, change)], names=["slot", "z", "n"])
 
         states = dealt.mapInArrow(learn, "slot long, z double, n double").groupBy("slot")
