@@ -34,26 +34,39 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers, by way of their words.
 
     The tokenizer drops white space and never joins across it, so a text is the concatenation of its words, and a word of
-    letters is one piece that ends with a word-end token. New words are encoded many at a time; the ids of words of
-    letters are remembered, up to ``room`` words. Anything else goes to the tokenizer as it is.
+    letters is one piece that ends with a word-end token. New words are encoded many at a time; a word of Latin letters is
+    already normal but for its case, so the steps before the merges are left out for it. Words that are no letters but for
+    marks at their end go to the tokenizer as they are. The ids of ``room`` to twice as many words are remembered.
     """
 
-    def __init__(self, path: str, room: int = 300_000, bulk: int = 2_000) -> None:
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, room: int = 200_000, bulk: int = 2_000) -> None:
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer, self.room, self.bulk = Tokenizer.from_file(path), room, bulk
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytewise])
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, stems: list[str]) -> None:
+        latin = [s for s in stems if max(s) <= "ÿ"]
+        self._learn_by(self.plain, latin, [s.lower() for s in latin])
+        other = [s for s in stems if max(s) > "ÿ"]
+        self._learn_by(self.tokenizer, other, other)
+
+    def _learn_by(self, tokenizer, stems: list[str], forms: list[str]) -> None:
         for at in range(0, len(stems), self.bulk):
             some = stems[at : at + self.bulk]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            whole = " ".join(forms[at : at + self.bulk])
+            ids = np.array(tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, "<u4")
             last = np.flatnonzero(self.ends[ids]) + 1
             if len(last) == len(some) and last[-1] == len(ids):
                 data, start = ids.tobytes(), 0
@@ -65,11 +78,14 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [None if t and _ODD.search(t) else (t or "").split() for t in texts]
-        known = self.known
-        if len(known) > self.room:
-            known.clear()
+        if len(self.known) > self.room:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         flat = list(chain.from_iterable(x for x in split if x))
         new = set(flat).difference(known)
+        again = new.intersection(older)
+        known.update((w, older[w]) for w in again)
+        new -= again
         stems = {w: stem for w in new if (stem := w.rstrip(_MARKS)).isalpha()}
         self._learn(sorted(set(stems.values()).difference(known)))
         tails: dict[str, bytes] = {"": b""}
