@@ -264,8 +264,9 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFram
     members = stored(banded.join(shared.select("bucket", "low"), "bucket"), "members")
     labels = stored(members.select("node").distinct().withColumn("component", F.col("node")), "labels")
     own = labels.select(F.col("node").alias("doc_id"))
-    kept_texts = stored(docs.select(F.col("doc_id").cast("long"), "text").join(own, "doc_id", "left_semi"), "texts")
-    signatures = stored(sketches.select("doc_id", "signature").join(own, "doc_id", "left_semi"), "signatures")
+    kept_texts = docs.select(F.col("doc_id").cast("long"), "text").join(own, "doc_id", "left_semi")
+    kept_texts = stored(kept_texts.distinct(), "texts")  # repeated rows once
+    signatures = stored(sketches.select("doc_id", "signature").join(own, "doc_id", "left_semi").distinct(), "signatures")
 
     def join_up(pairs: DataFrame, labels: DataFrame) -> DataFrame:
         alive = promising(stored(pairs.distinct(), "pairs"), signatures, how)
