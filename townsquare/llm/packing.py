@@ -39,7 +39,7 @@ class Encoder:
     marks at their end go to the tokenizer as they are. The ids of ``room`` to twice as many words are remembered.
     """
 
-    def __init__(self, path: str, room: int = 200_000, bulk: int = 2_000) -> None:
+    def __init__(self, path: str, room: int = 350_000, bulk: int = 2_000) -> None:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer, self.room, self.bulk = Tokenizer.from_file(path), room, bulk
@@ -87,7 +87,7 @@ class Encoder:
         known.update((w, older[w]) for w in again)
         new -= again
         stems = {w: stem for w in new if (stem := w.rstrip(_MARKS)).isalpha()}
-        self._learn(sorted(set(stems.values()).difference(known)))
+        self._learn(list(set(stems.values()).difference(known)))
         tails: dict[str, bytes] = {"": b""}
         for word in new:
             if stem := stems.get(word):
@@ -129,7 +129,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, size: int = SIZE, unit: int = UNI
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part = encoder(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(size // unit + 2, np.int64)
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 4 << 20):
             rows: list[tuple] = []
             for doc, data in zip(batch.column("doc_id").to_pylist(), words.encode(batch.column("text").to_pylist())):
                 data += closing
