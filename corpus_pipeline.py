@@ -21,8 +21,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated chunks of lines. A document of which nothing is left goes."""
-    cut = linechunks.dedup_lines(docs.select(*COLUMNS))
+    """Texts without repeated runs of lines. A document of which nothing is left goes."""
+    cut = linechunks.dedup_runs(docs.select(*COLUMNS))
     left = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
     return left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 

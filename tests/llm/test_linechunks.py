@@ -78,3 +78,41 @@ def test_empty_table_and_long_text(documents):
 def test_no_python_in_the_plan(documents):
     plan = lc.dedup_lines(documents([(1, "a")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def earlier_runs(rows):
+    """Numbers of the lines of each document in runs of two or more lines that an earlier document has."""
+    known, out = set(), {}
+    for doc, text in sorted(rows):
+        lines = text.split("\n")
+        filled = [i for i, x in enumerate(lines) if x.strip()]
+        spans = [(a, b + 1, tuple(lines[a : b + 1])) for a, b in zip(filled, filled[1:])]
+        out[doc] = {i for a, b, w in spans if w in known for i in range(a, b)}
+        known |= {w for _, _, w in spans}
+    return out
+
+
+def test_every_run_of_two_lines_goes(documents):
+    import random
+
+    rng = random.Random(5)
+    block = [f"line {i}" for i in range(80)]
+    rows = []
+    for i in range(80):
+        at, n = rng.randrange(70), rng.randrange(2, 9)
+        rows.append((i, "\n".join([f"a {i}", *block[at : at + n], f"b {i}", block[rng.randrange(80)]])))
+    expected = earlier_runs(rows)
+    out = {r["doc_id"]: r for r in lc.dedup_runs(documents(rows)).collect()}
+    for doc, text in rows:
+        left = [x for i, x in enumerate(text.split("\n")) if i not in expected[doc]]
+        assert (out[doc]["text"], out[doc]["n_removed"]) == ("\n".join(left), len(expected[doc]))
+    assert sum(map(len, expected.values())) > 100 and {x for _, t in rows for x in t.split("\n")} == {x for r in out.values() for x in r["text"].split("\n")}
+
+
+def test_runs_inside_a_document_and_cases(documents):
+    rows = [(1, "a\nb\nc\na\nb"), (2, "d\nd\nd"), (3, None), (4, ""), (5, "c\n\nx"), (6, "c\n \nx"), (7, "c\n\nx\ny"), (8, "y\nx"), (None, "x\ny")]
+    out = {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in lc.dedup_runs(documents(rows)).collect()}
+    assert out[1] == ("a\nb\nc", 5, 2) and out[2] == ("d\nd\nd", 3, 0) and out[3] == (None, 0, 0) and out[4] == ("", 1, 0)
+    assert out[5][2] == out[6][2] == out[8][2] == out[None][2] == 0 and out[7] == ("", 4, 4)
+    plan = lc.dedup_runs(documents(rows))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

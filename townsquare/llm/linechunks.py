@@ -4,6 +4,9 @@ Lines are hashed; a rolling hash over the last few line hashes decides where a c
 alike wherever they stand. Chunks of several lines that occur more than once anywhere are removed but for their first
 occurrence. Chunks are counted as whole strings, which is the byte comparison; the long strings are exchanged once per
 task and text, all other exchanges carry 128-bit keys, and a key that two different texts share removes nothing.
+
+A repeat that no boundary cuts out, one of two lines for instance, has no chunk of its own. ``dedup_runs`` therefore takes
+every window of two lines beside the chunks, so that a repeated chunk grows as far as its neighbours repeat too.
 """
 
 from __future__ import annotations
@@ -15,13 +18,13 @@ MODULUS, BASE, MEAN, WINDOW = 2147483647, 1000003, 4, 2
 
 
 def _chunks(text: str, mean: int, window: int) -> Column:
-    """Array of (chunk, lines). Each one-element array binds a value, so that it is computed once per text."""
+    """Array of (chunk, lines, start). Each one-element array binds a value, so that it is computed once per text."""
     rolled = "0"
     for back in range(window - 1, -1, -1):
         line = f"element_at(h, i - {back})" if back == 0 else f"(CASE WHEN i > {back} THEN element_at(h, i - {back}) ELSE 0 END)"
         rolled = line if rolled == "0" else f"(({rolled}) * {BASE} + {line}) % {MODULUS}"
     before = "(CASE WHEN j = 0 THEN 0 ELSE element_at(e, j) END)"
-    chunk = f"named_struct('chunk', array_join(slice(l, {before} + 1, x - {before}), '\\n'), 'lines', x - {before})"
+    chunk = f"named_struct('chunk', array_join(slice(l, {before} + 1, x - {before}), '\\n'), 'lines', x - {before}, 'start', {before})"
     return F.expr(f"""
       transform(array(split({text}, '\\n', -1)), l ->
         transform(array(transform(l, x -> CAST(conv(substring(md5(CAST(x AS BINARY)), 1, 8), 16, 10) AS BIGINT) % {MODULUS})), h ->
@@ -76,6 +79,60 @@ def dedup_lines(docs: DataFrame, *, mean: int = MEAN, window: int = WINDOW) -> D
     return cut.select(*(F.col("text") if n == "text" else F.col(f"c{i}").alias(n) for i, n in enumerate(names)), "n_lines", "n_removed")
 
 
+def _windows(text: str) -> Column:
+    """Array of (start, lines, window): every two lines that are not blank, with the blank ones between them."""
+    return F.expr(f"""
+      transform(array(split({text}, '\\n', -1)), l ->
+        transform(array(filter(sequence(1, size(l)), i -> element_at(l, i) RLIKE '\\\\S')), f ->
+          transform(slice(f, 1, greatest(size(f) - 1, 0)), (x, j) ->
+            named_struct('start', x - 1, 'lines', element_at(f, j + 2) - x + 1,
+                         'window', array_join(slice(l, x, element_at(f, j + 2) - x + 1), '\\n'))))[0])[0]
+    """)
+
+
+def repeated_windows(docs: DataFrame) -> DataFrame:
+    """``doc``, ``mark`` (as in ``repeated``) and ``gone``: numbers, from 0, of the lines in windows that an earlier row
+    has, or the same row further up without overlap. Windows are compared as whole strings, but only those whose key
+    occurs twice."""
+    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc"), F.xxhash64("text").alias("mark"), "text")
+    keyed = own.select("doc", "mark", F.explode(_windows("text")).alias("w")).select(*_key("w.window"), "doc", "mark", "w.start", "w.lines")
+    twice = keyed.groupBy("k1", "k2").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("k1", "k2")
+    maybe = keyed.join(twice, ["k1", "k2"]).groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "lines")).alias("spans"))
+    cut = "struct(s.start AS start, array_join(slice(l, s.start + 1, s.lines), '\\n') AS window)"
+    some = own.join(maybe, ["doc", "mark"]).withColumn("w", F.expr(f"transform(array(split(text, '\\n', -1)), l -> transform(spans, s -> {cut}))[0]"))
+    strings = some.select("doc", "mark", F.explode("w").alias("w")).select("doc", "mark", "w.start", "w.window")
+    texts = strings.groupBy("window").agg(F.min(F.struct("doc", "mark", "start")).alias("first")).select(*_key("window"), "first")
+    keys = texts.groupBy("k1", "k2").agg(F.min("first").alias("first"), F.count("*").alias("texts")).where(F.col("texts") == 1)
+    found = keyed.join(keys.select("k1", "k2", "first"), ["k1", "k2"])
+    below = (F.col("doc") == F.col("first.doc")) & (F.col("mark") == F.col("first.mark"))
+    later = F.when(below, F.col("start") >= F.col("first.start") + F.col("lines")).otherwise(F.struct("doc", "mark") > F.struct("first.doc", "first.mark"))
+    spans = found.where(later).groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "lines")).alias("spans"))
+    lines = F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["lines"] - 1)))
+    return spans.select("doc", "mark", F.array_distinct(lines).alias("gone"))
+
+
+def dedup_runs(docs: DataFrame, *, mean: int = MEAN, window: int = WINDOW) -> DataFrame:
+    """As ``dedup_lines``, and every run of two or more lines with text that stands in an earlier row, or further up in
+    the same one, goes as well. Of each line that goes, an earlier one with the same text stays somewhere."""
+    names = [n for n in docs.columns if n not in ("n_lines", "n_removed")]
+    own = docs.select(*(F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)), F.col("text").alias("whole"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc"), F.xxhash64("text").alias("mark"))
+    removed = repeated(docs, mean=mean, window=window).join(repeated_windows(docs), ["doc", "mark"], "full")
+    marked = own.join(removed, ["doc", "mark"], "left").withColumn("chunks", F.when(F.col("places").isNotNull(), _chunks("whole", mean, window)))
+    cut = F.flatten(F.expr("transform(transform(places, p -> element_at(chunks, p + 1)), c -> sequence(c.start, c.start + c.lines - 1))"))
+    none = F.array().cast("array<int>")
+    marked = marked.withColumn("gone", F.array_union(F.coalesce(cut, none), F.coalesce("gone", none)))
+    split = F.split("whole", "\n", -1)
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))  # by hash, in order
+    some = F.size("gone") > 0
+    out = marked.withColumn("lines", split).select(
+        *(f"c{i}" for i in range(len(names))),
+        F.when(F.col("whole").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
+        F.size("gone").cast("long").alias("n_removed"),
+        F.when(some, F.array_join(F.transform(left, lambda i: F.element_at("lines", i + 1)), "\n")).otherwise(F.col("whole")).alias("text"),
+    )
+    return out.select(*(F.col("text") if n == "text" else F.col(f"c{i}").alias(n) for i, n in enumerate(names)), "n_lines", "n_removed")
+
+
 #: The same in DuckDB: lines with their rolling hash, chunks between boundaries, first occurrences by content.
 ORACLE_CTE = f"""
 line_rows AS (
