@@ -20,6 +20,21 @@ def test_broken_markup():
     assert read("<article>a</article><article class='comment'>b</article><article>c</article>") == "a c"
 
 
+def test_names_do_not_lose_the_article():
+    read = lambda h: webpages.text(webpages.content(webpages.read(h)))
+    for names in ("class=no-sidebar", "class='site-content has-sidebar'", "class='post has-comments'", "class=category-social", "id=privacy-notice", "class=widget", "id=social"):
+        assert read(f"<body><div {names}><article><h1>T</h1><p>x</p></article></div></body>") == "T x", names
+        assert read(f"<body><nav>n</nav><article {names}><h1>T</h1><p>x</p></article></body>") == "T x", names
+        assert read(f"<body><p>before</p><div {names}><main>x</main></div></body>") == "x", names
+        assert read(f"<main>y<div {names}><article>x</article></div></main>") in ("x", "y x"), names
+    assert read("<article><header class=entry-header><h1>T</h1></header>x</article>") == "T x"
+    assert read("<article><header class=header><h1>T</h1></header>x</article>") == "T x"
+    assert read("<main>a</main><p>between</p><main>b<main>c</main></main>") == "a b c"
+    assert read("<article>x</article><div class=related><article>other</article></div>") == "x"
+    assert read("<article>x<section class=comments><article>nice</article></section></article>") == "x"
+    assert read("<article>x<div class='box cookie-banner'>Accept</div></article>") == "x"
+
+
 def pages(spark, rows):
     return spark.createDataFrame([(i, u, h, "x") for i, u, h in rows], "page_id long, url string, html string, text string")
 

@@ -32,7 +32,13 @@ ROLES = set("navigation banner contentinfo complementary search alert alertdialo
 FURNITURE = set(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies "
     "consent disqus footer header masthead menu modal nav navbar navigation newsletter notice notices popup promo promotion "
-    "related share sharing sidebar social sponsor sponsored subscribe subscription widget".split()
+    "related share sharing sidebar social sponsor sponsored subscribe subscription widget "
+    # names that sites and their software often give
+    "ad-banner ad-box ad-container ad-slot ad-unit ad-wrapper adsbygoogle breadcrumb-nav comment-form comment-list comments-area "
+    "comments-section cookie-banner cookie-bar cookie-consent cookie-notice footer-widgets main-menu main-nav main-navigation "
+    "nav-bar nav-menu newsletter-form newsletter-signup page-footer post-navigation related-articles related-posts share-bar "
+    "share-buttons sharing-buttons side-bar sidebar-left sidebar-right site-footer site-header site-nav site-navigation "
+    "social-icons social-links social-media social-share top-bar widget-area".split()
 )
 CLOSES_PARAGRAPH = set(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
@@ -46,27 +52,34 @@ ENDS = {
 SCOPES = set("ul ol dl table article section div body nav aside main".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _SPACE = re.compile(r"\s+")
-_MARK = re.compile(r"[^a-z0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "parts", "digest")
+    __slots__ = ("tag", "attrs", "parts", "digest", "spared")
 
     def __init__(self, tag: str, attrs: dict[str, str]) -> None:
-        self.tag, self.attrs, self.parts, self.digest = tag, attrs, [], 0
+        self.tag, self.attrs, self.parts, self.digest, self.spared = tag, attrs, [], 0, False
 
     @property
-    def furniture(self) -> bool:
-        """Whether tag, role, class or id name it as no part of an article."""
+    def never(self) -> bool:
+        """Whether tag, role or visibility say that it is no part of an article."""
         a = self.attrs
         if self.tag in NEVER or "hidden" in a or a.get("aria-hidden") == "true" or a.get("role") in ROLES:
             return True
-        if "display:none" in a.get("style", "").replace(" ", ""):
-            return True
+        return "display:none" in a.get("style", "").replace(" ", "")
+
+    @property
+    def marked(self) -> bool:
+        """Whether a whole class name or the id says so; a part of a name ('has-sidebar') says nothing."""
+        a = self.attrs
         if self.tag in ("html", "body", "main") or not a:
             return False
-        marks = set(_MARK.split(f"{a.get('class', '')} {a.get('id', '')}".lower()))
-        return bool(marks & FURNITURE)
+        names = {*a.get("class", "").lower().split(), a.get("id", "").lower()}
+        return bool(names & FURNITURE - {self.tag})
+
+    @property
+    def furniture(self) -> bool:
+        return self.never or self.marked and not self.spared
 
 
 class Reader(HTMLParser):
@@ -130,23 +143,43 @@ def walk(root: Element) -> Iterator[tuple[Element, bool]]:
             stack += [(x, False) for x in reversed(element.parts) if isinstance(x, Element)]
 
 
+def _is_main(element: Element) -> bool:
+    return element.tag == "main" or element.attrs.get("role") == "main"
+
+
 def content(root: Element) -> list[Element]:
-    """The outermost articles that are no furniture; without one the main element, else the body."""
-    articles, mains, bodies = [], [], []
-    stack = [root]
+    """The outermost articles; without one all main elements, else the bodies.
+
+    An article or main element that a class or id marks, itself or on an element around it, counts where the page has no
+    other; then no element around an article or main is furniture by its names.
+    """
+    articles, mains, bodies, doubtful = [], [], [], []
+    stack = [(root, False, False)]
     while stack:
-        element = stack.pop()
-        if element is not root and element.furniture:
+        element, doubt, within = stack.pop()
+        if element is not root and element.never:
             continue
+        doubt |= element is not root and element.marked
         if element.tag == "article":
-            articles.append(element)
+            (doubtful if doubt else articles).append(element)
             continue
-        if element.tag == "main" or element.attrs.get("role") == "main":
-            mains.append(element)
+        if _is_main(element) and not within:
+            (doubtful if doubt else mains).append(element)
+            within = True
         if element.tag == "body":
             bodies.append(element)
-        stack += [x for x in reversed(element.parts) if isinstance(x, Element)]
-    return articles or mains[:1] or bodies[:1] or [root]
+        stack += [(x, doubt, within) for x in reversed(element.parts) if isinstance(x, Element)]
+    if articles:
+        return articles
+    holds = set()
+    for element, done in walk(root) if doubtful else ():
+        if done and (element.tag == "article" or _is_main(element) or any(id(x) in holds for x in element.parts)):
+            holds.add(id(element))
+            element.spared = True
+    if mains or not doubtful:
+        return mains or bodies or [root]
+    inner = {id(x) for d in doubtful for x, done in walk(d) if not done and x is not d}
+    return [x for x in doubtful if id(x) not in inner]
 
 
 def text(roots: list[Element], template: set[int] = frozenset()) -> str:
