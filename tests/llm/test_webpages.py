@@ -58,6 +58,18 @@ def test_passages_of_articles_stay(spark):
     assert out == {i: f"Shared Own {i}" for i in range(20)}
 
 
+def test_site_blocks_inside_articles_go(spark):
+    menu = "<ul><li><a href=/a>Start here</a><li><a href=/b>All topics</a></ul>"
+    rows = []
+    for i in range(12):
+        body = f"<p>Shared passage</p><div class=x><p>Quoted by many</p></div>{menu}<p>Own {i}</p>"
+        rows.append((i, "https://a.org/", f"<body><article><h1>Title {i}</h1><div><p>Read our letter</p></div>{body}<section>Sign up now</section></article></body>"))
+    rows += [(50 + i, f"https://b{i}.org/", rows[i][2]) for i in range(12)]
+    out = {r["page_id"]: r["text"] for r in webpages.extract(pages(spark, rows)).collect()}
+    assert all(out[i] == f"Title {i} Shared passage Quoted by many Own {i}" for i in range(12))
+    assert out[50] == "Title 0 Read our letter Shared passage Quoted by many Start here All topics Own 0 Sign up now"
+
+
 def test_rows_and_empty_table(spark):
     frame = pages(spark, [(None, None, None), (1, "http://a/", "<p>" + "long " * 100_000)])
     assert sorted(r["n_chars"] for r in webpages.extract(frame).collect()) == [0, 499_999]

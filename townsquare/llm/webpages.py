@@ -2,8 +2,9 @@
 
 Every element of a page is hashed with all that it holds. Spark counts, per host, on how many different pages each hash
 occurs; an element whose hash recurs on many pages of the host is deleted from all of them. Pages count by the text of
-their content, so copies of one page are one page. An article's own paragraphs are never taken for a template: passages
-that several articles share are text.
+their content, so copies of one page are one page. Inside an article only blocks that their place or markup tells apart
+from prose are counted: containers that come first or last, or whose text is mostly links. Passages that several articles
+share are text.
 """
 
 from __future__ import annotations
@@ -50,15 +51,19 @@ ENDS = {
     "option": {"option"}, "body": {"head"},
 }
 SCOPES = set("ul ol dl table article section div body nav aside main".split())
+#: what can be a template inside an article, and the share of its text in links from which it is one anywhere
+CONTAINERS = set("div section ul ol dl table details fieldset center".split())
+LINKED = 0.5
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _SPACE = re.compile(r"\s+")
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "parts", "digest", "spared")
+    __slots__ = ("tag", "attrs", "parts", "digest", "mark", "spared", "size", "linked")
 
     def __init__(self, tag: str, attrs: dict[str, str]) -> None:
         self.tag, self.attrs, self.parts, self.digest, self.spared = tag, attrs, [], 0, False
+        self.mark = self.size = self.linked = 0
 
     @property
     def never(self) -> bool:
@@ -147,6 +152,11 @@ def _is_main(element: Element) -> bool:
     return element.tag == "main" or element.attrs.get("role") == "main"
 
 
+def walk_all(roots: list[Element]) -> Iterator[tuple[Element, bool]]:
+    for root in roots:
+        yield from walk(root)
+
+
 def content(root: Element) -> list[Element]:
     """The outermost articles; without one all main elements, else the bodies.
 
@@ -193,7 +203,7 @@ def text(roots: list[Element], template: set[int] = frozenset()) -> str:
             out.append(part)
             continue
         own = id(part) in inside
-        if not own and (part.furniture or part.digest in template):
+        if not own and (part.furniture or part.mark in template):
             continue
         if part.tag == "header" and not own:
             headings = [e for e, done in walk(part) if not done and e.tag in HEADINGS]
@@ -204,33 +214,69 @@ def text(roots: list[Element], template: set[int] = frozenset()) -> str:
     return _SPACE.sub(" ", "".join(out)).strip()
 
 
+def _filled(element: Element) -> list[Element | str]:
+    """The parts that can show text."""
+    return [x for x in element.parts if (x.size and not x.furniture if isinstance(x, Element) else x.strip())]
+
+
+def _edges(article: Element) -> set[int]:
+    """The first and the last blocks of an article, headings before them left out, and the first and last in those."""
+    found = set()
+    for end in (0, -1):
+        element = article
+        while True:
+            parts = _filled(element)
+            while end == 0 and parts and isinstance(parts[0], Element) and (parts[0].tag in HEADINGS or parts[0].tag == "header"):
+                parts.pop(0)
+            if not parts or isinstance(parts[end], str):
+                break
+            element = parts[end]
+            found.add(id(element))
+    return found
+
+
 def hash_elements(root: Element, roots: list[Element]) -> set[int]:
-    """Hash the elements outside articles, each with all it holds; returns the hashes of those with text or elements."""
-    articles = {id(x) for x in roots if x.tag == "article"}
+    """Hash the elements that ``text`` reads, each with all it holds, and mark those that can be a template: outside
+    articles all, inside only containers at an edge of the article or mostly of links. Returns the marks of those with
+    text or elements."""
     found: set[int] = set()
-    skip = 0
-    for element, done in walk(root):
-        if id(element) in articles:
-            skip += -1 if done else 1
-            if done:
-                element.digest = 0
-            continue
-        if skip or not done:
+    own = {id(x) for x in roots}
+    for element, done in walk_all(roots):
+        if not done:
             continue
         digest = hashlib.blake2b(f"{element.tag} {element.attrs.get('class', '')} {element.attrs.get('id', '')}".encode(), digest_size=8)
-        filled = holds_article = False
+        holds_article = False
         for part in element.parts:
             if isinstance(part, Element):
                 digest.update(part.digest.to_bytes(8, "little", signed=True))
-                filled = True
                 holds_article |= part.digest == 0
-            elif own := _SPACE.sub(" ", part).strip():
-                digest.update(b"\x00" + own.encode())
-                filled = True
+                element.size += part.size
+                element.linked += part.linked
+            elif text_of := _SPACE.sub(" ", part).strip():
+                digest.update(b"\x00" + text_of.encode())
+                element.size += len(text_of)
+        if element.tag == "a":
+            element.linked = element.size
         # what holds an article differs with it and is no template
+        holds_article |= element.tag == "article"
         element.digest = 0 if holds_article else int.from_bytes(digest.digest(), "little", signed=True) or 1
-        if filled and element.digest and element.tag not in ("html", "body", "main"):
-            found.add(element.digest)
+    stack: list[tuple[Element, set[int] | None]] = [(x, None) for x in roots]
+    while stack:
+        element, edges = stack.pop()
+        if id(element) not in own:
+            if element.furniture:
+                continue
+            filled = any(isinstance(x, Element) or x.strip() for x in element.parts)
+            if edges is None:
+                element.mark = element.digest
+            elif element.tag in CONTAINERS and (id(element) in edges or element.linked >= LINKED * element.size > 0):
+                # another mark than that of the same element outside articles
+                element.mark = element.digest and (element.digest ^ 0x5BD1E995 or 1)
+            if filled and element.mark and element.tag not in ("html", "body", "main"):
+                found.add(element.mark)
+        if element.tag == "article" and edges is None:
+            edges = _edges(element)
+        stack += [(x, edges) for x in element.parts if isinstance(x, Element)]
     return found
 
 
@@ -257,7 +303,7 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def templates(pages: DataFrame, *, least_pages: int = 4, share: float = 0.3) -> DataFrame:
-    """``host`` and ``template``: hashes of elements outside articles that occur on at least ``least_pages`` different
+    """``host`` and ``template``: marks of elements (see ``hash_elements``) that occur on at least ``least_pages`` different
     pages of the host and on ``share`` of them. A host's list has at most (elements of its pages) / share entries."""
     sited = pages.select(host().alias("host"), "html").where(F.col("host") != "")
     counts = sited.mapInArrow(_elements, "host string, element long, page long").distinct()
