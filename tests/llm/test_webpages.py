@@ -70,6 +70,16 @@ def test_site_blocks_inside_articles_go(spark):
     assert out[50] == "Title 0 Read our letter Shared passage Quoted by many Start here All topics Own 0 Sign up now"
 
 
+def test_templates_do_not_depend_on_the_size_of_a_host(spark):
+    rows = [(i, "http://a.org/", f"<body><div>Notice</div><p>Own {i}</p></body>") for i in range(5)]
+    more = [(5 + i, "http://a.org/", f"<body><p>Other {i}</p></body>") for i in range(60)]
+    rare = [(90 + i, "http://b.org/", f"<body><div>Notice</div><p>Own {i}</p></body>") for i in range(3)]
+    for given in (rows + rare, rows + more + rare):
+        out = {r["page_id"]: r["text"] for r in webpages.extract(pages(spark, given)).collect()}
+        assert [out[i] for i in range(5)] == [f"Own {i}" for i in range(5)] and out[90] == "Notice Own 0"
+        assert len(out) == len(given) and all(out[5 + i] == f"Other {i}" for i in range(60) if 5 + i in out)
+
+
 def test_rows_and_empty_table(spark):
     frame = pages(spark, [(None, None, None), (1, "http://a/", "<p>" + "long " * 100_000)])
     assert sorted(r["n_chars"] for r in webpages.extract(frame).collect()) == [0, 499_999]

@@ -284,36 +284,37 @@ def host() -> Column:
     return F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def _page_keys() -> list[Column]:
+    return [F.xxhash64("html").alias("k1"), F.xxhash64(F.lit("second"), "html").alias("k2")]
+
+
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hosts, pages, marks = [], [], []
-        for site, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        marks, pages, rows = [], [], []
+        for i, html in enumerate(batch.column("html").to_pylist()):
             root = read(html)
             roots = content(root)
             page = hashlib.blake2b(text(roots).encode(), digest_size=8).digest()
             found = hash_elements(root, roots)
-            found.add(0)  # the page itself
-            hosts += [site] * len(found)
+            rows += [i] * len(found)
             pages += [int.from_bytes(page, "little", signed=True)] * len(found)
             marks += found
+        own = [batch.column(n).take(pa.array(rows, pa.int64())) for n in ("host", "k1", "k2")]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(marks, pa.int64()), pa.array(pages, pa.int64())],
-            names=["host", "element", "page"],
+            [*own, pa.array(marks, pa.int64()), pa.array(pages, pa.int64())], names=["host", "k1", "k2", "element", "page"]
         )
 
 
-def templates(pages: DataFrame, *, least_pages: int = 4, share: float = 0.3) -> DataFrame:
-    """``host`` and ``template``: marks of elements (see ``hash_elements``) that occur on at least ``least_pages`` different
-    pages of the host and on ``share`` of them. A host's list has at most (elements of its pages) / share entries."""
-    sited = pages.select(host().alias("host"), "html").where(F.col("host") != "")
-    counts = sited.mapInArrow(_elements, "host string, element long, page long").distinct()
-    counts = counts.groupBy("host", "element").agg(F.count("*").alias("n"))
+def templates(pages: DataFrame, *, least_pages: int = 4) -> DataFrame:
+    """``host``, ``k1``, ``k2`` (a page by the hashes of its html) and ``template``: marks of its elements (see
+    ``hash_elements``) that occur on at least ``least_pages`` different pages of the host, however many it has."""
+    sited = pages.select(host().alias("host"), "html", *_page_keys()).where(F.col("host") != "")
     # read twice below, and pages are dear to parse
-    counts = stored(counts.where((F.col("element") == 0) | (F.col("n") >= least_pages)), "elements")
-    whole = counts.where(F.col("element") == 0).select("host", F.col("n").alias("pages"))
-    many = counts.where(F.col("element") != 0).join(whole, "host").where(F.col("n") >= share * F.col("pages"))
-    # stored, so that the join with the pages starts from two exchanges and a hot host can be split
-    return stored(many.groupBy("host").agg(F.collect_list("element").alias("template")), "templates")
+    rows = stored(sited.mapInArrow(_elements, "host string, k1 long, k2 long, element long, page long"), "elements")
+    counts = rows.select("host", "element", "page").distinct().groupBy("host", "element").agg(F.count("*").alias("n"))
+    many = counts.where(F.col("n") >= least_pages).select("host", "element")
+    found = rows.join(many, ["host", "element"])
+    return found.groupBy("host", "k1", "k2").agg(F.collect_set("element").alias("template"))
 
 
 def extract(pages: DataFrame, **options) -> DataFrame:
@@ -322,8 +323,8 @@ def extract(pages: DataFrame, **options) -> DataFrame:
     NULL or empty html gives an empty text, as does a page without content. A page without a host has no site template.
     Repeated rows are treated alike; other columns are not read.
     """
-    own = pages.select("page_id", "url", "html", host().alias("host"))
-    known = own.join(templates(pages, **options), "host", "left").select("page_id", "url", "html", "template")
+    own = pages.select("page_id", "url", "html", host().alias("host"), *_page_keys())
+    known = own.join(templates(pages, **options), ["host", "k1", "k2"], "left").select("page_id", "url", "html", "template")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
