@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from townsquare.llm import chat, language, linechunks, neardup, packing, quality, recompress, suffixes, topk, webpages
+from townsquare.llm import alignment, chat, language, linechunks, neardup, packing, quality, recompress, suffixes, topk, webpages
 from townsquare.llm.common import table, tokenizer_path
 
 
@@ -54,6 +54,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(turns.unionByName(extra))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), *alignment.vocabularies()).drop("groups")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -66,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substrings": op8_substrings,
         "op9_language": op9_language,
         "op10_chat": op10_chat,
+        "op11_alignment": op11_alignment,
     }
 
 
