@@ -1,0 +1,90 @@
+import hashlib
+
+import numpy as np
+import pytest
+
+from townsquare.llm import anchors
+
+
+def brute(rows, parts=4, entries=256, scale=1024, rounds=4):
+    """Every part against every entry."""
+    good = [(i, np.floor(scale * np.array(v, float)).astype(np.int64), label) for i, v, label in rows
+            if v and all(x is not None and np.isfinite(x) for x in v)]
+    seeds = sorted((r for r in good if r[0] is not None), key=lambda r: (r[0], r[1].tolist()))[:entries]
+    split = [np.split(x, parts) for _, x, _ in good]
+    books = [[np.split(x, parts)[k].copy() for _, x, _ in seeds] for k in range(parts)]
+
+    def nearest(k, x):
+        away = [int(((x - e) ** 2).sum()) for e in books[k]]
+        return away.index(min(away)), min(away)
+
+    for _ in range(rounds):
+        own = [[nearest(k, x[k])[0] for x in split] for k in range(parts)]
+        for k in range(parts):
+            for e in set(own[k]):
+                members = [x[k] for x, o in zip(split, own[k]) if o == e]
+                books[k][e] = np.array(sum(members)) // len(members)
+    digest = hashlib.sha256(",".join(str(int(v)) for b in books for e in b for v in e).encode()).hexdigest()
+    out, totals = [], {}
+    for (i, _, label), x in zip(good, split):
+        found = [nearest(k, x[k]) for k in range(parts)]
+        error = sum(d for _, d in found)
+        totals[label] = totals.get(label, 0) + error
+        out.append((i, "".join(f"{e:02x}" for e, _ in found), error, label))
+    return sorted(((i, c, e, totals[l], digest) for i, c, e, l in out), key=repr)
+
+
+def rows(found):
+    names = ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    return sorted((tuple(r[n] for n in names) for r in found.collect()), key=repr)
+
+
+SCHEMA = "vec_id long, vector array<float>, label int, code string, point int"
+
+
+@pytest.mark.parametrize("tile_bytes", [1 << 20, 700])
+@pytest.mark.parametrize("entries", [256, 7])
+def test_equals_brute_force(spark, entries, tile_bytes):
+    rng = np.random.default_rng(entries)
+    centres = rng.normal(size=(6, 8)) / 4
+    vectors = [[float(np.float32(x)) for x in centres[rng.integers(6)] + rng.normal(size=8) / (200 if i % 3 else 3)] for i in range(260)]
+    data = [(int(i), v, int(rng.integers(3)) if i % 5 else None) for i, v in zip(rng.permutation(1000), vectors)]
+    data += [(2000 + i, vectors[3], 1) for i in range(90)]  # many copies
+    data += [(data[5][0], vectors[7], 2), (data[6]), (None, vectors[8], 0)]  # repeated id, repeated row, no id
+    data += [(3000, None, 1), (3001, [0.5] * 7 + [None], 1), (3002, [float("nan")] * 8, 1), (3003, [float("inf")] * 8, None), (3004, [], 1)]
+    data += [(3005 + i, [float(x) for x in rng.integers(-2, 3, 8) / 2], 4) for i in range(60)]  # ties
+    docs = spark.createDataFrame([(*r, "x", 1) for r in data], SCHEMA).repartition(3)
+    assert rows(anchors.compress(docs, entries=entries, tile_bytes=tile_bytes)) == brute(data, entries=entries)
+
+
+def test_walk_owns_whole_balls_and_every_point_once():
+    rng = np.random.default_rng(1)
+    points = np.concatenate([rng.integers(-3, 4, (200, 4)) + c for c in ([0] * 4, [500] * 4, [-500, 500, 0, 0])]).astype(np.int32)
+    tree, entries = anchors.build(points), np.array([[0] * 4, [500] * 4, [-500, 500, 0, 0], [0] * 4])
+    owned = [(b, o) for b, o, leaf in anchors.walk(tree, entries) if leaf < 0]
+    assert sum(int((tree.stop - tree.start)[b].sum()) for b, _ in owned) == 600  # no point had to be compared
+    assert sorted(tree.order.tolist()) == list(range(600))
+    assert anchors.assign(tree, points, entries).tolist() == [0] * 200 + [1] * 200 + [2] * 200
+    sums, counts = anchors.gather(tree, points, entries)
+    assert counts.tolist() == [200, 200, 200, 0] and (sums[1] == points[200:400].sum(axis=0)).all()
+
+
+def test_balls_hold_their_points_and_cache_their_sums():
+    points = np.random.default_rng(2).integers(-1000, 1000, (700, 5)).astype(np.int32)
+    tree = anchors.build(points)
+    for i in range(len(tree.start)):
+        own = points[tree.order[tree.start[i] : tree.stop[i]]]
+        assert (own.sum(axis=0) == tree.sums[i]).all()
+        assert np.sqrt(((own - tree.centre[i]) ** 2).sum(axis=1)).max() <= tree.radius[i] + 1e-9
+        if tree.left[i] >= 0:
+            assert {tree.start[tree.left[i]], tree.start[tree.right[i]]} == {tree.start[i], tree.stop[tree.left[i]]}
+    again = anchors.Tree.load(tree.dump())
+    assert (again.order == tree.order).all() and len(again.left) == len(tree.left)
+
+
+def test_empty_and_unfit_tables(spark):
+    assert anchors.compress(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert anchors.compress(spark.createDataFrame([(1, None, 1, "x", 1)], SCHEMA)).count() == 0
+    for vectors in ([[1.0] * 4, [1.0] * 8], [[1.0] * 6], [[1e9] * 4]):
+        with pytest.raises(Exception):
+            anchors.compress(spark.createDataFrame([(i, v, 1, "x", 1) for i, v in enumerate(vectors)], SCHEMA).coalesce(1)).count()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from townsquare.llm import alignment, chat, language, linechunks, neardup, packing, quality, recompress, suffixes, topk, webpages
+from townsquare.llm import alignment, anchors, chat, divergence, language, linechunks, neardup, packing, quality, recompress, suffixes, topk, webpages
 from townsquare.llm.common import table, tokenizer_path
 
 
@@ -58,6 +58,14 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), *alignment.vocabularies()).drop("groups")
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.report(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchors.compress(table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"), "label"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -71,6 +79,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_language": op9_language,
         "op10_chat": op10_chat,
         "op11_alignment": op11_alignment,
+        "op12_divergence": op12_divergence,
+        "op13_vector_codes": op13_vector_codes,
     }
 
 
@@ -200,4 +210,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_line_dedup": linechunks.ORACLE_SQL,
         "op8_substrings": _OP8,
         "op10_chat": _chat_sql(),
+        "op12_divergence": divergence.oracle_sql(),
+        "op13_vector_codes": anchors.oracle_sql(),
     }
