@@ -16,6 +16,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,9 +49,14 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class Side:
     """One tokenizer: ids, coarse spans and decoded bytes."""
 
-    #: decoded bytes by id, and their lengths
+    #: decoded bytes by id, their lengths, and the ids in decimal with a mark behind
     data: list[bytes]
     lengths: np.ndarray
+    marked: dict[str, np.ndarray]
+
+    def put(self, data: list[bytes]) -> None:
+        self.data, self.lengths = data, np.array([len(x) for x in data])
+        self.marked = {m: np.array([f"{i}{m}" for i in range(len(data))], object) for m in ",|;\n"}
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and the first and last byte (exclusive) of the characters each token has a part in."""
@@ -80,16 +86,16 @@ class OffsetSide(Side):
         self.tokenizer.encode_special_tokens = True
         letters = byte_letters()
         vocabulary = self.tokenizer.get_vocab()
-        self.data = [b""] * (max(vocabulary.values()) + 1)
+        data = [b""] * (max(vocabulary.values()) + 1)
         special = {t["content"] for t in json.loads(self.tokenizer.to_str())["added_tokens"]}
         for token, i in vocabulary.items():
-            self.data[i] = token.encode() if token in special else bytes(letters[c] for c in token)
-        self.lengths = np.array([len(x) for x in self.data])
+            data[i] = token.encode() if token in special else bytes(letters[c] for c in token)
+        self.put(data)
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         found = self.tokenizer.encode(text, add_special_tokens=False)
         ids = np.array(found.ids, np.int64)
-        offsets = np.array(found.offsets, np.int64).reshape(-1, 2)
+        offsets = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(ids)).reshape(-1, 2)
         raw = np.frombuffer(text.encode(), np.uint8)
         at = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))  # first byte of each character
         return ids, at[offsets[:, 0]], at[offsets[:, 1]]
@@ -102,19 +108,19 @@ class ProtoSide(Side):
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_file=path)
-        self.data = []
+        data = []
         for i in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(i)
             whole = bytes([int(piece[3:-1], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode()
-            self.data.append(whole)
+            data.append(whole)
             if " " in whole.decode("utf-8", "replace").lstrip(" "):
                 raise ValueError(f"piece {piece!r} goes on across a space; texts can't be cut into chunks")
-        self.lengths = np.array([len(x) for x in self.data])
+        self.put(data)
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         # the immutable proto of earlier versions is called proto in this one; its spans lack the space put before
         pieces = self.model.encode(text[1:], return_type="proto", num_threads=1).pieces
-        found = np.array([(p.id, p.begin, p.end) for p in pieces], np.int64).reshape(-1, 3)
+        found = np.fromiter((x for p in pieces for x in (p.id, p.begin, p.end)), np.int64).reshape(-1, 3)
         begin, end = found[:, 1] + 1, found[:, 2] + 1
         begin[:1] = 0
         return found[:, 0], begin, end
@@ -137,8 +143,8 @@ def chunks(text: str) -> list[str]:
 class Aligner:
     """Chunks aligned so far, as rows of arrays. ``rows_of`` gives the rows of a text's chunks."""
 
-    def __init__(self, first: Side, second: Side, bulk: int = 1 << 16) -> None:
-        self.first, self.second, self.bulk = first, second, bulk
+    def __init__(self, first: Side, second: Side, bulk: int = 1 << 16, room: int = 250_000) -> None:
+        self.first, self.second, self.bulk, self.room = first, second, bulk, room
         self.clear()
 
     def clear(self) -> None:
@@ -165,7 +171,7 @@ class Aligner:
         ends. Groups never cross chunks: both sides end at each chunk's end."""
         text = _GUARD + "".join(lot)
         raw = text.encode()
-        bounds = np.cumsum([len(_GUARD), *(len(c.encode()) for c in lot)])
+        bounds = np.cumsum([len(_GUARD), *map(len, map(str.encode, lot))])
         sides = []
         for side in (self.first, self.second):
             ids, ends = side.ends(text)
@@ -192,16 +198,19 @@ class Aligner:
         counts[:, 4] = 1
         keys, times = self._pairs(a, a_group, b, b_group, chunk_of)
         counts[:, 5] = np.bincount(keys[:, 0], minlength=len(lot)) if len(keys) else 0
-        # one text per chunk: `a1,a2|b1;a3|b2`
-        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        a_stop, b_stop = np.cumsum(n_a).tolist(), np.cumsum(n_b).tolist()
-        parts: list[list[str]] = [[] for _ in lot]
-        a_at = b_at = 0
-        for chunk, a_to, b_to in zip(chunk_of.tolist(), a_stop, b_stop):
-            if chunk >= 0:
-                parts[chunk].append(f"{','.join(a_text[a_at:a_to])}|{','.join(b_text[b_at:b_to])}")
-            a_at, b_at = a_to, b_to
-        self._add(counts, keys[:, 1], times, [";".join(p) for p in parts])
+        self._add(counts, keys[:, 1], times, self._texts(a, a_group, n_a, b, b_group, n_b, chunk_of))
+
+    def _texts(self, a, a_group, n_a, b, b_group, n_b, chunk_of) -> list[str]:
+        """A text per chunk, `a1,a2|b1;a3|b2`: ids with the mark that follows each, laid out in order."""
+        out = np.empty(len(a) + len(b), object)
+        a_last, b_last = np.append(a_group[1:] != a_group[:-1], True), np.append(b_group[1:] != b_group[:-1], True)
+        a_at = np.arange(len(a)) + (np.cumsum(n_b) - n_b)[a_group]
+        b_at = np.arange(len(b)) + np.cumsum(n_a)[b_group]
+        closing = np.append(chunk_of[1:] != chunk_of[:-1], True)[b_group]
+        out[a_at] = np.where(a_last, self.first.marked["|"][a], self.first.marked[","][a])
+        ending = np.where(closing, self.second.marked["\n"][b], self.second.marked[";"][b])
+        out[b_at] = np.where(b_last, ending, self.second.marked[","][b])
+        return "".join(out.tolist()).split("\n")[1:-1]  # without the guard's
 
     @staticmethod
     def _pairs(a, a_group, b, b_group, chunk_of) -> tuple[np.ndarray, np.ndarray]:
@@ -233,21 +242,23 @@ class Aligner:
         """Of each text n_a, n_b, n_groups, n_links (zeros where a side does not give the text back), its groups, and rows
         (text, pair, times) sorted by text and pair."""
         split = [chunks(t) if t else [] for t in texts]
-        self.learn(sorted({c for s in split for c in s if c not in self.row}))
-        row = self.row
-        rows = [[row[c] for c in s] for s in split]
-        counts = np.concatenate(self.counts) if self.counts else np.zeros((0, 6), np.int64)
-        pairs = np.concatenate(self.pairs) if self.pairs else _EMPTY
-        times = np.concatenate(self.times) if self.times else _EMPTY
+        if len(self.row) > self.room:
+            self.clear()
+        self.learn(list(set(chain.from_iterable(split)).difference(self.row)))
+        lengths = [len(own) for own in split]
+        flat = np.array(list(map(self.row.__getitem__, chain.from_iterable(split))), np.int64)
+        for name, none in (("counts", np.zeros((0, 6), np.int64)), ("pairs", _EMPTY), ("times", _EMPTY)):
+            setattr(self, name, [np.concatenate([none, *getattr(self, name)])])
+        (counts,), (pairs,), (times,) = self.counts, self.pairs, self.times
         pair_stop = np.cumsum(counts[:, 5])
-        flat = np.array([r for own in rows for r in own], np.int64)
-        of = np.repeat(np.arange(len(texts)), [len(own) for own in rows])
+        of = np.repeat(np.arange(len(texts)), lengths)
         sums = np.zeros((len(texts), 4), np.int64)
         np.add.at(sums, of, counts[flat, :4])
         broken = np.zeros(len(texts), bool)
         broken[of[counts[flat, 4] == 0]] = True
         sums[broken] = 0
-        groups = ["" if bad else ";".join([self.groups[r] for r in own]) for bad, own in zip(broken.tolist(), rows)]
+        each, stops = list(map(self.groups.__getitem__, flat.tolist())), np.cumsum(lengths).tolist()
+        groups = ["" if bad else ";".join(each[stop - n : stop]) for bad, n, stop in zip(broken.tolist(), lengths, stops)]
         good = ~broken[of]
         flat, of = flat[good], of[good]
         at = ragged(pair_stop[flat] - counts[flat, 5], counts[flat, 5])
@@ -271,7 +282,6 @@ def aligned(docs: DataFrame, first: str, second: str, *, keep_groups: bool, slic
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, number = Aligner(OffsetSide(first), ProtoSide(second)), TaskContext.get().partitionId() << 32
         for batch in slices(batches, "text", slice_bytes):
-            aligner.clear()
             sums, groups, (of, pair, times) = aligner.texts(batch.column("text").to_pylist())
             listed, place, holders = np.unique(pair, return_inverse=True, return_counts=True)
             stops = np.append(np.searchsorted(of, np.arange(len(sums))), len(of))
@@ -305,7 +315,7 @@ def _first(pair: str) -> Column:
 
 
 def align(
-    docs: DataFrame, first: str, second: str, *, keep_groups: bool = False, slice_bytes: int = 8 << 20
+    docs: DataFrame, first: str, second: str, *, keep_groups: bool = False, slice_bytes: int = 2 << 20
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``n_best``, ``count_sum``,
     ``groups_sha256``, and ``groups`` (`a1,a2|b1;a3|b2`, NULL unless kept). ``first`` is a byte-level tokenizer's file,
