@@ -1,8 +1,9 @@
-"""Command line: batch pipeline, incremental load, refresh, export.
+"""Command line: batch pipeline, incremental load, refresh, taking back a batch, export.
 
     python -m townsquare run --landing /data/in --root /data/lake
     python -m townsquare ingest --entity tip --landing /data/in/tip --root /data/lake
     python -m townsquare refresh --root /data/lake
+    python -m townsquare take-back --batch-id ID --root /data/lake
     python -m townsquare export --out /data/out --root /data/lake
 
 Tables are kept in the configured metastore; without one Spark makes a local
@@ -16,9 +17,11 @@ import argparse
 from pyspark.sql import SparkSession
 
 from townsquare.config import with_session_conf
+from townsquare.plans.bronze import stream_batches
+from townsquare.plans.changes import refresh_changes, take_back
 from townsquare.plans.pipeline import export_gold, gold_layer, refresh, run_pipeline
 from townsquare.sinks import TableStore
-from townsquare.sources import ENTITIES, source_paths
+from townsquare.sources import ENTITIES, new_batch_id, source_paths
 from townsquare.streaming import ingest_incremental, stream_table
 
 
@@ -31,12 +34,17 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     ingest = commands.add_parser("ingest", help="append new files of one entity to bronze")
     ingest.add_argument("--entity", required=True, choices=sorted(ENTITIES))
     ingest.add_argument("--max-bytes-per-batch", type=int)
-    again = commands.add_parser("refresh", help="silver and gold from what bronze holds, incremental rows included")
+    again = commands.add_parser("refresh", help="carry what changed in bronze through silver and gold")
+    again.add_argument("--full", action="store_true", help="rebuild every table")
+    back = commands.add_parser("take-back", help="take back a batch and what was made from it")
+    back.add_argument("--batch-id", required=True)
     export = commands.add_parser("export", help="gold tables and the report as Parquet folders")
     export.add_argument("--out", required=True)
     for command in (run, ingest):
         command.add_argument("--landing", required=True)
-    for command in (run, ingest, again, export):
+    for command in (run, again, back):
+        command.add_argument("--strict", action="store_true", help="fail on violated quality checks")
+    for command in (run, ingest, again, back, export):
         command.add_argument("--root", required=True, help="shared folder for tables and checkpoints")
         command.add_argument("--prefix", default="reviews", help="database name prefix")
     return parser.parse_args(argv)
@@ -51,14 +59,17 @@ def main(argv: list[str] | None = None) -> None:
     counts: dict[str, int] = {}
     if args.command == "run":
         paths = source_paths(args.landing, args.file_name)
-        counts = run_pipeline(store, paths, skip_missing=args.skip_missing)
+        counts = run_pipeline(store, paths, skip_missing=args.skip_missing, strict=args.strict)
     elif args.command == "refresh":
-        counts = refresh(store)
+        counts = (refresh if args.full else refresh_changes)(store, args.strict)
+    elif args.command == "take-back":
+        counts = take_back(store, args.batch_id, args.strict)
     elif args.command == "export":
         counts = export_gold(gold_layer(store), args.out)
     else:
         store.ensure_layers()
         table = stream_table(args.entity)
+        batch_id = None if stream_batches(store, args.entity) is None else new_batch_id()  # an old table has no ids
         ingest_incremental(
             spark,
             args.entity,
@@ -67,7 +78,9 @@ def main(argv: list[str] | None = None) -> None:
             checkpoint=f"{root}/checkpoints/{args.entity}",
             path=f"{root}/bronze/{table}",
             max_bytes_per_batch=args.max_bytes_per_batch,
+            batch_id=batch_id,
         ).awaitTermination()
+        print(f"batch {batch_id}")
     for name, rows in counts.items():
         print(f"{name}: {rows:,} rows")
 

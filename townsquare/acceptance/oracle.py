@@ -279,6 +279,9 @@ SELECT * EXCLUDE (elite_years), array_to_string(elite_years, '|') AS elite_list
     "gold_fact_review": "SELECT * FROM fact_review",
     "gold_fact_checkin": "SELECT * FROM fact_checkin",
     "gold_fact_tip": "SELECT * FROM fact_tip",
+    "incremental_refresh_review": "SELECT * FROM fact_review",
+    "incremental_refresh_tip": "SELECT * FROM fact_tip",
+    "batch_taken_back": "SELECT * FROM fact_review",
     "review_date_span": "SELECT min(review_date) AS min_date, max(review_date) AS max_date FROM silver_review",
     # Reports
     "rising_star": _RISING,
@@ -332,6 +335,20 @@ FROM fact_checkin f JOIN dim_date d ON f.date_key = d.date_key GROUP BY d.date,
             "tip": "business_id",
         }.items()
     ),
+    "dq_observed_keys": " UNION ALL ".join(
+        _count_rows(f"bronze_{entity}", entity, key)
+        for entity, key in {
+            "business": "business_id",
+            "review": "review_id",
+            "user": "user_id",
+            "checkin": "business_id",
+            "tip": "business_id",
+        }.items()
+    ),
+    "dq_refused_write": """
+SELECT (SELECT count(*) FROM silver_review) AS row_count, (SELECT sum(stars) FROM silver_review) AS total_stars,
+       count(*) AS refused_rows, count(*) FILTER (NOT coalesce(stars BETWEEN 1 AND 5, false)) AS violations
+FROM bronze_review""",
     "dq_duplicate_keys": """
 SELECT count(*) AS duplicate_keys FROM (SELECT review_id FROM bronze_review GROUP BY review_id HAVING count(*) > 1)""",
     "dq_orphans": """

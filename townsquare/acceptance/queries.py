@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from contextlib import suppress
 from functools import partial, reduce
 
@@ -16,7 +16,8 @@ from townsquare.acceptance.adapters import BRONZE_SQL, bronze_frame
 from townsquare.config import shared_dir
 from townsquare.operators import in_years, tag_period, trailing_cutoff
 from townsquare.plans import gold, quality, reports, rising
-from townsquare.plans.bronze import bronze_rows, ingest_bronze
+from townsquare.plans.bronze import bronze_rows, ingest_bronze, ingest_observed
+from townsquare.plans.changes import refresh_changes, take_back
 from townsquare.plans.frames import LazyFrames
 from townsquare.plans.pipeline import (
     SILVER_TABLES,
@@ -281,6 +282,64 @@ def stream_to_gold_tip(layers: Layers) -> DataFrame:
     return store.read("gold", "fact_tip")
 
 
+def _landed(layers: Layers, store: TableStore, entity: str) -> DataFrame:
+    return scan_json(layers.spark, entity, layers.land(entity, f"{store.root}/landing/{entity}"))
+
+
+def _ingested(layers: Layers, store: TableStore, entity: str, rows: DataFrame, batch_id: str) -> None:
+    """Land rows and ingest them as one batch."""
+    landing = f"{store.root}/landing-{entity}"
+    rows.write.mode("append").json(landing)
+    ingest_incremental(
+        layers.spark,
+        entity,
+        landing,
+        table=store.name("bronze", stream_table(entity)),
+        checkpoint=f"{store.root}/checkpoint-{entity}",
+        path=f"{store.root}/{stream_table(entity)}",
+        batch_id=batch_id,
+    ).awaitTermination()
+
+
+def _refreshed_twice(layers: Layers, entity: str) -> TableStore:
+    """An entity that came in two batches, each carried to gold by itself."""
+    store = layers.new_store(f"changes-{entity}")
+    ingest_bronze(store, "business", _landed(layers, store, "business"), "first")
+    rows = layers.bronze[entity]
+    late = F.pmod(F.xxhash64(*rows.columns), F.lit(4)) == 1
+    for batch, part in (("early", rows.where(~late)), ("late", rows.where(late))):
+        _ingested(layers, store, entity, part, batch)
+        refresh_changes(store, **RULE)
+    return store
+
+
+@_query
+def incremental_refresh_review(layers: Layers) -> DataFrame:
+    """The fact after two batches with a refresh each, which decides touched reviews anew."""
+    return _refreshed_twice(layers, "review").read("gold", "fact_review")
+
+
+@_query
+def incremental_refresh_tip(layers: Layers) -> DataFrame:
+    return _refreshed_twice(layers, "tip").read("gold", "fact_tip")
+
+
+@_query
+def batch_taken_back(layers: Layers) -> DataFrame:
+    """The fact after a batch that displaced reviews and brought new ones, and was taken back."""
+    store = layers.new_store("taken-back")
+    ingest_bronze(store, "business", _landed(layers, store, "business"), "first")
+    rows = layers.bronze["review"]
+    _ingested(layers, store, "review", rows, "good")
+    refresh_changes(store, **RULE)
+    wrong = rows.where("useful < 4").withColumns({"date": F.lit("2001-02-03 04:05:06"), "stars": F.lit(2.0)})
+    fresh = rows.where("useful = 4").withColumn("review_id", F.concat(F.lit("new-"), "review_id"))
+    _ingested(layers, store, "review", wrong.unionByName(fresh), "wrong")
+    refresh_changes(store, **RULE)
+    take_back(store, "wrong", **RULE)
+    return store.read("gold", "fact_review")
+
+
 # Silver
 
 
@@ -479,6 +538,36 @@ def dq_checkin_expansion(layers: Layers) -> DataFrame:
     return quality.expansion_check(layers.bronze["checkin"], layers.silver["checkin"])
 
 
+@_query
+def dq_observed_keys(layers: Layers) -> DataFrame:
+    """Rows and NULL keys per table as the tasks that wrote bronze counted them."""
+    store = layers.new_store("observed")
+    loads = {name: partial(ingest_observed, store, name, _landed(layers, store, name), "first") for name in ENTITIES}
+    found = run_writes(layers.spark, loads)
+    rows = [(name, ENTITIES[name].key, m["rows"], m[f"null {ENTITIES[name].key}"]) for name, m in found.items()]
+    return layers.spark.createDataFrame(rows, "table string, key string, row_count bigint, null_keys bigint")
+
+
+@_query
+def dq_refused_write(layers: Layers) -> DataFrame:
+    """What readers see, and what was counted, after a load with stars out of range was refused."""
+    store = layers.new_store("refused")
+    store.write("silver", "review", layers.silver["review"], ["review_year"])
+    seen: dict[str, int] = {}
+    unfit = {"stars": ~F.coalesce(F.col("stars").between(1, 5), F.lit(False))}
+
+    def accept(found: Mapping[str, int]) -> None:
+        seen.update(found)
+        quality.refuse_violations("review")(found)
+
+    try:
+        store.write_observed("silver", "review", layers.bronze["review"], checks=unfit, accept=accept)
+    except quality.DataQualityError:
+        pass
+    visible = store.read("silver", "review").agg(F.count(F.lit(1)).alias("row_count"), F.sum("stars").alias("total_stars"))
+    return visible.withColumns({"refused_rows": F.lit(seen["rows"]).cast("bigint"), "violations": F.lit(seen["stars"]).cast("bigint")})
+
+
 @_query
 def dq_checks(layers: Layers) -> DataFrame:
     return quality_checks(layers.silver)

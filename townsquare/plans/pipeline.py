@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import replace
 from functools import partial
 
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from townsquare.config import session_sized_for
 from townsquare.plans import gold, quality, rising, silver
-from townsquare.plans.bronze import bronze_rows, ingest_bronze
+from townsquare.plans.bronze import bronze_rows, ingest_bronze, stream_batches
 from townsquare.plans.frames import LazyFrames
 from townsquare.sinks.store import TableStore, export_frames, run_writes
 from townsquare.sources.entities import ENTITIES
@@ -69,21 +69,23 @@ def gold_plans(layer: Mapping[str, DataFrame]) -> LazyFrames:
     )
 
 
-def quality_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(check, violations) over stored silver tables, for a DQ table or
-    :func:`townsquare.plans.quality.enforce`."""
+def row_comparisons(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(check, violations) of the checks that no single row shows."""
     categories = gold.dim_category(tables["business_category"])
     orphans = quality.orphan_count(tables["review"], tables["business"], "business_id")
     collisions = quality.duplicate_key_check(categories, "category_key")
-    keys = {name: (tables[name], entity.key) for name, entity in ENTITIES.items()}
-    nulls = quality.pk_null_check(keys)
-    return (
-        quality.as_checks(nulls, F.concat("table", F.lit(" null "), "key"), "null_keys")
-        .union(quality.as_checks(collisions, F.lit("category key collisions"), "duplicate_keys"))
-        .union(quality.as_checks(orphans, F.lit("reviews of unknown businesses"), "orphan_rows"))
+    return quality.as_checks(collisions, F.lit("category key collisions"), "duplicate_keys").union(
+        quality.as_checks(orphans, F.lit("reviews of unknown businesses"), "orphan_rows")
     )
 
 
+def quality_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(check, violations) over stored silver tables, for a DQ table or
+    :func:`townsquare.plans.quality.enforce`."""
+    nulls = quality.pk_null_check({name: (tables[name], entity.key) for name, entity in ENTITIES.items()})
+    return quality.as_checks(nulls, F.concat("table", F.lit(" null "), "key"), "null_keys").union(row_comparisons(tables))
+
+
 def load_bronze(store: TableStore, landed: Mapping[str, DataFrame], batch_id: str) -> dict[str, int]:
     """Load the given entities; entity -> row count.
 
@@ -94,39 +96,68 @@ def load_bronze(store: TableStore, landed: Mapping[str, DataFrame], batch_id: st
     return run_writes(store.spark, loads)
 
 
-def _sized_write(store: TableStore, layer: str, table: str, build: Callable[[TableStore], DataFrame], input_bytes: int) -> int:
+def _sized_write(
+    store: TableStore, layer: str, table: str, build: Callable[[TableStore], DataFrame], input_bytes: int, **more: object
+) -> dict[str, int]:
     """Write one table in a session of its own, as wide as its input needs."""
     own = replace(store, spark=session_sized_for(store.spark, input_bytes))
     layout = (PARTITIONED.get(table, ()), CLUSTERED.get(table, ()), UNIQUE.get(table, ()))
-    return own.write(layer, table, build(own), *layout)
+    return own.write_observed(layer, table, build(own), *layout, **more)
 
 
-def _store_layer(
-    store: TableStore, layer: str, builds: Mapping[str, tuple[Callable[[TableStore], DataFrame], int]]
-) -> dict[str, int]:
-    """Store tables at the same time; ``builds`` has the plan and input bytes of each."""
-    writes = {name: partial(_sized_write, store, layer, name, build, size) for name, (build, size) in builds.items()}
+def _store_layer(store: TableStore, layer: str, builds: Mapping[str, tuple]) -> dict[str, dict[str, int]]:
+    """Store tables at the same time; ``builds`` has the plan, the input bytes
+    and what else the write needs of each. Table -> rows and violations."""
+    writes = {
+        name: partial(_sized_write, store, layer, name, build, size, **more) for name, (build, size, more) in builds.items()
+    }
     return run_writes(store.spark, writes)
 
 
-def build_silver(store: TableStore) -> dict[str, int]:
+def _rows(metrics: Mapping[str, Mapping[str, int]]) -> dict[str, int]:
+    return {table: found["rows"] for table, found in metrics.items()}
+
+
+def silver_sources(store: TableStore, entity: str) -> dict[str, list[str]]:
+    """What the silver table of an entity is made from: bronze segments and
+    incremental batches. ``unlabelled`` marks rows without batch ids."""
+    batch = store.contents("bronze", entity)
+    stream = stream_batches(store, entity)
+    return {"batch": batch.names() if batch else [], "stream": stream or []} | ({"unlabelled": []} if stream is None else {})
+
+
+def _key_checks(table: str, strict: bool) -> dict[str, object]:
+    key = ENTITIES[table].key
+    checks = {f"null {key}": F.col(key).isNull()}
+    return {"checks": checks, "accept": quality.refuse_violations(table) if strict else None}
+
+
+def build_silver(store: TableStore, strict: bool = False, only: Iterable[str] = ENTITIES) -> dict[str, dict[str, int]]:
     """Store the silver layer from stored bronze, batch and incremental rows
-    together; table -> row count.
+    together; table -> rows and violations, counted by the writing tasks. With
+    ``strict``, a table with violations is not replaced.
 
     The category bridge is derived from the stored business table, so the
     business de-duplication runs once.
     """
+    sources = {e: silver_sources(store, e) for e in ENTITIES}
+
+    def rows(own: TableStore, entity: str) -> DataFrame:
+        return bronze_rows(own, entity, None if "unlabelled" in sources[entity] else sources[entity]["stream"])
 
     def plan(name: str) -> Callable[[TableStore], DataFrame]:
-        return lambda own: silver_plans(LazyFrames({e: partial(bronze_rows, own, e) for e in ENTITIES}))[name]
+        return lambda own: silver_plans(LazyFrames({e: partial(rows, own, e) for e in ENTITIES}))[name]
 
     def loaded(entity: str) -> int:
         return sum(store.stored_bytes("bronze", t) for t in (entity, stream_table(entity)) if store.exists("bronze", t))
 
-    counts = _store_layer(store, "silver", {name: (plan(name), loaded(name)) for name in ENTITIES})
-    pairs = lambda own: silver.silver_business_category(own.read("silver", "business"), unique_businesses=True)
-    size = store.stored_bytes("silver", "business")
-    return counts | _store_layer(store, "silver", {"business_category": (pairs, size)})
+    builds = {e: (plan(e), loaded(e), {"sources": sources[e]} | _key_checks(e, strict)) for e in only}
+    found = _store_layer(store, "silver", builds)
+    if "business" in found:
+        pairs = lambda own: silver.silver_business_category(own.read("silver", "business"), unique_businesses=True)
+        size = store.stored_bytes("silver", "business")
+        found |= _store_layer(store, "silver", {"business_category": (pairs, size, {})})
+    return found
 
 
 def silver_layer(store: TableStore) -> LazyFrames:
@@ -147,29 +178,55 @@ def register_layers(store: TableStore, prefix: str = "") -> list[str]:
     return [*silver_names, *register_views(gold_layer(store), prefix)]
 
 
-def audit_silver(store: TableStore) -> int:
-    """Store the quality checks on the silver layer; returns their number."""
-    return store.write("silver", "dq_checks", quality_checks(silver_layer(store)))
+def audit_silver(store: TableStore, metrics: Mapping[str, Mapping[str, int]] | None = None, strict: bool = False) -> int:
+    """Store the quality checks on the silver layer; returns their number.
+
+    ``metrics`` are what the writes counted; with them only the checks that
+    compare rows with each other (collisions, orphans) read anything.
+    """
+    layer = silver_layer(store)
+    if metrics is None:
+        checks = quality_checks(layer)
+    else:
+        checks = quality.observed_checks(store.spark, metrics).union(row_comparisons(layer))
+    stored = store.write("silver", "dq_checks", checks)
+    if strict:
+        quality.enforce(store.read("silver", "dq_checks"))
+    return stored
+
+
+def gold_sources(store: TableStore, table: str) -> dict[str, list[str]]:
+    """The silver segments a gold table is made from."""
+    return {name: store.contents("silver", name).names() for name in READS[table]}
 
 
-def build_gold(store: TableStore) -> dict[str, int]:
+def build_gold(store: TableStore, only: Iterable[str] = READS) -> dict[str, int]:
     """Store the gold layer from stored silver; table -> row count."""
     sizes = {name: store.stored_bytes("silver", name) for name in SILVER_TABLES}
 
     def plan(name: str) -> Callable[[TableStore], DataFrame]:
         return lambda own: gold_plans(silver_layer(own))[name]
 
-    return _store_layer(store, "gold", {name: (plan(name), sum(sizes[t] for t in READS[name])) for name in READS})
+    builds = {n: (plan(n), sum(sizes[t] for t in READS[n]), {"sources": gold_sources(store, n)}) for n in only}
+    return _rows(_store_layer(store, "gold", builds))
+
+
+def build_report(store: TableStore, **rising_rule: object) -> int:
+    """Store the rising stars; returns their number."""
+    report = rising.rising_star(store.read("gold", "fact_review"), store.read("gold", "dim_business"), **rising_rule)
+    return store.write("gold", "rising_star_businesses", report)
 
 
-def refresh(store: TableStore, **rising_rule: object) -> dict[str, int]:
+def refresh(store: TableStore, strict: bool = False, **rising_rule: object) -> dict[str, int]:
     """Rebuild silver, checks, gold and the report from what bronze holds now,
-    incremental rows included; ``layer.table`` -> rows."""
-    counts = {"silver": build_silver(store)}
-    counts["silver"]["dq_checks"] = audit_silver(store)
+    incremental rows included; ``layer.table`` -> rows. With ``strict`` a
+    violation ends the run before gold is touched. See
+    :func:`townsquare.plans.changes.refresh_changes` for the incremental way."""
+    metrics = build_silver(store, strict)
+    counts = {"silver": _rows(metrics)}
+    counts["silver"]["dq_checks"] = audit_silver(store, metrics, strict)
     counts["gold"] = build_gold(store)
-    report = rising.rising_star(store.read("gold", "fact_review"), store.read("gold", "dim_business"), **rising_rule)
-    counts["gold"]["rising_star_businesses"] = store.write("gold", "rising_star_businesses", report)
+    counts["gold"]["rising_star_businesses"] = build_report(store, **rising_rule)
     return {f"{layer}.{name}": n for layer, tables in counts.items() for name, n in tables.items()}
 
 
@@ -178,12 +235,13 @@ def run_pipeline(
     paths: Mapping[str, str],
     batch_id: str | None = None,
     skip_missing: bool = False,
+    strict: bool = False,
     **rising_rule: object,
 ) -> dict[str, int]:
     """Landing to gold plus the rising-star table; ``layer.table`` -> rows.
 
-    Quality checks land in ``silver.dq_checks``; whether a violation fails the
-    run is the caller's choice (:func:`townsquare.plans.quality.enforce`).
+    Quality checks land in ``silver.dq_checks``; with ``strict`` a violation
+    fails the run (:class:`townsquare.plans.quality.DataQualityError`).
     Each layer is stored once and read back as Parquet, so no step parses the
     landing files again. Shuffles are sized table by table. An entity without
     landing files is an error, or is not loaded where ``skip_missing`` is set.
@@ -194,7 +252,7 @@ def run_pipeline(
     if missing and not skip_missing:
         raise FileNotFoundError(f"no landing files for: {', '.join(sorted(missing))}")
     loaded = load_bronze(store, landed, batch_id or new_batch_id())
-    return {f"bronze.{name}": n for name, n in loaded.items()} | refresh(store, **rising_rule)
+    return {f"bronze.{name}": n for name, n in loaded.items()} | refresh(store, strict, **rising_rule)
 
 
 def export_gold(tables: Mapping[str, DataFrame], out: str) -> dict[str, int]:

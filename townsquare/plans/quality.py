@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,6 +99,25 @@ def as_checks(audit: DataFrame, label: Column, violations: str) -> DataFrame:
     return audit.select(label.alias("check"), F.col(violations).cast("bigint").alias("violations"))
 
 
+def observed_checks(spark: SparkSession, metrics: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """(check, violations) from what the writing tasks of each table counted:
+    a row per table and check, nothing is scanned."""
+    found = [(f"{table} {name}", n) for table, own in metrics.items() for name, n in own.items() if name != "rows"]
+    return spark.createDataFrame(found, "check string, violations bigint")
+
+
+def refuse_violations(table: str) -> Callable[[Mapping[str, int]], None]:
+    """For :meth:`TableStore.write_observed`: refuse rows that violate a check
+    before anyone sees them."""
+
+    def accept(found: Mapping[str, int]) -> None:
+        failed = [f"{table} {name}: {n}" for name, n in sorted(found.items()) if name != "rows" and n]
+        if failed:
+            raise DataQualityError("; ".join(failed))
+
+    return accept
+
+
 def enforce(checks: DataFrame) -> None:
     """Raise :class:`DataQualityError` naming every check with violations.
 

@@ -1,6 +1,8 @@
 """Layer tables and file exports."""
 
 from townsquare.sinks.store import (
+    Contents,
+    Segment,
     TableStore,
     ensure_layers,
     export_frames,
@@ -8,4 +10,4 @@ from townsquare.sinks.store import (
     write_files,
 )
 
-__all__ = ["TableStore", "ensure_layers", "export_frames", "run_writes", "write_files"]
+__all__ = ["Contents", "Segment", "TableStore", "ensure_layers", "export_frames", "run_writes", "write_files"]

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from townsquare.config import LAYERS, database_name
@@ -70,6 +71,57 @@ def export_frames(
 
 
 _SNAPSHOT = "__snapshot_"
+_CONTENTS = "townsquare.contents"
+_BATCH = "townsquare.batch"
+
+
+@dataclass(frozen=True)
+class Segment:
+    """A snapshot behind a name. With ``values`` it stands for all rows with
+    these values of the partition column, in place of any earlier segment's;
+    without, its rows are added to theirs."""
+
+    table: str
+    values: tuple[object, ...] | None = None
+
+
+@dataclass(frozen=True)
+class Contents:
+    """What a name shows: segments in the order they came, the column that
+    ``values`` refer to, and what the rows were made from."""
+
+    segments: tuple[Segment, ...]
+    by: str | None = None
+    sources: Mapping[str, Sequence[str]] | None = None
+
+    def dump(self) -> str:
+        segments = [[s.table, None if s.values is None else list(s.values)] for s in self.segments]
+        return json.dumps({"segments": segments, "by": self.by, "sources": self.sources})
+
+    @classmethod
+    def load(cls, text: str) -> Contents:
+        found = json.loads(text)
+        segments = tuple(Segment(t, None if v is None else tuple(v)) for t, v in found["segments"])
+        return cls(segments, found["by"], found["sources"])
+
+    def names(self) -> list[str]:
+        return [s.table for s in self.segments]
+
+
+def _sql(value: object) -> str:
+    return str(value) if isinstance(value, int) else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _among(column: str, values: Sequence[object], wanted: bool) -> str:
+    """A predicate on a partition column, NULL being a value like others."""
+    listed = ", ".join(sorted(_sql(v) for v in values if v is not None))
+    has_null = None in values
+    if wanted:
+        parts = [f"{column} IN ({listed})"] * bool(listed) + [f"{column} IS NULL"] * has_null
+        return " OR ".join(parts) or "false"
+    if not listed:
+        return f"{column} IS NOT NULL" if has_null else "true"
+    return f"{column} NOT IN ({listed})" + ("" if has_null else f" OR {column} IS NULL")
 
 
 @dataclass(frozen=True)
@@ -81,6 +133,10 @@ class TableStore:
     failed write leaves the old rows, and no reader finds the name missing or
     half filled. A running query keeps the files it started on until
     :meth:`drop_old_snapshots`.
+
+    :meth:`replace_partitions` and :meth:`append` write only the rows that
+    change: the view then reads several snapshots, each for its own values of
+    the partition column, so files of other partitions stay as they are.
     """
 
     spark: SparkSession
@@ -109,12 +165,37 @@ class TableStore:
         return sorted(t.name for t in listed if t.name.startswith(own.lower()))
 
     def stored_bytes(self, layer: str, table: str) -> int:
-        """Size of the files under a name, from their listing: no contents are read."""
-        folders = {path.rpartition("/")[0] for path in self.read(layer, table).inputFiles()}
-        if not folders:
-            return 0
-        files = self.spark.read.format("binaryFile").load(sorted(folders))
-        return files.agg(F.sum("length")).first()[0] or 0
+        """Size of the files under a name, from the catalog's statistics,
+        which each write records. A table written by others is measured."""
+        found = self.contents(layer, table)
+        if found:
+            return sum(self._recorded_bytes(layer, s.table) for s in found.segments)
+        self._record_bytes(layer, table)
+        return self._recorded_bytes(layer, table)
+
+    def _record_bytes(self, layer: str, table: str) -> None:
+        self.spark.sql(f"ANALYZE TABLE {self.name(layer, table)} COMPUTE STATISTICS NOSCAN")
+
+    def _recorded_bytes(self, layer: str, table: str) -> int:
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(layer, table)}")
+        size = described.where("col_name = 'Statistics'").first()
+        return int(size["data_type"].split(" ")[0]) if size else 0
+
+    def _property(self, layer: str, table: str, key: str) -> str | None:
+        listed = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(layer, table)}")
+        row = listed.where(F.col("key") == key).first()
+        return row["value"] if row else None
+
+    def contents(self, layer: str, table: str) -> Contents | None:
+        """The segments behind a name; None where no write made it."""
+        if not self.exists(layer, table):
+            return None
+        text = self._property(layer, table, _CONTENTS)
+        return Contents.load(text) if text else None
+
+    def batch_of(self, layer: str, snapshot: str) -> str | None:
+        """The batch a snapshot was loaded by."""
+        return self._property(layer, snapshot, _BATCH)
 
     def write(
         self,
@@ -124,13 +205,74 @@ class TableStore:
         partition_by: Sequence[str] = (),
         cluster_by: Sequence[str] = (),
         key: Sequence[str] = (),
+        **more: object,
     ) -> int:
-        """Replace a table, schema included, and return its row count.
+        """Replace a table, schema included, and return its row count; see
+        :meth:`write_observed`."""
+        return self.write_observed(layer, table, df, partition_by, cluster_by, key, **more)["rows"]
+
+    def write_observed(
+        self,
+        layer: str,
+        table: str,
+        df: DataFrame,
+        partition_by: Sequence[str] = (),
+        cluster_by: Sequence[str] = (),
+        key: Sequence[str] = (),
+        *,
+        checks: Mapping[str, Column] | None = None,
+        accept: Callable[[Mapping[str, int]], None] | None = None,
+        batch: str | None = None,
+        sources: Mapping[str, Sequence[str]] | None = None,
+    ) -> dict[str, int]:
+        """Replace a table, schema included; ``rows`` and the violations of
+        each check.
 
         ``cluster_by`` sorts files by one column or Z-orders several;
         ``partition_by`` alone rebalances rows into even files per value.
         ``key`` names unique columns, which then split hot values.
+
+        ``checks`` are conditions that mark a bad row. They are counted by the
+        tasks that write, so nothing is read again. ``accept`` sees the counts
+        before anyone sees the rows: if it raises, the old rows stay and the
+        new files go. ``batch`` and ``sources`` are kept with the table.
         """
+        snapshot, found = self._snapshot(layer, table, df, partition_by, cluster_by, key, checks or {}, accept)
+        if batch is not None:
+            self.spark.sql(f"ALTER TABLE {self.name(layer, snapshot)} SET TBLPROPERTIES ('{_BATCH}' = {_sql(batch)})")
+        self._publish(layer, table, Contents((Segment(snapshot),), partition_by[0] if partition_by else None, sources))
+        return found
+
+    def replace_partitions(
+        self, layer: str, table: str, df: DataFrame, by: str, values: Sequence[object],
+        cluster_by: Sequence[str] = (), key: Sequence[str] = (), sources: Mapping[str, Sequence[str]] | None = None,
+    ) -> int:
+        """Put ``df`` in place of all rows whose ``by`` is one of ``values``
+        (NULL may be one), and return its row count. ``df`` must have no other
+        values and the table's columns; the table's other files are not
+        touched, and readers see old or new rows of all values."""
+        old = self.contents(layer, table)
+        if old is None or old.by not in (None, by):
+            raise ValueError(f"{table} is not stored by {by}")
+        snapshot, found = self._snapshot(layer, table, df.select(*self.read(layer, table).columns), [by], cluster_by, key, {}, None)
+        kept = [s for s in old.segments if s.values is None or not set(s.values) <= set(values)]
+        self._publish(layer, table, Contents((*kept, Segment(snapshot, tuple(values))), by, sources))
+        return found["rows"]
+
+    def append(self, layer: str, table: str, df: DataFrame, sources: Mapping[str, Sequence[str]] | None = None) -> int:
+        """Add rows to a table in files of their own; returns their number."""
+        old = self.contents(layer, table)
+        if old is None:
+            raise ValueError(f"{table} is not stored")
+        snapshot, found = self._snapshot(layer, table, df.select(*self.read(layer, table).columns), [old.by] if old.by else [], (), (), {}, None)
+        self._publish(layer, table, Contents((*old.segments, Segment(snapshot)), old.by, sources))
+        return found["rows"]
+
+    def _snapshot(
+        self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str],
+        key: Sequence[str], checks: Mapping[str, Column], accept: Callable[[Mapping[str, int]], None] | None,
+    ) -> tuple[str, dict[str, int]]:
+        """A new snapshot table with rows and violations; gone again where it is not accepted."""
         if partition_by and cluster_by:
             df = cluster_rows(df, [*partition_by, *cluster_by], key=key)
         elif len(cluster_by) > 1:
@@ -141,23 +283,47 @@ class TableStore:
             df = rebalance_rows(df, *partition_by)
         snapshot = f"{table}{_SNAPSHOT}{time.time_ns():020d}_{uuid.uuid4().hex}"
         seen = Observation()
-        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("parquet")
+        counted = [F.count_if(bad).alias(f"check {name}") for name, bad in checks.items()]
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows"), *counted).write.format("parquet")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(self.name(layer, snapshot))
-        self._publish(layer, table, snapshot)
-        return seen.get["rows"]
-
-    def _publish(self, layer: str, table: str, snapshot: str) -> None:
-        """Point the name at a snapshot."""
-        source = self.name(layer, snapshot)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, table)} AS SELECT * FROM {source}")
+        found = {name.removeprefix("check "): n for name, n in seen.get.items()}
+        try:
+            if accept:
+                accept(found)
+        except Exception:
+            self.spark.sql(f"DROP TABLE {self.name(layer, snapshot)}")
+            raise
+        self._record_bytes(layer, snapshot)
+        return snapshot, found
+
+    def _publish(self, layer: str, table: str, contents: Contents) -> None:
+        """Point the name at segments, by one metastore operation."""
+        parts, first = [], self.name(layer, contents.segments[0].table)
+        columns = ", ".join(f"`{c}`" for c in self.spark.table(first).columns)
+        for i, segment in enumerate(contents.segments):
+            lost = {v for later in contents.segments[i + 1 :] for v in later.values or ()}
+            kept = [] if segment.values is None else [_among(contents.by, segment.values, True)]
+            kept += [_among(contents.by, sorted(lost, key=str), False)] if lost else []
+            where = " WHERE " + " AND ".join(f"({x})" for x in kept) if kept else ""
+            parts.append(f"SELECT {columns} FROM {self.name(layer, segment.table)}{where}")
+        properties = f"TBLPROPERTIES ('{_CONTENTS}' = {_sql(contents.dump())})"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, table)} {properties} AS {' UNION ALL '.join(parts)}")
+
+    def keep_sources(self, layer: str, table: str, sources: Mapping[str, Sequence[str]]) -> None:
+        """Record what a table is made from; its rows stay as they are."""
+        self._publish(layer, table, replace(self.contents(layer, table), sources=sources))
+
+    def show_snapshot(self, layer: str, table: str, snapshot: str) -> None:
+        """Point the name back at an earlier snapshot, whole."""
+        self._publish(layer, table, Contents((Segment(snapshot),)))
 
     def drop_old_snapshots(self, layer: str, table: str, keep: int = 1) -> list[str]:
         """Drop all but the newest ``keep`` snapshots, files included, and
-        return their names. The one the name points at always stays."""
-        text = self.spark.sql(f"SHOW CREATE TABLE {self.name(layer, table)}").first()[0]
-        old = [s for s in self.snapshots(layer, table)[:-keep or None] if s not in text.lower()]
+        return their names. Those the name shows always stay."""
+        shown = {name.lower() for name in self.contents(layer, table).names()}
+        old = [s for s in self.snapshots(layer, table)[:-keep or None] if s not in shown]
         for snapshot in old:
             self.spark.sql(f"DROP TABLE {self.name(layer, snapshot)}")
         return old

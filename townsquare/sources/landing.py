@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from townsquare.sources.entities import ENTITIES
 
 
+BATCH_COLUMN = "_batch_id"
+
+
 def new_batch_id() -> str:
     """One id per pipeline run, to audit a load or take it back."""
     return str(uuid.uuid4())
@@ -38,7 +41,7 @@ def with_lineage(df: DataFrame, batch_id: str | None = None) -> DataFrame:
         "_ingested_at": F.current_timestamp(),
     }
     if batch_id is not None:
-        lineage["_batch_id"] = F.lit(batch_id)
+        lineage[BATCH_COLUMN] = F.lit(batch_id)
     return df.withColumns(lineage)
 
 

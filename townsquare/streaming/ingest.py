@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from townsquare.sources.entities import ENTITIES
-from townsquare.sources.landing import with_lineage
+from townsquare.sources.landing import BATCH_COLUMN, with_lineage
 
 
 def stream_table(entity: str) -> str:
@@ -22,6 +22,7 @@ def ingest_incremental(
     checkpoint: str,
     path: str | None = None,
     max_bytes_per_batch: int | None = None,
+    batch_id: str | None = None,
 ) -> StreamingQuery:
     """Append files not seen before to a bronze table, then stop.
 
@@ -32,12 +33,18 @@ def ingest_incremental(
     them is the silver layer's work. The silver layer reads the tables named
     by :func:`stream_table` together with the batch tables, so a landing file
     belongs to one of the two ways of loading.
+
+    With a ``batch_id`` the rows carry it, in a folder of their own, so that a
+    refresh reads the new rows only and a batch can be taken back. A table is
+    filled either with batch ids or without.
     """
     reader = spark.readStream.schema(ENTITIES[entity].schema)
     if max_bytes_per_batch is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_batch)
-    arrivals = with_lineage(reader.json(source_dir))
+    arrivals = with_lineage(reader.json(source_dir), batch_id)
     writer = arrivals.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if path is not None:
         writer = writer.option("path", path)
+    if batch_id is not None:
+        writer = writer.partitionBy(BATCH_COLUMN)
     return writer.outputMode("append").format("parquet").toTable(table)
