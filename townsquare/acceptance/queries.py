@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from townsquare.acceptance.adapters import BRONZE_SQL, bronze_frame
 from townsquare.config import shared_dir
-from townsquare.operators import in_years, tag_period, trailing_cutoff
+from townsquare.operators import in_years, tag_period, trailing_cutoff, zorder_rows
 from townsquare.plans import gold, quality, reports, rising
 from townsquare.plans.bronze import bronze_rows, ingest_bronze, ingest_observed
 from townsquare.plans.changes import refresh_changes, take_back
@@ -207,6 +207,25 @@ def zordered_read(layers: Layers) -> DataFrame:
     )
 
 
+@_query
+def zorder_skipping(layers: Layers) -> DataFrame:
+    """Per column: rows with its smallest value, and whether the bounds of the files let a reader skip half of them."""
+    business = layers.stored_silver(layers.new_store("dim-business-skipping"), "business")["business"]
+    path = shared_dir(layers.spark, "zordered")
+    by = ["city", "state"]
+    write_files(zorder_rows(gold.dim_business(business), by, partitions=16, key=["business_id"]), path)
+    read = layers.spark.read.parquet(path)
+    low = {c: read.agg(F.min(c)).scalar() for c in by}
+    bounds = [F.min(c).alias(f"min_{c}") for c in by] + [F.count_if(F.col(c) == low[c]).alias(f"n_{c}") for c in by]
+    files = read.groupBy(F.input_file_name()).agg(*bounds)
+
+    def of(c: str) -> Column:
+        skipped = F.count_if(F.col(f"min_{c}") > low[c])
+        return F.struct(F.lit(c).alias("column"), F.sum(f"n_{c}").alias("matching"), (2 * skipped >= F.count(F.lit(1))).alias("skips_half"))
+
+    return files.agg(F.array(*map(of, by)).alias("r")).select(F.inline("r"))
+
+
 def _content(df: DataFrame, table: str) -> DataFrame:
     """(table, row_count, content): a sum over rows of a hash of all columns."""
 

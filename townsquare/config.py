@@ -44,6 +44,11 @@ def shuffle_partitions_for(input_bytes: int) -> int:
     return max(1, math.ceil(input_bytes / _BYTES_PER_SHUFFLE_PARTITION))
 
 
+def shuffle_width(spark: SparkSession) -> int:
+    """Partitions a shuffle of the session starts from, as AQE picks them."""
+    return int(spark.conf.get(_INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def session_sized_for(spark: SparkSession, input_bytes: int) -> SparkSession:
     """A session with the settings of ``spark`` whose shuffles start wide
     enough for ``input_bytes``.
@@ -56,8 +61,7 @@ def session_sized_for(spark: SparkSession, input_bytes: int) -> SparkSession:
     for key, value in spark.conf.getAll.items():
         if spark.conf.isModifiable(key):
             own.conf.set(key, value)
-    floor = int(spark.conf.get(_INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    own.conf.set(_INITIAL_PARTITIONS, str(max(floor, shuffle_partitions_for(input_bytes))))
+    own.conf.set(_INITIAL_PARTITIONS, str(max(shuffle_width(spark), shuffle_partitions_for(input_bytes))))
     return own
 
 
@@ -66,11 +70,21 @@ def database_name(prefix: str, layer: str) -> str:
     return f"{prefix}_{layer}" if prefix else layer
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether all tasks run in the driver's own process."""
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder name that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``, or below the warehouse where the
-    session names none.
+    It lies under ``spark.checkpoint.dir``. A local session may name none: it
+    uses the warehouse then. On a cluster that is an error, because the default
+    warehouse is a folder of the driver's machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not is_local(spark):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return f"{root.rstrip('/')}/townsquare/{label}-{uuid.uuid4().hex}"

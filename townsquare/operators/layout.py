@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from townsquare.config import shuffle_width
+
 _ORIGIN = "_origin_task"
 _ZKEY = "_zorder_key"
 
@@ -70,8 +72,19 @@ def bucket_bounds(df: DataFrame, name: str, buckets: int) -> list[object]:
     return sorted(row["v"] for row in ranges.collect())[1:]
 
 
-def _at_most(value: Column) -> Callable[[Column], Column]:
-    return lambda bound: bound <= value
+def bounds_passed(value: Column, bounds: Sequence[object], kind: T.DataType) -> Column:
+    """How many of the sorted ``bounds`` are at most ``value``, by binary
+    search: as many comparisons per row as the number of bounds has bits. 0 for
+    NULL."""
+    if not bounds:
+        return F.lit(0)
+    listed = F.array(*map(F.lit, bounds)).cast(T.ArrayType(kind))
+    steps = F.array(*(F.lit(1 << bit) for bit in reversed(range(len(bounds).bit_length()))))
+
+    def take(passed: Column, step: Column) -> Column:
+        return F.when(F.get(listed, passed + step - 1) <= value, passed + step).otherwise(passed)
+
+    return F.aggregate(steps, F.lit(0), take)
 
 
 def with_zorder_key(df: DataFrame, by: Sequence[str], into: str, bits: int = 4) -> DataFrame:
@@ -83,10 +96,7 @@ def with_zorder_key(df: DataFrame, by: Sequence[str], into: str, bits: int = 4)
     for position, name in enumerate(by):
         bounds = bucket_bounds(df, name, 2**bits)
         spread = F.array(*(F.lit(_spread_bits(bucket, len(by)) << position).cast("bigint") for bucket in range(len(bounds) + 1)))
-        passed = F.lit(0)
-        if bounds:
-            listed = F.array(*map(F.lit, bounds)).cast(T.ArrayType(df.schema[name].dataType))
-            passed = F.coalesce(F.size(F.filter(listed, _at_most(F.col(f"`{name}`")))), F.lit(0))
+        passed = bounds_passed(F.col(f"`{name}`"), bounds, df.schema[name].dataType)
         shares.append(F.element_at(spread, passed + 1))
     return df.withColumn(into, reduce(Column.bitwiseOR, shares))
 
@@ -105,6 +115,6 @@ def zorder_rows(
     number of files unless ``bits`` is given. The bounds are read first, so
     ``df`` should be a projection of stored data.
     """
-    files = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    files = partitions or shuffle_width(df.sparkSession)  # what the range partitioning below starts from
     keyed = with_zorder_key(df, by, _ZKEY, bits or bits_for(files, len(by)))
     return cluster_rows(keyed, [_ZKEY, *by], partitions, key).drop(_ZKEY)
