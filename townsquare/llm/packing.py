@@ -10,22 +10,19 @@ Only the histogram (one number per class) and the patterns reach the driver; pie
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from townsquare.llm.common import slices, stored
 
 SIZE, UNIT, END = 4096, 16, 2
-#: separators of the tokenizer that ``str.split`` does not know are none; these it splits at, the tokenizer does not
-_ODD = re.compile("[\x1c-\x1f]")
 #: trailing marks of a word; a run of them is one piece for the tokenizer (the apostrophe may begin a contraction)
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -50,16 +47,16 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, stems: list[str]) -> None:
-        latin = [s for s in stems if max(s) <= "ÿ"]
+        latin = [s for s in stems if s.isascii() or max(s) <= "ÿ"]
         self._learn_by(self.plain, latin, [s.lower() for s in latin])
-        other = [s for s in stems if max(s) > "ÿ"]
+        other = [s for s in stems if not s.isascii() and max(s) > "ÿ"]
         self._learn_by(self.tokenizer, other, other)
 
     def _learn_by(self, tokenizer, stems: list[str], forms: list[str]) -> None:
@@ -76,13 +73,12 @@ class Encoder:
             else:  # some word is no single piece
                 self.known.update((w, self.whole(w)) for w in some)
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [None if t and _ODD.search(t) else (t or "").split() for t in texts]
+    def _meet(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words."""
         if len(self.known) > self.room:
-            self.known, self.older = {}, self.known
+            self.known, self.older = {"": b""}, self.known
         known, older = self.known, self.older
-        flat = list(chain.from_iterable(x for x in split if x))
-        new = set(flat).difference(known)
+        new = set(words).difference(known)
         again = new.intersection(older)
         known.update((w, older[w]) for w in again)
         new -= again
@@ -97,25 +93,23 @@ class Encoder:
                 known[word] = known[stem] + tails[tail]
             else:
                 known[word] = self.whole(word)
-        found = list(map(known.__getitem__, flat))
-        out, at = [], 0
-        for text, words in zip(texts, split):
-            if words is None:
-                out.append(self.whole(text))
-            else:
-                out.append(b"".join(found[at : at + len(words)]))
-                at += len(words)
-        return out
-
-
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """The encoder of this Python worker; the next task on it finds the words it knows."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+        return list(map(known.__getitem__, words))
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
+        """Arrow splits the texts and numbers their words, so Python handles each distinct word once. The six ASCII white
+        spaces part words; any other one stays inside a word, which the tokenizer then encodes as it is."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        split = pc.ascii_split_whitespace(column.fill_null(""))
+        numbered = split.flatten().dictionary_encode()
+        found = self._meet(numbered.dictionary.to_pylist())
+        ids, sizes = np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+        words = numbered.indices.to_numpy()
+        length = sizes[words]
+        starts, stops = (np.cumsum(sizes) - sizes)[words], np.cumsum(length)
+        flat = ids[np.repeat(starts - stops + length, length) + np.arange(int(length.sum()))]
+        bounds = np.append(0, stops)[np.append(0, np.cumsum(split.value_lengths().to_numpy()))]
+        data, at = flat.tobytes(), (bounds * 4).tolist()
+        return [data[a:b] for a, b in zip(at, at[1:])]
 
 
 _PIECE = "start long, length long, ids_crc32 long, doc_tokens long, ids binary, part int, units int, place long"
@@ -127,11 +121,11 @@ def pieces(docs: DataFrame, tokenizer: str, *, size: int = SIZE, unit: int = UNI
     closing = np.array([end], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part = encoder(tokenizer), TaskContext.get().partitionId()
+        words, part = Encoder(tokenizer), TaskContext.get().partitionId()  # ends with the task, and what it remembers
         seen = np.zeros(size // unit + 2, np.int64)
         for batch in slices(batches, "text", 4 << 20):
             rows: list[tuple] = []
-            for doc, data in zip(batch.column("doc_id").to_pylist(), words.encode(batch.column("text").to_pylist())):
+            for doc, data in zip(batch.column("doc_id").to_pylist(), words.encode(batch.column("text"))):
                 data += closing
                 total = len(data) // 4
                 for start in range(0, total, size):
