@@ -17,6 +17,7 @@ import json
 import re
 from collections.abc import Iterator
 from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ from townsquare.llm.common import slices, stored, tokenizer_path
 #: a space at the start, or after white space: such a space begins no chunk
 _RUN = re.compile(r"^ |\s ")
 _GUARD = " a"
+_SPAN = attrgetter("id", "begin", "end")
 _EMPTY = np.zeros(0, np.int64)
 
 
@@ -120,7 +122,7 @@ class ProtoSide(Side):
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         # the immutable proto of earlier versions is called proto in this one; its spans lack the space put before
         pieces = self.model.encode(text[1:], return_type="proto", num_threads=1).pieces
-        found = np.fromiter((x for p in pieces for x in (p.id, p.begin, p.end)), np.int64).reshape(-1, 3)
+        found = np.fromiter(chain.from_iterable(map(_SPAN, pieces)), np.int64, 3 * len(pieces)).reshape(-1, 3)
         begin, end = found[:, 1] + 1, found[:, 2] + 1
         begin[:1] = 0
         return found[:, 0], begin, end
