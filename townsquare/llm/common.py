@@ -12,6 +12,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from townsquare.config import is_local
+
 #: Bytes A-Z lower-cased; every other ASCII byte that is no digit or letter is a blank. Bytes from 0x80 are word bytes.
 _BLANKED = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -30,10 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for intermediate data: ``spark.checkpoint.dir`` of the session.
 
-    Where the session names none (tests, local runs), checkpoints go below the warehouse, which is shared too.
+    Where a local session names none, checkpoints go below the warehouse. On a cluster that is an error: the default
+    warehouse is a folder of the driver's machine.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not spark.conf.get("spark.checkpoint.dir", None) and not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
         context.setCheckpointDir(root)
     return context.getCheckpointDir()
