@@ -9,7 +9,7 @@ from townsquare.acceptance.queries import Layers
 from townsquare.config import session_sized_for, shared_dir, shuffle_partitions_for
 from townsquare.plans import quality
 from townsquare.plans.pipeline import export_gold, gold_layer, refresh, register_layers, run_pipeline
-from townsquare.sinks import TableStore
+from townsquare.sinks import Retention, TableStore, read_export
 from townsquare.sources import ENTITIES, source_paths
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -119,7 +119,18 @@ def test_export(run, spark, tmp_path):
     written = export_gold(gold_layer(store), str(tmp_path))
     assert len(written) == 9 and "rising_star_businesses" in written
     assert written == {name: counts[f"gold.{name}"] for name in written}
-    assert "review_year" in spark.read.parquet(f"{tmp_path}/fact_review").columns
+    assert "review_year" in read_export(spark, str(tmp_path))["fact_review"].columns
+
+
+def test_refreshes_leave_the_configured_versions(run):
+    store, _ = run
+    for _ in range(3):
+        reader = store.read("gold", "fact_review")
+        before = reader.count()
+        refresh(store, retention=Retention(keep=2, least_age=0))
+        assert reader.count() == before, "a query on the version before still finds its files"
+    tables = [("gold", "fact_review"), ("gold", "dim_user"), ("gold", "rising_star_businesses"), ("silver", "review"), ("silver", "dq_checks")]
+    assert [len(store.snapshots(*t)) for t in tables] == [2] * 5
 
 
 def test_incremental_rows_reach_gold(spark, run, tmp_path):

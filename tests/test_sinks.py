@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import rows
-from townsquare.sinks import TableStore, ensure_layers, export_frames, run_writes, write_files
+from townsquare.sinks import Retention, TableStore, ensure_layers, export_frames, read_export, run_writes, write_files
 
 
 @pytest.fixture
@@ -105,8 +105,47 @@ def test_export(spark, tmp_path):
     out = str(tmp_path / "out")
     assert export_frames(frames, out, {"f": ["review_year"]}) == {"a": 3, "f": 4}
     assert export_frames(frames, out, {"f": ["review_year"]}) == {"a": 3, "f": 4}
-    assert spark.read.parquet(f"{out}/f").count() == 4
-    assert "review_year=2020" in os.listdir(f"{out}/f")
+    found = read_export(spark, out)
+    assert found["f"].count() == 4 and found["a"].count() == 3
+    assert all("/review_year=2020/" in path for path in found["f"].inputFiles())
+
+
+def test_failed_export_leaves_the_old_one(spark, tmp_path):
+    out = str(tmp_path / "out")
+    export_frames({"a": spark.range(3), "b": spark.range(4)}, out)
+    held = read_export(spark, out)
+    broken = spark.range(3).select(F.raise_error(F.lit("boom")).alias("id"))
+    with pytest.raises(Exception, match="boom"):
+        export_frames({"a": spark.range(30), "b": broken}, out)
+    found = read_export(spark, out)
+    assert {name: df.count() for name, df in found.items()} == {"a": 3, "b": 4}
+    export_frames({"a": spark.range(5)}, out)
+    found = read_export(spark, out)
+    assert {name: df.count() for name, df in found.items()} == {"a": 5}, "a table left out is not in the new export"
+    assert held["b"].count() == 4  # a reader of the old export goes on
+
+
+def test_read_export_of_nothing(spark, tmp_path):
+    with pytest.raises(AnalysisException):
+        read_export(spark, str(tmp_path))
+
+
+def test_retention_keeps_versions_and_running_readers(spark, store):
+    for n in range(1, 4):
+        store.write("silver", "t", spark.range(n).withColumn("p", F.lit("a")), ["p"])
+    reader = store.read("silver", "t")
+    store.replace_partitions("silver", "t", spark.range(7).withColumn("p", F.lit("b")), "p", ["b"])
+    assert store.retain(Retention(keep=9, least_age=0)) == {}
+    assert store.retain(Retention(keep=1, least_age=3600)) == {}, "shown an hour ago or later"
+    assert len(store.retain(Retention(keep=2, least_age=0))["silver.t"]) == 1
+    store.write("silver", "t", spark.range(5).withColumn("p", F.lit("c")), ["p"])
+    assert len(store.snapshots("silver", "t")) == 4
+    store.retain(Retention(keep=2, least_age=0))  # the version before has two snapshots, both stay
+    assert len(store.snapshots("silver", "t")) == 3 and reader.count() == 3
+    assert list(store.retain(Retention(keep=1, least_age=0))) == ["silver.t"]
+    assert len(store.snapshots("silver", "t")) == 1 and store.read("silver", "t").count() == 5
+    store.write("silver", "t", spark.range(1).withColumn("p", F.lit("c")), ["p"])
+    assert len(store.contents("silver", "t").left) == 1, "dropped ones are forgotten"
 
 
 def test_failing_publish_keeps_the_old_rows(spark, store, monkeypatch):

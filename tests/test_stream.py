@@ -1,3 +1,4 @@
+import os
 import uuid
 
 import pytest
@@ -49,3 +50,56 @@ def test_bad_lines_and_duplicates_are_kept(ingest, land):
     land("in/a.json", {"business_id": "a"}, {"business_id": "a"}, "{bad")
     got = ingest()
     assert got.count() == 3 and got.where("business_id IS NULL").count() == 1
+
+
+def _unwritable(folder):
+    """Put a folder that nothing can be written to in a folder's place; gives
+    back what undoes it."""
+    aside = folder.with_name(f"{folder.name}-aside")
+    existed = folder.exists()
+    if existed:
+        folder.rename(aside)
+    folder.symlink_to("/sys/kernel")
+
+    def undo():
+        folder.unlink()
+        if existed:
+            aside.rename(folder)
+
+    return undo
+
+
+@pytest.mark.skipif(not os.path.isdir("/sys/kernel"), reason="needs a folder that refuses files")
+@pytest.mark.parametrize("loads_before", [0, 1])
+@pytest.mark.parametrize("batch_id", [None, "b"])
+def test_crash_between_files_and_offsets(ingest, land, tmp_path, loads_before, batch_id):
+    """The query dies when the files of a batch are published and its offsets
+    are not committed; the next run neither repeats nor loses a row."""
+    if loads_before:
+        land("in/0.json", {"business_id": "0"})
+        assert ingest(batch_id=batch_id).count() == 1
+    land("in/1.json", {"business_id": "1"}, {"business_id": "1"}, {"business_id": "2"})
+    (tmp_path / "checkpoint").mkdir(exist_ok=True)
+    undo = _unwritable(tmp_path / "checkpoint" / "commits")
+    with pytest.raises(Exception):
+        ingest(batch_id=batch_id)
+    undo()
+    published = tmp_path / "out" / "_spark_metadata" / str(loads_before)
+    committed = tmp_path / "checkpoint" / "commits" / str(loads_before)
+    assert published.exists() and not committed.exists(), "it died between the two"
+    land("in/3.json", {"business_id": "3"})
+    want = ["0"] * loads_before + ["1", "1", "2", "3"]
+    for _ in range(2):
+        assert sorted(row["business_id"] for row in ingest(batch_id=batch_id).collect()) == want
+    assert committed.exists()
+
+
+def test_files_without_a_published_batch_are_not_read(ingest, land, tmp_path):
+    """A task's file whose batch was never published (the query died before)
+    is no row, and the batch is loaded by the next run."""
+    land("in/0.json", {"business_id": "0"})
+    ingest()
+    (stray,) = (tmp_path / "out").glob("*.parquet")
+    (tmp_path / "out" / "part-00000-stray.snappy.parquet").write_bytes(stray.read_bytes())
+    land("in/1.json", {"business_id": "1"})
+    assert sorted(row["business_id"] for row in ingest().collect()) == ["0", "1"]

@@ -20,7 +20,7 @@ from townsquare.config import with_session_conf
 from townsquare.plans.bronze import stream_batches
 from townsquare.plans.changes import refresh_changes, take_back
 from townsquare.plans.pipeline import export_gold, gold_layer, refresh, run_pipeline
-from townsquare.sinks import TableStore
+from townsquare.sinks import Retention, TableStore
 from townsquare.sources import ENTITIES, new_batch_id, source_paths
 from townsquare.streaming import ingest_incremental, stream_table
 
@@ -44,6 +44,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         command.add_argument("--landing", required=True)
     for command in (run, again, back):
         command.add_argument("--strict", action="store_true", help="fail on violated quality checks")
+        command.add_argument("--keep", type=int, default=2, help="versions of a table whose files stay")
+        command.add_argument("--keep-hours", type=float, default=24.0, help="how long replaced files stay at least")
     for command in (run, ingest, again, back, export):
         command.add_argument("--root", required=True, help="shared folder for tables and checkpoints")
         command.add_argument("--prefix", default="reviews", help="database name prefix")
@@ -57,13 +59,14 @@ def main(argv: list[str] | None = None) -> None:
     root = args.root.rstrip("/")
     store = TableStore(spark, root, args.prefix)
     counts: dict[str, int] = {}
+    kept = Retention(args.keep, args.keep_hours * 3600) if "keep" in args else None
     if args.command == "run":
         paths = source_paths(args.landing, args.file_name)
-        counts = run_pipeline(store, paths, skip_missing=args.skip_missing, strict=args.strict)
+        counts = run_pipeline(store, paths, skip_missing=args.skip_missing, strict=args.strict, retention=kept)
     elif args.command == "refresh":
-        counts = (refresh if args.full else refresh_changes)(store, args.strict)
+        counts = (refresh if args.full else refresh_changes)(store, args.strict, kept)
     elif args.command == "take-back":
-        counts = take_back(store, args.batch_id, args.strict)
+        counts = take_back(store, args.batch_id, args.strict, retention=kept)
     elif args.command == "export":
         counts = export_gold(gold_layer(store), args.out)
     else:

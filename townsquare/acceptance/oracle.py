@@ -219,6 +219,9 @@ FROM bronze_review""",
     "profile_review_distinct": " UNION ALL ".join(
         f"SELECT '{name}' AS \"column\", true AS within_tolerance" for name in ENTITIES["review"].names
     ),
+    "profile_merged_loads": "SELECT *, true AS distinct_close, true AS quantiles_close FROM ("
+    + _profile_rows("bronze_review", tuple(ENTITIES["review"].names))
+    + ")",
     # Sinks
     "write_read_roundtrip": """
 SELECT business_id, date_key, checkin_date, checkin_count,

@@ -19,6 +19,7 @@ from townsquare.plans import gold, quality, reports, rising
 from townsquare.plans.bronze import bronze_rows, ingest_bronze, ingest_observed
 from townsquare.plans.changes import refresh_changes, take_back
 from townsquare.plans.frames import LazyFrames
+from townsquare.plans.profiles import QUANTILES, profile_loads, stored_profile
 from townsquare.plans.pipeline import (
     SILVER_TABLES,
     export_gold,
@@ -27,7 +28,7 @@ from townsquare.plans.pipeline import (
     run_pipeline,
     silver_plans,
 )
-from townsquare.sinks import TableStore, run_writes, write_files
+from townsquare.sinks import TableStore, read_export, run_writes, write_files
 from townsquare.sources import (
     ENTITIES,
     new_batch_id,
@@ -160,6 +161,45 @@ def profile_review_distinct(layers: Layers) -> DataFrame:
     return quality.profile(reviews).join(listed, "column").select("column", close.alias("within_tolerance"))
 
 
+@_query
+def profile_merged_loads(layers: Layers) -> DataFrame:
+    """Profile of the reviews from the stored sketches of a batch load and two incremental ones.
+
+    Counts and extremes are exact. Each row tells whether the merged sketches are close to the exact figures of all rows:
+    distinct values within 10 %, quantiles within 2 % of the rows by rank.
+    """
+    store = layers.new_store("profile-loads")
+    rows = layers.bronze["review"]
+    part = F.pmod(F.xxhash64(*rows.columns), F.lit(3))
+    ingest_bronze(store, "review", rows.where(part == 0), new_batch_id())
+    profile_loads(store, "review")
+    for number in (1, 2):
+        rows.where(part == number).write.mode("append").json(f"{store.root}/landing")
+        ingest_incremental(
+            *(layers.spark, "review", f"{store.root}/landing", store.name("bronze", stream_table("review")), f"{store.root}/checkpoint"),
+            path=f"{store.root}/{stream_table('review')}",
+            batch_id=new_batch_id(),
+        ).awaitTermination()
+        profile_loads(store, "review")
+    found = stored_profile(store, "review")
+    hashes = bronze_rows(store, "review").select(*rows.columns)
+    numbers = {f.name for f in rows.schema.fields if isinstance(f.dataType, T.NumericType)}
+    checks = []
+    for row in found.collect():  # one row per column
+        name = row["column"]
+        column = F.col(name)
+        exact = hashes.groupBy(F.xxhash64(column)).agg(F.max(column.isNotNull()).alias("known")).agg(F.count_if("known").alias("n"))
+        near = exact.select(F.lit(name).alias("column"), (F.abs(F.lit(row["approx_distinct"]) - F.col("n")) <= 0.1 * F.col("n")).alias("distinct_close"))
+        ranks = [
+            (F.count_if(column < value) <= (q + 0.02) * F.count(column)) & (F.count_if(column <= value) >= (q - 0.02) * F.count(column))
+            for q, value in zip(QUANTILES, row["quantiles"] or ())
+        ]
+        placed = reduce(Column.__and__, ranks) if ranks else F.lit(name not in numbers)
+        checks.append(near.withColumn("quantiles_close", hashes.agg(placed.alias("p")).scalar()))
+    close = reduce(DataFrame.union, checks)
+    return found.drop("approx_distinct", "quantiles").join(close, "column")
+
+
 # Sinks
 
 
@@ -252,7 +292,8 @@ def gold_export(layers: Layers) -> DataFrame:
     frames["rising_star_businesses"] = rising.rising_star(frames["fact_review"], frames["dim_business"], **RULE)
     out = shared_dir(layers.spark, "gold-export")
     export_gold(frames, out)
-    read = {name: layers.spark.read.parquet(f"{out}/{name}").select(*df.columns) for name, df in frames.items()}
+    exported = read_export(layers.spark, out)
+    read = {name: exported[name].select(*df.columns) for name, df in frames.items()}
     years = read["fact_review"].select(F.regexp_extract(F.input_file_name(), "review_year=([^/]*)", 1).alias("y"))
     folders = years.distinct().agg(
         F.lit("fact_review folders").alias("table"), F.count(F.lit(1)).alias("row_count"), F.sum(F.coalesce(F.col("y").try_cast("bigint"), F.lit(0))).alias("content")

@@ -32,7 +32,7 @@ from townsquare.plans.pipeline import (
     refresh,
     silver_sources,
 )
-from townsquare.sinks.store import TableStore
+from townsquare.sinks.store import Retention, TableStore
 from townsquare.sources.entities import ENTITIES
 
 #: a table of more segments is written anew as one
@@ -134,7 +134,9 @@ def _refresh_gold(store: TableStore) -> dict[str, int]:
     return written | (build_gold(store, whole) if whole else {})
 
 
-def refresh_changes(store: TableStore, strict: bool = False, **rising_rule: object) -> dict[str, int]:
+def refresh_changes(
+    store: TableStore, strict: bool = False, retention: Retention | None = Retention(), **rising_rule: object
+) -> dict[str, int]:
     """Bring silver, gold and the report up to date with bronze; ``layer.table``
     -> rows written, for the tables that changed. The result equals
     :func:`townsquare.plans.pipeline.refresh`.
@@ -142,9 +144,10 @@ def refresh_changes(store: TableStore, strict: bool = False, **rising_rule: obje
     Where nothing is stored yet, this is that. Businesses and users, and gold
     tables that aggregate, are written as a whole if their sources changed. An
     ingest must have ended before: a batch id stands for all its rows.
+    Snapshots beyond ``retention`` are dropped at the end.
     """
     if not store.exists("gold", "rising_star_businesses"):
-        return refresh(store, strict, **rising_rule)
+        return refresh(store, strict, retention, **rising_rule)
     written, metrics = _refresh_silver(store, strict)
     counts = {f"silver.{t}": n for t, n in written.items()}
     if written:
@@ -153,6 +156,8 @@ def refresh_changes(store: TableStore, strict: bool = False, **rising_rule: obje
     counts |= {f"gold.{t}": n for t, n in made.items()}
     if {"fact_review", "dim_business"} & made.keys():
         counts["gold.rising_star_businesses"] = build_report(store, **rising_rule)
+    if retention:
+        store.retain(retention)
     return counts
 
 

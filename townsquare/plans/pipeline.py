@@ -13,7 +13,7 @@ from townsquare.config import session_sized_for
 from townsquare.plans import gold, quality, rising, silver
 from townsquare.plans.bronze import bronze_rows, ingest_bronze, stream_batches
 from townsquare.plans.frames import LazyFrames
-from townsquare.sinks.store import TableStore, export_frames, run_writes
+from townsquare.sinks.store import Retention, TableStore, export_frames, run_writes
 from townsquare.sources.entities import ENTITIES
 from townsquare.sources.landing import landed_frames, new_batch_id
 from townsquare.sources.views import register_views
@@ -217,16 +217,21 @@ def build_report(store: TableStore, **rising_rule: object) -> int:
     return store.write("gold", "rising_star_businesses", report)
 
 
-def refresh(store: TableStore, strict: bool = False, **rising_rule: object) -> dict[str, int]:
+def refresh(
+    store: TableStore, strict: bool = False, retention: Retention | None = Retention(), **rising_rule: object
+) -> dict[str, int]:
     """Rebuild silver, checks, gold and the report from what bronze holds now,
     incremental rows included; ``layer.table`` -> rows. With ``strict`` a
-    violation ends the run before gold is touched. See
+    violation ends the run before gold is touched. Snapshots beyond
+    ``retention`` are dropped at the end. See
     :func:`townsquare.plans.changes.refresh_changes` for the incremental way."""
     metrics = build_silver(store, strict)
     counts = {"silver": _rows(metrics)}
     counts["silver"]["dq_checks"] = audit_silver(store, metrics, strict)
     counts["gold"] = build_gold(store)
     counts["gold"]["rising_star_businesses"] = build_report(store, **rising_rule)
+    if retention:
+        store.retain(retention)
     return {f"{layer}.{name}": n for layer, tables in counts.items() for name, n in tables.items()}
 
 
@@ -256,5 +261,6 @@ def run_pipeline(
 
 
 def export_gold(tables: Mapping[str, DataFrame], out: str) -> dict[str, int]:
-    """Gold tables, and any report given with them, as Parquet folders."""
+    """Gold tables, and any report given with them, as Parquet folders that
+    :func:`townsquare.sinks.read_export` finds."""
     return export_frames(tables, out, partition_by=PARTITIONED)

@@ -7,7 +7,7 @@ import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from functools import partial
 
 from pyspark import inheritable_thread_target
@@ -58,16 +58,41 @@ def write_files(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> i
     return seen.get["rows"]
 
 
+_MANIFEST = "manifest"
+_MANIFEST_SCHEMA = "export string, name string, path string, rows bigint"
+
+
 def export_frames(
     frames: Mapping[str, DataFrame], out: str, partition_by: Mapping[str, Sequence[str]] | None = None
 ) -> dict[str, int]:
-    """Overwrite ``<out>/<name>`` with each frame; name -> row count."""
+    """Export frames as Parquet folders below ``out``; name -> row count.
+
+    Each export has a folder of its own. One file in ``<out>/manifest``, written
+    last, makes it the one that :func:`read_export` gives: an export that fails
+    leaves the one before as it was, and readers never see a mixture. Folders of
+    earlier exports stay until their owner removes them.
+    """
+    spark, out = SparkSession.active(), out.rstrip("/")
+    export = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
     writes = {}
     for name, frame in frames.items():
         by = tuple((partition_by or {}).get(name, ()))
         laid_out = rebalance_rows(frame, *by) if by else frame
-        writes[name] = partial(write_files, laid_out, f"{out.rstrip('/')}/{name}", by)
-    return run_writes(SparkSession.active(), writes)
+        writes[name] = partial(write_files, laid_out, f"{out}/{export}/{name}", by)
+    counts = run_writes(spark, writes)
+    listed = [(export, name, f"{export}/{name}", rows) for name, rows in counts.items()]
+    entry = spark.createDataFrame(listed, _MANIFEST_SCHEMA).coalesce(1)  # one file: it is there whole or not at all
+    entry.write.mode("append").json(f"{out}/{_MANIFEST}")
+    return counts
+
+
+def read_export(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """The tables of the newest complete export below ``out``."""
+    out = out.rstrip("/")
+    listed = spark.read.schema(_MANIFEST_SCHEMA).json(f"{out}/{_MANIFEST}")
+    newest = listed.agg(F.max("export")).scalar()
+    found = listed.where(F.col("export") == newest).collect()  # a row per table
+    return {row["name"]: spark.read.parquet(f"{out}/{row['path']}") for row in found}
 
 
 _SNAPSHOT = "__snapshot_"
@@ -88,25 +113,43 @@ class Segment:
 @dataclass(frozen=True)
 class Contents:
     """What a name shows: segments in the order they came, the column that
-    ``values`` refer to, and what the rows were made from."""
+    ``values`` refer to, and what the rows were made from. ``left`` has the
+    snapshots shown earlier with the time (ns) they were last shown."""
 
     segments: tuple[Segment, ...]
     by: str | None = None
     sources: Mapping[str, Sequence[str]] | None = None
+    left: Mapping[str, int] = field(default_factory=dict)
 
     def dump(self) -> str:
         segments = [[s.table, None if s.values is None else list(s.values)] for s in self.segments]
-        return json.dumps({"segments": segments, "by": self.by, "sources": self.sources})
+        return json.dumps({"segments": segments, "by": self.by, "sources": self.sources, "left": dict(self.left)})
 
     @classmethod
     def load(cls, text: str) -> Contents:
         found = json.loads(text)
         segments = tuple(Segment(t, None if v is None else tuple(v)) for t, v in found["segments"])
-        return cls(segments, found["by"], found["sources"])
+        return cls(segments, found["by"], found["sources"], found.get("left", {}))
 
     def names(self) -> list[str]:
         return [s.table for s in self.segments]
 
+    def after(self, old: Contents | None, now: int) -> Contents:
+        """These contents with what they and earlier ones took the place of."""
+        if old is None:
+            return self
+        left = {**old.left, **dict.fromkeys(old.names(), now)}
+        return replace(self, left={name: at for name, at in left.items() if name not in self.names()})
+
+
+@dataclass(frozen=True)
+class Retention:
+    """Which snapshots a refresh leaves: those of the newest ``keep`` versions
+    of a name, and those that readers could still get ``least_age`` seconds ago."""
+
+    keep: int = 2
+    least_age: float = 24 * 3600.0
+
 
 def _sql(value: object) -> str:
     return str(value) if isinstance(value, int) else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -300,6 +343,9 @@ class TableStore:
 
     def _publish(self, layer: str, table: str, contents: Contents) -> None:
         """Point the name at segments, by one metastore operation."""
+        contents = contents.after(self.contents(layer, table), time.time_ns())
+        there = {name.lower() for name in self.snapshots(layer, table)} if contents.left else set()
+        contents = replace(contents, left={name: at for name, at in contents.left.items() if name.lower() in there})
         parts, first = [], self.name(layer, contents.segments[0].table)
         columns = ", ".join(f"`{c}`" for c in self.spark.table(first).columns)
         for i, segment in enumerate(contents.segments):
@@ -319,11 +365,38 @@ class TableStore:
         """Point the name back at an earlier snapshot, whole."""
         self._publish(layer, table, Contents((Segment(snapshot),)))
 
-    def drop_old_snapshots(self, layer: str, table: str, keep: int = 1) -> list[str]:
-        """Drop all but the newest ``keep`` snapshots, files included, and
-        return their names. Those the name shows always stay."""
-        shown = {name.lower() for name in self.contents(layer, table).names()}
-        old = [s for s in self.snapshots(layer, table)[:-keep or None] if s not in shown]
+    def drop_old_snapshots(self, layer: str, table: str, keep: int = 1, least_age: float = 0.0) -> list[str]:
+        """Drop the snapshots of all but the newest ``keep`` versions of a
+        name, files included, and return their names.
+
+        What the name shows always stays, and so does what it showed
+        ``least_age`` seconds ago or later, so that queries that started then
+        find their files. A snapshot no version shows (its write failed, or
+        has not published it yet) goes by the time it was made.
+        """
+        now = time.time_ns()
+        contents = self.contents(layer, table)
+        shown = {name.lower() for name in contents.names()}
+        left = {name.lower(): at for name, at in contents.left.items()}
+        versions = sorted(set(left.values()), reverse=True)[: max(keep - 1, 0)]
+        old = []
+        for snapshot in self.snapshots(layer, table):
+            since = left.get(snapshot, int(snapshot.rpartition(_SNAPSHOT)[2].split("_")[0]))
+            if snapshot not in shown and since not in versions and now - since >= least_age * 1e9:
+                old.append(snapshot)
         for snapshot in old:
             self.spark.sql(f"DROP TABLE {self.name(layer, snapshot)}")
         return old
+
+    def retain(self, retention: Retention, layers: Sequence[str] = ("silver", "gold")) -> dict[str, list[str]]:
+        """Drop old snapshots of every name in the layers; ``layer.table`` ->
+        dropped ones. Bronze is left out because taking a batch back needs its
+        earlier loads."""
+        dropped = {}
+        for layer in layers:
+            listed = [t.name.split(_SNAPSHOT)[0] for t in self.spark.catalog.listTables(self.database(layer)) if _SNAPSHOT in t.name]
+            for table in sorted({name for name in listed if listed.count(name) > 1}):
+                old = self.drop_old_snapshots(layer, table, retention.keep, retention.least_age) if self.contents(layer, table) else []
+                if old:
+                    dropped[f"{layer}.{table}"] = old
+        return dropped
