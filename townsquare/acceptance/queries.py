@@ -171,7 +171,8 @@ def profile_merged_loads(layers: Layers) -> DataFrame:
     store = layers.new_store("profile-loads")
     rows = layers.bronze["review"]
     part = F.pmod(F.xxhash64(*rows.columns), F.lit(3))
-    ingest_bronze(store, "review", rows.where(part == 0), new_batch_id())
+    rows.where(part == 0).write.json(f"{store.root}/batch")
+    ingest_bronze(store, "review", scan_json(layers.spark, "review", f"{store.root}/batch"), new_batch_id())
     profile_loads(store, "review")
     for number in (1, 2):
         rows.where(part == number).write.mode("append").json(f"{store.root}/landing")
@@ -182,22 +183,29 @@ def profile_merged_loads(layers: Layers) -> DataFrame:
         ).awaitTermination()
         profile_loads(store, "review")
     found = stored_profile(store, "review")
-    hashes = bronze_rows(store, "review").select(*rows.columns)
-    numbers = {f.name for f in rows.schema.fields if isinstance(f.dataType, T.NumericType)}
-    checks = []
-    for row in found.collect():  # one row per column
-        name = row["column"]
+    whole = bronze_rows(store, "review").select(*rows.columns)
+    numbers = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.NumericType)]
+    sketched = {row["column"]: row for row in found.collect()}  # a row per column
+
+    def placed(name: str) -> Column:
         column = F.col(name)
-        exact = hashes.groupBy(F.xxhash64(column)).agg(F.max(column.isNotNull()).alias("known")).agg(F.count_if("known").alias("n"))
-        near = exact.select(F.lit(name).alias("column"), (F.abs(F.lit(row["approx_distinct"]) - F.col("n")) <= 0.1 * F.col("n")).alias("distinct_close"))
-        ranks = [
+        sides = [
             (F.count_if(column < value) <= (q + 0.02) * F.count(column)) & (F.count_if(column <= value) >= (q - 0.02) * F.count(column))
-            for q, value in zip(QUANTILES, row["quantiles"] or ())
+            for q, value in zip(QUANTILES, sketched[name]["quantiles"], strict=True)
         ]
-        placed = reduce(Column.__and__, ranks) if ranks else F.lit(name not in numbers)
-        checks.append(near.withColumn("quantiles_close", hashes.agg(placed.alias("p")).scalar()))
-    close = reduce(DataFrame.union, checks)
-    return found.drop("approx_distinct", "quantiles").join(close, "column")
+        return reduce(Column.__and__, sides)
+
+    ranks = whole.agg(*(placed(name).alias(name) for name in numbers)).first()
+
+    def exact(name: str) -> DataFrame:
+        """One column at a time: several exact counts in one aggregate would repeat every row for each."""
+        values = whole.where(F.col(name).isNotNull()).select(F.xxhash64(name).alias("value")).distinct()
+        close = F.abs(F.lit(sketched[name]["approx_distinct"]) - F.count(F.lit(1))) <= 0.1 * F.count(F.lit(1))
+        return values.agg(
+            F.lit(name).alias("column"), close.alias("distinct_close"), F.lit(ranks[name] if name in numbers else True).alias("quantiles_close")
+        )
+
+    return found.drop("approx_distinct", "quantiles").join(reduce(DataFrame.union, map(exact, rows.columns)), "column")
 
 
 # Sinks
