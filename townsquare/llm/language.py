@@ -2,7 +2,7 @@
 
 A known word adds its log frequency in each language. A word that no language knows is scored by its longest known
 character n-grams: five characters, else four, and so on down to one. The frequencies are counted in Spark over a bounded
-sample of labelled documents; the model keeps a bounded number of words and n-grams per language, so it can be broadcast.
+sample of labelled documents, which bounds the model that is broadcast.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from townsquare.llm.common import held_out
 
@@ -119,12 +119,11 @@ def _count(flush: int):
     return count
 
 
-def train(
-    labelled: DataFrame, *, docs_per_language: int = 600, words_kept: int = 20_000, grams_kept: int = 10_000
-) -> Model:
-    """Fit on ``lang`` and ``text``; ``doc_id`` only helps to choose the sample. Bounds, all parameters: about ``docs_per_language`` documents per language (by the
-    hash of id and text), and in the model the most frequent ``words_kept`` words and ``grams_kept`` n-grams of each
-    length per language. NULL languages and texts are left out."""
+def train(labelled: DataFrame, *, docs_per_language: int = 600) -> Model:
+    """Fit on ``lang`` and ``text``; ``doc_id`` only helps to choose the sample.
+
+    The bound is about ``docs_per_language`` documents per language (by the hash of id and text); the model holds every word
+    and n-gram of these. NULL languages and texts are left out."""
     own = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
     bounds = own.groupBy("lang").count().collect()  # one row per language
     if not bounds:
@@ -135,11 +134,7 @@ def train(
         share = min(1.0, docs_per_language / row["count"])
         below = below | ((F.col("lang") == row["lang"]) & (place < int(share * 2**31)))
     counted = own.where(below).select("lang", "text").mapInArrow(_count(300_000), "lang string, kind int, gram string, n long")
-    counted = counted.groupBy("lang", "kind", "gram").agg(F.sum("n").alias("n"))
-    most = Window.partitionBy("lang", "kind").orderBy(F.col("n").desc(), "gram")
-    kept = F.when(F.col("kind") == WORD, words_kept).otherwise(grams_kept)
-    rows = counted.withColumn("r", F.row_number().over(most)).where(F.col("r") <= F.greatest(F.lit(words_kept), F.lit(grams_kept)))
-    table = rows.where(F.col("r") <= kept).select("lang", "kind", "gram", "n").toArrow()
+    table = counted.groupBy("lang", "kind", "gram").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(r["lang"] for r in bounds)
     number = {lang: i for i, lang in enumerate(languages)}
     places: dict[int, dict[str, int]] = {n: {} for n in range(LONGEST + 1)}

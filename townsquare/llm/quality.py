@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +20,7 @@ from townsquare.llm.common import fold, held_out, slices, stored, texts
 _TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[!-/:-@\[-`{-~]+")
 _REPEAT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
+_UNIT = 2**24
 
 
 class Hasher:
@@ -91,12 +91,14 @@ class Model:
 
 
 def train(
-    labelled: DataFrame, *, bits: int = 18, rounds: int = 4, sample_rows: int = 20_000, rows_per_part: int = 5_000
+    labelled: DataFrame, *, bits: int = 18, rounds: int = 4, passes: int = 8, parts: int = 4
 ) -> Model:
     """Fit on ``text`` and ``label`` (0 or 1; other values are left out, NULL text is empty).
 
-    ``labelled`` must hold at most about ``sample_rows`` rows (see ``sample``): the sample is what bounds this fit, the
-    state has 2**bits + 1 slots. An empty sample gives a model that scores 0.5.
+    ``labelled`` must be a bounded sample (see ``sample``): each of ``parts`` tasks holds the features of its rows and reads
+    them ``passes`` times a round. Rounds, passes and parts are the same for a sample of any size. The state has
+    2**bits + 1 slots. Its changes are added up as whole numbers of 2**-24, so that the order of the parts does not matter.
+    An empty sample gives a model that scores 0.5.
     """
     rows = stored(labelled.where(F.col("label").isin(0, 1)).select("text", F.col("label").cast("int")), "quality-sample")
     size = 2**bits + 1
@@ -104,30 +106,31 @@ def train(
     count = rows.count()
     if not count:
         return Model(z, bits)
-    parts = -(-count // rows_per_part)
-    passes = min(20, max(1, sample_rows // count))  # a small sample is read more often in each round
     part = F.pmod(F.xxhash64("text"), F.lit(parts))  # so many parts, however many partitions there are
-    dealt = rows.withColumn("part", part).repartition(parts, "part").sortWithinPartitions("part", F.xxhash64("text", F.lit(1)))
+    dealt = rows.withColumn("part", part).repartition(parts, "part").sortWithinPartitions("part", F.xxhash64("text", F.lit(1)), "label")
     for _ in range(rounds):
         start = rows.sparkSession.sparkContext.broadcast((z, n))
 
         def learn(batches, start=start):
-            leader, hasher, seen = Leader(*(x.copy() for x in start.value)), Hasher(bits), 0
-            examples = (x for b in batches for x in zip(texts(b, "text"), b.column("label").to_pylist()))
-            for text, label in examples if passes == 1 else chain.from_iterable(repeat(list(examples), passes)):
-                slots, values = hasher.features(text)
-                leader.learn(np.append(slots, size - 1), np.append(values, 0.3), label)
-                seen += 1
+            leader, hasher = Leader(*(x.copy() for x in start.value)), Hasher(bits)
+            examples = []
+            for batch in batches:
+                for text, label in zip(texts(batch, "text"), batch.column("label").to_pylist()):
+                    slots, values = hasher.features(text)
+                    examples.append((np.append(slots, size - 1).astype(np.int32), np.append(values, 0.3).astype(np.float32), label))
+            for _ in range(passes):
+                for slots, values, label in examples:
+                    leader.learn(slots, values, label)
             before = start.value
             slots = np.flatnonzero((leader.z != before[0]) | (leader.n != before[1]))
-            change = [seen // passes * (own[slots] - old[slots]) for own, old in zip((leader.z, leader.n), before)]
+            change = [np.rint(len(examples) * _UNIT * (own[slots] - old[slots])).astype(np.int64) for own, old in zip((leader.z, leader.n), before)]
             yield pa.RecordBatch.from_arrays([pa.array(slots), *map(pa.array, change)], names=["slot", "z", "n"])
 
-        states = dealt.mapInArrow(learn, "slot long, z double, n double").groupBy("slot")
+        states = dealt.mapInArrow(learn, "slot long, z long, n long").groupBy("slot")
         mean = states.agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toArrow()  # at most one row per slot
         slots = mean.column("slot").to_numpy()
-        z[slots] += mean.column("z").to_numpy() / count
-        n[slots] += mean.column("n").to_numpy() / count
+        z[slots] += mean.column("z").to_numpy() / (_UNIT * count)
+        n[slots] += mean.column("n").to_numpy() / (_UNIT * count)
         start.unpersist()
     return Model(Leader(z, n).weights(), bits)
 
