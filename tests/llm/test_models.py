@@ -108,6 +108,91 @@ def test_updates_follow_the_regularised_leader():
     assert not strong.weights().any()
 
 
+def test_updates_equal_a_plain_implementation():
+    """Row by row and slot by slot, with numbers in dictionaries."""
+    import random
+
+    import numpy as np
+    import pytest
+
+    rng = random.Random(9)
+    leader, z, n = quality.Leader(np.zeros(12), np.zeros(12)), {}, {}
+    for _ in range(300):
+        slots = sorted(rng.sample(range(12), rng.randint(1, 6)))
+        values, label = [rng.random() for _ in slots], rng.randint(0, 1)
+
+        def weight(i):
+            if abs(z.get(i, 0.0)) <= 0.02:
+                return 0.0
+            sign = 1 if z[i] > 0 else -1
+            return -(z[i] - sign * 0.02) / ((1.0 + n[i] ** 0.5) / 0.3 + 0.02)
+
+        w = [weight(i) for i in slots]
+        p = 1 / (1 + np.exp(-sum(a * b for a, b in zip(w, values))))
+        loss = leader.learn(np.array(slots), np.array(values), label)
+        assert loss == pytest.approx(-np.log(p if label else 1 - p))
+        for i, x, wi in zip(slots, values, w):
+            g = (p - label) * x
+            sigma = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / 0.3
+            z[i], n[i] = z.get(i, 0.0) + g - sigma * wi, n.get(i, 0.0) + g * g
+    assert leader.z == pytest.approx([z.get(i, 0.0) for i in range(12)])
+    assert leader.weights() == pytest.approx([weight(i) for i in range(12)])
+
+
+def test_training_is_reproducible_and_open_to_repeats(spark):
+    docs, labels = rated(spark, 200)
+    rows = quality.sample(docs, labels)
+    twice = rows.unionByName(rows)
+    one = quality.train(twice).weights
+    assert (one == quality.train(twice.repartition(7)).weights).all()
+    long = docs.limit(1).withColumn("text", F.expr("repeat('%%% ', 300000)"))
+    assert quality.score(long, quality.train(rows)).first()["predicted"] == 0
+
+
+def test_backoff_equals_a_plain_implementation(spark):
+    """Frequencies counted here from the sampled texts, words scored by the rule."""
+    import math
+    from collections import Counter, defaultdict
+
+    import numpy as np
+    import pytest
+
+    docs = labelled(spark, 80)
+    model = language.train(docs)
+    counts = defaultdict(Counter)  # kind -> (gram, language)
+    for row in docs.collect():
+        for word in row["text"].lower().split():
+            counts[0][word, row["lang"]] += 1
+            for n in range(1, 6):
+                marked = f"^{word}$" if n > 1 else word
+                for i in range(len(marked) - n + 1):
+                    counts[n][marked[i : i + n], row["lang"]] += 1
+
+    def logs(kind):
+        known = {g for g, _ in counts[kind]}
+        total = {lang: sum(counts[kind][g, lang] + 0.5 for g in known) for lang in LANGUAGES}
+        return {g: [math.log((counts[kind][g, lang] + 0.5) / total[lang]) for lang in sorted(LANGUAGES)] for g in known}
+
+    table = {kind: logs(kind) for kind in range(6)}
+
+    def of(word):
+        if word in table[0]:
+            return table[0][word]
+        for n in range(5, 0, -1):
+            marked = f"^{word}$" if n > 1 else word
+            found = [table[n][marked[i : i + n]] for i in range(len(marked) - n + 1) if marked[i : i + n] in table[n]]
+            if found:
+                return np.mean(found, axis=0)
+        return [0.0, 0.0]
+
+    assert {k: set(v) for k, v in model.places.items()} == {k: set(v) for k, v in table.items()}
+    for text in ("kalo", "kalostram zechteio", "x", "日 wüstenx", "qq kalo kalo gelben"):
+        total = np.sum([of(w) for w in text.split()], axis=0)
+        share = np.exp(total - total.max())
+        lang, score = language.Scorer(model).score(text)
+        assert lang == sorted(LANGUAGES)[int(share.argmax())] and score == pytest.approx(share.max() / share.sum())
+
+
 def test_queries_on_the_supplied_tables(spark):
     """Held-out rows of the supplied documents."""
     from townsquare.llm import registry

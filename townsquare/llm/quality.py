@@ -70,12 +70,15 @@ class Leader:
         w = -(z - np.sign(z) * self.l1) / ((self.beta + np.sqrt(n)) / self.alpha + self.l2)
         return np.where(np.abs(z) <= self.l1, 0.0, w)
 
-    def learn(self, slots: np.ndarray, values: np.ndarray, label: int) -> None:
+    def learn(self, slots: np.ndarray, values: np.ndarray, label: int) -> float:
+        """Update with one row; its log loss before the update."""
         w = self.weights(slots)
-        gradient = (sigmoid(float(w @ values)) - label) * values
+        score = sigmoid(float(w @ values))
+        gradient = (score - label) * values
         sigma = (np.sqrt(self.n[slots] + gradient**2) - np.sqrt(self.n[slots])) / self.alpha
         self.z[slots] += gradient - sigma * w
         self.n[slots] += gradient**2
+        return -float(np.log(score if label else 1 - score))
 
 
 def sigmoid(x: float) -> float:
@@ -91,13 +94,13 @@ class Model:
 
 
 def train(
-    labelled: DataFrame, *, bits: int = 18, rounds: int = 4, passes: int = 8, parts: int = 4
+    labelled: DataFrame, *, bits: int = 18, rounds: int = 4, passes: int = 20, close: float = 0.02, parts: int = 4
 ) -> Model:
     """Fit on ``text`` and ``label`` (0 or 1; other values are left out, NULL text is empty).
 
-    ``labelled`` must be a bounded sample (see ``sample``): each of ``parts`` tasks holds the features of its rows and reads
-    them ``passes`` times a round. Rounds, passes and parts are the same for a sample of any size. The state has
-    2**bits + 1 slots. Its changes are added up as whole numbers of 2**-24, so that the order of the parts does not matter.
+    ``labelled`` must be a bounded sample (see ``sample``): each of ``parts`` tasks holds the features of its rows. In a round
+    it reads them until a pass has a mean log loss below ``close`` (each row's before its own update), ``passes`` times at
+    most. Nothing else depends on how many rows there are. The state has 2**bits + 1 slots. Its changes are added up as whole numbers of 2**-24, so that the order of the parts does not matter.
     An empty sample gives a model that scores 0.5.
     """
     rows = stored(labelled.where(F.col("label").isin(0, 1)).select("text", F.col("label").cast("int")), "quality-sample")
@@ -119,8 +122,8 @@ def train(
                     slots, values = hasher.features(text)
                     examples.append((np.append(slots, size - 1).astype(np.int32), np.append(values, 0.3).astype(np.float32), label))
             for _ in range(passes):
-                for slots, values, label in examples:
-                    leader.learn(slots, values, label)
+                if sum(leader.learn(*example) for example in examples) < close * len(examples):
+                    break
             before = start.value
             slots = np.flatnonzero((leader.z != before[0]) | (leader.n != before[1]))
             change = [np.rint(len(examples) * _UNIT * (own[slots] - old[slots])).astype(np.int64) for own, old in zip((leader.z, leader.n), before)]
