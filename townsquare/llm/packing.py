@@ -27,16 +27,23 @@ SIZE, UNIT, END = 4096, 16, 2
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of ranges one behind the other."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers, by way of their words.
 
     The tokenizer drops white space and never joins across it, so a text is the concatenation of its words, and a word of
-    letters is one piece that ends with a word-end token. New words are encoded many at a time; a word of Latin letters is
-    already normal but for its case, so the steps before the merges are left out for it. Words that are no letters but for
-    marks at their end go to the tokenizer as they are. The ids of ``room`` to twice as many words are remembered.
+    letters is one piece that ends with a word-end token. Arrow splits the texts, numbers their words and looks them up
+    among the remembered ones, so Python handles new words only. These are encoded many at a time; a word of Latin letters
+    is already normal but for its case, so the steps before the merges are left out for it. Words that are no letters but
+    for marks at their end go to the tokenizer as they are. Words and ids lie in a few arrays; where there are more than
+    ``room`` words, those of the last two calls stay.
     """
 
-    def __init__(self, path: str, room: int = 350_000, bulk: int = 2_000) -> None:
+    def __init__(self, path: str, room: int = 500_000, bulk: int = 2_000) -> None:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer, self.room, self.bulk = Tokenizer.from_file(path), room, bulk
@@ -47,68 +54,101 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
+        self.words, self.ids = pa.array([], pa.string()), np.zeros(0, "<u4")
+        self.starts, self.sizes, self.used = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.turn = 0
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, stems: list[str]) -> None:
-        latin = [s for s in stems if s.isascii() or max(s) <= "ÿ"]
-        self._learn_by(self.plain, latin, [s.lower() for s in latin])
-        other = [s for s in stems if not s.isascii() and max(s) > "ÿ"]
-        self._learn_by(self.tokenizer, other, other)
+    def _letters(self, stems: pa.Array) -> list[bytes]:
+        """The ids of distinct words of letters."""
+        out = [b""] * len(stems)
+        narrow = pc.string_is_ascii(stems).to_numpy(zero_copy_only=False)
+        plain = np.flatnonzero(narrow).tolist()
+        forms = pc.ascii_lower(stems.filter(pa.array(narrow))).to_pylist()
+        other: list[int] = []
+        others: list[str] = []
+        for i, word in zip(np.flatnonzero(~narrow).tolist(), stems.filter(pa.array(~narrow)).to_pylist()):
+            if max(word) <= "ÿ":
+                plain.append(i)
+                forms.append(word.lower())
+            else:
+                other.append(i)
+                others.append(word)
+        self._learn(self.plain, stems, plain, forms, out)
+        self._learn(self.tokenizer, stems, other, others, out)
+        return out
 
-    def _learn_by(self, tokenizer, stems: list[str], forms: list[str]) -> None:
-        for at in range(0, len(stems), self.bulk):
-            some = stems[at : at + self.bulk]
+    def _learn(self, tokenizer, stems: pa.Array, places: list[int], forms: list[str], out: list[bytes]) -> None:
+        for at in range(0, len(places), self.bulk):
+            some = places[at : at + self.bulk]
             whole = " ".join(forms[at : at + self.bulk])
             ids = np.array(tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, "<u4")
             last = np.flatnonzero(self.ends[ids]) + 1
             if len(last) == len(some) and last[-1] == len(ids):
                 data, start = ids.tobytes(), 0
-                for word, end in zip(some, (last * 4).tolist()):
-                    self.known[word] = data[start:end]
+                for i, end in zip(some, (last * 4).tolist()):
+                    out[i] = data[start:end]
                     start = end
             else:  # some word is no single piece
-                self.known.update((w, self.whole(w)) for w in some)
+                for i in some:
+                    out[i] = self.whole(stems[i].as_py())
 
-    def _meet(self, words: list[str]) -> list[bytes]:
+    def _new(self, words: pa.Array) -> list[bytes]:
         """The ids of distinct words."""
-        if len(self.known) > self.room:
-            self.known, self.older = {"": b""}, self.known
-        known, older = self.known, self.older
-        new = set(words).difference(known)
-        again = new.intersection(older)
-        known.update((w, older[w]) for w in again)
-        new -= again
-        stems = {w: stem for w in new if (stem := w.rstrip(_MARKS)).isalpha()}
-        self._learn(list(set(stems.values()).difference(known)))
-        tails: dict[str, bytes] = {"": b""}
-        for word in new:
-            if stem := stems.get(word):
-                tail = word[len(stem) :]
-                if tail not in tails:
-                    tails[tail] = self.whole(tail)
-                known[word] = known[stem] + tails[tail]
-            else:
-                known[word] = self.whole(word)
-        return list(map(known.__getitem__, words))
+        stems = pc.utf8_rtrim(words, characters=_MARKS)
+        letters = pc.utf8_is_alpha(stems).to_numpy(zero_copy_only=False)
+        numbered = stems.filter(pa.array(letters)).dictionary_encode()
+        found = self._letters(numbered.dictionary)
+        out = [b""] * len(words)
+        for i, number in zip(np.flatnonzero(letters).tolist(), numbered.indices.to_pylist()):
+            out[i] = found[number]
+        marked = np.flatnonzero(letters & pc.not_equal(stems, words).to_numpy(zero_copy_only=False))
+        sizes = pc.utf8_length(stems.take(pa.array(marked))).to_pylist()
+        tails: dict[str, bytes] = {}
+        for i, word, size in zip(marked.tolist(), words.take(pa.array(marked)).to_pylist(), sizes):
+            if (tail := word[size:]) not in tails:
+                tails[tail] = self.whole(tail)
+            out[i] += tails[tail]
+        odd = np.flatnonzero(~letters)
+        for i, word in zip(odd.tolist(), words.take(pa.array(odd)).to_pylist()):
+            out[i] = self.whole(word)
+        return out
+
+    def _meet(self, words: pa.Array) -> np.ndarray:
+        """Places of distinct words among the remembered ones."""
+        self.turn += 1
+        if len(self.words) > self.room:
+            stay = self.used >= self.turn - 2
+            self.words, self.used = self.words.filter(pa.array(stay)), self.used[stay]
+            self.ids, self.sizes = self.ids[_places(self.starts[stay], self.sizes[stay])], self.sizes[stay]
+            self.starts = np.cumsum(self.sizes) - self.sizes
+        found = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            new = words.take(pa.array(missing))
+            data = self._new(new)
+            found[missing] = len(self.words) + np.arange(len(missing))
+            self.words = pa.concat_arrays([self.words, new])
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(data), "<u4")])
+            self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, data), np.int64, len(data)) // 4])
+            self.used = np.concatenate([self.used, np.zeros(len(missing), np.int64)])
+            self.starts = np.cumsum(self.sizes) - self.sizes
+        self.used[found] = self.turn
+        return found
 
     def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
-        """Arrow splits the texts and numbers their words, so Python handles each distinct word once. The six ASCII white
-        spaces part words; any other one stays inside a word, which the tokenizer then encodes as it is."""
+        """The six ASCII white spaces part words; any other one stays inside a word, which the tokenizer then encodes as
+        it is."""
         column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         split = pc.ascii_split_whitespace(column.fill_null(""))
         numbered = split.flatten().dictionary_encode()
-        found = self._meet(numbered.dictionary.to_pylist())
-        ids, sizes = np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
-        words = numbered.indices.to_numpy()
-        length = sizes[words]
-        starts, stops = (np.cumsum(sizes) - sizes)[words], np.cumsum(length)
-        flat = ids[np.repeat(starts - stops + length, length) + np.arange(int(length.sum()))]
-        bounds = np.append(0, stops)[np.append(0, np.cumsum(split.value_lengths().to_numpy()))]
-        data, at = flat.tobytes(), (bounds * 4).tolist()
+        words = self._meet(numbered.dictionary.cast(pa.string()))[numbered.indices.to_numpy()]
+        sizes = self.sizes[words]
+        data = self.ids[_places(self.starts[words], sizes)].tobytes()
+        bounds = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(split.value_lengths().to_numpy()))]
+        at = (bounds * 4).tolist()
         return [data[a:b] for a, b in zip(at, at[1:])]
 
 
@@ -123,7 +163,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, size: int = SIZE, unit: int = UNI
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part = Encoder(tokenizer), TaskContext.get().partitionId()  # ends with the task, and what it remembers
         seen = np.zeros(size // unit + 2, np.int64)
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 8 << 20):
             rows: list[tuple] = []
             for doc, data in zip(batch.column("doc_id").to_pylist(), words.encode(batch.column("text"))):
                 data += closing
