@@ -95,3 +95,36 @@ def test_very_long_text(spark, documents):
     item = " ".join(f"v{i}" for i in range(100, 112))
     row = suffixes.report(documents([(1, text)]), benchmark(spark, [(1, item)])).first()
     assert (row["n_words"], row["n_hit"]) == (200_000, 12 * 40)
+
+
+def test_blocks_one_at_a_time(spark, documents, corpus):
+    """Many blocks: the plan is that of two blocks, copies and clashing columns included, and no block outlives its pass."""
+    import gc
+    import weakref
+
+    alive, most = [], []
+    plain = suffixes.block_of
+
+    def watched(rows, window):
+        gc.collect()
+        most.append(sum(x() is not None for x in alive))
+        block = plain(rows, window)
+        alive.append(weakref.ref(block))
+        return block
+
+    rows = [(d, t, "x") for d, t in corpus(1)] * 2 + [(None, None, "y"), (3, "", "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, k1 string")
+    items = [(i, t) for i, (_, t) in enumerate(corpus(1)[::6])]
+    suffixes.block_of = watched
+    try:
+        plans = []
+        for size in (16 << 20, 300, 100):
+            found = suffixes.contamination(docs, benchmark(spark, items), shard_bytes=400, block_bytes=size)
+            plans.append(found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow"))
+            out = sorted((r["doc_id"] or -1, r["k1"], r["n_words"], str(r["spans"]), str(sorted(r["items"]))) for r in found.collect())
+            expected = out if size == 16 << 20 else expected
+            assert found.columns == ["doc_id", "text", "k1", "n_words", "spans", "items"] and out == expected
+            assert suffixes.decontaminate(docs, benchmark(spark, items), block_bytes=size).count() == sum(x[4] == "[]" for x in out)
+    finally:
+        suffixes.block_of = plain
+    assert set(plans) == {1} and len(most) > 10 and max(most) <= 3

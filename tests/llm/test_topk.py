@@ -46,3 +46,13 @@ def test_empty_tables(spark):
     frame = spark.createDataFrame([(0, [1.0])], "id long, v array<double>")
     assert topk.top_k(frame, frame.limit(0)).count() == 0
     assert topk.top_k(frame.limit(0), frame).count() == 0
+
+
+def test_the_plan_does_not_grow_with_the_blocks(spark):
+    rows = [(i, [float(i % 7), float(i % 5)]) for i in range(300)]
+    frame = spark.createDataFrame(rows, "id long, v array<double>").repartition(3)
+    found = [topk.top_k(frame, frame, 5, block_rows=n) for n in (100, 10)]
+    plans = [f._jdf.queryExecution().optimizedPlan().toString() for f in found]
+    assert all("MapInArrow" not in p and "Union" not in p for p in plans) and len({p.count("\n") for p in plans}) == 1
+    first, second = (sorted(tuple(r) for r in f.collect()) for f in found)
+    assert first == second == brute(rows, lambda q: True, 5)

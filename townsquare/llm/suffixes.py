@@ -16,9 +16,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from townsquare.llm.common import hashed_words, slices, texts
+from townsquare.llm.common import hashed_words, scratch, slices, texts
 
 _STATE = "n_words long, spans array<struct<start:long,end:long>>, items array<string>"
 
@@ -231,7 +231,9 @@ def contamination(
 
     ``spans``: merged word ranges that some item window matches verbatim; ``items``: names of the items with a matching
     window. A window is ``window`` consecutive item words; a shorter item is one window, an item without words none.
-    NULL or empty text has no words. An item without an id is skipped. Columns of ``docs`` named like the three results
+    NULL or empty text has no words. An item without an id is skipped. Where the benchmark is more than one block of
+    ``block_bytes``, the hits of a block are written to the shared folder, by text, before the next block is searched; the
+    driver and a task hold one block (the driver two while it reads the next). Columns of ``docs`` named like the three results
     are replaced; a repeated row is treated like any other.
     """
     return _flagged(docs.drop("n_words", "spans", "items"), "text", benchmark, window, shard_bytes, block_bytes)
@@ -244,9 +246,33 @@ def _flagged(kept: DataFrame, text: str, benchmark: DataFrame, window: int, shar
     )
     schema = T.StructType([*kept.schema, *state])
     none = block_of([], window)
-    for block in [*blocks(benchmark, window, block_bytes)] or [none]:
-        out = out.mapInArrow(_scan(block, text, shard_bytes), schema)
-    return out
+    earlier, last = None, none
+    for number, block in enumerate(blocks(benchmark, window, block_bytes)):
+        if number:
+            earlier = earlier or scratch(kept.sparkSession, "benchmark-hits")
+            _hits(kept, text, last, shard_bytes).write.mode("append").parquet(earlier)
+        last = block
+    if earlier:
+        found = kept.sparkSession.read.parquet(earlier).groupBy("k1", "k2", "items").agg(F.first("spans").alias("spans"))
+        found = found.groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("s"), F.flatten(F.collect_list("items")).alias("i"))
+        names = [f"c{i}" for i in range(len(schema))]
+        plain = out.toDF(*names)
+        keyed = plain.drop(*names[-2:]).withColumns(dict(zip(["k1", "k2"], _text_key(names[kept.columns.index(text)]))))
+        state = (F.coalesce(c, F.array().cast(schema[n].dataType)) for c, n in (("s", "spans"), ("i", "items")))
+        out = keyed.join(found, ["k1", "k2"], "left").select(*names[:-2], *state).toDF(*schema.names)
+    return out.mapInArrow(_scan(last, text, shard_bytes), schema)
+
+
+def _text_key(text: str) -> list[Column]:
+    return [F.xxhash64(F.col(f"`{text}`")).alias("k1"), F.xxhash64(F.lit("second"), F.col(f"`{text}`")).alias("k2")]
+
+
+def _hits(docs: DataFrame, text: str, block: Block, shard_bytes: int) -> DataFrame:
+    """Spans and items of one block by 128-bit hash of the text, for the texts that have any."""
+    state = T._parse_datatype_string(_STATE)
+    rows = docs.select(F.col(f"`{text}`").alias("text"), *(F.lit(0 if f.name == "n_words" else F.array()).cast(f.dataType).alias(f.name) for f in state))
+    found = rows.mapInArrow(_scan(block, "text", shard_bytes), T.StructType([rows.schema["text"], *state]))
+    return found.where(F.size("items") > 0).select(*_text_key("text"), "spans", "items")
 
 
 def decontaminate(
@@ -271,7 +297,7 @@ def longest_matches(
     ``doc_word`` of one longest match (the smallest such pair). Ties, NULLs and empty texts as in ``contamination``.
     """
     schema = "item_id string, item_word long, length long, doc_id long, doc_word long"
-    parts = []
+    folder, any_block = scratch(docs.sparkSession, "longest"), False
     for block in blocks(benchmark, least, block_bytes):
         suffix = np.flatnonzero(block.words)
         ends = np.flatnonzero(block.words == 0)
@@ -297,12 +323,11 @@ def longest_matches(
                     }
                 )
 
-        parts.append(docs.select("doc_id", "text").mapInArrow(scan, schema))
-    if not parts:
+        docs.select("doc_id", "text").mapInArrow(scan, schema).write.mode("append").parquet(folder)
+        any_block = True
+    if not any_block:
         return docs.sparkSession.createDataFrame([], schema)
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.union(part)
+    found = docs.sparkSession.read.schema(schema).parquet(folder)
     best = F.min(F.struct((-F.col("length")).alias("short"), "doc_id", "doc_word")).alias("best")
     return (
         found.groupBy("item_id", "item_word")

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from townsquare.llm.common import scratch
+
 _FOUND = "block int, query int, part int, query_id long, vec_id long, score long"
 _LONG = (-(2**63), 2**63 - 1)
 
@@ -113,6 +115,9 @@ def top_k(
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the k best vectors of every query row, its own id excluded.
 
+    Where the queries are more than one block of ``block_rows``, the lists of each block are written to the shared folder
+    before the next block is read, so the driver and each task hold one block, and the plan does not grow.
+
     Both frames: id, then vector. Components become floor(scale * x); ties go to the smaller id. Rows with a NULL id or
     vector or a NULL or non-finite component take no part; vectors of another dimension than the query's are no
     candidates. A repeated query row gets a list of its own, a repeated vector row is listed as often as it occurs.
@@ -123,7 +128,7 @@ def top_k(
     count = max(1, -(-rows // block_rows))
     names = ["id", "vector"]
     queries = queries.toDF(*names).withColumn("block", F.pmod(F.xxhash64(*names), F.lit(count)))
-    found = None
+    found, folder = None, scratch(spark, "top-lists") if count > 1 else None
     for number in range(count):
         own = queries.where(F.col("block") == number).select(*names).toArrow().combine_chunks()
         if not len(own):
@@ -133,11 +138,15 @@ def top_k(
         for size, (ids, matrix) in whole_numbers(*columns, scale).items():
             block[size] = np.arange(place, place + len(ids)), ids, matrix
             place += len(ids)
-        part = vectors.mapInArrow(_search(block, number, k, scale, tile_rows), _FOUND)
-        found = part if found is None else found.union(part)
+        found = vectors.mapInArrow(_search(block, number, k, scale, tile_rows), _FOUND)
+        if folder:
+            found.write.mode("append").parquet(folder)
+            found = True
     result = "query_id long, rank int, vec_id long, score long"
     if found is None:
         return spark.createDataFrame([], result)
+    if folder:
+        found = spark.read.schema(_FOUND).parquet(folder)
     order = [F.col("score").desc(), "vec_id"]
     group = Window.partitionBy("block", "query", "part").orderBy(*order)
     merged = found.withColumn("part", (F.col("part") / fan_in).cast("int"))
