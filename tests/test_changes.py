@@ -201,3 +201,22 @@ def test_partitions_replaced_by_value(spark, lake):
     assert store.drop_old_snapshots("silver", "t") == []  # all are shown
     store.write("silver", "t", rows_of(("8", "x")), ["p"])
     assert len(store.drop_old_snapshots("silver", "t")) == 4
+
+
+@pytest.mark.parametrize("withdrawn", [False, True])
+def test_a_merge_keeps_only_touched_ids_and_what_changed(lake, monkeypatch, withdrawn):
+    store, ingest = start(lake)
+    ingest("review", "b2", review(1, date="2020-07-01 00:00:00"), review(2, date="2001-01-01 00:00:00"), review(8))
+    if withdrawn:
+        refresh_changes(store, **RULE)
+    kept, keep = {}, changes._kept
+
+    def seen(df, label):
+        kept[label] = keep(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(changes, "_kept", seen)
+    take_back(store, "b2", **RULE) if withdrawn else refresh_changes(store, **RULE)
+    assert [*kept] == ["touched", "changed"]
+    assert rows(kept["changed"], "review_id") == [("r1",), ("r8",)]
+    same_as_rebuilt(store)

@@ -158,3 +158,12 @@ def test_tip(raw):
     got = silver.silver_tip(raw("tip", *tips))
     assert got.columns == ["user_id", "business_id", "text", "compliment_count", "tip_ts", "tip_date"]
     assert rows(got, "business_id", "tip_date") == [("b", date(2020, 1, 1))] * 2 + [("c", None)]
+
+
+def test_rated_review_is_the_review_without_votes(raw):
+    tied = [REVIEW | {"user_id": u, "stars": s, "useful": n} for u, s, n in (("v", 1.0, 1), ("u", 5.0, 3), ("u", 5.0, 2), ("u", 4.0, 9), (None, 2.0, 8))]
+    bronze = raw("review", *tied, REVIEW | {"review_id": "s", "date": "bad"}, REVIEW | {"review_id": "t", "stars": 9.0})
+    rated = silver.rated_review(bronze)
+    assert rows(rated) == rows(silver.silver_review(bronze).select(*rated.columns))
+    plan = executed_plan(rated)
+    assert all("useful#" not in line for line in plan.splitlines() if "Exchange" in line)

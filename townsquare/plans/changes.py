@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from townsquare.config import shared_dir
-from townsquare.operators import keep_latest
 from townsquare.plans import gold, silver
 from townsquare.plans.bronze import TAKEN_BACK, bronze_rows, stream_batches, stream_rows, taken_back
 from townsquare.plans.pipeline import (
@@ -64,19 +63,18 @@ def _merge_reviews(store: TableStore, added: list[str], removed: list[str], sour
     looked up in bronze. Only ids and small columns are exchanged.
     """
     stored = store.read("silver", "review")
+    columns = stored.columns
     touched = _kept(stream_rows(store, "review", [*added, *removed]).select("review_id").where("review_id IS NOT NULL").distinct(), "touched")
-    before = stored.join(touched, "review_id", "left_semi")
+    before = stored.join(touched, "review_id", "left_semi").select(*columns)
     if removed:
-        loaded = bronze_rows(store, "review", sources["stream"])
-        after = silver.silver_review(loaded.join(touched, "review_id", "left_semi"))
+        after = silver.silver_review(bronze_rows(store, "review", sources["stream"]).join(touched, "review_id", "left_semi"))
     else:
-        candidates = before.unionByName(silver.silver_review(stream_rows(store, "review", added)))
-        after = keep_latest(candidates.drop(*_DERIVED), ["review_id"], latest=["review_ts"])
-        after = after.withColumns({"review_date": F.to_date("review_ts"), YEAR: F.year("review_ts")})
-    columns = stored.columns
-    before, after = _kept(before.select(*columns), "before"), _kept(after.select(*columns), "after")
-    gone, come = _kept(before.exceptAll(after), "gone"), _kept(after.exceptAll(before), "come")
-    years = [row[0] for row in gone.select(YEAR).union(come.select(YEAR)).distinct().collect()]  # years there are
+        after = silver.latest_reviews(before.drop(*_DERIVED).unionByName(silver.valid_reviews(stream_rows(store, "review", added))))
+    # A row per key on both sides, which lie by key already: no exchange of their own.
+    old, new = (df.select("review_id", F.struct(*columns).alias(name)) for df, name in ((before, "old"), (after, "new")))
+    changed = _kept(old.join(new, "review_id", "full_outer").where(~F.col("old").eqNullSafe(F.col("new"))), "changed")
+    gone, come = changed.where("old IS NOT NULL"), changed.where("new IS NOT NULL").select("new.*")
+    years = [row[0] for row in gone.select(f"old.{YEAR}").union(come.select(YEAR)).distinct().collect()]  # years there are
     if not years:
         store.keep_sources("silver", "review", sources)
         return 0

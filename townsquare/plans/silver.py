@@ -7,6 +7,8 @@ of range or with an unreadable check-in time are dropped.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,7 @@ NO_FRIENDS = "None"
 
 # Review columns taken over as they are.
 REVIEW_COLUMNS = ("review_id", "business_id", "user_id", "stars", "useful", "funny", "cool")
+RATED_COLUMNS = REVIEW_COLUMNS[: REVIEW_COLUMNS.index("stars") + 1]
 
 _LOAD_TIME = "_ingested_at"
 
@@ -56,27 +59,42 @@ def silver_business_category(business: DataFrame, unique_businesses: bool = Fals
     return pairs if unique_businesses else pairs.distinct()
 
 
-def silver_review(bronze: DataFrame) -> DataFrame:
-    """One row per review with stars in range; a bad date stays as NULL.
-
-    The range check comes before the de-duplication, so an out-of-range copy
-    never displaces a valid one.
-    """
+def valid_reviews(bronze: DataFrame, columns: Sequence[str] = REVIEW_COLUMNS) -> DataFrame:
+    """Reviews with keys and stars in range, their time parsed; repeats are kept."""
     valid = bronze.where(
         F.col("review_id").isNotNull()
         & F.col("business_id").isNotNull()
         & F.col("stars").between(MIN_STARS, MAX_STARS)
     )
-    typed = valid.select(
-        *REVIEW_COLUMNS,
-        parse_timestamp("date").alias("review_ts"),
-    )
-    # Columns derived from the timestamp are added after the shuffle.
+    return valid.select(*columns, parse_timestamp("date").alias("review_ts"))
+
+
+def latest_reviews(typed: DataFrame) -> DataFrame:
+    """One row per review; columns derived from the timestamp are added after
+    the shuffle."""
     return keep_latest(typed, ["review_id"], latest=["review_ts"]).withColumns(
         {"review_date": F.to_date("review_ts"), "review_year": F.year("review_ts")}
     )
 
 
+def silver_review(bronze: DataFrame) -> DataFrame:
+    """One row per review with stars in range; a bad date stays as NULL.
+
+    The range check comes before the de-duplication, so an out-of-range copy
+    never displaces a valid one.
+    """
+    return latest_reviews(valid_reviews(bronze))
+
+
+def rated_review(bronze: DataFrame) -> DataFrame:
+    """:func:`silver_review` without the votes, for reports on ratings.
+
+    Ties are settled column by column and the votes come last, so the
+    survivors' other columns are the same; the shuffle carries fewer bytes.
+    """
+    return latest_reviews(valid_reviews(bronze, RATED_COLUMNS))
+
+
 def silver_user(bronze: DataFrame) -> DataFrame:
     """One row per user; elite years as an array, friends as a count."""
     typed = (
