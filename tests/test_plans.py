@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import executed_plan
-from townsquare.acceptance.queries import Layers
+from townsquare.acceptance.queries import PACKED, Layers
 from townsquare.plans import reports, rising, silver
 from townsquare.sinks import write_files
+from townsquare.sources import ENTITIES, scan_json
 
 SF_DIR = "/root/testdata/sf0.001"
 BROADCAST = "spark.sql.autoBroadcastJoinThreshold"
@@ -104,3 +105,19 @@ def test_hot_key_reaches_reducers_preaggregated(spark):
     assert reviews.count() == 40001
     limited = executed_plan(reviews)
     assert limited.index("row_number(), 1, Final") < limited.index("row_number(), 1, Partial")
+
+
+def test_raw_rows_landed_in_parts_are_joined_once(spark):
+    layers = Layers(spark, SF_DIR)
+    store = layers.new_store("once")
+    once = layers.bronze_once(store, "review")
+    assert "Join" not in executed_plan(once)
+    assert once.exceptAll(layers.bronze["review"]).isEmpty() and layers.bronze["review"].exceptAll(once).isEmpty()
+
+
+def test_packed_landing_files_hold_all_rows(spark, tmp_path):
+    layers = Layers(spark, SF_DIR)
+    path = layers.land("tip", str(tmp_path / "tip"), PACKED)
+    assert all(name.endswith(".json.gz") for name in spark.read.text(path).inputFiles())
+    assert scan_json(spark, "tip", path).exceptAll(layers.bronze["tip"].select(*ENTITIES["tip"].schema.names)).isEmpty()
+    assert scan_json(spark, "tip", path).count() == layers.bronze["tip"].count()

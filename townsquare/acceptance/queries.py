@@ -45,6 +45,9 @@ RULE = {"window_days": 365, "min_reviews": 5}
 WIDE_RULE = {"window_days": 730, "min_reviews": 5}
 
 
+# Codec of landing files whose names no query compares.
+PACKED = "gzip"
+
 class Layers:
     """Bronze, silver and gold frames over one folder of tables."""
 
@@ -72,9 +75,9 @@ class Layers:
         run_writes(self.spark, {name: partial(store.write, "silver", name, self.silver[name]) for name in names})
         return LazyFrames({name: partial(store.read, "silver", name) for name in names})
 
-    def land(self, entity: str, path: str) -> str:
+    def land(self, entity: str, path: str, compression: str | None = None) -> str:
         """Write a raw entity as newline-delimited JSON files."""
-        self.bronze[entity].write.json(path)
+        self.bronze[entity].write.json(path, compression=compression)
         return path
 
 
@@ -83,6 +86,12 @@ def _drop(spark: SparkSession, databases: list[str]) -> None:
         for database in databases:
             spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
 
+    def bronze_once(self, store: TableStore, entity: str) -> DataFrame:
+        """A raw entity whose joins run once, for queries that land it in parts."""
+        path = f"{store.root}/raw-{entity}"
+        self.bronze[entity].write.parquet(path, compression="zstd")
+        return self.spark.read.schema(self.bronze[entity].schema).parquet(path)
+
 
 _QUERIES: dict[str, Query] = {}
 
@@ -169,13 +178,13 @@ def profile_merged_loads(layers: Layers) -> DataFrame:
     distinct values within 10 %, quantiles within 2 % of the rows by rank.
     """
     store = layers.new_store("profile-loads")
-    rows = layers.bronze["review"]
+    rows = layers.bronze_once(store, "review")
     part = F.pmod(F.xxhash64(*rows.columns), F.lit(3))
-    rows.where(part == 0).write.json(f"{store.root}/batch")
+    rows.where(part == 0).write.json(f"{store.root}/batch", compression=PACKED)
     ingest_bronze(store, "review", scan_json(layers.spark, "review", f"{store.root}/batch"), new_batch_id())
     profile_loads(store, "review")
     for number in (1, 2):
-        rows.where(part == number).write.mode("append").json(f"{store.root}/landing")
+        rows.where(part == number).write.mode("append").json(f"{store.root}/landing", compression=PACKED)
         ingest_incremental(
             *(layers.spark, "review", f"{store.root}/landing", store.name("bronze", stream_table("review")), f"{store.root}/checkpoint"),
             path=f"{store.root}/{stream_table('review')}",
@@ -351,13 +360,13 @@ def stream_to_gold_tip(layers: Layers) -> DataFrame:
 
 
 def _landed(layers: Layers, store: TableStore, entity: str) -> DataFrame:
-    return scan_json(layers.spark, entity, layers.land(entity, f"{store.root}/landing/{entity}"))
+    return scan_json(layers.spark, entity, layers.land(entity, f"{store.root}/landing/{entity}", PACKED))
 
 
 def _ingested(layers: Layers, store: TableStore, entity: str, rows: DataFrame, batch_id: str) -> None:
     """Land rows and ingest them as one batch."""
     landing = f"{store.root}/landing-{entity}"
-    rows.write.mode("append").json(landing)
+    rows.write.mode("append").json(landing, compression=PACKED)
     ingest_incremental(
         layers.spark,
         entity,
@@ -373,7 +382,7 @@ def _refreshed_twice(layers: Layers, entity: str) -> TableStore:
     """An entity that came in two batches, each carried to gold by itself."""
     store = layers.new_store(f"changes-{entity}")
     ingest_bronze(store, "business", _landed(layers, store, "business"), "first")
-    rows = layers.bronze[entity]
+    rows = layers.bronze_once(store, entity)
     late = F.pmod(F.xxhash64(*rows.columns), F.lit(4)) == 1
     for batch, part in (("early", rows.where(~late)), ("late", rows.where(late))):
         _ingested(layers, store, entity, part, batch)
@@ -397,7 +406,7 @@ def batch_taken_back(layers: Layers) -> DataFrame:
     """The fact after a batch that displaced reviews and brought new ones, and was taken back."""
     store = layers.new_store("taken-back")
     ingest_bronze(store, "business", _landed(layers, store, "business"), "first")
-    rows = layers.bronze["review"]
+    rows = layers.bronze_once(store, "review")
     _ingested(layers, store, "review", rows, "good")
     refresh_changes(store, **RULE)
     wrong = rows.where("useful < 4").withColumns({"date": F.lit("2001-02-03 04:05:06"), "stars": F.lit(2.0)})
@@ -536,7 +545,7 @@ def rising_star_pipeline(layers: Layers) -> DataFrame:
     """The whole run, from landed JSON files to the stored report."""
     paths = source_paths(shared_dir(layers.spark, "landing"))
     for entity, path in paths.items():
-        layers.land(entity, path)
+        layers.land(entity, path, PACKED)
     store = layers.new_store("pipeline")
     run_pipeline(store, paths, **RULE)
     return store.read("gold", "rising_star_businesses")
