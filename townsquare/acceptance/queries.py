@@ -28,6 +28,7 @@ from townsquare.plans.pipeline import (
     run_pipeline,
     silver_plans,
 )
+from townsquare.plans.silver import rated_review
 from townsquare.sinks import TableStore, read_export, run_writes, write_files
 from townsquare.sources import (
     ENTITIES,
@@ -44,10 +45,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 RULE = {"window_days": 365, "min_reviews": 5}
 WIDE_RULE = {"window_days": 730, "min_reviews": 5}
 
-
 # Codec of landing files whose names no query compares.
 PACKED = "gzip"
 
+
 class Layers:
     """Bronze, silver and gold frames over one folder of tables."""
 
@@ -60,6 +61,11 @@ class Layers:
         self.silver = silver_plans(self.bronze)
         self.gold = gold_plans(self.silver)
 
+    @property
+    def rated(self) -> DataFrame:
+        """What a report on ratings needs of the reviews."""
+        return rated_review(self.bronze["review"])
+
     def new_store(self, label: str) -> TableStore:
         """An empty table store with databases of its own.
 
@@ -80,12 +86,6 @@ class Layers:
         self.bronze[entity].write.json(path, compression=compression)
         return path
 
-
-def _drop(spark: SparkSession, databases: list[str]) -> None:
-    with suppress(Exception):  # the session may have ended
-        for database in databases:
-            spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
-
     def bronze_once(self, store: TableStore, entity: str) -> DataFrame:
         """A raw entity whose joins run once, for queries that land it in parts."""
         path = f"{store.root}/raw-{entity}"
@@ -93,6 +93,12 @@ def _drop(spark: SparkSession, databases: list[str]) -> None:
         return self.spark.read.schema(self.bronze[entity].schema).parquet(path)
 
 
+def _drop(spark: SparkSession, databases: list[str]) -> None:
+    with suppress(Exception):  # the session may have ended
+        for database in databases:
+            spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
 _QUERIES: dict[str, Query] = {}
 
 
@@ -480,27 +486,27 @@ def review_date_span(layers: Layers) -> DataFrame:
 
 @_query
 def rising_star(layers: Layers) -> DataFrame:
-    return rising.rising_star(layers.gold["fact_review"], layers.gold["dim_business"], **RULE)
+    return rising.rising_star(layers.rated, layers.gold["dim_business"], **RULE)
 
 
 @_query
 def rising_star_sql(layers: Layers) -> DataFrame:
     return rising.rising_star_sql(
-        layers.spark, layers.gold["fact_review"], layers.gold["dim_business"], **RULE
+        layers.spark, layers.rated, layers.gold["dim_business"], **RULE
     )
 
 
 @_query
 def rising_star_sql_tagged(layers: Layers) -> DataFrame:
     return rising.rising_star_sql(
-        layers.spark, layers.silver["review"], layers.silver["business"], null_dates="prior", **RULE
+        layers.spark, layers.rated, layers.silver["business"], null_dates="prior", **RULE
     )
 
 
 @_query
 def rising_star_tagged(layers: Layers) -> DataFrame:
     return rising.rising_star(
-        layers.silver["review"], layers.silver["business"], null_dates="prior", **RULE
+        layers.rated, layers.silver["business"], null_dates="prior", **RULE
     )
 
 
@@ -515,27 +521,27 @@ def review_periods(layers: Layers) -> DataFrame:
 
 @_query
 def rising_star_default_rule(layers: Layers) -> DataFrame:
-    return rising.rising_star(layers.gold["fact_review"], layers.gold["dim_business"])
+    return rising.rising_star(layers.rated, layers.gold["dim_business"])
 
 
 @_query
 def rising_star_two_years(layers: Layers) -> DataFrame:
     return rising.rising_star(
-        layers.gold["fact_review"], layers.gold["dim_business"], window_days=730
+        layers.rated, layers.gold["dim_business"], window_days=730
     )
 
 
 @_query
 def rising_star_top50(layers: Layers) -> DataFrame:
     return rising.rising_star_short(
-        layers.gold["fact_review"], layers.gold["dim_business"], **WIDE_RULE
+        layers.rated, layers.gold["dim_business"], **WIDE_RULE
     )
 
 
 @_query
 def rising_star_daily(layers: Layers) -> DataFrame:
     path = shared_dir(layers.spark, "daily-ratings")
-    write_files(rising.daily_ratings(layers.gold["fact_review"]), path)
+    write_files(rising.daily_ratings(layers.rated), path)
     daily = layers.spark.read.parquet(path)
     return rising.rising_star_daily(daily, layers.gold["dim_business"], **RULE)
 
