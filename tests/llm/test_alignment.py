@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,3 +116,13 @@ def test_query_equals_brute_force_on_the_supplied_documents(spark, sf_dir="/root
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     texts = [r.text for r in docs.select("text").collect()]
     assert rows(op11_alignment(spark, sf_dir)) == sorted(brute(texts))
+
+
+def test_frequent_chunks_stay_when_the_room_is_full():
+    sides = alignment.OffsetSide(alignment.vocabularies()[0]), alignment.ProtoSide(alignment.vocabularies()[1])
+    small, wide = alignment.Aligner(*sides, room=6), alignment.Aligner(*sides)
+    for text in ["so it goes", "so it ends", "one two three four", "so it was", "five six seven eight nine so"]:
+        for found, expected in zip(small.texts([text, None]), wide.texts([text, None])):
+            np.testing.assert_equal(found, expected)
+        assert text != "so it was" or {" so", " it"} <= set(list(small.row)[:2])
+    assert alignment.aligner(*alignment.vocabularies()) is alignment.aligner(*alignment.vocabularies())

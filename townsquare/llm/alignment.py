@@ -16,6 +16,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 from operator import attrgetter
 
@@ -143,7 +144,7 @@ def chunks(text: str) -> list[str]:
 
 
 class Aligner:
-    """Chunks aligned so far, as rows of arrays. ``rows_of`` gives the rows of a text's chunks."""
+    """Chunks aligned so far, as rows of arrays; beyond ``room`` of them, those met in one call only are forgotten."""
 
     def __init__(self, first: Side, second: Side, bulk: int = 1 << 16, room: int = 250_000) -> None:
         self.first, self.second, self.bulk, self.room = first, second, bulk, room
@@ -155,6 +156,21 @@ class Aligner:
         self.pairs: list[np.ndarray] = []
         self.times: list[np.ndarray] = []
         self.groups: list[str] = []
+        self.met = _EMPTY  # calls that met each row, since rows were last forgotten
+
+    def forget(self) -> None:
+        """Keep the rows met in several calls; if these alone fill half the room, none."""
+        kept = np.flatnonzero(self.met > 1)
+        if len(kept) > self.room // 2:
+            return self.clear()
+        (counts,), (pairs,), (times,) = self.counts, self.pairs, self.times
+        number = counts[kept, 5]
+        at = ragged(np.cumsum(counts[:, 5])[kept] - number, number)
+        chunks, kept_list = list(self.row), kept.tolist()  # a chunk's row is its place
+        self.row = {chunks[i]: place for place, i in enumerate(kept_list)}
+        self.counts, self.pairs, self.times = [counts[kept]], [pairs[at]], [times[at]]
+        self.groups = [self.groups[i] for i in kept_list]
+        self.met = np.ones(len(kept), np.int64)
 
     def learn(self, new: list[str]) -> None:
         """Align chunks, many at a time. One that ends with white space is the last of its lot: more would go on with it."""
@@ -189,7 +205,9 @@ class Aligner:
         for chunk in lot:
             self.row[chunk] = len(self.row)
         (a, a_end), (b, b_end) = sides
-        common = np.intersect1d(a_end, b_end)
+        marks = np.zeros((2, len(raw) + 1), bool)
+        marks[0, a_end] = marks[1, b_end] = True
+        common = np.flatnonzero(marks[0] & marks[1])
         a_group, b_group = np.searchsorted(common, a_end), np.searchsorted(common, b_end)
         chunk_of = np.searchsorted(bounds, common) - 1  # the guard is chunk -1
         n_a, n_b = np.bincount(a_group, minlength=len(common)), np.bincount(b_group, minlength=len(common))
@@ -245,17 +263,22 @@ class Aligner:
         (text, pair, times) sorted by text and pair."""
         split = [chunks(t) if t else [] for t in texts]
         if len(self.row) > self.room:
-            self.clear()
+            self.forget()
         self.learn(list(set(chain.from_iterable(split)).difference(self.row)))
         lengths = [len(own) for own in split]
         flat = np.array(list(map(self.row.__getitem__, chain.from_iterable(split))), np.int64)
         for name, none in (("counts", np.zeros((0, 6), np.int64)), ("pairs", _EMPTY), ("times", _EMPTY)):
             setattr(self, name, [np.concatenate([none, *getattr(self, name)])])
         (counts,), (pairs,), (times,) = self.counts, self.pairs, self.times
+        now = np.zeros(len(counts), np.int64)
+        now[flat] = 1
+        now[: len(self.met)] += self.met
+        self.met = now
         pair_stop = np.cumsum(counts[:, 5])
         of = np.repeat(np.arange(len(texts)), lengths)
         sums = np.zeros((len(texts), 4), np.int64)
-        np.add.at(sums, of, counts[flat, :4])
+        for column in range(4):
+            np.add.at(sums[:, column], of, counts[flat, column])
         broken = np.zeros(len(texts), bool)
         broken[of[counts[flat, 4] == 0]] = True
         sums[broken] = 0
@@ -273,6 +296,12 @@ class Aligner:
         return sums, groups, (key >> 40, key & (1 << 40) - 1, weight)
 
 
+@lru_cache(maxsize=1)
+def aligner(first: str, second: str) -> Aligner:
+    """The aligner of a Python worker, which its tasks share: vocabularies are read and frequent chunks aligned once."""
+    return Aligner(OffsetSide(first), ProtoSide(second))
+
+
 _NUMBERS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, groups string"
 _ROW = f"doc_id long, {_NUMBERS}, slice long, pairs array<long>, times array<long>"
 
@@ -282,9 +311,9 @@ def aligned(docs: DataFrame, first: str, second: str, *, keep_groups: bool, slic
     that list (A id * 2**20 + B id) and, in ``times``, how many documents of the slice hold each pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, number = Aligner(OffsetSide(first), ProtoSide(second)), TaskContext.get().partitionId() << 32
+        own, number = aligner(first, second), TaskContext.get().partitionId() << 32
         for batch in slices(batches, "text", slice_bytes):
-            sums, groups, (of, pair, times) = aligner.texts(batch.column("text").to_pylist())
+            sums, groups, (of, pair, times) = own.texts(batch.column("text").to_pylist())
             listed, place, holders = np.unique(pair, return_inverse=True, return_counts=True)
             stops = np.append(np.searchsorted(of, np.arange(len(sums))), len(of))
             lists = lambda values, at: pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, pa.int64()))
