@@ -6,6 +6,8 @@ from collections import Counter
 import duckdb
 import pytest
 
+from pyspark.sql import functions as F
+
 from townsquare.llm import divergence
 
 RULES = divergence.Rules(common=6, least_words=12, least_chars=40, class_limit=0.3, word_limit=0.55, least_share=0.05)
@@ -130,3 +132,12 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame(texts(5), "doc_id long, text string, lang string")
     plan = divergence.report(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_marks_are_cut_from_the_text_as_from_each_word(spark):
+    texts = ["'a.b', (c)!  ...  d..e \"\n?f,,", "", "!!!", "a" + "!" * 50_000 + "b.", " . x\u0085,", "(a) b"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    found = rows.select("text", divergence.words(divergence._bare(F.col("text"))).alias("w")).collect()
+    for text, own in found:
+        cut = [x.strip(divergence._MARKS) or x for x in re.split(f"[{divergence._BLANKS}]+", text) if x]
+        assert own == cut
