@@ -1,5 +1,6 @@
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from townsquare.llm import language, quality
@@ -206,3 +207,12 @@ def test_queries_on_the_supplied_tables(spark):
     rated = registry.queries()["op6_quality"](spark, where).join(labels, "doc_id").where("held_out")
     n, right = rated.agg(F.count("*"), F.count_if(F.col("quality") == F.col("predicted"))).first()
     assert n > 80 and right >= 0.95 * n
+
+
+def test_scoring_sends_only_texts_to_python(spark):
+    docs = spark.createDataFrame([(1, "a b", "x"), (2, None, None)], "doc_id long, text string, `odd.name` string")
+    found = quality.score(docs, quality.Model(np.ones(2**4 + 1), 4))
+    assert found.columns == ["doc_id", "text", "odd.name", "score", "predicted"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan
+    assert [r["predicted"] for r in found.orderBy("doc_id").collect()] == [1, 1]

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from townsquare.llm.common import fold, held_out, slices, stored, texts
 
@@ -149,24 +149,21 @@ def sample(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> Dat
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted``, which replace columns of these names. Empty and NULL texts get
     the score of the constant term; repeated rows are scored alike."""
-    kept = docs.drop("score", "predicted")
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [f"c{i}" for i in range(len(kept.columns))]
-    text = names[kept.columns.index("text")]
-    plain = kept.toDF(*names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")  # only texts go to Python, only scores come back
+    def scored(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
         hasher = Hasher(model.bits)
-        for batch in slices(batches, text, 4 << 20):
+        for column in columns:
             scores = []
-            for data in texts(batch, text):
-                slots, values = hasher.features(data)
-                scores.append(sigmoid(float(model.weights[slots] @ values) + 0.3 * float(model.weights[-1])))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*names, "score"])
+            for batch in slices(iter([pa.RecordBatch.from_arrays([column], names=["text"])]), "text", 4 << 20):
+                for data in texts(batch, "text"):
+                    slots, values = hasher.features(data)
+                    scores.append(sigmoid(float(model.weights[slots] @ values) + 0.3 * float(model.weights[-1])))
+            yield pa.array(scores, pa.float64())
 
-    schema = T.StructType([*plain.schema, T.StructField("score", T.DoubleType())])
-    found = plain.mapInArrow(run, schema).toDF(*kept.columns, "score")
+    found = docs.drop("score", "predicted").withColumn("score", scored("text"))
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
