@@ -137,7 +137,7 @@ def test_no_python_in_the_plan(spark):
 def test_marks_are_cut_from_the_text_as_from_each_word(spark):
     texts = ["'a.b', (c)!  ...  d..e \"\n?f,,", "", "!!!", "a" + "!" * 50_000 + "b.", " . x\u0085,", "(a) b"]
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
-    found = rows.select("text", divergence.words(divergence._bare(F.col("text"))).alias("w")).collect()
+    found = rows.select("text", divergence.words(divergence._stripped(F.col("text"))).alias("w")).collect()
     for text, own in found:
         cut = [x.strip(divergence._MARKS) or x for x in re.split(f"[{divergence._BLANKS}]+", text) if x]
         assert own == cut

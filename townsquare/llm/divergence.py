@@ -51,36 +51,36 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, f"[{_BLANKS}]+"), "")
 
 
-def _hashes(w: Column) -> Column:
-    """The hash of each window of ``w``."""
-    starts = F.sequence(F.lit(0), F.size(w) - _SPAN)
-    windows = lambda own: F.transform(starts, lambda i: F.xxhash64(*(F.get(own, i + k) for k in range(_SPAN))))
-    return F.when(F.size(w) > _SPAN, _let(F.transform(w, lambda x: F.xxhash64(x)), windows))
-
-
-def _repeated(w: Column, h: Column) -> Column:
+def _repeated(w: Column) -> Column:
     """Words of ``w`` in windows that occur twice or more. Each word is hashed once, a window by its words' hashes. Where these repeat, windows are sorted by hash and compared word by
     word with their neighbours (two different windows of one text with the same 64-bit hash could hide a repeat)."""
     same = lambda x, y: (x["h"] == y["h"]) & F.forall(F.sequence(F.lit(0), F.lit(_SPAN - 1)), lambda k: F.get(w, x["i"] + k) == F.get(w, y["i"] + k))  # noqa: E731, E501
+    starts = F.sequence(F.lit(0), F.size(w) - _SPAN)
+    hashes = _let(F.transform(w, lambda x: F.xxhash64(x)), lambda own: F.transform(starts, lambda i: F.xxhash64(*(F.get(own, i + k) for k in range(_SPAN)))))
 
     def covered(s: Column) -> Column:
         twice = F.filter(s, lambda x, k: F.coalesce(same(x, F.get(s, k - 1)), F.lit(False)) | F.coalesce(same(x, F.get(s, k + 1)), F.lit(False)))
         gaps = lambda p: F.transform(p, lambda i, k: F.least(F.lit(_SPAN), F.coalesce(i - F.get(p, k - 1), F.lit(_SPAN))))
         return _let(F.sort_array(F.transform(twice, lambda x: x["i"])), lambda p: F.aggregate(gaps(p), F.lit(0).cast("long"), lambda n, g: n + g))
 
-    windows = F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))
-    return F.when(F.size(F.array_distinct(h)) < F.size(h), _let(F.sort_array(windows), covered)).otherwise(F.lit(0).cast("long"))
+    none = F.lit(0).cast("long")
+
+    def found(h: Column) -> Column:
+        windows = F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))
+        return F.when(F.size(F.array_distinct(h)) < F.size(h), _let(F.sort_array(windows), covered)).otherwise(none)
 
+    return F.when(F.size(w) > _SPAN, _let(hashes, found)).otherwise(none)
 
-def _base(text: Column, w: Column, h: Column) -> list[Column]:
-    """Columns of a text that is not NULL, with words ``w`` and their windows' hashes ``h`` (NULL for few words)."""
+
+def _base(text: Column, w: Column) -> list[Column]:
+    """Columns of a text that is not NULL, with words ``w``."""
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(f"[^{_BLANKS}]"))
     return [
         F.size(w).cast("long").alias("n_words"),
         F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace(text, f"[^{_SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
         _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        _repeated(w, h).alias("n_repeat_words"),
+        _repeated(w).alias("n_repeat_words"),
     ]
 
 
@@ -96,7 +96,12 @@ def classes(text: Column) -> Column:
     return count(text, [], CLASSES)
 
 
-def _bare(text: Column) -> Column:
+def _bare(word: Column) -> Column:
+    """A word in lower case without the marks around it."""
+    return F.btrim(F.lower(word), F.lit(_MARKS))
+
+
+def _stripped(text: Column) -> Column:
     """A text without the marks around its words, but for words of marks alone. Each run of marks is read once."""
     marks = _MARKS.replace("(", r"\(").replace(")", r"\)")
     before, behind = f"(?<![^{_BLANKS}])[{marks}]++(?=[^{_BLANKS}])", f"(?<=[^{marks}{_BLANKS}])[{marks}]++(?![^{_BLANKS}])"
@@ -108,7 +113,7 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     ``n_words`` (all). Counts are whole numbers, so they do not depend on the order of the rows. Documents without text or
     language give nothing."""
     own = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("lang", "text")
-    each = own.select("lang", F.explode(F.split(_bare(F.col("text")), f"[{_BLANKS}]+")).alias("word")).where("word <> ''")
+    each = own.select("lang", F.explode(F.split(_stripped(F.col("text")), f"[{_BLANKS}]+")).alias("word")).where("word <> ''")
     counted = stored(each.groupBy("lang", F.lower("word").alias("word")).agg(F.count("*").alias("n")), "word-counts")
     total = counted.groupBy("lang").agg(F.sum("n").alias("n_words"))
     by_count = Window.partitionBy("lang").orderBy(F.col("n").desc(), "word")
@@ -223,12 +228,14 @@ def judge(docs: DataFrame, known: DataFrame | None = None, rules: Rules = Rules(
     def nearest(enough: Column, distance: Callable[[Column], Column]) -> Column:
         return F.when(enough, _let(lexicon.languages, lambda r: F.array_min(F.transform(r, distance))))
 
-    w, n = F.col("w"), F.size("w").cast("long")
-    bare = F.transform(words(_bare(text)), F.lower)
-    word_distance = F.when(n >= rules.least_words, _let(lexicon.histogram(bare), lambda h: nearest(F.lit(True), lambda r: _word_distance(h, n, r))))
+    def of_words(w: Column) -> Column:
+        n = F.size(w).cast("long")
+        found = _let(lexicon.histogram(F.transform(w, _bare)), lambda h: nearest(n >= rules.least_words, lambda r: _word_distance(h, n, r)))
+        return F.struct(*_base(text, w), found.alias("word_distance"))
+
     class_distance = _let(classes(text), lambda c: nearest(F.length(text) >= rules.least_chars, lambda r: _class_distance(c, r["chars"])))
-    own = docs.select(*kept).withColumn("w", words(text)).withColumn("h", _hashes(w))  # each made once, as a column
-    own = own.select(*plain, *_base(text, w, F.col("h")), class_distance.alias("class_distance"), word_distance.alias("word_distance"))
+    own = docs.select(*kept).withColumn("own", _let(words(text), of_words)).withColumn("class_distance", class_distance)
+    own = own.select(*plain, *(F.col("own")[n].alias(n) for n in results[:5]), "class_distance", F.col("own")["word_distance"].alias("word_distance"))
     base_failed = (F.col("n_words") < rules.least_base_words) | (100 * F.col("n_repeat_words") > rules.repeat_percent * F.col("n_words"))
     own = own.withColumn("base_failed", base_failed)
     far = F.coalesce(F.col("class_distance") > rules.class_limit, F.lit(False)) | F.coalesce(F.col("word_distance") > rules.word_limit, F.lit(False))
