@@ -216,3 +216,22 @@ def test_scoring_sends_only_texts_to_python(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "MapInArrow" not in plan
     assert [r["predicted"] for r in found.orderBy("doc_id").collect()] == [1, 1]
+
+
+def test_words_are_hashed_together_and_not_remembered():
+    texts = [None, b"", b" \n", b"Ab ab, c!!d \xc3\xa9", b"x" * 63, b"y" * 64 + b"." * 70 + b"z"]
+    data = b"\n".join(t or b"" for t in texts).lower()
+    starts, hashes = quality.token_hashes(data)
+
+    def plain(word: bytes) -> int:
+        value = 0xCBF29CE484222325
+        for byte in word:
+            value = (value ^ byte) * 0x100000001B3 % 2**64
+        return value
+
+    words = [b"ab", b"ab", b",", b"c", b"!!", b"d", b"\xc3\xa9", b"x" * 63, b"y" * 64, b"." * 70, b"z"]
+    assert hashes.tolist() == [plain(w) for w in words]
+    assert all(data.startswith(w, s) for w, s in zip(words, starts.tolist()))
+    assert [len(v) for _, v in quality.features(texts[:3], 18)] == [0, 0, 0]
+    alone, among = next(quality.features(texts[3:4], 18)), list(quality.features(texts, 18))[3]
+    assert all((a == b).all() for a, b in zip(alone, among))

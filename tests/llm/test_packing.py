@@ -65,3 +65,9 @@ def test_null_ids_repeated_rows_and_empty_table(documents):
     docs = documents([(None, "a"), (1, "a b"), (1, "a b")])
     assert packing.pack(docs, tokenizer_path()).count() == 3
     assert packing.pack(docs.limit(0), tokenizer_path()).count() == 0
+
+
+def test_slots_start_no_workers_of_another_kind(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, None)], "doc_id long, text string")
+    plan = packing.pack(docs, tokenizer_path())._jdf.queryExecution().analyzed().toString()
+    assert "LogicalRDD" not in plan.replace("RelationV2", "")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -80,6 +80,17 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
             yield batch.slice(start)
 
 
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, a task's function over Arrow data; when it ends, the memory that Arrow keeps for later goes back to the
+    system. Workers outlive their tasks, and an executor's idle ones count like busy ones."""
+
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return whole
+
+
 def texts(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
     """A text column as UTF-8 bytes."""
     return batch.column(column).cast(pa.binary()).to_pylist()

@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from townsquare.llm.common import slices, spaced_words, stored, texts
+from townsquare.llm.common import giving_back, slices, spaced_words, stored, texts
 
 
 @dataclass(frozen=True)
@@ -72,7 +72,7 @@ def shingles(words: list[bytes], width: int) -> set[tuple[bytes, ...]]:
 class Sketcher:
     """MinHash values of many texts at a time."""
 
-    def __init__(self, how: Similarity, room: int = 200_000) -> None:
+    def __init__(self, how: Similarity, room: int = 20_000) -> None:
         self.how, self.room, self.known = how, room, {}
         random = np.random.default_rng(20_240_601)
         self.factors = random.integers(0, 2**32, how.hashes, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -163,7 +163,7 @@ def promising(pairs: DataFrame, sketches: DataFrame, how: Similarity) -> DataFra
                 alive, start = alive[matches[alive] >= least], end
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(alive)), batch.column(1).take(pa.array(alive))], names=["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(giving_back(run), "a long, b long")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
@@ -183,7 +183,7 @@ def verified(pairs: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
                 out.append(common > 0 and 100 * common >= how.percent * (len(ours) + len(theirs) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.bool_())], names=["a", "b", "linked"])
 
-    return both.mapInArrow(run, "a long, b long, linked boolean")
+    return both.mapInArrow(giving_back(run), "a long, b long, linked boolean")
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -238,7 +238,7 @@ def rare_shingles(nodes: DataFrame, docs: DataFrame, how: Similarity) -> DataFra
             )
 
     own = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id").select("doc_id", "text")
-    rows = stored(own.mapInArrow(run, "node long, size long, shingle long"), "shingles")
+    rows = stored(own.mapInArrow(giving_back(run), "node long, size long, shingle long"), "shingles")
     order = Window.partitionBy("node", "size").orderBy("n", "shingle")
     placed = rows.join(rows.groupBy("shingle").agg(F.count("*").alias("n")), "shingle")
     placed = placed.withColumn("i", F.row_number().over(order) - 1)
@@ -255,7 +255,7 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFram
     linked with nothing and kept. ``component_id`` is the smallest id reachable over links; ``kept`` marks that document.
     Repeated rows are judged alike; classes that share their smallest id count as one. Other columns are not read.
     """
-    sketches = stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_sketch(how), _SKETCH), "sketches")
+    sketches = stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(giving_back(_sketch(how)), _SKETCH), "sketches")
     filled = sketches.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = filled.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"))
     first = filled.select("d1", "d2", "doc_id", "bands").join(classes, ["d1", "d2"]).where(F.col("doc_id") == F.col("node"))

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from townsquare.llm.common import slices, stored
+from townsquare.llm.common import giving_back, slices, stored
 
 SIZE, UNIT, END = 4096, 16, 2
 #: trailing marks of a word; a run of them is one piece for the tokenizer (the apostrophe may begin a contraction)
@@ -163,7 +163,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, size: int = SIZE, unit: int = UNI
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part = Encoder(tokenizer), TaskContext.get().partitionId()  # ends with the task, and what it remembers
         seen = np.zeros(size // unit + 2, np.int64)
-        for batch in slices(batches, "text", 8 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             rows: list[tuple] = []
             for doc, data in zip(batch.column("doc_id").to_pylist(), words.encode(batch.column("text"))):
                 data += closing
@@ -178,7 +178,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, size: int = SIZE, unit: int = UNI
             names = "doc_id start length ids_crc32 doc_tokens ids part units place".split()
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(cut, f"doc_id long, {_PIECE}")
+    return docs.select("doc_id", "text").mapInArrow(giving_back(cut), f"doc_id long, {_PIECE}")
 
 
 @dataclass
@@ -305,7 +305,10 @@ def pack(
         taken[c] += n
     spark = docs.sparkSession
     # at most a few patterns per class: bounded by the classes, not by the data
-    table = spark.createDataFrame(slots, "units int, low long, high long, first long, each long, skip long")
+    names = ["units", "low", "high", "first", "each", "skip"]
+    types = [pa.int32()] + [pa.int64()] * 5
+    # handed over as Arrow data: a list of tuples would start Python workers of another kind, which stay
+    table = spark.createDataFrame(pa.table([pa.array([s[i] for s in slots], t) for i, t in enumerate(types)], names=names))
     before = F.sum("n").over(Window.partitionBy("units").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("units", "part", F.coalesce(before, F.lit(0)).alias("before"))
     ranked = cut.join(offsets, ["units", "part"]).withColumn("rank", F.col("before") + F.col("place"))

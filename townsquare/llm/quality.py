@@ -7,7 +7,6 @@ the state is averaged over the partitions, which start the next round from it. S
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,43 +14,63 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from townsquare.llm.common import fold, held_out, slices, stored, texts
+from townsquare.llm.common import fold, giving_back, held_out, slices, stored, texts
 
-_TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[!-/:-@\[-`{-~]+")
+#: what a byte of a text is: 0 blank, 1 letter or digit, 2 mark. Bytes from 0x80 are letters.
+_KIND = np.array([1 if b >= 128 or chr(b).isalnum() else 2 if 33 <= b <= 126 else 0 for b in range(256)], np.uint8)
 _REPEAT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _UNIT = 2**24
-
-
-class Hasher:
-    """Slots and weights of a text; remembers the hashes of words it has met."""
-
-    def __init__(self, bits: int, room: int = 200_000) -> None:
-        self.bits, self.room, self.known = bits, room, {}
-
-    def _hash(self, word: bytes) -> int:
-        value = 0xCBF29CE484222325
-        for byte in word:
-            value = (value ^ byte) * 0x100000001B3 & 0xFFFFFFFFFFFFFFFF
-        if len(self.known) >= self.room:
-            self.known.clear()
-        self.known[word] = value
-        return value
-
-    def features(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-        """Slots with their values, the vector being of length 1; empty for a text without words."""
-        words = _TOKEN.findall((text or b"").lower())
-        if not words:
-            return np.zeros(0, np.int64), np.zeros(0)
-        get, own = self.known.get, self._hash
-        one = np.fromiter((get(w) or own(w) for w in words), np.uint64, len(words))
+_PRIME = 0x100000001B3
+#: bytes of a word that are hashed for all words of a slice at a time; what is longer is hashed byte by byte
+_AT_ONCE = 64
+#: bytes of text whose words are hashed together
+_SLICE = 1 << 18
+
+
+def token_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and 64-bit FNV-1a hashes of the runs of letters and digits, or of marks, of lower-cased text. No word is
+    remembered, so a worker holds nothing that grows with the vocabulary."""
+    text = np.frombuffer(data, np.uint8)
+    kind = np.zeros(len(text) + 2, np.uint8)
+    kind[1:-1] = _KIND[text]
+    cut = np.flatnonzero(kind[1:] != kind[:-1])
+    filled = kind[cut[:-1] + 1] > 0
+    starts, sizes = cut[:-1][filled], np.diff(cut)[filled]
+    order = np.argsort(-sizes, kind="stable")  # the words that have a byte at some place come first
+    first, left = starts[order], -sizes[order]
+    value = np.full(len(starts), 0xCBF29CE484222325, np.uint64)
+    for place in range(min(_AT_ONCE, -int(left.min(initial=0)))):
+        alive = np.searchsorted(left, -place)
+        value[:alive] ^= text[first[:alive] + place]
+        value[:alive] *= np.uint64(_PRIME)
+    for i in range(np.searchsorted(left, -_AT_ONCE)):
+        own = int(value[i])
+        for byte in data[first[i] + _AT_ONCE : first[i] - left[i]]:
+            own = (own ^ byte) * _PRIME & 0xFFFFFFFFFFFFFFFF
+        value[i] = own
+    hashes = np.empty_like(value)
+    hashes[order] = value
+    return starts, hashes
+
+
+def features(data: list[bytes | None], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Slots of each text with their values, the vector being of length 1; empty for a text without words."""
+    whole = b"\n".join(text or b"" for text in data).lower()
+    starts, hashes = token_hashes(whole)
+    bounds = np.searchsorted(starts, np.cumsum([0, *(len(text or b"") + 1 for text in data)]))
+    for start, end in zip(bounds[:-1], bounds[1:]):
+        one = hashes[start:end]
+        if not len(one):
+            yield np.zeros(0, np.int64), np.zeros(0)
+            continue
         repeat = np.append(False, one[1:] == one[:-1])
         one = np.where(repeat, _REPEAT, one)
         two = (one[:-1] * _MIX) ^ (one[1:] >> np.uint64(7)) ^ one[1:]
-        slots = (np.concatenate([one, two]) * _MIX >> np.uint64(64 - self.bits)).astype(np.int64)
+        slots = (np.concatenate([one, two]) * _MIX >> np.uint64(64 - bits)).astype(np.int64)
         slots, times = np.unique(slots, return_counts=True)
         values = np.sqrt(times)
-        return slots, values / np.sqrt((values**2).sum())
+        yield slots, values / np.sqrt((values**2).sum())
 
 
 @dataclass
@@ -115,11 +134,10 @@ def train(
         start = rows.sparkSession.sparkContext.broadcast((z, n))
 
         def learn(batches, start=start):
-            leader, hasher = Leader(*(x.copy() for x in start.value)), Hasher(bits)
+            leader = Leader(*(x.copy() for x in start.value))
             examples = []
-            for batch in batches:
-                for text, label in zip(texts(batch, "text"), batch.column("label").to_pylist()):
-                    slots, values = hasher.features(text)
+            for batch in slices(batches, "text", _SLICE):
+                for (slots, values), label in zip(features(texts(batch, "text"), bits), batch.column("label").to_pylist()):
                     examples.append((np.append(slots, size - 1).astype(np.int32), np.append(values, 0.3).astype(np.float32), label))
             for _ in range(passes):
                 if sum(leader.learn(*example) for example in examples) < close * len(examples):
@@ -129,7 +147,7 @@ def train(
             change = [np.rint(len(examples) * _UNIT * (own[slots] - old[slots])).astype(np.int64) for own, old in zip((leader.z, leader.n), before)]
             yield pa.RecordBatch.from_arrays([pa.array(slots), *map(pa.array, change)], names=["slot", "z", "n"])
 
-        states = dealt.mapInArrow(learn, "slot long, z long, n long").groupBy("slot")
+        states = dealt.mapInArrow(giving_back(learn), "slot long, z long, n long").groupBy("slot")
         mean = states.agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toArrow()  # at most one row per slot
         slots = mean.column("slot").to_numpy()
         z[slots] += mean.column("z").to_numpy() / (_UNIT * count)
@@ -153,13 +171,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     @F.arrow_udf("double")  # only texts go to Python, only scores come back
     def scored(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from giving_back(run)(columns)
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
-        hasher = Hasher(model.bits)
         for column in columns:
             scores = []
-            for batch in slices(iter([pa.RecordBatch.from_arrays([column], names=["text"])]), "text", 4 << 20):
-                for data in texts(batch, "text"):
-                    slots, values = hasher.features(data)
+            for batch in slices(iter([pa.RecordBatch.from_arrays([column], names=["text"])]), "text", _SLICE):
+                for slots, values in features(texts(batch, "text"), model.bits):
                     scores.append(sigmoid(float(model.weights[slots] @ values) + 0.3 * float(model.weights[-1])))
             yield pa.array(scores, pa.float64())
 

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from townsquare.llm.common import hashed_words, scratch, slices, texts
+from townsquare.llm.common import giving_back, hashed_words, scratch, slices, texts
 
 _STATE = "n_words long, spans array<struct<start:long,end:long>>, items array<string>"
 
@@ -260,7 +260,7 @@ def _flagged(kept: DataFrame, text: str, benchmark: DataFrame, window: int, shar
         keyed = plain.drop(*names[-2:]).withColumns(dict(zip(["k1", "k2"], _text_key(names[kept.columns.index(text)]))))
         state = (F.coalesce(c, F.array().cast(schema[n].dataType)) for c, n in (("s", "spans"), ("i", "items")))
         out = keyed.join(found, ["k1", "k2"], "left").select(*names[:-2], *state).toDF(*schema.names)
-    return out.mapInArrow(_scan(last, text, shard_bytes), schema)
+    return out.mapInArrow(giving_back(_scan(last, text, shard_bytes)), schema)
 
 
 def _text_key(text: str) -> list[Column]:
