@@ -1,4 +1,6 @@
 import os
+from dataclasses import replace
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -195,3 +197,11 @@ def test_stored_bytes(spark, store):
     store.write("silver", "t", spark.range(10).withColumn("part", F.col("id") % 2), partition_by=["part"])
     paths = [path.removeprefix("file://").removeprefix("file:") for path in store.read("silver", "t").inputFiles()]
     assert store.stored_bytes("silver", "t") == sum(os.path.getsize(p) for p in paths) > 0
+
+
+def test_stored_tables_are_packed_whatever_the_session_says(spark, store):
+    own = replace(store, spark=spark.newSession())
+    own.spark.conf.set("spark.sql.parquet.compression.codec", "snappy")
+    own.write("silver", "packed", own.spark.range(5))
+    files = [urlparse(f).path for f in own.read("silver", "packed").inputFiles()]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)

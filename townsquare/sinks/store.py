@@ -14,7 +14,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from townsquare.config import LAYERS, database_name
+from townsquare.config import LAYERS, SESSION_CONF, database_name
 from townsquare.operators.layout import cluster_rows, rebalance_rows, zorder_rows
 
 
@@ -98,6 +98,8 @@ def read_export(spark: SparkSession, out: str) -> dict[str, DataFrame]:
 _SNAPSHOT = "__snapshot_"
 _CONTENTS = "townsquare.contents"
 _BATCH = "townsquare.batch"
+#: stored tables are read and written again layer by layer, so they are as small as the library's own sessions make them
+_CODEC = SESSION_CONF["spark.sql.parquet.compression.codec"]
 
 
 @dataclass(frozen=True)
@@ -327,7 +329,7 @@ class TableStore:
         snapshot = f"{table}{_SNAPSHOT}{time.time_ns():020d}_{uuid.uuid4().hex}"
         seen = Observation()
         counted = [F.count_if(bad).alias(f"check {name}") for name, bad in checks.items()]
-        writer = df.observe(seen, F.count(F.lit(1)).alias("rows"), *counted).write.format("parquet")
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows"), *counted).write.format("parquet").option("compression", _CODEC)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(self.name(layer, snapshot))
