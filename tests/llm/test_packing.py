@@ -23,6 +23,18 @@ def test_encoder_equals_the_tokenizer(tokenizer, corpus):
             assert np.frombuffer(data, "<u4").tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+def test_words_are_learned_once_whatever_their_case_and_marks(tokenizer):
+    encoder = packing.Encoder(tokenizer_path())
+    letters = "".join(chr(i) for i in range(0xC0, 0x180) if chr(i).isalpha())
+    rows = ["word, Word. WORD!? (word) wörd", f"WÖRD; wörd... Wörd\" 日本, {letters} {letters.upper()}!", "日本 word's 日本! ß, e\u0301. \u212aelvin ½ª, 7, --"]
+    for row in rows:
+        ids = tokenizer.encode(row, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode([row])[0], "<u4").tolist() == ids
+    kept = encoder.words.to_pylist()
+    assert {w for w in kept if w.lower() in ("word", "wörd") or "日" in w} == {"word", "wörd", "日本"}
+    assert len(kept) == len(set(kept))
+
+
 @pytest.mark.parametrize("size,unit", [(4096, 16), (64, 4)])
 def test_every_token_once_without_gaps(documents, corpus, tokenizer, size, unit):
     rows = [(i, t) for i, (_, t) in enumerate(corpus(9))] + [(500 + i, t) for i, t in enumerate(ODD)]

@@ -10,6 +10,7 @@ Only the histogram (one number per class) and the patterns reach the driver; pie
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,6 +26,8 @@ from townsquare.llm.common import giving_back, slices, stored
 SIZE, UNIT, END = 4096, 16, 2
 #: trailing marks of a word; a run of them is one piece for the tokenizer (the apostrophe may begin a contraction)
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: what stands before the marks of a word of letters; a word up to U+00FF
+_TO_MARKS, _LATIN = f"^[^{re.escape(_MARKS)}]+", r"^[\x{00}-\x{FF}]*$"
 
 
 def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -36,19 +39,18 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers, by way of their words.
 
     The tokenizer drops white space and never joins across it, so a text is the concatenation of its words, and a word of
-    letters is one piece that ends with a word-end token. Arrow splits the texts, numbers their words and looks them up
-    among the remembered ones, so Python handles new words only. These are encoded many at a time; a word of Latin letters
-    is already normal but for its case, so the steps before the merges are left out for it. Words that are no letters but
-    for marks at their end go to the tokenizer as they are. Words and ids lie in a few arrays; where there are more than
+    letters is one piece that ends with a word-end token. Arrow splits the texts, numbers their words, parts words of letters
+    from the marks at their end, lower-cases Latin ones and looks them up among the remembered ones. New words of letters
+    are encoded many at a time; where they are Latin they are normal by then, so the steps before the merges are left out.
+    Other words, and marks, go to the tokenizer as they are. Words and ids lie in a few arrays; where there are more than
     ``room`` words, those of the last two calls stay.
     """
 
     def __init__(self, path: str, room: int = 500_000, bulk: int = 2_000) -> None:
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.room, self.bulk = Tokenizer.from_file(path), room, bulk
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = normalizers.Sequence([])
+        self.plain = Tokenizer(self.tokenizer.model)  # the same merges, read once
         bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytewise])
         vocabulary = self.tokenizer.get_vocab()
@@ -61,60 +63,26 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _letters(self, stems: pa.Array) -> list[bytes]:
-        """The ids of distinct words of letters."""
-        out = [b""] * len(stems)
-        narrow = pc.string_is_ascii(stems).to_numpy(zero_copy_only=False)
-        plain = np.flatnonzero(narrow).tolist()
-        forms = pc.ascii_lower(stems.filter(pa.array(narrow))).to_pylist()
-        other: list[int] = []
-        others: list[str] = []
-        for i, word in zip(np.flatnonzero(~narrow).tolist(), stems.filter(pa.array(~narrow)).to_pylist()):
-            if max(word) <= "ÿ":
-                plain.append(i)
-                forms.append(word.lower())
-            else:
-                other.append(i)
-                others.append(word)
-        self._learn(self.plain, stems, plain, forms, out)
-        self._learn(self.tokenizer, stems, other, others, out)
-        return out
-
-    def _learn(self, tokenizer, stems: pa.Array, places: list[int], forms: list[str], out: list[bytes]) -> None:
-        for at in range(0, len(places), self.bulk):
-            some = places[at : at + self.bulk]
-            whole = " ".join(forms[at : at + self.bulk])
-            ids = np.array(tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, "<u4")
-            last = np.flatnonzero(self.ends[ids]) + 1
-            if len(last) == len(some) and last[-1] == len(ids):
-                data, start = ids.tobytes(), 0
-                for i, end in zip(some, (last * 4).tolist()):
-                    out[i] = data[start:end]
-                    start = end
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words one behind the other, and how many each has; every word goes to the tokenizer by itself."""
+        data = [self.whole(w) for w in words]
+        return np.frombuffer(b"".join(data), "<u4"), np.array([len(x) // 4 for x in data], np.int64)
+
+    def _learn(self, tokenizer, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters, many at a time."""
+        bounds = pa.array([*range(0, len(words), self.bulk), len(words)], pa.int32())
+        ids, sizes = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        for i, some in enumerate(pc.binary_join(pa.ListArray.from_arrays(bounds, words), " ").to_pylist()):
+            own = words.slice(i * self.bulk, self.bulk)
+            found = np.array(tokenizer.encode_batch_fast([some], add_special_tokens=False)[0].ids, "<u4")
+            last = np.flatnonzero(self.ends[found]) + 1
+            if len(last) == len(own) and last[-1] == len(found):
+                size = np.diff(last, prepend=0)
             else:  # some word is no single piece
-                for i in some:
-                    out[i] = self.whole(stems[i].as_py())
-
-    def _new(self, words: pa.Array) -> list[bytes]:
-        """The ids of distinct words."""
-        stems = pc.utf8_rtrim(words, characters=_MARKS)
-        letters = pc.utf8_is_alpha(stems).to_numpy(zero_copy_only=False)
-        numbered = stems.filter(pa.array(letters)).dictionary_encode()
-        found = self._letters(numbered.dictionary)
-        out = [b""] * len(words)
-        for i, number in zip(np.flatnonzero(letters).tolist(), numbered.indices.to_pylist()):
-            out[i] = found[number]
-        marked = np.flatnonzero(letters & pc.not_equal(stems, words).to_numpy(zero_copy_only=False))
-        sizes = pc.utf8_length(stems.take(pa.array(marked))).to_pylist()
-        tails: dict[str, bytes] = {}
-        for i, word, size in zip(marked.tolist(), words.take(pa.array(marked)).to_pylist(), sizes):
-            if (tail := word[size:]) not in tails:
-                tails[tail] = self.whole(tail)
-            out[i] += tails[tail]
-        odd = np.flatnonzero(~letters)
-        for i, word in zip(odd.tolist(), words.take(pa.array(odd)).to_pylist()):
-            out[i] = self.whole(word)
-        return out
+                found, size = self._each(own.to_pylist())
+            ids.append(found)
+            sizes.append(size)
+        return np.concatenate(ids), np.concatenate(sizes)
 
     def _meet(self, words: pa.Array) -> np.ndarray:
         """Places of distinct words among the remembered ones."""
@@ -128,25 +96,47 @@ class Encoder:
         missing = np.flatnonzero(found < 0)
         if len(missing):
             new = words.take(pa.array(missing))
-            data = self._new(new)
-            found[missing] = len(self.words) + np.arange(len(missing))
-            self.words = pa.concat_arrays([self.words, new])
-            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(data), "<u4")])
-            self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, data), np.int64, len(data)) // 4])
+            letters, narrow = pc.utf8_is_alpha(new), pc.match_substring_regex(new, _LATIN)
+            kinds = pc.and_(letters, narrow), pc.and_not(letters, narrow), pc.invert(letters)
+            plain, other, odd = (new.filter(kind) for kind in kinds)
+            learned = self._learn(self.plain, plain), self._learn(self.tokenizer, other), self._each(odd.to_pylist())
+            order = np.concatenate([np.flatnonzero(kind.to_numpy(zero_copy_only=False)) for kind in kinds])
+            found[missing[order]] = len(self.words) + np.arange(len(missing))
+            self.words = pa.concat_arrays([self.words, plain, other, odd])
+            self.ids = np.concatenate([self.ids, *(ids for ids, _ in learned)])
+            self.sizes = np.concatenate([self.sizes, *(sizes for _, sizes in learned)])
             self.used = np.concatenate([self.used, np.zeros(len(missing), np.int64)])
             self.starts = np.cumsum(self.sizes) - self.sizes
         self.used[found] = self.turn
         return found
 
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words one behind the other, and how many each has."""
+        stems = pc.utf8_rtrim(words, characters=_MARKS)
+        letters = pc.utf8_is_alpha(stems)
+        latin = pc.and_(letters, pc.match_substring_regex(stems, _LATIN))
+        kept = pc.if_else(latin, pc.utf8_lower(stems), pc.if_else(letters, stems, words)).dictionary_encode()
+        found = self._meet(kept.dictionary)[kept.indices.to_numpy()]
+        marked = pc.and_(letters, pc.not_equal(stems, words))
+        tails = pc.replace_substring_regex(words.filter(marked), _TO_MARKS, "").dictionary_encode()
+        own, size = self._each(tails.dictionary.to_pylist())
+        # a word is two ranges: what is remembered, and the marks behind it
+        starts, sizes = np.zeros((2, len(words), 2), np.int64)
+        starts[:, 0], sizes[:, 0] = self.starts[found], self.sizes[found]
+        at, number = np.flatnonzero(marked.to_numpy(zero_copy_only=False)), tails.indices.to_numpy()
+        starts[at, 1], sizes[at, 1] = (len(self.ids) + np.cumsum(size) - size)[number], size[number]
+        return np.concatenate([self.ids, own])[_places(starts.ravel(), sizes.ravel())], sizes.sum(axis=1)
+
     def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """The six ASCII white spaces part words; any other one stays inside a word, which the tokenizer then encodes as
         it is."""
         column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         split = pc.ascii_split_whitespace(column.fill_null(""))
         numbered = split.flatten().dictionary_encode()
-        words = self._meet(numbered.dictionary.cast(pa.string()))[numbered.indices.to_numpy()]
-        sizes = self.sizes[words]
-        data = self.ids[_places(self.starts[words], sizes)].tobytes()
+        ids, sizes = self._distinct(numbered.dictionary.cast(pa.string()))
+        words, starts = numbered.indices.to_numpy(), np.cumsum(sizes) - sizes
+        sizes = sizes[words]
+        data = ids[_places(starts[words], sizes)].tobytes()
         bounds = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(split.value_lengths().to_numpy()))]
         at = (bounds * 4).tolist()
         return [data[a:b] for a, b in zip(at, at[1:])]
