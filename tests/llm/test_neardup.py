@@ -1,6 +1,7 @@
+import pyarrow as pa
 import pytest
 
-from townsquare.llm import neardup
+from townsquare.llm import common, neardup
 from townsquare.llm.common import spaced_words
 
 
@@ -69,3 +70,29 @@ def test_bounds_keep_pairs_at_the_threshold():
     for n, least in neardup.Similarity().least_matches():
         assert least < 0.8 * n
         assert n < 100 or least > 0.5 * n
+
+
+def test_links_are_not_written_and_texts_go_to_python_in_small_batches(spark, documents, corpus, monkeypatch):
+    key, written = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+
+    def noted(df, name, batch_rows=None):
+        written.append((name, batch_rows))
+        return common.stored(df, name, batch_rows)
+
+    monkeypatch.setattr(neardup, "stored", noted)
+    rows = corpus(5, count=80)
+    neardup.near_duplicates(documents(rows), neardup.Similarity(width=2)).count()
+    names = [name for name, _ in written]
+    assert "linked" not in names and "edges" in names
+    assert dict(written)["sketches"] == 1000 and ("edges", 1000) in written
+
+    sizes = lambda batches: (pa.record_batch([pa.array([b.num_rows])], names=["n"]) for b in batches)
+    before = spark.conf.get(key)
+    stored = common.stored(spark.range(0, 2500, 1, 1).mapInArrow(sizes, "n long"), "sizes", 1000)
+    assert sorted(r.n for r in stored.collect()) == [500, 1000, 1000]
+    assert spark.conf.get(key) == before and spark.conf.get(key, None) is None
+
+
+def test_few_rows_of_many_tasks_are_written_to_few_files(spark):
+    small = common.stored_small(spark.range(0, 500, 1, 50), "small")
+    assert len(small.inputFiles()) <= 4 and small.distinct().count() == 500

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -49,11 +50,39 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: cuts lineage and survives lost executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stored(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read again: cuts lineage and survives lost executors.
+
+    ``batch_rows``: at most so many rows at a time go to and from Python in this write, where rows hold whole texts.
+    """
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    with _arrow_rows(spark, batch_rows):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def _arrow_rows(spark: SparkSession, most: int | None) -> Iterator[None]:
+    """Arrow batches of ``most`` rows at most; where the session asks for fewer, or ``most`` is None, its setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, now = spark.conf.get(key, None), int(spark.conf.get(key))
+    if most is None or 0 < now <= most:
+        yield
+        return
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def stored_small(df: DataFrame, name: str) -> DataFrame:
+    """``stored`` for few rows that many tasks hold: they are put together first, into files of a useful size. Where a file
+    is local, Hadoop starts processes for each one (chmod), and each looks as large as the executor until it runs."""
+    return stored(df.hint("rebalance"), name)
 
 
 def hashed_words(data: bytes) -> list[bytes]:

@@ -22,7 +22,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from townsquare.llm.common import giving_back, slices, spaced_words, stored, texts
+from townsquare.llm.common import giving_back, slices, spaced_words, stored, stored_small, texts
+
+
+#: rows with whole texts that pass between Spark and a Python worker at a time
+_BATCH = 1_000
 
 
 @dataclass(frozen=True)
@@ -186,16 +190,17 @@ def verified(pairs: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
     return both.mapInArrow(giving_back(run), "a long, b long, linked boolean")
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame, batch_rows: int | None = None) -> DataFrame:
     """``node``, ``component`` for all ``nodes`` (``node``, ``component`` so far), joined along ``edges`` (``a``, ``b``).
 
     Every component takes the smallest label among itself and its neighbours, follows that label once more, and edges
-    inside a component vanish; the remaining edges shrink at least by half each time.
+    inside a component vanish; the remaining edges shrink at least by half each time. ``edges`` are read once, in a write
+    with ``batch_rows``.
     """
     left = nodes.select(F.col("node").alias("a"), F.col("component").alias("ca"))
     right = nodes.select(F.col("node").alias("b"), F.col("component").alias("cb"))
     open_ = edges.join(left, "a").join(right, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    open_ = stored(open_.where("a <> b").distinct(), "edges")
+    open_ = stored(open_.where("a <> b").distinct(), "edges", batch_rows)
     while not open_.isEmpty():
         both = open_.union(open_.select("b", "a"))
         parent = both.groupBy("a").agg(F.least("a", F.min("b")).alias("p"))
@@ -238,7 +243,7 @@ def rare_shingles(nodes: DataFrame, docs: DataFrame, how: Similarity) -> DataFra
             )
 
     own = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id").select("doc_id", "text")
-    rows = stored(own.mapInArrow(giving_back(run), "node long, size long, shingle long"), "shingles")
+    rows = stored(own.mapInArrow(giving_back(run), "node long, size long, shingle long"), "shingles", _BATCH)
     order = Window.partitionBy("node", "size").orderBy("n", "shingle")
     placed = rows.join(rows.groupBy("shingle").agg(F.count("*").alias("n")), "shingle")
     placed = placed.withColumn("i", F.row_number().over(order) - 1)
@@ -255,13 +260,13 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFram
     linked with nothing and kept. ``component_id`` is the smallest id reachable over links; ``kept`` marks that document.
     Repeated rows are judged alike; classes that share their smallest id count as one. Other columns are not read.
     """
-    sketches = stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(giving_back(_sketch(how)), _SKETCH), "sketches")
+    sketches = stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(giving_back(_sketch(how)), _SKETCH), "sketches", _BATCH)
     filled = sketches.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = filled.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"))
     first = filled.select("d1", "d2", "doc_id", "bands").join(classes, ["d1", "d2"]).where(F.col("doc_id") == F.col("node"))
     banded = first.select("node", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    members = stored(banded.join(shared.select("bucket", "low"), "bucket"), "members")
+    members = stored_small(banded.join(shared.select("bucket", "low"), "bucket"), "members")
     labels = stored(members.select("node").distinct().withColumn("component", F.col("node")), "labels")
     own = labels.select(F.col("node").alias("doc_id"))
     kept_texts = docs.select(F.col("doc_id").cast("long"), "text").join(own, "doc_id", "left_semi")
@@ -270,8 +275,8 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFram
 
     def join_up(pairs: DataFrame, labels: DataFrame) -> DataFrame:
         alive = promising(stored(pairs.distinct(), "pairs"), signatures, how)
-        linked = stored(verified(stored(alive, "promising"), kept_texts, how).where("linked").select("a", "b"), "linked")
-        return components(labels, linked)
+        linked = verified(stored_small(alive, "promising"), kept_texts, how).where("linked").select("a", "b")
+        return components(labels, linked, _BATCH)
 
     labels = join_up(members.where("low < node").select(F.col("low").alias("a"), F.col("node").alias("b")), labels)
 
@@ -279,7 +284,7 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFram
     nodes = stored(left.join(spread(left, "bucket"), "bucket").select("node").distinct(), "open")
     if not nodes.isEmpty():
         rare = rare_shingles(nodes, kept_texts, how).join(labels, "node")
-        rare = stored(rare.join(spread(rare, "shingle"), "shingle").drop("component"), "rare")
+        rare = stored_small(rare.join(spread(rare, "shingle"), "shingle").drop("component"), "rare")
         pivots = rare.where("most >= size").toDF("shingle", "a", "sa", "ma")
         # about as many pivots of a shingle have ranks up to r as if they were numbered, but no group is gathered for it
         chance = F.pmod(F.xxhash64("shingle", "a"), F.lit(2**31)) / 2**31
