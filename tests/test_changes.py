@@ -220,3 +220,61 @@ def test_a_merge_keeps_only_touched_ids_and_what_changed(lake, monkeypatch, with
     assert [*kept] == ["touched", "changed"]
     assert rows(kept["changed"], "review_id") == [("r1",), ("r8",)]
     same_as_rebuilt(store)
+
+
+def test_a_merge_exchanges_new_and_stored_rows_once(spark, lake, monkeypatch):
+    store, ingest = start(lake)
+    ingest("review", "b2", review(1, date="2020-07-01 00:00:00"), review(2, date="2001-01-01 00:00:00"), review(8))
+    plans, keep = {}, changes._kept
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        kept = keep(df, label)
+        if label == "changed":
+            assert kept.columns == ["review_id", "stored", "review_year", "new"]  # of a stored row only what finds it
+        return kept
+
+    monkeypatch.setattr(changes, "_kept", seen)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        refresh_changes(store, **RULE)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert plans["changed"].count("Exchange hashpartitioning(review_id") == 3  # the touched ids, stored rows, new rows
+
+
+def test_a_merge_settles_ties_as_a_rebuild_does(lake):
+    store, ingest = start(lake)
+    same_time = [review(30 + i, business="b", user_id="m", useful=5, date="2020-01-01 00:00:00") for i in range(6)]
+    ingest("review", "b2", *same_time, review(36, date=None, useful=3), review(37, date=None, useful=3))
+    refresh_changes(store, **RULE)
+    ingest(
+        *("review", "b3", {**same_time[0], "business_id": "a"}, {**same_time[1], "business_id": "c"}, {**same_time[2], "user_id": None}),
+        *({**same_time[3], "useful": 4}, {**same_time[3], "useful": None}, same_time[4], {**same_time[5], "stars": 5.0}),
+        *(review(36, date=None, useful=2), review(37, date=None, useful=4), review(38, date=None), review(38, date="odd")),
+    )
+    refresh_changes(store, **RULE)
+    found = {row["review_id"]: row for row in store.read("silver", "review").collect()}
+    assert found["r30"]["business_id"] == "a" and found["r31"]["business_id"] == "b"
+    assert found["r32"]["user_id"] is None and found["r33"]["useful"] is None and found["r35"]["stars"] == 4.0
+    assert found["r36"]["useful"] == 2 and found["r37"]["useful"] == 3
+    same_as_rebuilt(store)
+
+
+def shuffled_files(spark):
+    listed = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (listed.apply(i).getName() for i in range(listed.size())) if name.startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("first", [False, True])
+def test_a_refresh_leaves_no_shuffle_files(spark, lake, first):
+    store, ingest = lake if first else start(lake)
+    ingest("business", "b2", {"business_id": "c", "name": "z", "categories": "R"})
+    ingest("review", "b2", review(1, date="2020-07-01 00:00:00"), review(2, date="2001-01-01 00:00:00"), review(8))
+    held = spark.range(9).repartition(3)  # a frame of the caller's session keeps its shuffle
+    held.collect()
+    before = shuffled_files(spark)
+    refresh_changes(store, **RULE)
+    assert shuffled_files(spark) <= before
+    assert held.count() == 9

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from conftest import executed_plan, rows
 from townsquare.operators import (
     cluster_rows,
+    comes_first,
     explode_tokens,
     in_years,
     keep_latest,
@@ -39,6 +40,27 @@ def test_keep_latest_on_keys_only(spark):
     assert rows(keep_latest(df, ["k"])) == [("a",), ("b",)]
 
 
+def test_comes_first_decides_as_keep_latest_does(spark):
+    """Every pair of rows, NULLs, NaN and maps among them."""
+    data = [(t, d, v, m) for t in (None, 1, 2) for d in (None, 0.0, -0.0, float("nan")) for v in (None, "", "x") for m in (None, {}, {"b": "1", "a": "2"})]
+    df = spark.createDataFrame(data, "t int, d double, v string, m map<string,string>").withColumn("i", F.monotonically_increasing_id())
+    one = df.select(F.struct(*df.columns).alias("a"))
+    pairs = one.crossJoin(one.withColumnRenamed("a", "b")).where("a.i <> b.i").withColumn("k", F.struct("a.i", F.col("b.i").alias("j")))
+    fields = df.drop("i").schema.fields
+    first = pairs.select("k", comes_first("a", "b", fields, ["t"]).alias("a_first"), comes_first("b", "a", fields, ["t"]).alias("b_first"))
+    both = pairs.select("k", F.explode(F.array("a", "b")).alias("r")).select("k", "r.t", "r.d", "r.v", "r.m")
+    names = ("t", "d", "v", "m")
+    survivor = keep_latest(both, ["k"], ["t"]).select("k", F.struct(*names).alias("s"))
+
+    def same(side):
+        parts = [F.struct(f"{side}.t", f"{side}.d", f"{side}.v", F.array_sort(F.map_entries(f"{side}.m"))) for side in (side, "s")]
+        return parts[0].eqNullSafe(parts[1])
+
+    wrong = pairs.join(survivor, "k").join(first, "k").where((F.col("a_first") & ~same("a")) | (F.col("b_first") & ~same("b")) | (~F.col("a_first") & ~F.col("b_first") & ~(same("a") & same("b"))))
+    assert wrong.count() == 0
+    assert first.where("a_first AND b_first").count() == 0
+
+
 def test_keep_latest_limits_rows_before_the_shuffle(spark):
     """A key with most of the rows reaches the reducers as one row per task."""
     df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")

@@ -39,6 +39,20 @@ def test_only_new_files_are_taken(ingest, land):
     assert ingest().count() == 3  # same name, already taken
 
 
+def test_rows_are_packed_as_stored_tables_are(spark, ingest, land, tmp_path):
+    was = spark.conf.get("spark.sql.parquet.compression.codec")
+    spark.conf.set("spark.sql.parquet.compression.codec", "snappy")
+    try:
+        land("in/a.json", {"business_id": "a"})
+        ingest()
+        land("in/b.json", {"business_id": "b"})
+        assert ingest().count() == 2
+    finally:
+        spark.conf.set("spark.sql.parquet.compression.codec", was)
+    files = [p.name for p in (tmp_path / "out").rglob("*.parquet")]
+    assert len(files) == 2 and all(name.endswith(".zstd.parquet") for name in files)
+
+
 def test_backlog_in_several_batches(ingest, land, tmp_path):
     for i in range(4):
         land(f"in/{i}.json", {"business_id": str(i)})

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from townsquare.acceptance.adapters import BRONZE_SQL, bronze_frame
-from townsquare.config import shared_dir
+from townsquare.config import session_sized_for, shared_dir
 from townsquare.operators import in_years, tag_period, trailing_cutoff, zorder_rows
 from townsquare.plans import gold, quality, reports, rising
-from townsquare.plans.bronze import bronze_rows, ingest_bronze, ingest_observed
+from townsquare.plans.bronze import bronze_rows, ingest_bronze, ingest_observed, stream_rows
 from townsquare.plans.changes import refresh_changes, take_back
 from townsquare.plans.frames import LazyFrames
 from townsquare.plans.profiles import QUANTILES, profile_loads, stored_profile
@@ -89,9 +89,13 @@ class Layers:
     def bronze_once(self, store: TableStore, entity: str) -> DataFrame:
         """A raw entity whose joins run once, for queries that land it in parts."""
         path = f"{store.root}/raw-{entity}"
-        self.bronze[entity].write.parquet(path, compression="zstd")
+        self.derived(entity).write.parquet(path, compression="zstd")
         return self.spark.read.schema(self.bronze[entity].schema).parquet(path)
 
+    def derived(self, entity: str) -> DataFrame:
+        """A raw entity to be written once: what its joins shuffle goes with the write."""
+        return bronze_frame(session_sized_for(self.spark, 0), self.sf_dir, entity)
+
 
 def _drop(spark: SparkSession, databases: list[str]) -> None:
     with suppress(Exception):  # the session may have ended
@@ -412,9 +416,9 @@ def batch_taken_back(layers: Layers) -> DataFrame:
     """The fact after a batch that displaced reviews and brought new ones, and was taken back."""
     store = layers.new_store("taken-back")
     ingest_bronze(store, "business", _landed(layers, store, "business"), "first")
-    rows = layers.bronze_once(store, "review")
-    _ingested(layers, store, "review", rows, "good")
+    _ingested(layers, store, "review", layers.derived("review"), "good")
     refresh_changes(store, **RULE)
+    rows = stream_rows(store, "review", ["good"]).select(*layers.bronze["review"].columns)  # as they were landed
     wrong = rows.where("useful < 4").withColumns({"date": F.lit("2001-02-03 04:05:06"), "stars": F.lit(2.0)})
     fresh = rows.where("useful = 4").withColumn("review_id", F.concat(F.lit("new-"), "review_id"))
     _ingested(layers, store, "review", wrong.unionByName(fresh), "wrong")

@@ -26,6 +26,8 @@ SESSION_CONF = {
 
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
+# Spark 4.1 and later. Otherwise shuffle files stay until the driver collects its garbage, which an idle one rarely does.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def with_session_conf(builder: SparkSession.Builder) -> SparkSession.Builder:
@@ -56,12 +58,17 @@ def session_sized_for(spark: SparkSession, input_bytes: int) -> SparkSession:
     Each write gets one of its own: writes that run at the same time do not
     share a width, and the caller's session is left as it is. The session's
     own setting is a floor.
+
+    An execution's shuffle files go when it ends, so writes that follow each
+    other need the disk of the largest, not of all. A frame of the session
+    that is run again shuffles again.
     """
     own = spark.newSession()
     for key, value in spark.conf.getAll.items():
         if spark.conf.isModifiable(key):
             own.conf.set(key, value)
     own.conf.set(_INITIAL_PARTITIONS, str(max(shuffle_width(spark), shuffle_partitions_for(input_bytes))))
+    own.conf.set(_DROP_SHUFFLES, "true")
     return own
 
 

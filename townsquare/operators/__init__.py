@@ -1,6 +1,6 @@
 """Frame-level operators the layer plans are composed of."""
 
-from townsquare.operators.dedupe import keep_latest
+from townsquare.operators.dedupe import comes_first, keep_latest
 from townsquare.operators.layout import cluster_rows, rebalance_rows, zorder_rows
 from townsquare.operators.lists import explode_tokens
 from townsquare.operators.periods import (
@@ -13,6 +13,7 @@ from townsquare.operators.periods import (
 
 __all__ = [
     "cluster_rows",
+    "comes_first",
     "explode_tokens",
     "in_window",
     "in_years",

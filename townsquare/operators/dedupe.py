@@ -11,15 +11,26 @@ from pyspark.sql import types as T
 _RANK = "_rank_in_key"
 
 
-def _orderable(field: T.StructField) -> Column:
-    """A sortable stand-in for a column. Maps have no order; their sorted
-    entries do."""
-    column = F.col(f"`{field.name}`")
+def _orderable(field: T.StructField, of: str | None = None) -> Column:
+    """A sortable stand-in for a column, or for a field of the struct column
+    ``of``. Maps have no order; their sorted entries do."""
+    column = F.col(f"`{of}`.`{field.name}`" if of else f"`{field.name}`")
     if isinstance(field.dataType, T.MapType):
         return F.array_sort(F.map_entries(column))
     return column
 
 
+def comes_first(a: str, b: str, fields: Sequence[T.StructField], latest: Sequence[str] = ()) -> Column:
+    """Whether :func:`keep_latest` keeps the row in struct column ``a`` rather
+    than the one of the same key in ``b``; not so where they are equal.
+    ``fields`` are the columns other than the key, in their order."""
+
+    # Structs compare field by field, NULL being the lowest value.
+    time_a, time_b = (F.struct(F.lit(0), *(F.col(f"`{side}`.`{name}`") for name in latest)) for side in (a, b))
+    rest_a, rest_b = (F.struct(F.lit(0), *(_orderable(f, side) for f in fields if f.name not in latest)) for side in (a, b))
+    return (time_a > time_b) | (time_a.eqNullSafe(time_b) & (rest_a < rest_b))
+
+
 def keep_latest(df: DataFrame, keys: Sequence[str], latest: Sequence[str] = ()) -> DataFrame:
     """One row per key: the newest by ``latest``, ties settled by all columns.
 

@@ -16,7 +16,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from townsquare.config import shared_dir
+from townsquare.config import SESSION_CONF, shared_dir
+from townsquare.operators import comes_first
 from townsquare.plans import gold, silver
 from townsquare.plans.bronze import TAKEN_BACK, bronze_rows, stream_batches, stream_rows, taken_back
 from townsquare.plans.pipeline import (
@@ -28,6 +29,8 @@ from townsquare.plans.pipeline import (
     build_report,
     build_silver,
     gold_sources,
+    loaded_bytes,
+    own_session,
     refresh,
     silver_sources,
 )
@@ -45,7 +48,7 @@ _APPENDED = {"checkin": silver.silver_checkin, "tip": silver.silver_tip}
 def _kept(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read again."""
     path = shared_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=SESSION_CONF["spark.sql.parquet.compression.codec"])
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -59,22 +62,30 @@ def _merge_reviews(store: TableStore, added: list[str], removed: list[str], sour
     """Decide the touched reviews anew and write the years whose rows changed.
 
     Without removals the old survivor stands for all older rows of its key:
-    the order that picks survivors is total. With removals the touched keys are
-    looked up in bronze. Only ids and small columns are exchanged.
+    the order that picks survivors is total, so it meets the newest of the new
+    rows. With removals the touched keys are looked up in bronze. Only ids and
+    small columns are exchanged, and the rows of each side once.
     """
+    store = own_session(store, loaded_bytes(store, "review") + store.stored_bytes("silver", "review"))
     stored = store.read("silver", "review")
     columns = stored.columns
+    typed = [f for f in stored.schema.fields if f.name not in _DERIVED]
     touched = _kept(stream_rows(store, "review", [*added, *removed]).select("review_id").where("review_id IS NOT NULL").distinct(), "touched")
-    before = stored.join(touched, "review_id", "left_semi").select(*columns)
+    before = stored.join(touched, "review_id", "left_semi")
     if removed:
-        after = silver.silver_review(bronze_rows(store, "review", sources["stream"]).join(touched, "review_id", "left_semi"))
+        valid = silver.valid_reviews(bronze_rows(store, "review", sources["stream"]))
+        after, how = silver.latest_reviews(valid.join(touched, "review_id", "left_semi")), "full_outer"
+        same = F.struct(*(f"old.{f.name}" for f in typed)).eqNullSafe(F.struct(*(f"new.{f.name}" for f in typed)))
+        differs = ~same
     else:
-        after = silver.latest_reviews(before.drop(*_DERIVED).unionByName(silver.valid_reviews(stream_rows(store, "review", added))))
+        after, how = silver.latest_reviews(silver.valid_reviews(stream_rows(store, "review", added))), "right_outer"
+        differs = F.col("old").isNull() | comes_first("new", "old", [f for f in typed if f.name != "review_id"], ["review_ts"])
     # A row per key on both sides, which lie by key already: no exchange of their own.
-    old, new = (df.select("review_id", F.struct(*columns).alias(name)) for df, name in ((before, "old"), (after, "new")))
-    changed = _kept(old.join(new, "review_id", "full_outer").where(~F.col("old").eqNullSafe(F.col("new"))), "changed")
-    gone, come = changed.where("old IS NOT NULL"), changed.where("new IS NOT NULL").select("new.*")
-    years = [row[0] for row in gone.select(f"old.{YEAR}").union(come.select(YEAR)).distinct().collect()]  # years there are
+    old = before.select("review_id", F.struct(*(f.name for f in typed), YEAR).alias("old"))
+    pairs = old.join(after.select("review_id", F.struct(*columns).alias("new")), "review_id", how)
+    changed = _kept(pairs.where(differs).select("review_id", F.col("old").isNotNull().alias("stored"), f"old.{YEAR}", "new"), "changed")
+    gone, come = changed.where("stored"), changed.where("new IS NOT NULL").select("new.*")
+    years = [row[0] for row in gone.select(YEAR).union(come.select(YEAR)).distinct().collect()]  # years there are
     if not years:
         store.keep_sources("silver", "review", sources)
         return 0
@@ -146,6 +157,7 @@ def refresh_changes(
     """
     if not store.exists("gold", "rising_star_businesses"):
         return refresh(store, strict, retention, **rising_rule)
+    store = own_session(store)
     written, metrics = _refresh_silver(store, strict)
     counts = {f"silver.{t}": n for t, n in written.items()}
     if written:

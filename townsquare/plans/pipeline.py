@@ -96,11 +96,16 @@ def load_bronze(store: TableStore, landed: Mapping[str, DataFrame], batch_id: st
     return run_writes(store.spark, loads)
 
 
+def own_session(store: TableStore, input_bytes: int = 0) -> TableStore:
+    """The store in a session of its own, as wide as its input needs."""
+    return replace(store, spark=session_sized_for(store.spark, input_bytes))
+
+
 def _sized_write(
     store: TableStore, layer: str, table: str, build: Callable[[TableStore], DataFrame], input_bytes: int, **more: object
 ) -> dict[str, int]:
     """Write one table in a session of its own, as wide as its input needs."""
-    own = replace(store, spark=session_sized_for(store.spark, input_bytes))
+    own = own_session(store, input_bytes)
     layout = (PARTITIONED.get(table, ()), CLUSTERED.get(table, ()), UNIQUE.get(table, ()))
     return own.write_observed(layer, table, build(own), *layout, **more)
 
@@ -132,6 +137,11 @@ def _key_checks(table: str, strict: bool) -> dict[str, object]:
     return {"checks": checks, "accept": quality.refuse_violations(table) if strict else None}
 
 
+def loaded_bytes(store: TableStore, entity: str) -> int:
+    """Size of an entity's stored bronze, batch and incremental rows."""
+    return sum(store.stored_bytes("bronze", t) for t in (entity, stream_table(entity)) if store.exists("bronze", t))
+
+
 def build_silver(store: TableStore, strict: bool = False, only: Iterable[str] = ENTITIES) -> dict[str, dict[str, int]]:
     """Store the silver layer from stored bronze, batch and incremental rows
     together; table -> rows and violations, counted by the writing tasks. With
@@ -148,10 +158,7 @@ def build_silver(store: TableStore, strict: bool = False, only: Iterable[str] =
     def plan(name: str) -> Callable[[TableStore], DataFrame]:
         return lambda own: silver_plans(LazyFrames({e: partial(rows, own, e) for e in ENTITIES}))[name]
 
-    def loaded(entity: str) -> int:
-        return sum(store.stored_bytes("bronze", t) for t in (entity, stream_table(entity)) if store.exists("bronze", t))
-
-    builds = {e: (plan(e), loaded(e), {"sources": sources[e]} | _key_checks(e, strict)) for e in only}
+    builds = {e: (plan(e), loaded_bytes(store, e), {"sources": sources[e]} | _key_checks(e, strict)) for e in only}
     found = _store_layer(store, "silver", builds)
     if "business" in found:
         pairs = lambda own: silver.silver_business_category(own.read("silver", "business"), unique_businesses=True)
@@ -225,6 +232,7 @@ def refresh(
     violation ends the run before gold is touched. Snapshots beyond
     ``retention`` are dropped at the end. See
     :func:`townsquare.plans.changes.refresh_changes` for the incremental way."""
+    store = own_session(store)
     metrics = build_silver(store, strict)
     counts = {"silver": _rows(metrics)}
     counts["silver"]["dq_checks"] = audit_silver(store, metrics, strict)

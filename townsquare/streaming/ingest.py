@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from townsquare.config import SESSION_CONF
 from townsquare.sources.entities import ENTITIES
 from townsquare.sources.landing import BATCH_COLUMN, with_lineage
 
@@ -47,4 +48,5 @@ def ingest_incremental(
         writer = writer.option("path", path)
     if batch_id is not None:
         writer = writer.partitionBy(BATCH_COLUMN)
+    writer = writer.option("compression", SESSION_CONF["spark.sql.parquet.compression.codec"])
     return writer.outputMode("append").format("parquet").toTable(table)
